@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.bpe_automaton import bpe_round_trip
 from millrace.llm.common import table
+from millrace.llm.quality import judged
+from millrace.llm.sharding import shard
 from millrace.llm.token_counts import token_counts
 
 
@@ -25,5 +27,36 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op4_bpe_round_trip)}
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"))
+
+
+OPS = (op2_token_counts, op3_shards, op4_bpe_round_trip, op7_host_rules)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op7_host_rules"] = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+     t AS (SELECT *, list_filter(string_split(translate(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '') AS w,
+                  list_filter(string_split(text, chr(10)), lambda x: translate(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13), '') <> '') AS lines FROM d),
+     win AS (SELECT doc_id, i, w[i:i+4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t)),
+     rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+     cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest(range(0, 5)) AS k) GROUP BY 1),
+     s AS (SELECT t.doc_id, source, len(w) AS n_words, length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS word_chars,
+                  length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
+           FROM t LEFT JOIN cov USING (doc_id)),
+     f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+                  10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 3 * n_words OR word_chars > 10 * n_words AS soft_failed FROM s),
+     h AS (SELECT source, count(*) AS docs, count(*) FILTER (base_failed OR soft_failed) AS failed FROM f GROUP BY 1),
+     p AS (SELECT avg(failed / docs) AS m, coalesce(var_pop(failed / docs), 0) AS v FROM h),
+     q AS (SELECT m, CASE WHEN v <= 1e-12 THEN 1e6 ELSE greatest(1.0, least(1e6, m * (1 - m) / v - 1)) END AS k FROM p),
+     r AS (SELECT source, (failed + m * k) / (docs + k) > 0.5 AS host_flagged FROM h, q)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT (host_flagged AND soft_failed) AS kept, soft_failed, host_flagged
+FROM f LEFT JOIN r ON f.source IS NOT DISTINCT FROM r.source
+"""
