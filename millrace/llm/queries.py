@@ -10,6 +10,7 @@ from millrace.llm.bpe_automaton import bpe_round_trip
 from millrace.llm.common import table
 from millrace.llm.quality import judged
 from millrace.llm.sharding import shard
+from millrace.llm.simhash import near_duplicates
 from millrace.llm.token_counts import token_counts
 
 
@@ -19,6 +20,10 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), limit=2048)
 
@@ -35,7 +40,7 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
-OPS = (op2_token_counts, op3_shards, op4_bpe_round_trip, op7_host_rules)
+OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op7_host_rules)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
 
