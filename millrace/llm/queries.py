@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.bpe_automaton import bpe_round_trip
 from millrace.llm.common import table
 from millrace.llm.decontaminate import leaks
+from millrace.llm.html_extract import extract
 from millrace.llm.quality import judged
 from millrace.llm.sharding import shard
 from millrace.llm.simhash import near_duplicates
@@ -37,6 +38,10 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op5_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op7_host_rules, op10_template_leaks)
+OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op7_host_rules, op10_template_leaks)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
 
