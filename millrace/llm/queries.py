@@ -14,6 +14,7 @@ from millrace.llm.quality import judged
 from millrace.llm.sharding import shard
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.token_counts import token_counts
+from millrace.llm.warc import archived
 
 
 def tokenizer(name: str) -> str:
@@ -42,6 +43,10 @@ def op5_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op7_host_rules, op10_template_leaks)
+OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op10_template_leaks)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
 
