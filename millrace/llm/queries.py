@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.bpe_automaton import bpe_round_trip
+from millrace.llm.chat import digests, formatted, from_turns
 from millrace.llm.common import table
 from millrace.llm.decontaminate import leaks
 from millrace.llm.html_extract import extract
@@ -51,11 +53,18 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -7, whose two texts are made of control strings."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return digests(formatted(from_turns(rows.union(planted))))
+
+
 def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op10_template_leaks)
+OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op8_reply_trees, op10_template_leaks)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -80,3 +89,16 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(n_words AS BIGINT) AS n_words, CAS
        NOT base_failed AND NOT (host_flagged AND soft_failed) AS kept, soft_failed, host_flagged
 FROM f LEFT JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
+
+ORACLE_SQL["op8_reply_trees"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+     e AS (SELECT *, regexp_replace(replace(text, '\', '\\'), '<(/?s>)', '<\\\1', 'g') AS s FROM c),
+     f AS (SELECT *, length(regexp_replace(s, '\[(/?INST\])', '[\\\1', 'g')) + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(role) END AS n FROM e)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+""".replace("\\\\", "\\")
