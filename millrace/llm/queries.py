@@ -101,4 +101,4 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
-""".replace("\\\\", "\\")
+"""
