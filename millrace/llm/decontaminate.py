@@ -12,7 +12,8 @@ if it has fewer) match on one alignment: with size 8 and 6 windows, 13 words in
 
 An item of fewer than `size` tokens is one window of its own length. Documents are read in one narrow
 pass for the hash join; only those with a matched window are read again for their slots. The windows
-of the benchmark are broadcast if there are at most `broadcast_windows`, else joined by a shuffle.
+of the benchmark are broadcast if there are at most `broadcast_windows`, else joined by a shuffle; so
+are the ids of the documents with a match, which keeps the texts of all others out of a shuffle.
 
 Edge cases: null and blank texts match nothing, nor does an item without words; repeated items are
 each reported; repeated document ids are taken as one document; an empty table gives an empty table;
@@ -79,7 +80,8 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = 8, min_windows: int = 6
 
     # the words behind the placeholders, for documents and items with a match
     def raw(df: DataFrame, name: str, key: str, ids: DataFrame) -> DataFrame:
-        own = df.select(df[key].cast("long").alias(name), F.coalesce(df[text_col], F.lit("")).alias("text")).join(ids, name, "left_semi")
+        side = F.broadcast(ids) if ids.count() <= broadcast_windows else ids
+        own = df.select(df[key].cast("long").alias(name), F.coalesce(df[text_col], F.lit("")).alias("text")).join(side, name, "left_semi")
         both = own.select(name, tokens(F.col("text")).alias("raw"), tokens(template(F.col("text"))).alias("w"))
         slots = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("kind"), F.get("raw", i).alias("value"))), lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
         return both.select(name, F.explode(slots).alias("s")).select(name, "s.*").distinct()
