@@ -12,6 +12,7 @@ from millrace.llm.chat import digests, formatted, from_turns
 from millrace.llm.common import table
 from millrace.llm.decontaminate import leaks
 from millrace.llm.html_extract import extract
+from millrace.llm.ppm import lm_scores
 from millrace.llm.quality import judged
 from millrace.llm.sharding import shard
 from millrace.llm.simhash import near_duplicates
@@ -60,11 +61,15 @@ def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(formatted(from_turns(rows.union(planted))))
 
 
+def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op8_reply_trees, op10_template_leaks)
+OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op8_reply_trees, op9_ppm_scores, op10_template_leaks)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
 
