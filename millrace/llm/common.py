@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -51,3 +53,14 @@ def drop_table(spark: SparkSession, df: DataFrame) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once, also where body uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df with a column `settled` that is never below 0. A filter that uses it stays above df's expressions
+    instead of being pushed into them, where they would be worked out a second time."""
+    return df.withColumn("settled", F.monotonically_increasing_id())

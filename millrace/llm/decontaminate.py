@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import cut, let
 
 SPACES = "\t\n\x0b\x0c\r"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -50,8 +50,7 @@ def template(text: Column) -> Column:
 
 def windows(words: Column, size: int) -> Column:
     """The hash of each window of `size` words, in order; none where there are fewer."""
-    n = F.size(words)
-    return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.xxhash64(F.slice(words, i, size))))
+    return let(words, lambda w: F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))))
 
 
 def item_windows(items: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
@@ -59,7 +58,7 @@ def item_windows(items: DataFrame, size: int, item_col: str, text_col: str) -> D
     rows = items.select(items[item_col].cast("long").alias("item_id"), F.coalesce(items[text_col], F.lit("")).alias("text"))
     rows = rows.select("item_id", tokens(template(F.col("text"))).alias("w")).filter(F.size("w") > 0)
     rows = rows.withColumn("length", F.least(F.size("w"), F.lit(size)))
-    h = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("length") + 1), lambda i: F.xxhash64(F.slice("w", i, F.col("length"))))
+    h = let(F.col("w"), lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - F.col("length") + 1), lambda i: F.xxhash64(F.slice(w, i, F.col("length")))))
     return rows.select("item_id", "length", (F.size("w") - F.col("length") + 1).alias("n"), F.posexplode(h).alias("at", "h"))
 
 
@@ -82,9 +81,9 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = 8, min_windows: int = 6
     def raw(df: DataFrame, name: str, key: str, ids: DataFrame) -> DataFrame:
         side = F.broadcast(ids) if ids.count() <= broadcast_windows else ids
         own = df.select(df[key].cast("long").alias(name), F.coalesce(df[text_col], F.lit("")).alias("text")).join(side, name, "left_semi")
-        both = own.select(name, tokens(F.col("text")).alias("raw"), tokens(template(F.col("text"))).alias("w"))
-        slots = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("kind"), F.get("raw", i).alias("value"))), lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
-        return both.select(name, F.explode(slots).alias("s")).select(name, "s.*").distinct()
+        lined = let(tokens(F.col("text")), lambda r: F.transform(tokens(template(F.col("text"))), lambda x, i: F.struct(i.alias("i"), x.alias("kind"), F.get(r, i).alias("value"))))
+        slots = F.filter(lined, lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
+        return own.select(name, F.explode(slots).alias("s")).select(name, "s.*").distinct()
 
     of_items = raw(items, "item_id", item_col, hits.select("item_id").distinct()).withColumnRenamed("value", "item_value").withColumnRenamed("i", "item_at")
     of_docs = raw(docs, "doc_id", id_col, hits.select("doc_id").distinct()).select(F.col("doc_id").alias("in_doc"), F.col("i").alias("doc_at"), F.col("value").alias("doc_value"))

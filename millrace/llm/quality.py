@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import cut, let, settled
 
 WINDOW = 5
 SPACES = "\t\n\x0b\x0c\r "
@@ -35,8 +35,22 @@ def words_of(text: Column) -> Column:
 
 def window_hashes(words: Column, size: int) -> Column:
     """A hash for each window of `size` words; null where there are fewer words."""
-    n = F.size(words)
-    return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.xxhash64(F.slice(words, i, size))))
+    return let(words, lambda w: F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))))
+
+
+def covered(hashes: Column) -> Column:
+    """How many words lie in windows whose hash is there twice; positions are sorted only for these."""
+
+    def repeated(pairs: Column) -> Column:
+        twice = F.transform(pairs, lambda x, k: F.when((x["h"] == F.get(pairs, k - 1)["h"]) | (x["h"] == F.get(pairs, k + 1)["h"]), x["i"]))
+        start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("sum"))
+        return F.aggregate(F.sort_array(F.array_compact(twice)), start, lambda acc, p: F.struct(p.alias("last"), (acc["sum"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("sum")), lambda acc: acc["sum"])
+
+    def inside(h: Column) -> Column:
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), let(pairs, repeated)).otherwise(0)
+
+    return F.coalesce(let(hashes, inside), F.lit(0))
 
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -48,13 +62,7 @@ def document_stats(docs: DataFrame, carry: Column, text_col: str = "text", host_
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
     rows = docs.select(carry.alias("carry"), docs[host_col].alias("host"), words_of(text).alias("w"), lines.alias("lines"), F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"), (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"))
     rows = rows.select("carry", "host", "word_chars", "n_symbols", F.size("w").cast("long").alias("n_words"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.size("lines").cast("long").alias("n_lines"), window_hashes(F.col("w"), WINDOW).alias("h"))
-    # the position of a window is needed only where some hash is there twice
-    rows = rows.withColumn("pairs", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array(F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    same = F.transform("pairs", lambda x, k: F.when((x["h"] == F.get("pairs", k - 1)["h"]) | (x["h"] == F.get("pairs", k + 1)["h"]), x["i"]))
-    at = F.sort_array(F.array_compact(same))
-    start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("sum"))
-    covered = F.aggregate(at, start, lambda acc, p: F.struct(p.alias("last"), (acc["sum"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("sum")), lambda acc: acc["sum"])
-    rows = rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    rows = rows.withColumn("n_repeat_words", covered(F.col("h")).cast("long"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     soft = (10 * F.col("n_symbols") > F.col("n_words")) | (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")) | (F.col("word_chars") < 3 * F.col("n_words")) | (F.col("word_chars") > 10 * F.col("n_words"))
     return rows.select("carry", "host", *STATS, base.alias("base_failed"), soft.alias("soft_failed"))
@@ -92,7 +100,7 @@ def passing(docs: DataFrame, host_limit: float = 0.5, text_col: str = "text", ho
     """
     hosts = host_verdicts(document_stats(docs, F.lit(0), text_col, host_col), host_limit)
     flagged = cut(hosts.filter("host_flagged").select(F.col("host").alias("flagged_host")), "flagged-hosts")
-    rows = document_stats(docs, F.struct(*docs.columns), text_col, host_col).filter(~F.col("base_failed"))
+    rows = settled(document_stats(docs, F.struct(*docs.columns), text_col, host_col)).filter(~F.col("base_failed") & (F.col("settled") >= 0))
     if n := flagged.count():
         side = F.broadcast(flagged) if n <= broadcast_hosts else flagged
         rows = rows.join(side, F.col("soft_failed") & F.col("host").eqNullSafe(F.col("flagged_host")), "left_anti")
