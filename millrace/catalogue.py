@@ -1,46 +1,6 @@
-"""The registry of queries and of the SQL that each is checked against."""
+"""All queries of the engine."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name, with the SQL that gives the same rows."""
-
-    def register(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("""
-WITH e AS (SELECT year(o_orderdate) y, sum(CAST(o_totalprice AS DECIMAL(18,2))) v FROM orders WHERE year(o_orderdate) BETWEEN 1992 AND 1998 GROUP BY 1),
-     c AS (SELECT year(l_shipdate) y, sum(CAST(l_extendedprice AS DECIMAL(18,2))) v FROM lineitem WHERE l_returnflag = 'R' AND year(l_shipdate) BETWEEN 1992 AND 1998 GROUP BY 1)
-SELECT CAST(e.y AS INTEGER) AS academic_year, CAST(e.v AS DOUBLE) AS enrolled, CAST(c.v AS DOUBLE) AS completed,
-       CAST(c.v AS DOUBLE) / nullif(CAST(e.v AS DOUBLE), 0) AS pipeline_rate
-FROM e LEFT JOIN c ON e.y IS NOT DISTINCT FROM c.y
-""")
-def pipeline_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two yearly sums, left-joined on the year, and their ratio."""
-
-    def yearly(df: DataFrame, day: str, amount: str, name: str) -> DataFrame:
-        year = F.year(day)
-        return df.filter(year.between(1992, 1998)).groupBy(year.alias("academic_year")).agg(F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias(name))
-
-    e = yearly(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice", "enrolled")
-    c = yearly(table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'"), "l_shipdate", "l_extendedprice", "completed")
-    return e.join(c, e.academic_year.eqNullSafe(c.academic_year), "left").select(e.academic_year, "enrolled", "completed", F.try_divide("completed", "enrolled").alias("pipeline_rate"))
+from millrace.plans import dashboards, payloads, postings, text  # noqa: F401  they register their queries
+from millrace.registry import ORACLE_SQL, QUERIES  # noqa: F401

@@ -1 +1 @@
-
+"""Queries of the engine over the driver's tables."""
