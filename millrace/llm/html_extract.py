@@ -38,7 +38,7 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]
 ATTRIBUTE = re.compile(r"""([\w:-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 #: Names of parts that are not the article, as words of class, id, role and aria-label values.
 OTHER_PARTS = frozenset(
-    "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs byline captcha comment comments cookie cookies consent contentinfo copyright disclaimer disqus dialog dropdown footer form gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notification alert outbrain pager paging pagination paywall popup print privacy promo promotion recommended recommendations related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola tags toc toolbar topbar widget widgets".split()
+    "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs byline captcha comment comments cookie cookies consent contentinfo copyright disclaimer disqus dialog dropdown footer form gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notification alert outbrain pager paging pagination paywall popup print privacy promo promotion recommended recommendations related replies reply respond search share sharing side sidebar signup skip social sponsor sponsored subscribe subscription taboola tags toc toolbar topbar widget widgets".split()
 )
 MAIN_PARTS = frozenset("article articlebody body content entry hentry main post story text".split())
 AWAY, IN_MAIN = -8.0, 2.0
@@ -61,7 +61,9 @@ def names_in(attrs: str) -> tuple[set[str], bool]:
     for name, value in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), entities.unescape(value.strip("\"'"))
         if name in ("class", "id", "role", "aria-label", "itemprop"):
-            words |= set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()))
+            for one in value.split():  # has-sidebar says what an element holds, not what it is
+                if not re.match(r"(?:has|with|no|without)[-_]", one):
+                    words |= set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower()))
         hidden |= name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) is not None)
     return words, hidden
 
@@ -71,7 +73,10 @@ def place_score(tag: str, attrs: str, inside_main: bool) -> float:
     if tag in ("nav", "footer", "aside", "form", "dialog", "menu", "fieldset", "search"):
         return AWAY
     words, hidden = names_in(attrs) if attrs.strip() else (set(), False)
-    if hidden or (tag not in ("html", "body", "h1", "h2", "h3", "article", "main") and words & OTHER_PARTS):
+    other = words & OTHER_PARTS
+    if inside_main or words & MAIN_PARTS:  # an article's own heading
+        other -= {"header", "masthead"}
+    if hidden or (tag not in ("html", "body", "h1", "h2", "h3", "article", "main") and other):
         return AWAY
     if tag == "header":
         return 0.0 if inside_main else AWAY

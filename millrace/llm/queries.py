@@ -107,3 +107,11 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+ORACLE_SQL["op6_warc_round_trip"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+     k AS (SELECT h, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY h)
+SELECT page_id, url, n AS payload_bytes, sha1(p.h) AS payload_digest, CASE WHEN keeper IS NULL OR keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.h = k.h
+"""

@@ -28,6 +28,11 @@ def test_odd_pages():
     assert main_text("<article><p>a < b & c</p><!-- <p>no</p> --><p>x</p><!-- open") == "a < b & c\nx"
 
 
+def test_names_of_parts():
+    page = '<body class="has-sidebar"><div class="layout with-sidebar"><div class="page-header">Site</div><div class="post"><div class="entry-header"><h1>Title here</h1></div><p>Some words of the story, with an end.</p><div class="post-comments"><p>I think that this is a very good story, really.</p></div></div></div>'
+    assert main_text(page) == "Title here\nSome words of the story, with an end."
+
+
 def test_cut_is_minimal():
     r = random.Random(4)
     for _ in range(60):
