@@ -134,6 +134,17 @@ def prose_text(html: pd.Series) -> pd.Series:
     return html.map(lambda h: prose(render(h), r"(?i)^(?:overview)\s*:?", r"(?i)cookie|copyright"))
 
 
+@F.pandas_udf(T.StringType())
+def stripped(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else strip_boilerplate(t, BOILERPLATE))
+
+
+@F.pandas_udf(LINES)
+def section_lines(html: pd.Series) -> pd.Series:
+    """Bullets below the first heading about duties."""
+    return html.map(lambda h: section(render(h), [r"Duties", *RESPONSIBILITIES["workday"]], Policy()))
+
+
 @F.pandas_udf(T.StringType())
 def repaired(raw: pd.Series) -> pd.Series:
     return raw.map(lambda b: None if b is None else repair_bytes(b))

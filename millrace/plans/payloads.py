@@ -143,3 +143,40 @@ def byte_repair(spark: SparkSession, d: str) -> DataFrame:
     """A byte that is no UTF-8 becomes its cp1252 character; valid ones that contain it stay."""
     raw = F.concat(F.encode(F.concat(F.lit("St. "), "p_brand"), "utf-8"), F.unhex(F.lit("92")), F.encode(F.lit("s → x"), "utf-8"))
     return table(spark, d, "part").select("p_partkey", D.repaired(raw).alias("name"))
+
+
+@query("SELECT p_partkey, 'Duties of ' || p_brand AS duties, CAST(p_size AS VARCHAR) || ' years' AS experience FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'Duties of ' || p_brand, NULL FROM part WHERE p_partkey % 2 = 1")
+def regex_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of short plain text by labels; each ends at the next label."""
+    text = F.concat(F.lit("Responsibilities: Duties of "), "p_brand", F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" Experience: "), F.col("p_size").cast("string"), F.lit(" years"))).otherwise(""), F.lit(" Education: none"))
+    field = lambda name: F.when(text.rlike(rf"{name}: "), F.regexp_extract(text, rf"{name}: (.*?)(?= (?:Experience|Education): |$)", 1))
+    return table(spark, d, "part").select("p_partkey", field("Responsibilities").alias("duties"), field("Experience").alias("experience"))
+
+
+@query("SELECT p_partkey, 'Bachelor in ' || p_brand AS required, CASE WHEN p_partkey % 2 = 0 THEN 'Master in ' || p_type END AS preferred FROM part")
+def credential_split(spark: SparkSession, d: str) -> DataFrame:
+    """A credential line into the required degree and the one marked as preferred."""
+    line = F.concat(F.lit("Bachelor in "), "p_brand", F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" required, Master in "), "p_type", F.lit(" (preferred)"))).otherwise(" required"))
+    preferred = F.when(line.rlike(r"\(preferred\)"), F.regexp_extract(line, r"(Master[^,]*?)\s*\(preferred\)", 1))
+    return table(spark, d, "part").select("p_partkey", F.regexp_extract(line, r"^(Bachelor.*?) required", 1).alias("required"), preferred.alias("preferred"))
+
+
+@query("SELECT p_partkey, 'Work on ' || trim(p_name) AS body FROM part")
+def boilerplate_strip(spark: SparkSession, d: str) -> DataFrame:
+    text = F.concat(F.lit("About us we are many. About the job"), F.lit(""), F.lit(" #LI-AB1"), F.lit("\nWork on "), F.trim("p_name"), F.lit("\nWe are an Equal Opportunity Employer and so on."))
+    lines = F.filter(F.transform(F.split(D.stripped(text), "\n"), lambda x: F.trim(x)), lambda x: x.startswith("Work"))
+    return table(spark, d, "part").select("p_partkey", F.get(lines, 0).alias("body"))
+
+
+@query("SELECT p_partkey, 'As a ' || p_brand || ' engineer you will build ' || trim(p_name) || '.' AS summary FROM part WHERE p_partkey % 3 <> 0 UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 3 = 0")
+def role_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The first paragraph that introduces the role, over 30 characters."""
+    intro = F.when(F.col("p_partkey") % 3 == 0, "<p>Hello.</p>").otherwise(F.concat(F.lit("<p>Short one</p><p>As a "), "p_brand", F.lit(" engineer you will build "), F.trim("p_name"), F.lit(".</p>")))
+    first = F.get(F.filter(D.rendered_lines(intro), lambda x: (F.length(x) > 30) & x.rlike(r"(?i)^(?:as an? |in this role|the role|you will|this position)")), 0)
+    return table(spark, d, "part").select("p_partkey", first.alias("summary"))
+
+
+@query("SELECT p_partkey, 'Build ' || trim(p_name) || '|Run ' || p_brand AS duties FROM part")
+def html_sections(spark: SparkSession, d: str) -> DataFrame:
+    html = F.concat(F.lit("<p>Intro</p><h2>Duties</h2><p>lead</p><ul><li>Build "), "p_name", F.lit("</li><li>Run "), "p_brand", F.lit("</li></ul><h2>Other</h2><ul><li>no</li></ul>"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(D.section_lines(html), "|").alias("duties"))

@@ -114,3 +114,19 @@ def test_detail_errors_stay_in_their_row(spark):
     rows = df.select(D.detail_record("p", "h").alias("r")).select("r.*").collect()
     assert [r.job_responsibilities for r in rows] == [None, None, "text here"] and all(r.error is None for r in rows)
     assert H.repair_bytes("ok →".encode() + b"\x92") == "ok →’" and H.strip_boilerplate("aXbY", [("first", "X"), ("first", "Y"), ("all", "b")]) == "aY"
+
+
+def test_ingest(spark):
+    from millrace.operators.ingest import ingest, latest_exports
+
+    body = "<h2>Responsibilities</h2><ul><li>Build\x07 things</ul><h2>Qualifications</h2><ul><li>Bachelor degree<li>3 years experience</ul><p>$10 - $20</p>"
+    rows = [("workday", "A", "u1", "T1", "Austin, TX", body, "Posted Today", 1), ("boeing", "B", "u2", "T2", None, body, None, 2), ("successfactors", "C", "u1", "T3", "x TX", "", "2026-01-05", 3), ("boeing", "B", "u3", "T4", "Everett, Washington", body, "", 4), ("other", "D", "u4", "T5", None, None, None, 5), ("talentbrew", "E", "u5", "T6", "Paris, France", body, None, 6)]
+    pay = spark.createDataFrame(rows, "platform string, company_name string, url string, title string, location string, body string, posted string, ord int").withColumn("as_of", F.lit("2026-03-31").cast("date"))
+    empty = spark.createDataFrame([], "job_url string, company_name string, job_title string, location string, posting_date date, job_responsibilities string, min_education string, min_experience string, preferred_qualifications string, salary_range string")
+    got = {r.job_url: r for r in ingest(empty, pay).collect()}
+    assert set(got) == {"u1", "u3", "u4"}
+    assert (got["u1"].company_name, got["u1"].job_title, got["u1"].job_responsibilities, got["u1"].salary_range, str(got["u1"].posting_date)) == ("A", "T3", "Build things", "$10 - $20", "2026-01-05")
+    again = {r.job_url: r for r in ingest(ingest(empty, pay), pay.filter("url = 'u3'").withColumn("company_name", F.lit("Z"))).collect()}
+    assert again["u3"].company_name == "B" and set(again) == set(got)
+    days = spark.createDataFrame([("nxp", "20260101"), ("nxp_semiconductors", "20260301"), ("x", "20250101")], "slug string, day string")
+    assert sorted(map(tuple, latest_exports(days).collect())) == [("nxp", "20260301"), ("x", "20250101")]
