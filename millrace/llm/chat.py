@@ -55,12 +55,13 @@ def jump_tables(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     now = cut(base.select("tree", "node", F.col("n2").alias("up"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total")), "jumps")
     tables, rows = [], messages.count()
     while 2 ** len(tables) <= 2 * rows:
-        if now.filter("up is not null").isEmpty():
+        active, ended = now.filter("up is not null"), now.filter("up is null")
+        if active.isEmpty():
             break
-        tables.append(now.filter("up is not null").select("tree", "node", "up"))
+        tables.append(active.select("tree", "node", "up"))
         over = now.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("total").alias("more"))
-        step = now.join(over, _same_tree("tree", "t2") & (F.col("up") == F.col("n2")), "left")
-        now = cut(step.select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")), "jumps")
+        step = active.join(over, _same_tree("tree", "t2") & (F.col("up") == F.col("n2")))
+        now = cut(step.select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.col("more")).alias("total")).union(ended), "jumps")
     return tables, now.filter("up is null").select("tree", "node", "total")
 
 
