@@ -9,8 +9,6 @@ from millrace.functions import lines as L
 from millrace.functions import scalars as S
 from millrace.registry import query, table
 
-_ASCII = "'[ \\t\\n\\x0b\\x0c\\r]+'"
-
 
 @query("SELECT doc_id, trim(regexp_replace(text, '[\\s\\x0b\\x1c-\\x1f\\x85\\x{a0}]+', ' ', 'g')) AS clean FROM documents")
 def squish(spark: SparkSession, d: str) -> DataFrame:
