@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from millrace.llm.bpe_automaton import bpe_round_trip
 from millrace.llm.common import cut, new_path, table
 from millrace.llm.decontaminate import clean
+from millrace.llm.near_copies import near_copies
 from millrace.llm.quality import passing
 from millrace.llm.queries import tokenizer
-from millrace.llm.simhash import near_duplicates
 
 #: Ids that a broadcast may hold; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -30,12 +30,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one whose doc_id names the class.
+    """One document of each class: the one whose doc_id names the class. Texts whose sets of 5-word shingles
+    are 0.8 similar or more are linked.
 
     Only ids are joined: the dropped ones, broadcast if there are at most BROADCAST_IDS of them. Of an
     id that occurs more than once one row stays. Rows without an id are compared among themselves.
     """
-    classes = cut(near_duplicates(docs.filter("doc_id is not null")), "classes")
+    classes = cut(near_copies(docs.filter("doc_id is not null")), "classes")
     dropped = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("other_id")).distinct()
     repeated = cut(classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("other_id")), "repeated")
 
@@ -50,7 +51,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     nameless = docs.filter("doc_id is null")
     if not nameless.isEmpty():
         numbered = cut(nameless.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("n")), "nameless")
-        first = near_duplicates(numbered.select("n", "row.text"), id_col="n").filter("doc_id = component_id").select(F.col("doc_id").alias("other_id"))
+        first = near_copies(numbered.select("n", "row.text"), id_col="n").filter("doc_id = component_id").select(F.col("doc_id").alias("other_id"))
         kept = kept.union(numbered.join(first, F.col("n") == F.col("other_id"), "left_semi").select("row.*"))
     return kept
 
@@ -67,7 +68,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("encode", encode)]
 
-#: SQL cannot express the encoding or the hash of the fingerprints; tests/llm holds brute force.
+#: SQL cannot express the encoding or the hashes of the shingles; tests/llm holds brute force.
 ORACLE_SQL = None
 
 
