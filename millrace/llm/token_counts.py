@@ -61,8 +61,8 @@ class Encoder:
             self.known.update(zip(part, map(len, found), strict=True))
 
 
-def splice(left: list[tuple[int, int, int]], right: list[tuple[int, int, int]], text: str, lo: int, hi: int) -> list[tuple[int, int, int]] | None:
-    """Tokens of both chunks, joined at the last stable boundary in text[lo:hi]; None without one.
+def splice(left: list[tuple[int, int, int]], right: list[tuple[int, int, int]], text: str, lo: int, hi: int) -> tuple[int, list[tuple[int, int, int]]] | None:
+    """The last stable boundary in text[lo:hi] and the tokens of both chunks, joined there; None without one.
 
     lo is the start of the right chunk and hi the end of the left one.
     """
@@ -72,7 +72,7 @@ def splice(left: list[tuple[int, int, int]], right: list[tuple[int, int, int]],
     a, b = {s: k for k, (s, _, _) in enumerate(left)}, {s: k for k, (s, _, _) in enumerate(right)}
     for p0, p in zip(reversed(places[:-1]), reversed(places[1:]), strict=True):
         if all(x in y for x in (p0, p) for y in (a, b)) and left[a[p0] : a[p]] == right[b[p0] : b[p]]:
-            return left[: a[p]] + right[b[p] :]
+            return p, left[: a[p]] + right[b[p] :]
     return None
 
 
@@ -87,11 +87,11 @@ def encode_long(encoder: Encoder, text: str, chunk_chars: int = CHUNK_CHARS, ove
         while joined is None:
             start = max(begin, end - overlap)
             right = encoder.spans(text[start:stop], start)
-            joined = right if start == begin else splice(done, right, text, start, end)
+            joined = (begin, right) if start == begin else splice(done, right, text, start, end)
             overlap *= 2
-        # what lies far before the end can no longer change
-        done, begin, old = joined, start, done
-        keep = next((k for k, (s, _, _) in enumerate(done) if s >= start), len(done))
+        # what lies before the boundary can no longer change, and an encoding can start again there
+        begin, done = joined
+        keep = next((k for k, (s, _, _) in enumerate(done) if s >= begin), len(done))
         settled += done[:keep]
         done = done[keep:]
         end = stop

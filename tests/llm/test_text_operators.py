@@ -70,6 +70,14 @@ def test_spliced_chunks_equal_one_encoding():
         assert [i for _, _, i in encode_long(encoder, t, 150, 12)] == [i for _, _, i in whole]
 
 
+def test_unbroken_text_after_words_equals_one_encoding():
+    encoder = Encoder(WORD)
+    for k in range(100, 180):
+        t = ("running along " * 40)[:k] + " " + "x" * 500 + " and more words " * 20
+        ids = encoder.library.encode(t, add_special_tokens=False).ids
+        assert [i for _, _, i in encode_long(encoder, t, 150, 12)] == ids
+
+
 def test_token_counts(spark, docs):
     library = Tokenizer.from_file(WORD)
     want = Counter()
