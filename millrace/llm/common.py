@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -23,9 +24,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a new local one only where it is unset."""
+    """The folder in spark.checkpoint.dir. Where it is unset, a local master gets a new local folder; on a
+    cluster, whose machines would each write to their own disk, that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR"))
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

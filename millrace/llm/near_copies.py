@@ -1,81 +1,100 @@
-"""Near copies by exact similarity of word-shingle sets.
+"""SimHash near-dedup by similarity: candidates by SimHash, verified on the word-shingle sets.
 
 Two texts are linked if the Jaccard similarity of their sets of 5-word shingles is `percent` or more;
-classes are the components of the links. Candidates come from MinHash: 128 minima of a set's hashes
-in 32 bands of 4, so a pair at similarity 0.8 is missed with a chance of (1 - 0.8^4)^32 = 5e-8, one
-above with less. Every candidate is verified on the sets themselves before it is linked.
+classes are the components of the links. One 64-bit fingerprint can't reach so far: at similarity 0.8
+two fingerprints differ in 15 % of their bits, 10 of 64 with a spread of 3. So WORDS independent ones
+are taken, each searched by the generalised pigeonhole of `simhash` for DISTANCE bits. With three
+partitions of 21 bits at threshold 2 a pair at 0.8 meets in one word with a chance of 0.74 and stays
+under REACH bits with 0.98, so all WORDS miss it with a chance of 0.005, and one above 0.8 with less.
+Every candidate is verified on the sets themselves before it is linked.
 
 1. texts with equal sets are one node, named by a hash of the set, so exact copies cost no pairs;
-2. nodes that share a band's key are a bucket. In each bucket one node is compared with all others,
-   twice with another node in turn; a bucket whose nodes are all in one class is done, so a bucket of
-   k near copies costs about k comparisons and not k * k;
-3. in the buckets left, all pairs between different classes are compared.
+2. nodes that meet in a bucket within REACH bits are clusters. In each cluster one node is compared with
+   all others, twice with another node in turn; a cluster whose nodes are all in one class is done, so
+   a cluster of k near copies costs about k comparisons and not k * k;
+3. in the clusters left, all pairs between different classes are compared.
 
+Pairs are compared on all fingerprints first (FARTHEST bits), so sets meet only where they are close.
 Sets are rebuilt only for documents with a candidate. A node with more than `block` pairs meets them
 in several parts.
 
 Edge cases: null and blank texts have equal (empty) sets; a text of fewer words than a shingle is one
-shingle; rows need an id, rows without one are left out; an id with several texts has several rows;
-an empty table gives an empty table; other columns of the input are ignored.
+shingle; a row without an id is compared like any other, and its class is null only if no row of it has
+an id; an id with several texts has several rows; ties are one class whatever their order; very long texts are hashed piece by piece; an empty table
+gives an empty table; other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import cut, ship
 from millrace.llm.components import components
+from millrace.llm.simhash import SEED, buckets, majority, shingle_hashes, stream_links
 
-BANDS, ROWS, SEED = 32, 4, 42
-_random = np.random.default_rng(SEED)
-_MULTIPLY = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2)
-#: Shingles whose minima are taken at a time, which bounds memory for very long texts.
-_STEP = 1 << 10
+#: Fingerprints of a text, the bits that each is searched for, and the most bits between candidates in one and in all.
+WORDS, DISTANCE, REACH, FARTHEST = 4, 8, 13, 64
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
     """The sorted distinct hashes of the text's word shingles."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    k = min(size, len(words))
-    cuts = map(slice, starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64))
+    parts = [np.unique(h) for h in shingle_hashes(text, size)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
-def _name(found: np.ndarray) -> int:
-    x = xxhash.xxh64_intdigest(found.tobytes(), SEED)
+def remixed(h: np.ndarray, word: int) -> np.ndarray:
+    """Independent hashes from hashes (the finaliser of a 64-bit mixer)."""
+    x = h + np.uint64(0x9E3779B97F4A7C15 * (word + 1) & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """One key for each band of minima."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(found), _STEP):
-        least = np.minimum(least, (_MULTIPLY[:, None] * found[None, i : i + _STEP] + _ADD[:, None]).min(1))
-    data = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), b) for b, row in enumerate(data)], np.uint64).view(np.int64)
+def _name(found: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+
+
+def prints_of(found: np.ndarray) -> list[int]:
+    """The fingerprints of a set of hashes."""
+    pieces = [found[i : i + (1 << 16)] for i in range(0, len(found), 1 << 16)]
+    return [_signed(majority(remixed(h, k) for h in pieces)) for k in range(WORDS)]
 
 
 def signature_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names, keys = [], []
+        names, prints = [], []
         for v in batch.column(1):
             found = shingles(v.as_py(), size)
             names.append(_name(found))
-            keys.append(band_keys(found))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
+            prints.append(prints_of(found))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], ["row", "node", "prints"])
+
+
+def cluster_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) of each class of a bucket; the key is a hash of its nodes, so it is the same wherever they meet."""
+    for a, b, of in stream_links(batches, REACH):
+        nodes, of = np.concatenate([a, b]), np.concatenate([of, of])
+        order = np.lexsort((nodes, of))
+        nodes, of = nodes[order], of[order]
+        first = np.append(True, of[1:] != of[:-1])
+        own = first | np.append(True, nodes[1:] != nodes[:-1])
+        nodes, first = nodes[own], first[own]
+        starts = np.flatnonzero(first)
+        mixed = remixed(nodes.view(np.uint64), 0)
+        sums = np.add.reduceat(mixed, starts) + np.bitwise_xor.reduceat(remixed(mixed, 1), starts)
+        sizes = np.diff(np.append(starts, len(nodes)))
+        more = np.repeat(sizes > 1, sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(sums, sizes).view(np.int64)[more], pa.int64()), pa.array(nodes[more], pa.int64())], ["key", "node"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -109,24 +128,36 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int, broadc
     return met.filter(both * 100 >= percent * (F.size("a_set") + F.size("b_set") - both)).select("a", "b")
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int, block: int = 2048, broadcast_keys: int = 10_000, turns: int = 2) -> DataFrame:
-    """Verified pairs (a, b) that connect all similar nodes of a bucket. members: key, node; sets: node, found."""
+def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that differ in at most FARTHEST bits of all their fingerprints."""
+    left = nodes.select(F.col("node").alias("a_node"), F.col("prints").alias("a_prints"))
+    right = nodes.select(F.col("node").alias("b_node"), F.col("prints").alias("b_prints"))
+    met = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node"))
+    apart = sum((F.bit_count(F.col("a_prints")[k].bitwiseXOR(F.col("b_prints")[k])) for k in range(WORDS)), F.lit(0))
+    return met.filter(apart <= FARTHEST).select("a", "b")
+
+
+def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 2048, broadcast_keys: int = 10_000, turns: int = 2) -> DataFrame:
+    """Verified pairs (a, b) that connect all similar nodes of a cluster.
+
+    members: key, node; nodes: node, prints; sets: node, found.
+    """
     spark = members.sparkSession
     tried = found = spark.createDataFrame([], "a long, b long")
     labelled = members.withColumn("root", F.col("node"))
     for turn in range(turns + 1):
         pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("pivot")
         live = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), pivot).filter("low <> high")
-        live = cut(live.select(F.col("key").alias("of"), F.col("pivot.node").alias("a"), F.col("pivot.root").alias("a_root")), "buckets")
+        live = cut(live.select(F.col("key").alias("of"), F.col("pivot.node").alias("a"), F.col("pivot.root").alias("a_root")), "clusters")
         if live.isEmpty():
             break
         if turn < turns:
             pairs = labelled.join(live, F.col("key") == F.col("of")).filter("root <> a_root").select("a", F.col("node").alias("b"))
         else:
-            rest = cut(labelled.join(live.select("of"), F.col("key") == F.col("of"), "left_semi"), "open-buckets")
+            rest = cut(labelled.join(live.select("of"), F.col("key") == F.col("of"), "left_semi"), "open-clusters")
             other = rest.select(F.col("key").alias("of"), F.col("node").alias("a"), F.col("root").alias("a_root"))
             pairs = rest.join(other, (F.col("key") == F.col("of")) & (F.col("root") != F.col("a_root")) & (F.col("a") < F.col("node"))).select("a", F.col("node").alias("b"))
-        pairs = cut(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
+        pairs = cut(close(pairs.distinct().join(tried, ["a", "b"], "left_anti"), nodes), "candidates")
         tried = tried.union(pairs).union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         found = found.union(cut(verified(pairs, sets, percent, block, broadcast_keys), "verified"))
         if turn < turns:
@@ -135,24 +166,67 @@ def links(members: DataFrame, sets: DataFrame, percent: int, block: int = 2048,
     return found
 
 
-def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 2048, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """doc_id and component_id (the least doc_id of its class) of each row with an id."""
+def clusters(nodes: DataFrame, block: int) -> DataFrame:
+    """key and node of the clusters in the buckets of all fingerprints. nodes: node, prints."""
+    spark = nodes.sparkSession
+    out = spark.createDataFrame([], "key long, node long")
+    for k in range(WORDS):
+        rows = buckets(nodes.select("node", F.col("prints")[k].alias("fp")), DISTANCE, block)
+        if rows is None:
+            break
+        out = out.union(cut(rows.mapInArrow(cluster_batches, "key long, node long").distinct(), "clusters"))
+    return out.distinct()
+
+
+def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """row: no id, id, hash of the text. The least row of a class is the one that stands for it."""
+    text, key = F.coalesce(docs[text_col], F.lit("")), docs[id_col].cast("long")
+    return F.struct(key.isNull().alias("nameless"), key.alias("id"), F.xxhash64(text, F.octet_length(text)).alias("t")).alias("row")
+
+
+def classes(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 2048, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """row and the least row of its class, for each row of docs."""
     ship(docs.sparkSession)
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).filter("doc_id is not null")
-    signed = cut(rows.mapInArrow(lambda b: signature_batches(b, shingle), "doc_id long, node long, keys array<long>"), "signatures")
-    nodes = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys")), "nodes")
-    spots = nodes.select("node", F.explode("keys").alias("key"))
-    shared = spots.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select(F.col("key").alias("of"))
-    members = cut(spots.join(shared, F.col("key") == F.col("of"), "left_semi"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("least").alias("wanted")).distinct()
-    side = cut(wanted, "wanted")
-    side = F.broadcast(side) if side.count() <= broadcast_ids else side
-    sets = rows.join(side, F.col("doc_id") == F.col("wanted"), "left_semi").select("text").mapInArrow(lambda b: set_batches(b, shingle), "node long, found array<long>")
-    sets = cut(sets, "sets")
-    if not sets.groupBy("node").count().filter("count > 1").isEmpty():
+    rows = docs.select(_key(docs, id_col, text_col), docs[text_col].alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    signed = cut(rows.mapInArrow(lambda b: signature_batches(b, shingle), f"row {kind}, node long, prints array<long>"), "signatures")
+    nodes = cut(signed.groupBy("node").agg(F.min("row").alias("least"), F.first("prints").alias("prints")), "nodes")
+    members = cut(clusters(nodes.select("node", "prints"), block), "members")
+    wanted = cut(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("least").alias("wanted"), "prints"), "wanted")
+    side = wanted.select("wanted")
+    side = F.broadcast(side) if wanted.count() <= broadcast_ids else side
+    sets = cut(rows.join(side, F.col("row") == F.col("wanted"), "left_semi").select("text").mapInArrow(lambda b: set_batches(b, shingle), "node long, found array<long>"), "sets")
+    if not sets.groupBy("node").count().filter("count > 1").isEmpty():  # equal rows
         sets = cut(sets.dropDuplicates(["node"]), "sets")
-    roots = components(links(members, sets, percent, block), "a", "b").withColumnRenamed("node", "linked")
+    roots = components(links(members, wanted.select("node", "prints"), sets, percent, block), "a", "b").withColumnRenamed("node", "linked")
     named = cut(nodes.join(roots, F.col("node") == F.col("linked"), "left").select(F.col("node").alias("of"), F.coalesce("root", "node").alias("root"), "least"), "named")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of_root")
-    named = named.join(least, F.col("root") == F.col("of_root")).select("of", "component_id")
-    return signed.join(named, F.col("node") == F.col("of")).select("doc_id", "component_id")
+    least = named.groupBy("root").agg(F.min("least").alias("first")).withColumnRenamed("root", "of_root")
+    named = named.join(least, F.col("root") == F.col("of_root")).select("of", "first")
+    return signed.join(named, F.col("node") == F.col("of")).select("row", "first")
+
+
+def near_copies(docs: DataFrame, **options) -> DataFrame:
+    """doc_id and component_id (the least doc_id of its class) of each row."""
+    return classes(docs, **options).select(F.col("row.id").alias("doc_id"), F.col("first.id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 1_000_000, **options) -> DataFrame:
+    """The least row of each class (the one with the least id), with its own columns; of equal ones one stays.
+
+    Texts aren't shuffled: the rows that go are joined by id and hash of the text, broadcast if there are
+    at most broadcast_ids of them. Only rows that are there twice are compared as a whole.
+    """
+    found = cut(classes(docs, id_col=id_col, text_col=text_col, broadcast_ids=broadcast_ids, **options), "classes")
+    gone = cut(found.filter("row <> first").select(F.col("row").alias("other")).distinct(), "gone")
+    twice = cut(found.filter("row = first").groupBy("row").count().filter("count > 1").select(F.col("row").alias("other")), "twice")
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= broadcast_ids else df
+
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own"), _key(docs, id_col, text_col))
+    same = F.col("row") == F.col("other")
+    kept = keyed.join(side(gone), same, "left_anti")
+    if not twice.isEmpty():
+        again = side(twice)
+        kept = kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["row"]))
+    return kept.select("own.*")

@@ -9,22 +9,26 @@ its smallest doc_id. To link nodes at `distance` or fewer differing bits:
    pair within the distance agrees up to t_i bits in some partition i. Dynamic programming picks the
    thresholds on the candidates of each partition: colliding pairs counted over all nodes, carried to
    larger thresholds by the bits' difference rates, plus the rows that probing costs;
-3. every node is indexed by its bits in each partition, and probes the keys up to t_i flips away;
-4. the nodes of a bucket are compared and a spanning forest of its links is kept, so a group of k
-   near copies costs k links and not k * k. A bucket of more than `block` rows is dealt into blocks,
-   and every pair of blocks is compared in its own group, so no task holds a whole hot bucket.
+3. every node is indexed by the keys up to ceil(t_i / 2) flips away from its bits in a partition, and
+   probes those up to floor(t_i / 2) flips away, so two nodes that differ in t_i bits meet;
+4. buckets are sorted streams, so a task holds one bucket at a time. Its nodes are compared and a
+   spanning forest of its links is kept, so a group of k near copies costs k links and not k * k. A
+   bucket of more than `block` rows is dealt into blocks, and every pair of blocks is compared in its
+   own group, so no task holds a whole hot bucket.
 
 Components of the links give the classes.
 
 Edge cases: null or blank text has fingerprint 0 and is linked like any other; a null id keeps its
 row, and its class is named by the smallest known id (null if there is none); repeated rows and ids
-stay; an empty table gives an empty table; other columns of the input are ignored.
+stay; ties of ids or fingerprints are one node; very long texts are hashed 65,536 shingles at a time;
+an empty table gives an empty table; other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, repeat
+from itertools import chain, combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,22 +45,32 @@ SEED = 42
 _STEP = 1 << 16
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """Bit i is set if it is set in over half of the shingles' hashes; 0 without words."""
+def shingle_hashes(text: str | None, size: int) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles in order, _STEP at a time; nothing without words."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    k = min(shingle, len(words))
+    k = min(size, len(words))
     starts, ends = starts[: len(words) - k + 1], ends[k - 1 :]
-    counts = np.zeros(BITS, np.int64)
     for i in range(0, len(starts), _STEP):
         cuts = map(slice, starts[i : i + _STEP].tolist(), ends[i : i + _STEP].tolist())
-        h = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64)
+        yield np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64)
+
+
+def majority(parts: Iterator[np.ndarray]) -> int:
+    """Bit i is set if it is set in over half of the hashes; 0 without any."""
+    counts, n = np.zeros(BITS, np.int64), 0
+    for h in parts:
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return sum(1 << i for i in np.nonzero(2 * counts > len(starts))[0].tolist())
+        n += len(h)
+    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0]) if n else 0
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    return majority(shingle_hashes(text, shingle))
 
 
 def _signed(x: int) -> int:
@@ -137,8 +151,8 @@ def flips(group: list[int], t: int) -> list[int]:
     return [_signed(sum(1 << b for b in c)) for r in range(1, t + 1) for c in combinations(group, r)]
 
 
-#: Cost of comparing a pair, against that of one more row to shuffle.
-_PAIR_COST = 0.05
+#: Cost of comparing a pair, against that of one more row to shuffle; and the largest threshold.
+_PAIR_COST, _MOST = 0.05, 4
 
 
 def _costs(n: int, groups: list[list[int]], p: np.ndarray, pairs: list[float] | None, distance: int) -> list[list[float]]:
@@ -147,9 +161,9 @@ def _costs(n: int, groups: list[list[int]], p: np.ndarray, pairs: list[float] |
         chance = difference_chances(p, g, distance)
         base = pairs[i] if pairs else n * n / 2 * chance[0]
         row = [0.0]
-        for t in range(min(distance, 2) + 1):
+        for t in range(min(distance, _MOST) + 1):
             found = base * chance[t] / max(chance[0], 1e-300)
-            row.append(n * (1 + len(flips(g, t))) + _PAIR_COST * found)
+            row.append(n * (1 + sum(comb(len(g), r) for r in range(1, (t + 1) // 2 + 1))) + _PAIR_COST * found)
         out.append(row)
     return out
 
@@ -157,8 +171,12 @@ def _costs(n: int, groups: list[list[int]], p: np.ndarray, pairs: list[float] |
 def plan_partitions(nodes: DataFrame, n: int, distance: int) -> list[tuple[list[int], int]]:
     """The groups of bits with their thresholds; unused ones are left out."""
     p, corr = bit_statistics(nodes, n)
-    designs = [group_bits(corr, m) for m in range(2, distance + 2)]
-    groups = min(designs, key=lambda g: allocate(_costs(n, g, p, None, distance), distance - len(g) + 1)[0])
+    ways = {}
+    for m in range(2, distance + 2):
+        if distance - m + 1 <= _MOST * m:
+            groups = group_bits(corr, m)
+            ways[allocate(_costs(n, groups, p, None, distance), distance - m + 1)[0]] = groups
+    groups = ways[min(ways)]
     keys = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in g)))).alias("key")) for i, g in enumerate(groups)])
     sizes = nodes.select(F.explode(keys).alias("x")).groupBy("x.part", "x.key").count().filter("count > 1")
     counted = dict(sizes.groupBy("part").agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).collect())
@@ -167,71 +185,107 @@ def plan_partitions(nodes: DataFrame, n: int, distance: int) -> list[tuple[list[
     return [(g, t) for g, t in zip(groups, thresholds, strict=True) if t >= 0]
 
 
-def bucket_links(fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Pairs of positions that span the links among the fingerprints of a bucket."""
-    k = len(fp)
-    if k <= 512:
-        near = np.triu(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= distance, 1)
-        a, b = np.nonzero(near)
-        if len(a) <= 2 * k:
-            return list(zip(a.tolist(), b.tolist(), strict=True))
-    out: list[tuple[int, int]] = []
-    left = np.arange(k)
+def bucket_links(fp: np.ndarray, distance: int) -> list[tuple[int, int, int]]:
+    """Pairs of positions that span the links among the fingerprints of a bucket, each with the first
+    position of its class."""
+    out: list[tuple[int, int, int]] = []
+    left = np.arange(len(fp))
     while len(left):
-        todo, left = [int(left[0])], left[1:]
+        first = int(left[0])
+        todo, left = [first], left[1:]
         while todo and len(left):
             x = todo.pop()
             near = np.bitwise_count(fp[left] ^ fp[x]) <= distance
             if near.any():
                 hits = left[near].tolist()
                 left = left[~near]
-                out += zip(repeat(x), hits)
+                out += zip(repeat(x), hits, repeat(first))
                 todo += hits
     return out
 
 
+#: Buckets of up to so many nodes are compared many at a time.
+_SMALL = 8
+
+
+def stream_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, class) of spanning links, from rows (part, key, pair, fp, node) in bucket order."""
+    rest: list[np.ndarray] | None = None
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            now = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
+        elif rest is None:
+            return
+        else:
+            now = rest
+        part, key, pair, fp, node = now
+        new = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])) + 1
+        last = len(part) if batch is None else int(new[-1]) if len(new) else 0
+        rest = [x[last:] for x in now]
+        if not last:
+            continue
+        starts = np.concatenate(([0], new[new < last]))
+        sizes = np.diff(np.append(starts, last))
+        bucket = np.repeat(np.arange(len(starts)), sizes)
+        bits = fp.view(np.uint64)
+        small = np.repeat(sizes <= _SMALL, sizes)
+        a, b, of = [], [], []
+        for d in range(1, min(_SMALL, int(sizes.max()))):
+            at = np.flatnonzero((bucket[d:] == bucket[:-d]) & small[d:])
+            at = at[np.bitwise_count(bits[at] ^ bits[at + d]) <= distance]
+            a.append(node[at]), b.append(node[at + d]), of.append(bucket[at] * last + at)
+        for k in np.flatnonzero(sizes > _SMALL).tolist():
+            s = int(starts[k])
+            if found := bucket_links(bits[s : s + int(sizes[k])], distance):
+                x, y, first = np.array(found).T + s
+                a.append(node[x]), b.append(node[y]), of.append(k * last + first)
+        if sum(map(len, a)):
+            yield np.concatenate(a), np.concatenate(b), np.concatenate(of)
+
+
 def link_batches(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column(0)
-        ends, both = lists.offsets.to_numpy().tolist(), lists.values
-        fps = both.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-        ids = both.field("node").to_numpy(zero_copy_only=False)
-        a, b = [], []
-        for s, e in zip(ends, ends[1:], strict=False):
-            for x, y in bucket_links(fps[s:e], distance):
-                a.append(ids[s + x])
-                b.append(ids[s + y])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    for a, b, _ in stream_links(batches, distance):
+        differ = a != b
+        yield pa.RecordBatch.from_arrays([pa.array(a[differ], pa.int64()), pa.array(b[differ], pa.int64())], ["a", "b"])
 
 
 def _probes(part: int, group: list[int], t: int) -> Column:
-    """The node's own key in a partition, and the keys up to t flips away."""
+    """The node's keys in a partition, and whether it probes them (as well as being indexed by them)."""
     key = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in group))))
-    masks = F.array(F.lit(0).cast("long"), *[F.lit(m).cast("long") for m in flips(group, t)])
-    return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(m).alias("key"), (m == 0).alias("own")))
+    masks = F.array(F.lit(0).cast("long"), *[F.lit(m).cast("long") for m in flips(group, (t + 1) // 2)])
+    return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(m).alias("key"), (F.bit_count(m) <= t // 2).alias("own")))
 
 
-def links(nodes: DataFrame, distance: int, block: int = 2048, broadcast_keys: int = 10_000) -> DataFrame:
-    """A spanning set of the pairs (a, b) of nodes at `distance` or fewer differing bits."""
+def buckets(nodes: DataFrame, distance: int, block: int, broadcast_keys: int = 10_000) -> DataFrame | None:
+    """part, key, pair, fp and node, sorted within partitions so that each bucket is a run of rows.
+
+    nodes: fp, node. None if there are fewer than two nodes.
+    """
     n = nodes.count()
-    empty = nodes.sparkSession.createDataFrame([], "a long, b long")
     if n < 2:
-        return empty
+        return None
     entries = [_probes(i, group, t) for i, (group, t) in enumerate(plan_partitions(nodes, n, distance))]
     rows = nodes.select("fp", "node", F.explode(F.concat(*entries)).alias("x")).select("fp", "node", "x.*")
-    sizes = rows.groupBy("part", "key").agg(F.count("*").alias("n"))
-    hot = cut(sizes.filter(F.col("n") > block).select(F.col("part").alias("hot_part"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / block).alias("blocks")), "hot-buckets")
+    hot = cut(rows.groupBy("part", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select(F.col("part").alias("hot_part"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / block).alias("blocks")), "hot-buckets")
     n_hot = hot.count()
     rows = rows.withColumn("pair", F.lit(0).cast("long"))
     if n_hot:
         side = F.broadcast(hot) if n_hot <= broadcast_keys else hot
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+        own = F.pmod(F.xxhash64("fp", "node"), F.col("blocks"))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         rows = rows.join(side, (F.col("part") == F.col("hot_part")) & (F.col("key") == F.col("hot_key")), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
-        rows = rows.select("part", "key", "fp", "node", "own", "blocks", own.alias("mine"), other.alias("other"))
+        rows = rows.select("part", "key", "fp", "node", "blocks", own.alias("mine"), other.alias("other"))
         rows = rows.withColumn("pair", F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other"))
-    bags = rows.groupBy("part", "key", "pair").agg(F.collect_list(F.struct("fp", "node")).alias("bag"), F.bool_or("own").alias("indexed")).filter((F.size("bag") > 1) & F.col("indexed"))
-    return bags.select("bag").mapInArrow(lambda b: link_batches(b, distance), "a long, b long").distinct()
+    return rows.select("part", "key", "pair", "fp", "node").repartition("part", "key", "pair").sortWithinPartitions("part", "key", "pair")
+
+
+def links(nodes: DataFrame, distance: int, block: int = 2048) -> DataFrame:
+    """A spanning set of the pairs (a, b) of nodes at `distance` or fewer differing bits."""
+    rows = buckets(nodes, distance, block)
+    if rows is None:
+        return nodes.sparkSession.createDataFrame([], "a long, b long")
+    return rows.mapInArrow(lambda b: link_batches(b, distance), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", block: int = 2048) -> DataFrame:

@@ -100,3 +100,12 @@ def test_near_duplicates_of_documents(spark):
             assert (x.fingerprint, x.component_id) == (f"{fps[x.doc_id]:016x}", want[x.doc_id])
     assert near_duplicates(df.limit(0)).count() == 0
     assert [x.component_id for x in near_duplicates(df.filter("doc_id is null")).collect()] == [None]
+
+
+def test_hubs_are_kept_out_of_the_join(spark, monkeypatch):
+    import millrace.llm.components as c
+
+    monkeypatch.setattr(c, "HUB", 3)
+    edges = [(1, k) for k in range(2, 40)] + [(100, k) for k in range(39, 60)] + [(200, 201), (201, 202), (7, 7), (None, 5)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {k: 1 for k in [*range(1, 60), 100]} | {200: 200, 201: 200, 202: 200}
