@@ -3,26 +3,23 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's docs. All but the last return the columns of documents.
 
-Edge cases are those of the operators: null and blank texts fail the quality rules; equal rows are one
-group of which one row stays; rows without an id are compared among themselves; an empty table passes
+Edge cases are those of the operators: null and blank texts fail the quality rules; equal rows and ties
+are one group of which one row stays; rows without an id are handled like any others; very long texts
+are read whole; further columns of documents pass through, whatever their names; an empty table passes
 through every stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm.bpe_automaton import bpe_round_trip
-from millrace.llm.common import cut, new_path, table
+from millrace.llm.common import new_path, table
 from millrace.llm.decontaminate import clean
-from millrace.llm.near_copies import near_copies
+from millrace.llm.near_copies import one_of_each
 from millrace.llm.quality import passing
 from millrace.llm.queries import tokenizer
 
-#: Ids that a broadcast may hold; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and their host's verdict."""
@@ -30,30 +27,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one whose doc_id names the class. Texts whose sets of 5-word shingles
-    are 0.8 similar or more are linked.
-
-    Only ids are joined: the dropped ones, broadcast if there are at most BROADCAST_IDS of them. Of an
-    id that occurs more than once one row stays. Rows without an id are compared among themselves.
-    """
-    classes = cut(near_copies(docs.filter("doc_id is not null")), "classes")
-    dropped = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("other_id")).distinct()
-    repeated = cut(classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("other_id")), "repeated")
-
-    def ids(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
-
-    same = F.col("doc_id") == F.col("other_id")
-    kept = docs.filter("doc_id is not null").join(ids(dropped), same, "left_anti")
-    if not repeated.isEmpty():
-        once = kept.join(ids(repeated), same, "left_anti")
-        kept = once.union(kept.join(ids(repeated), same, "left_semi").dropDuplicates(["doc_id"]))
-    nameless = docs.filter("doc_id is null")
-    if not nameless.isEmpty():
-        numbered = cut(nameless.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("n")), "nameless")
-        first = near_copies(numbered.select("n", "row.text"), id_col="n").filter("doc_id = component_id").select(F.col("doc_id").alias("other_id"))
-        kept = kept.union(numbered.join(first, F.col("n") == F.col("other_id"), "left_semi").select("row.*"))
-    return kept
+    """One document of each class, the one with the least id. Texts whose sets of 5-word shingles are 0.8
+    similar or more are linked, and so are the texts that such links reach."""
+    return one_of_each(docs, percent=80, shingle=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
