@@ -1,23 +1,33 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
-Texts become templates: numbers, units after numbers and capitalised words inside a sentence turn
-into typed placeholders, case and punctuation go. Windows of `size` template tokens are hashed and
-joined with those of the benchmark, so a question asked with other numbers or names still matches.
-Where windows of a document and an item meet, the words behind the placeholders are lined up: within
-one alignment a slot value of the item must always stand for the same value of the document and the
-other way round, else the windows that break the rule do not count.
+Texts become templates of two kinds. In both, numbers and units after numbers are typed placeholders, and
+case, punctuation and the kind of white space go. In the second, capitalised words are placeholders too,
+wherever they stand. So a question asked with other numbers or names still matches, and so does one whose
+case or line breaks are changed (names that differ are found only if they keep their capitals). Windows
+of `size` template tokens are hashed and joined with those of the benchmark. A window that is less than
+half literal words says too little: it counts only where its very words are the same.
+
+Where windows of a document and an item meet, the words behind the item's placeholders are lined up:
+within one alignment a slot value of the item must always stand for the same value of the document and
+the other way round, else the windows that break the rule do not count.
 
 A document is contaminated by an item if at least `min_windows` of the item's windows (all of them,
-if it has fewer) match on one alignment: with size 8 and 6 windows, 13 words in a row.
+if it has fewer) match on one alignment: with size 8 and 6 windows, 13 words in a row. An item of fewer
+than `size` tokens is one window of its own length.
 
-An item of fewer than `size` tokens is one window of its own length. Documents are read in one narrow
-pass for the hash join; only those with a matched window are read again for their slots. The windows
-of the benchmark are broadcast if there are at most `broadcast_windows`, else joined by a shuffle; so
-are the ids of the documents with a match, which keeps the texts of all others out of a shuffle.
+Documents are read in one narrow pass for the hash join, whatever the lengths; only those with enough
+windows on one alignment are read again for their slots. Results are worked out once for each text, by a
+hash of it, and given to all rows that hold it, so copies cost nothing more and rows with the same id
+stay apart. The windows of the benchmark are broadcast if there are at most `broadcast_windows`, else
+joined by a shuffle; so are the hashes of texts with a match, which keeps all other texts out of one.
+An item that very many documents leak is one key of a join only where its slots are too many to
+broadcast, and there it is salted.
 
 Edge cases: null and blank texts match nothing, nor does an item without words; repeated items are
-each reported; repeated document ids are taken as one document; an empty table gives an empty table;
-other columns of the input are ignored, whatever their names.
+each reported; a row without an id is reported with a null id; repeated rows are reported once, and of
+repeated ids with different texts what any of them leaks; ties between slot values go to the smaller one;
+very long texts are read whole; an empty table gives an empty table; other columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +42,8 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 NUMBER, UNIT, NAME = "‹n›", "‹u›", "‹c›"
 NUMBERS = r"(?<!\S)[$€£+-]?\d[\d.,:/]*%?(?!\S)|(?<!\S)[$€£+-]?\d[\d.,:/]*(?=[.,;:!?)]+(?!\S))"
 UNITS = NUMBER + r" (?:mm|cm|m|km|g|kg|mg|t|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|lbs?|pounds?|oz|dollars?|euros?|cents?|percent|degrees?|watts?|kw|kwh|volts?|meters?|metres?|grams?|litres?|liters?)(?![\p{L}\p{N}])"
-NAMES = r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+NAMES = r"(?<![\p{L}\p{N}‹])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+SALTS = 32
 
 
 def tokens(text: Column) -> Column:
@@ -41,67 +52,121 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(plain, " "), "")
 
 
+def spaced(text: Column) -> Column:
+    """The text with one space for each stretch of white space."""
+    flat = F.translate(text, SPACES, " " * len(SPACES))
+    return F.when(F.contains(flat, F.lit("  ")), F.regexp_replace(flat, " +", " ")).otherwise(flat)
+
+
 def template(text: Column) -> Column:
-    """The text with placeholders; each stands for one word, so positions stay as they are."""
-    named = F.regexp_replace(text, NAMES, NAME)
-    numbered = F.regexp_replace(named, NUMBERS, NUMBER)
-    return F.when(text.rlike(r"\d"), F.regexp_replace(numbered, UNITS, f"{NUMBER} {UNIT}")).otherwise(named)
+    """A spaced text with placeholders for numbers and units; each stands for one word, so positions stay."""
+    numbered = F.regexp_replace(text, NUMBERS, NUMBER)
+    return F.when(text.rlike(r"\d"), F.regexp_replace(numbered, "(?i)" + UNITS, f"{NUMBER} {UNIT}")).otherwise(text)
+
+
+def named(text: Column) -> Column:
+    """The same with placeholders for capitalised words."""
+    return F.regexp_replace(text, NAMES, NAME)
+
+
+def windows(words: Column, size: Column | int) -> Column:
+    """at and hash of each window of `size` words; none where there are fewer."""
+    length = F.lit(size) if isinstance(size, int) else size
+    ids = F.transform(words, lambda w: F.xxhash64(w))
+    return let(ids, lambda w: F.transform(F.when(F.size(w) >= length, F.sequence(F.lit(1), F.size(w) - length + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.struct((i - 1).alias("at"), F.xxhash64(F.slice(w, i, length), length).alias("h"))))
+
+
+def with_templates(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """df with the tokens of its text (raw) and of its two templates (plain, names); all three line up."""
+    out = df.withColumn("spaced", spaced(F.col(text_col))).withColumn("numbered", template(F.col("spaced")))
+    return out.select(*df.columns, tokens(F.col("spaced")).alias("raw"), tokens(F.col("numbered")).alias("plain"), tokens(named(F.col("numbered"))).alias("names"))
 
 
-def windows(words: Column, size: int) -> Column:
-    """The hash of each window of `size` words, in order; none where there are fewer."""
-    return let(words, lambda w: F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))))
+def text_key(text: Column) -> Column:
+    return F.xxhash64(text, F.octet_length(text))
 
 
 def item_windows(items: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
-    """item_id, length, n (windows of the item), at and h."""
+    """item_id, it (hash of its text), length, n (windows of the item), view, at and h."""
     rows = items.select(items[item_col].cast("long").alias("item_id"), F.coalesce(items[text_col], F.lit("")).alias("text"))
-    rows = rows.select("item_id", tokens(template(F.col("text"))).alias("w")).filter(F.size("w") > 0)
-    rows = rows.withColumn("length", F.least(F.size("w"), F.lit(size)))
-    h = let(F.col("w"), lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - F.col("length") + 1), lambda i: F.xxhash64(F.slice(w, i, F.col("length")))))
-    return rows.select("item_id", "length", (F.size("w") - F.col("length") + 1).alias("n"), F.posexplode(h).alias("at", "h"))
+    rows = with_templates(rows).filter(F.size("raw") > 0).withColumn("length", F.least(F.size("raw"), F.lit(size)))
+    length = F.col("length")
 
+    def literal(words: Column, at: Column) -> Column:
+        return 2 * F.size(F.filter(F.slice(words, at + 1, length), lambda w: ~F.startswith(w, F.lit("‹")))) >= length
 
-def leaks(docs: DataFrame, items: DataFrame, size: int = 8, min_windows: int = 6, broadcast_windows: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """doc_id, item_id, matched (windows of the item found), item_windows: one row per leaked item."""
+    each = F.arrays_zip(windows(F.col("raw"), length).alias("r"), windows(F.col("plain"), length).alias("p"), windows(F.col("names"), length).alias("q"))
+    rows = rows.select("item_id", text_key(F.col("text")).alias("it"), "length", (F.size("raw") - length + 1).alias("n"), "plain", "names", F.explode(each).alias("w"))
+    at, h = F.col("w.r.at"), F.col("w.r.h")
+    plain = F.struct(F.when(literal(F.col("plain"), at), "plain").otherwise("raw").alias("view"), F.when(literal(F.col("plain"), at), F.col("w.p.h")).otherwise(h).alias("h"))
+    other = F.when((F.col("w.q.h") != F.col("w.p.h")) & literal(F.col("names"), at), F.struct(F.lit("names").alias("view"), F.col("w.q.h").alias("h")))
+    return rows.select("item_id", "it", "length", "n", at.alias("at"), F.explode(F.array_compact(F.array(plain, other))).alias("v")).select("item_id", "it", "length", "n", "v.view", "at", "v.h")
+
+
+def _leaking_texts(docs: DataFrame, items: DataFrame, size: int, min_windows: int, broadcast_windows: int, text_col: str, item_col: str) -> DataFrame:
+    """t (hash of a text), item_id, matched and item_windows."""
     bench = cut(item_windows(items, size, item_col, text_col), "benchmark-windows")
-    facts = bench.agg(F.count("*"), F.collect_set("length")).first()
-    side = F.broadcast(bench) if facts[0] <= broadcast_windows else bench
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).filter("doc_id is not null")
-    words = rows.select("doc_id", tokens(template(F.col("text"))).alias("w"))
-    # at most `size` lengths, nearly always one
-    spots = [words.select("doc_id", F.lit(k).alias("of"), F.posexplode(windows(F.col("w"), k)).alias("pos", "dh")) for k in sorted(facts[1]) or [size]]
-    found = spots[0]
-    for more in spots[1:]:
-        found = found.union(more)
-    found = found.join(side, (F.col("dh") == F.col("h")) & (F.col("of") == F.col("length")))
-    hits = cut(found.select("doc_id", "item_id", "length", "n", "at", "pos", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "window-hits")
-
-    # the words behind the placeholders, for documents and items with a match
-    def raw(df: DataFrame, name: str, key: str, ids: DataFrame) -> DataFrame:
-        side = F.broadcast(ids) if ids.count() <= broadcast_windows else ids
-        own = df.select(df[key].cast("long").alias(name), F.coalesce(df[text_col], F.lit("")).alias("text")).join(side, name, "left_semi")
-        lined = let(tokens(F.col("text")), lambda r: F.transform(tokens(template(F.col("text"))), lambda x, i: F.struct(i.alias("i"), x.alias("kind"), F.get(r, i).alias("value"))))
-        slots = F.filter(lined, lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
-        return own.select(name, F.explode(slots).alias("s")).select(name, "s.*").distinct()
-
-    of_items = raw(items, "item_id", item_col, hits.select("item_id").distinct()).withColumnRenamed("value", "item_value").withColumnRenamed("i", "item_at")
-    of_docs = raw(docs, "doc_id", id_col, hits.select("doc_id").distinct()).select(F.col("doc_id").alias("in_doc"), F.col("i").alias("doc_at"), F.col("value").alias("doc_value"))
-    pairs = hits.join(of_items, "item_id").filter((F.col("item_at") >= F.col("at")) & (F.col("item_at") < F.col("at") + F.col("length")))
-    pairs = pairs.join(of_docs, (F.col("doc_id") == F.col("in_doc")) & (F.col("doc_at") == F.col("item_at") + F.col("shift")))
-    alignment = ["doc_id", "item_id", "shift"]
-    votes = pairs.select(*alignment, "kind", "item_at", "item_value", "doc_value").distinct().groupBy(*alignment, "kind", "item_value", "doc_value").agg(F.count("*").alias("votes"))
+    kinds = bench.groupBy("view", "length").count().collect()  # 3 views, `size` lengths
+    small = sum(r["count"] for r in kinds) <= broadcast_windows
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= broadcast_windows else df
+
+    rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text")).select(text_key(F.col("text")).alias("t"), "text")
+    views = sorted({(r.view, r.length) for r in kinds}) or [("plain", size)]
+    spots = with_templates(rows).select("t", F.explode(F.concat(*[windows(F.col(v), k) for v, k in views])).alias("d")).select("t", F.col("d.at").alias("pos"), F.col("d.h").alias("dh"))
+    found = spots.join(F.broadcast(bench) if small else bench, F.col("dh") == F.col("h"))
+    hits = cut(found.select("t", "item_id", "it", "length", "n", "at", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "window-hits")
+    alignment = ["t", "item_id", "it", "shift"]
+    enough = F.least(F.lit(min_windows), F.col("n"))
+    lined = hits.groupBy(*alignment).agg(F.count("*").alias("c"), F.first("n").alias("n")).filter(F.col("c") >= enough).select(*[F.col(k).alias(f"a_{k}") for k in alignment])
+    same = F.lit(True)
+    for k in alignment:
+        same = same & F.col(k).eqNullSafe(F.col(f"a_{k}"))
+    hits = cut(hits.join(lined, same, "left_semi"), "aligned-hits")
+
+    # the words behind the placeholders
+    own = items.select(items[item_col].cast("long").alias("s_item"), F.coalesce(items[text_col], F.lit("")).alias("text"))
+    slots = with_templates(own).select("s_item", text_key(F.col("text")).alias("s_it"), F.explode(F.arrays_zip("raw", "names", F.sequence(F.lit(0), F.greatest(F.size("raw") - 1, F.lit(0))).alias("i"))).alias("s"))
+    slots = slots.filter(F.startswith("s.names", F.lit("‹"))).select("s_item", "s_it", F.col("s.i").alias("item_at"), F.col("s.names").alias("kind"), F.col("s.raw").alias("item_value")).distinct()
+    matched = side(hits.select(F.col("t").alias("m")).distinct())
+    said = with_templates(rows.join(matched, F.col("t") == F.col("m"), "left_semi").dropDuplicates(["t"])).select(F.col("t").alias("in_text"), F.posexplode("raw").alias("doc_at", "doc_value"))
+    met = F.col("item_id").eqNullSafe(F.col("s_item")) & (F.col("it") == F.col("s_it"))
+    if small:
+        pairs = hits.join(F.broadcast(slots), met)
+    else:
+        slots = slots.withColumn("s_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = hits.withColumn("salt", F.pmod(F.col("t"), F.lit(SALTS)).cast("int")).join(slots, met & (F.col("salt") == F.col("s_salt")))
+    pairs = pairs.filter((F.col("item_at") >= F.col("at")) & (F.col("item_at") < F.col("at") + F.col("length")))
+    pairs = pairs.join(said, (F.col("t") == F.col("in_text")) & (F.col("doc_at") == F.col("item_at") + F.col("shift"))).select(*alignment, "at", "kind", "item_at", "item_value", "doc_value")
+    votes = pairs.drop("at").distinct().groupBy(*alignment, "kind", "item_value", "doc_value").agg(F.count("*").alias("votes"))
+
     # the value that most places agree on is the slot's; a window with any other one is inconsistent
-    best = lambda key: F.row_number().over(Window.partitionBy(*alignment, "kind", key).orderBy(F.desc("votes"), "item_value", "doc_value"))
-    odd = votes.withColumn("a", best("item_value")).withColumn("b", best("doc_value")).filter("a > 1 or b > 1")
-    broken = pairs.join(odd.select(*alignment, "kind", "item_value", "doc_value"), [*alignment, "kind", "item_value", "doc_value"], "left_semi").select(*alignment, "at").distinct()
-    good = hits.join(broken, [*alignment, "at"], "left_anti")
-    lined = good.groupBy(*alignment, "n").agg(F.countDistinct("at").alias("matched")).filter(F.col("matched") >= F.least(F.lit(min_windows), F.col("n")))
-    return lined.groupBy("doc_id", "item_id").agg(F.max("matched").cast("long").alias("matched"), F.max("n").cast("long").alias("item_windows"))
-
-
-def clean(docs: DataFrame, items: DataFrame, broadcast_ids: int = 1_000_000, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that leak no item. A null id cannot be reported and is kept."""
-    ids = cut(leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("leaking")).distinct(), "leaking")
-    side = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
-    return docs.join(side, docs[id_col].cast("long") == F.col("leaking"), "left_anti")
+    def best(key: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*alignment, "kind", key).orderBy(F.desc("votes"), "item_value", "doc_value"))
+
+    odd = votes.withColumn("x", best("item_value")).withColumn("y", best("doc_value")).filter("x > 1 or y > 1").select(*[F.col(k).alias(f"a_{k}") for k in alignment], *[F.col(k).alias(f"a_{k}") for k in ("kind", "item_value", "doc_value")])
+    alike = same
+    for k in ("kind", "item_value", "doc_value"):
+        alike = alike & (F.col(k) == F.col(f"a_{k}"))
+    broken = pairs.join(odd, alike, "left_semi").select(*[F.col(k).alias(f"a_{k}") for k in alignment], F.col("at").alias("a_at")).distinct()
+    good = hits.join(broken, same & (F.col("at") == F.col("a_at")), "left_anti")
+    good = good.groupBy(*alignment).agg(F.countDistinct("at").alias("matched"), F.first("n").alias("n")).filter(F.col("matched") >= enough)
+    return good.groupBy("t", "item_id").agg(F.max("matched").cast("long").alias("matched"), F.max("n").cast("long").alias("item_windows"))
+
+
+def leaks(docs: DataFrame, items: DataFrame, size: int = 8, min_windows: int = 6, broadcast_windows: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """doc_id, item_id, matched (windows of the item found), item_windows: one row per document and leaked item."""
+    found = cut(_leaking_texts(docs, items, size, min_windows, broadcast_windows, text_col, item_col), "leaking-texts").withColumnRenamed("t", "leaking")
+    side = F.broadcast(found) if found.count() <= broadcast_windows else found
+    ids = docs.select(docs[id_col].cast("long").alias("doc_id"), text_key(F.coalesce(docs[text_col], F.lit(""))).alias("t"))
+    out = ids.join(side, F.col("t") == F.col("leaking")).groupBy("doc_id", "item_id")
+    return out.agg(F.max("matched").alias("matched"), F.max("item_windows").alias("item_windows"))
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = 8, min_windows: int = 6, broadcast_windows: int = 1_000_000, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """The documents that leak no item, with their own columns; no id is needed."""
+    found = cut(_leaking_texts(docs, items, size, min_windows, broadcast_windows, text_col, item_col).select(F.col("t").alias("leaking")).distinct(), "leaking-texts")
+    side = F.broadcast(found) if found.count() <= broadcast_windows else found
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own"), text_key(F.coalesce(docs[text_col], F.lit(""))).alias("t"))
+    return keyed.join(side, F.col("t") == F.col("leaking"), "left_anti").select("own.*")
