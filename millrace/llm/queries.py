@@ -86,9 +86,11 @@ WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
      f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
                   10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 3 * n_words OR word_chars > 10 * n_words AS soft_failed FROM s),
      h AS (SELECT source, count(*) AS docs, count(*) FILTER (base_failed OR soft_failed) AS failed FROM f GROUP BY 1),
-     p AS (SELECT avg(failed / docs) AS m, coalesce(var_pop(failed / docs), 0) AS v FROM h),
-     q AS (SELECT m, CASE WHEN v <= 1e-12 THEN 1e6 ELSE greatest(1.0, least(1e6, m * (1 - m) / v - 1)) END AS k FROM p),
-     r AS (SELECT source, (failed + m * k) / (docs + k) > 0.5 AS host_flagged FROM h, q)
+     a AS (SELECT CAST(sum(docs) AS DOUBLE) AS n, CAST(sum(failed) AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS k, sum(CAST(docs AS DOUBLE) * docs) AS nn, sum(CAST(failed AS DOUBLE) * failed / docs) AS xx FROM h),
+     c AS (SELECT x / n AS p, ((xx - x * x / n) / nullif(x * (n - x) / (n * n), 0) - (k - 1)) / nullif(n - nn / n - (k - 1), 0) AS r FROM a),
+     q AS (SELECT p, CASE WHEN r > 0 THEN greatest(1.0, least(1e6, 1 / r - 1)) ELSE 1e6 END AS b FROM c),
+     z AS (SELECT source, docs, b, p, (failed + p * b) / (docs + b) AS m FROM h, q),
+     r AS (SELECT source, m - 3.0 * sqrt(m * (1 - m) / (docs + b + 1)) > 1.5 * p AS host_flagged FROM z)
 SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT base_failed AND NOT (host_flagged AND soft_failed) AS kept, soft_failed, host_flagged

@@ -6,12 +6,15 @@ in the proportions of the whole, so the order is cut into shards whose counts di
 (law `rows`).
 
 Neither ranking puts a source or the whole table in one task: ranks are taken within buckets of the
-sort key that hold about ROWS_PER_BUCKET rows, and added to the count of the buckets before. The text
-itself is never shuffled; its size and checksum are taken in the scan.
+sort key that hold about ROWS_PER_BUCKET rows, and added to the count of the buckets before. Those
+counts are summed in two levels, so a task holds at most the sums of WIDE buckets, or one row for each
+WIDE buckets of the table. The text itself is never shuffled; its size and checksum are taken in the scan.
 
-Edge cases: null text has size 8 and checksum 0; a null source is a stratum of its own; repeated rows
-and repeated ids each get their own slot; an empty table gives an empty table; fewer rows than shards
-leave some shards empty; other columns of the input are ignored, whatever their names.
+Edge cases: null text has size 8 and checksum 0; a null source is a stratum of its own; null and repeated
+ids are spread by the checksum of their texts, and rows that tie in both are in arbitrary order, which
+changes no row of the result; repeated rows each get their own slot; very long texts count by their
+bytes; an empty table gives an empty table; fewer rows than shards leave some shards empty; other
+columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,16 +24,29 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import cut
 
-ROWS_PER_BUCKET = 2048
+ROWS_PER_BUCKET, WIDE = 2048, 2048
 
 
 def with_rank(df: DataFrame, group: list[str], bucket: Column, order: list[str], rank: str, total: str) -> DataFrame:
     """Add the 0-based rank within the group and the group's size. bucket must not fall along the order."""
     rows = df.withColumn("__bucket", bucket)
     keys = [*group, "__bucket"]
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*[F.col(k).alias(f"__{k}") for k in keys], F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy(*group)).alias(total))
+    high = F.floor(F.col("__bucket") / WIDE)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n")).withColumn("__high", high)
+    tops = counts.groupBy(*group, "__high").agg(F.sum("__n").alias("__top_n"))
+    first = Window.unboundedPreceding, -1
+    of_group = [F.col(k) for k in group] or [F.lit(0)]
+    tops = tops.select(
+        *[F.col(k).alias(f"__top_{k}") for k in [*group, "__high"]],
+        F.coalesce(F.sum("__top_n").over(Window.partitionBy(*of_group).orderBy("__high").rowsBetween(*first)), F.lit(0)).alias("__top_before"),
+        F.sum("__top_n").over(Window.partitionBy(*of_group)).alias(total),
+    )
+    inside = F.coalesce(F.sum("__n").over(Window.partitionBy(*group, "__high").orderBy("__bucket").rowsBetween(*first)), F.lit(0))
+    over = F.lit(True)
+    for k in [*group, "__high"]:
+        over = over & F.col(k).eqNullSafe(F.col(f"__top_{k}"))
+    counts = counts.withColumn("__inside", inside).join(tops, over)
+    counts = counts.select(*[F.col(k).alias(f"__{k}") for k in keys], (F.col("__top_before") + F.col("__inside")).alias("__before"), total)
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
@@ -42,8 +58,9 @@ def with_rank(df: DataFrame, group: list[str], bucket: Column, order: list[str],
 def shard(docs: DataFrame, shards: int = 24, seed: int = 20, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard (null under this law) of each row."""
     text = F.coalesce(docs[text_col], F.lit(""))
-    mixed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), docs[id_col]), 32)
-    rows = cut(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].alias("source"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), mixed.alias("mixed")), "shard-rows")
+    crc = F.crc32(F.encode(text, "utf-8"))
+    mixed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), docs[id_col], crc), 32)
+    rows = cut(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].alias("source"), (F.octet_length(text).cast("long") + 8).alias("size"), crc.alias("text_crc32"), mixed.alias("mixed")), "shard-rows")
     n = rows.count()
     buckets = n // rows_per_bucket + 1
     order = ["mixed", "doc_id", "size", "text_crc32"]

@@ -6,17 +6,19 @@ stable in both: a place between white space and a word, before which both encodi
 tokens back to an earlier such place. Where an overlap has no such pair the overlap doubles, up to
 one chunk over both parts, so a document without white space is still counted exactly.
 
-The splice is proven for tokenizers whose pre-split never lets a token cross ASCII white space
-(`word_bpe_49k.json` drops white space before it merges). The same fact lets short documents share
-the counts of repeated pieces.
+The splice is proven for tokenizers that drop ASCII white space before they merge, so that no token
+crosses it and what stands on one side can't change the other. That is read from the vocabulary file
+(`drops_space`), and the same fact lets texts share the counts of repeated pieces. With any other
+tokenizer each text is encoded as one.
 
-Edge cases: null text counts as empty (0 bytes, 0 tokens, not over the limit); white space alone
+Edge cases: ties do not matter (each row stands alone); null text counts as empty (0 bytes, 0 tokens, not over the limit); white space alone
 gives 0 tokens; repeated rows are counted one by one; an empty table gives an empty table; other
 columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -34,6 +36,31 @@ _START = re.compile(r"(?<=[ \t-\r])[^ \t-\r]")
 _loaded: dict[str, "Encoder"] = {}
 
 
+def drops_space(spec: dict) -> bool:
+    """Whether the tokenizer's first rule drops ASCII white space and splits there, whatever stands beside it.
+
+    Normalizers before it may only work on characters or turn white space into a space, and added tokens
+    may not take white space in.
+    """
+    import regex
+
+    def flat(rule: dict | None, key: str) -> list[dict]:
+        return [x for r in rule[key] for x in flat(r, key)] if rule and key in rule else [rule] if rule else []
+
+    def harmless(rule: dict) -> bool:
+        blank = rule["type"] == "Replace" and rule["pattern"] == {"Regex": r"\s+"} and rule["content"] == " "
+        return blank or rule["type"] in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase")
+
+    rules = flat(spec.get("pre_tokenizer"), "pretokenizers")
+    first = rules[0] if rules else {"type": None}
+    splits = first["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+    if first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and "Regex" in first["pattern"]:
+        pieces = regex.findall(first["pattern"]["Regex"], "".join(f"{c}a{c}1{c}!{c}'s{c}{c}" for c in _SPACE))
+        splits = not any(c in p for c in _SPACE for p in pieces)
+    tokens = spec.get("added_tokens") or []
+    return splits and all(map(harmless, flat(spec.get("normalizer"), "normalizers"))) and not any(set(t["content"]) & set(_SPACE) or t["lstrip"] or t["rstrip"] for t in tokens)
+
+
 class Encoder:
     """The tokenizers library for one vocabulary file."""
 
@@ -43,6 +70,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.splits = drops_space(json.loads(self.library.to_str()))
         self.known: dict[bytes, int] = {}
 
     def spans(self, text: str, at: int = 0) -> list[tuple[int, int, int]]:
@@ -104,6 +132,10 @@ def count_batches(batches: Iterator[pa.RecordBatch], path: str, limit: int, chun
         sizes, counts = [], []
         for part in range(0, batch.num_rows, 256):
             texts = [t or "" for t in batch.column(1).slice(part, 256).to_pylist()]
+            if not encoder.splits:
+                counts += [len(encoder.library.encode(t, add_special_tokens=False)) for t in texts]
+                sizes += [len(t.encode()) for t in texts]
+                continue
             split = [None if len(t) > chunk_chars else t.encode().split() for t in texts]
             encoder.learn(set().union(*(s for s in split if s)))
             known = encoder.known.__getitem__

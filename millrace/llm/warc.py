@@ -11,7 +11,7 @@ reads and large files are split. To make that exact, a payload that holds the se
 it, which segmentation allows. The digest of a segmented payload is carried from chunk to chunk while
 its rows stream by in order; no task holds a whole payload.
 
-Edge cases: null html is an empty payload and an empty payload a response; a null url has no header;
+Edge cases: very long payloads are segments; null html is an empty payload and an empty payload a response; a null url has no header;
 line ends in a url are escaped; of repeated ids in a group of equal payloads all rows with the largest
 are responses, and rows with a null id revisit (or are responses where no id is known); an empty table
 gives empty archives and an empty table; other columns of the input are ignored.
@@ -32,7 +32,7 @@ MARK = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8" + END
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CHUNK_CHARS = 1 << 18
+CHUNK_CHARS, SALTS = 1 << 18, 32
 
 
 def _field(name: str, value: Column) -> Column:
@@ -71,8 +71,15 @@ def write_archives(pages: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS,
     rows = pages.select(pages[id_col].cast("long").alias("page"), pages[url_col].alias("url"), html.alias("payload"), F.octet_length(html).cast("long").alias("n"), F.sha1(html).alias("digest"))
     groups = rows.filter(F.col("n") >= least_bytes).groupBy("digest", "n").agg(F.max("page").alias("keeper"), F.count("*").alias("copies")).filter("copies > 1")
     groups = cut(groups.select(F.col("digest").alias("of_digest"), F.col("n").alias("of_n"), "keeper"), "payload-groups")
-    side = F.broadcast(groups) if groups.count() <= broadcast_groups else groups
-    rows = rows.join(side, (F.col("digest") == F.col("of_digest")) & (F.col("n") == F.col("of_n")), "left")
+    if groups.count() <= broadcast_groups:
+        rows = rows.join(F.broadcast(groups), (F.col("digest") == F.col("of_digest")) & (F.col("n") == F.col("of_n")), "left")
+    else:  # a digest may be that of very many pages: narrow rows meet the groups, payloads are joined by page
+        salt = F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int")
+        salted = groups.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        narrow = rows.select("page", "digest", "n").filter(F.col("n") >= least_bytes).withColumn("salt", salt)
+        members = narrow.join(salted, (F.col("digest") == F.col("of_digest")) & (F.col("n") == F.col("of_n")) & (F.col("salt") == F.col("of_salt")))
+        members = members.select(F.col("page").alias("of_page"), "of_digest", "of_n", "keeper").distinct()
+        rows = rows.join(members, F.col("page").eqNullSafe(F.col("of_page")) & (F.col("digest") == F.col("of_digest")) & (F.col("n") == F.col("of_n")), "left")
     rows = rows.withColumn("first", F.col("keeper").isNull() | F.col("page").eqNullSafe(F.col("keeper")))
     rows = rows.withColumn("chunks", F.when(F.col("first"), chunks_of(F.col("payload"), chunk_chars)).otherwise(F.array(F.lit("")))).withColumn("copy", F.uuid())
     rows = rows.select("page", "url", "n", "digest", "keeper", "first", F.size("chunks").alias("of"), "copy", F.posexplode("chunks").alias("k", "chunk"))

@@ -106,6 +106,31 @@ def test_shards_interleave_sources(spark):
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
+def test_shards_equal_a_plain_sort(spark, docs, monkeypatch):
+    import millrace.llm.sharding as sharding
+
+    monkeypatch.setattr(sharding, "WIDE", 3)
+    r = random.Random(8)
+    rows = [(r.choice([None, r.randrange(400)]), r.choice([None, "", "same", f"text {i}"]), r.choice([None, "a", "a", "b", f"s{i % 5}"]), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, shard int")
+    for table, per in ((df, 20), (df, 10_000), (docs, 2)):
+        keyed = table.selectExpr("doc_id", "source", "coalesce(text, '') AS t", "shiftrightunsigned(xxhash64(20, doc_id, crc32(encode(coalesce(text, ''), 'utf-8'))), 32) AS mixed").collect()
+        low = lambda x: (x is not None, x or 0)
+        name = lambda x: (x is not None, x or "")
+        order = [(x.mixed, low(x.doc_id), len(x.t.encode()) + 8, zlib.crc32(x.t.encode())) for x in keyed]
+        by = {}
+        for i in sorted(range(len(keyed)), key=order.__getitem__):
+            by.setdefault(keyed[i].source, []).append(i)
+        ranked = sorted(((k + 0.5) / len(v), name(s), order[i], i) for s, v in by.items() for k, i in enumerate(v))
+        n = len(ranked)
+        want, used = Counter(), Counter()
+        for pos, (_, _, o, i) in enumerate(ranked):
+            number = pos * 24 // n
+            want[keyed[i].doc_id, o[2], o[3], "rows", number, used[number], None] += 1
+            used[number] += 1
+        assert Counter(map(tuple, shard(table, shards=24, rows_per_bucket=per).collect())) == want
+
+
 def test_shards_of_odd_tables(docs):
     assert shard(docs.limit(0)).count() == 0
     got = shard(docs).collect()
@@ -136,6 +161,31 @@ def test_quality_counts_equal_brute_force(spark, docs):
     assert judged(docs.limit(0)).count() == 0
 
 
+def test_planted_hosts_equal_the_formula(spark):
+    r = random.Random(12)
+    rates = {f"h{i}": (r.randint(20, 400), 0.12) for i in range(40)} | {"bad": (300, 0.45), "tiny": (3, 1.0), "third": (9000, 0.125), None: (50, 0.1)}
+    rows = [(h, k < round(n * p * r.uniform(0.9, 1.1)), k % 7 == 0 and p > 0.4) for h, (n, p) in rates.items() for k in range(n)]
+    got = {x.host: x for x in host_verdicts(spark.createDataFrame(rows, "host string, base_failed boolean, soft_failed boolean").repartition(4)).collect()}
+    hosts = {h: (sum(x[0] == h for x in rows), sum(x[0] == h and (x[1] or x[2]) for x in rows)) for h in rates}
+    big, bad, k = sum(n for n, _ in hosts.values()), sum(x for _, x in hosts.values()), len(hosts)
+    p = bad / big
+    spread = sum(n * (x / n - p) ** 2 for n, x in hosts.values()) / (p * (1 - p))
+    corr = (spread - (k - 1)) / (big - sum(n * n for n, _ in hosts.values()) / big - (k - 1))
+    strength = min(1e6, max(1.0, 1 / corr - 1)) if corr > 0 else 1e6
+    for h, (n, x) in hosts.items():
+        m = (x + p * strength) / (n + strength)
+        low = m - 3 * (m * (1 - m) / (n + strength + 1)) ** 0.5
+        assert (got[h].docs, got[h].failed) == (n, x) and got[h].lower_bound == pytest.approx(low) and got[h].host_flagged == (low > 1.5 * p)
+    assert {h for h, x in got.items() if x.host_flagged} == {"bad"}
+
+
+def test_other_tokenizers_are_encoded_whole(spark, docs):
+    assert Encoder(WORD).splits and not Encoder(BYTE).splits
+    library = Tokenizer.from_file(BYTE)
+    want = Counter((r[0], len(library.encode(r[1] or "", add_special_tokens=False).ids)) for r in ROWS)
+    assert Counter((r.doc_id, r.n_tokens) for r in token_counts(docs, BYTE).collect()) == want
+
+
 def test_host_verdicts_reach_only_failing_documents(spark):
     good, junk = "plain words that say something new each time, number {} of many", "### $$$ *** %%% &&& ||| <<< >>> # $ % word {}"
     rows = [(i, good.format(i), "clean") for i in range(50)] + [(100 + i, junk.format(i), "bad") for i in range(50)] + [(200, good.format("x"), "bad"), (201, junk.format("y"), "clean")]
