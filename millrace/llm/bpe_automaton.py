@@ -4,14 +4,20 @@ The automaton starts as one state with a loop for each byte. The merges are appl
 gadget of a merge (a, b) acts on the state that `a` leads to: wherever `a` can be read, the new label
 `ab` can be read too and leads where `b` leads, and `a` from now on leads to a clone of its target
 that has lost the arc `b`. What is left at the end reads exactly the correct encodings, so each
-prefix of a word has one path, and a word is encoded by following the transitions.
+prefix of a word has exactly one path, and one state: the target of the last label of that path.
+
+A word is read byte by byte. At each byte the labels that end there are looked up (a goto table over all
+labels gives the longest, and each label names the next shorter one), and the one whose arc leaves the
+state of the place where it begins is the transition into this place. No place is entered twice and
+nothing is taken back; the labels of the last place's path are the encoding.
 
 A clone differs from its original in one arc, so states are kept as differences: `lost[a, b]` is the
 merge at which the target of `a` lost `b`, `born[t]` the merge that made `t`, and the target of `t`
 builds on the target of its right part as it stood when `t` was made. An arc `t` exists where the arc
 of its left part existed at that time. `step` reads this table.
 
-Edge cases: null text is empty (0 tokens); special strings inside a text are single tokens, as the
+Edge cases: very long texts are read piece by piece, and what a worker remembers of pieces is bounded by
+their bytes; null text is empty (0 tokens); special strings inside a text are single tokens, as the
 library's default is; ties and repeated rows do not matter (each row stands alone); an empty table
 gives an empty table; other columns of the input are ignored.
 """
@@ -32,8 +38,9 @@ from millrace.llm.common import ship
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
 BLANK = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
-#: Distinct segments that a worker remembers at a time; a memory bound without effect on results.
-REMEMBERED = 400_000
+#: Bytes of distinct segments and of their codes that a worker remembers at a time; a memory bound without
+#: effect on results.
+REMEMBERED = 64_000_000
 _NEVER = 1 << 30
 _loaded: dict[str, "Automaton"] = {}
 
@@ -62,17 +69,18 @@ class Automaton:
         self.right: dict[int, int] = {}
         self.born: dict[int, int] = {}
         self.lost: dict[int, int] = {}
-        self.arcs: dict[int, bool] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self.gadget(rank, vocab[a], vocab[b], vocab[a + b])
-        self.longest = max(map(len, self.ids))
-        self.shorter = {t: next((self.ids[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in self.ids), -1) for b, t in self.ids.items()}
+        self.arcs: dict[int, bool] = {}
+        self.compile_labels()
         special = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.specials = re.compile(f"({special})") if special else None
         self.segments = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         self.words = regex.compile(WORDS).findall
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known_words: dict[str, list[int]] = {}
+        self.known_bytes = 0
 
     def gadget(self, rank: int, a: int, b: int, ab: int) -> None:
         """Add the label ab and redirect a, if a can be followed by b at this point at all."""
@@ -108,29 +116,66 @@ class Automaton:
             found = self.arcs[key] = self.follows(state, _NEVER, label, _NEVER)
         return found
 
+    def compile_labels(self) -> None:
+        """Goto table over all labels: `goto[node << 8 | byte]`, `fall[node]` where it has no entry, the longest
+        label that ends at a node, each label's length, and the longest label that is a proper end of it."""
+        goto: dict[int, int] = {}
+        fall, ends = [0], [-1]
+        by_depth: list[list[int]] = [[]]
+        for label, t in self.ids.items():
+            node = 0
+            for depth, byte in enumerate(label):
+                key = node << 8 | byte
+                if key not in goto:
+                    goto[key] = len(fall)
+                    fall.append(0), ends.append(-1)
+                    if depth == len(by_depth):
+                        by_depth.append([])
+                    by_depth[depth].append(key)
+                node = goto[key]
+            ends[node] = t
+        size = {t: len(label) for label, t in self.ids.items()}
+        shorter = dict.fromkeys(size, -1)
+        for depth, keys in enumerate(by_depth):
+            for key in keys:
+                node, byte, up = goto[key], key & 255, fall[key >> 8]
+                if depth:
+                    while (k := up << 8 | byte) not in goto and up:
+                        up = fall[up]
+                    fall[node] = goto.get(k, 0)
+                below = ends[fall[node]]
+                if ends[node] < 0:
+                    ends[node] = below
+                else:
+                    shorter[ends[node]] = below
+        self.goto, self.fall, self.ends, self.size, self.shorter = goto, fall, ends, size, shorter
+
     def encode_word(self, word: bytes) -> list[int]:
-        """Follow transitions, longest label first, until the whole word is read.
-
-        Each prefix of a word has one path, so a place that was left once is never entered again.
-        """
-        get, step, shorter, labels, n = self.ids.get, self.step, self.shorter, self.labels, len(word)
-        out: list[int] = []
-        dead: set[int] = set()
-        pos = 0
-        while pos < n:
-            end = min(n, pos + self.longest)
-            while (t := get(word[pos:end])) is None:
-                end -= 1
-            while end in dead or (out and not step(out[-1], t)):
+        """The labels of the one path that reads the word."""
+        goto, fall, ends, size, shorter, arcs = self.goto, self.fall, self.ends, self.size, self.shorter, self.arcs
+        if (t := self.ids.get(word)) is not None:
+            return [t]
+        path = [0] * (len(word) + 1)
+        node = pos = 0
+        for byte in word:
+            pos += 1
+            while (to := goto.get(node << 8 | byte)) is None:
+                node = fall[node]
+            node = to
+            t = ends[to]
+            while begin := pos - size[t]:
+                key = path[begin] << 20 | t
+                if (found := arcs.get(key)) is None:
+                    found = self.step(path[begin], t)
+                if found:
+                    break
                 t = shorter[t]
-                while t < 0:  # no arc is left here: go back one transition
-                    dead.add(pos)
-                    t = out.pop()
-                    pos -= len(labels[t])
-                    t = shorter[t]
-                end = pos + len(labels[t])
-            out.append(t)
-            pos = end
+            path[pos] = t
+        out = []
+        while pos:
+            out.append(t := path[pos])
+            pos -= size[t]
+        out.reverse()
         return out
 
     def parts(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -145,7 +190,12 @@ class Automaton:
     def encode_segment(self, segment: str) -> list[int]:
         if segment.lstrip(" ").isalpha() or not segment.strip(BLANK):
             return self.encode_word(segment.encode())
-        return [t for w in self.words(segment) for t in self.encode_word(w.encode())]
+        return [t for w in self.words(segment) for t in (self.known_words.get(w) or self.learn_word(w))]
+
+    def learn_word(self, word: str) -> list[int]:
+        self.known_words[word] = ids = self.encode_word(word.encode())
+        self.known_bytes += 200 + len(word) + 8 * len(ids)
+        return ids
 
     def encode(self, text: str) -> list[int]:
         return [t for piece, special in self.parts(text) for t in ([self.special[piece]] if special else [t for s in self.segments(piece) for t in self.encode_segment(s)])]
@@ -156,24 +206,39 @@ class Automaton:
     def both(self, text: str) -> tuple[bytes, bytes]:
         """The ids in decimal, joined by commas, and the bytes of their arc labels."""
         codes, labels = [], []
+        known = self.known
         for piece, special in self.parts(text):
-            segments = [piece] if special else self.segments(piece)
-            known = self.known
-            for s in set(segments).difference(known):
-                if len(known) > REMEMBERED and not special:
-                    known = self.known = {}
-                ids = [self.special[s]] if special else self.encode_segment(s)
-                known[s] = ",".join(map(str, ids)).encode(), b"".join(map(self.labels.__getitem__, ids))
-            try:
-                found = list(map(known.__getitem__, segments))
-            except KeyError:  # forgotten meanwhile
-                found = [known.get(s) or ((ids := self.encode_segment(s)) and (",".join(map(str, ids)).encode(), b"".join(map(self.labels.__getitem__, ids)))) for s in segments]
-            if found:
+            if special:
+                codes.append(str(self.special[piece]).encode())
+                labels.append(piece.encode())
+                continue
+            for segments in self.runs(piece):
+                for s in set(segments).difference(known):
+                    if self.known_bytes > REMEMBERED:
+                        known.clear()
+                        self.known_words.clear()
+                        self.known_bytes = 0
+                    known[s] = made = self.coded(s)
+                    self.known_bytes += 200 + len(s) + len(made[0]) + len(made[1])
+                try:
+                    found = list(map(known.__getitem__, segments))
+                except KeyError:  # forgotten meanwhile
+                    found = [known.get(s) or self.coded(s) for s in segments]
                 a, b = zip(*found, strict=True)
                 codes += a
                 labels += b
         return b",".join(codes), b"".join(labels)
 
+    def coded(self, segment: str) -> tuple[bytes, bytes]:
+        ids = self.encode_segment(segment)
+        return ",".join(map(str, ids)).encode(), b"".join(map(self.labels.__getitem__, ids))
+
+    def runs(self, piece: str) -> Iterator[list[str]]:
+        """The segments of a piece, a bounded number at a time."""
+        segments = self.segments(piece)
+        for i in range(0, len(segments), 1 << 16):
+            yield segments[i : i + (1 << 16)]
+
 
 def automaton(path: str) -> Automaton:
     return _loaded.get(path) or _loaded.setdefault(path, Automaton(path))
