@@ -1,16 +1,28 @@
 """Main-text extraction by a minimum cut.
 
-A page is cut into text blocks at block-level tags. Each block has a score from its place in the page
-and its own text; the score is its capacity to the content terminal if positive, to the boilerplate
-terminal if negative. Blocks next to each other, and neighbouring children of one parent, are tied by
-smoothness edges that weigh more the closer they are in the tree. The maximum flow between the
-terminals gives the labelling of least total cost: blocks on the content side are the main text.
+A page is cut into text blocks at block-level tags. A classifier gives each block the log-odds of being
+main text, which are its capacity: to the content terminal if positive, to the boilerplate terminal if
+negative. Blocks next to each other, and neighbouring children of one parent, are tied by smoothness edges
+that weigh more the closer they are in the tree. The maximum flow between the terminals gives the labelling
+of least total cost: blocks on the content side are the main text.
 
-Pages are independent, so one narrow pass does it; a worker holds one page's blocks at a time.
+The log-odds are those of the block's own text and of the parts of the page it stands in:
+
+- text: a logistic regression on FEATURES. No page is labelled, so its weights are fitted on weak labels,
+  the blocks inside `article` or `main` against those inside navigation, footers, asides and the like, by
+  Newton steps whose sums Spark takes over a sample of about `fit_pages` pages (a parameter; pages are drawn
+  by a hash of id and url). TEXT_PRIOR is the weights' prior and stands where a table has no such parts. It
+  weighs as much as PRIOR_SHARE of the blocks, since weak labels know their own kind of page only;
+- parts: priors for elements and for names in class, id, role, aria-label and itemprop. They add up, so a
+  block can be kept against one of them. A name with a word that says nothing (`related-work`) counts less.
+  A form that holds more than half of a page's text is the page and not a part of it.
+
+Pages are independent, so after the fit one narrow pass does it; a worker holds one page's blocks at a time.
 
 Edge cases: null or empty html gives an empty text; a page without tags is one block and is kept;
-unclosed tags end where HTML ends them; very long pages are taken whole; repeated rows are extracted
-one by one; an empty table gives an empty table; other columns of the input are ignored.
+unclosed tags end where HTML ends them, and a stray quote belongs to its tag; very long and very deep
+pages are taken whole; repeated rows and ties are extracted one by one; an empty table gives an empty table;
+other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,103 +33,120 @@ from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from millrace.llm.common import ship
+from millrace.llm.common import cut, drop_table, ship
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}}
 SCOPE = frozenset("article aside body div dl footer form header main nav ol section table td th ul li blockquote".split())
-UNSEEN = frozenset("script style noscript template svg math iframe object head title textarea select button canvas audio video datalist".split())
+UNSEEN = frozenset("script style noscript template svg iframe object head title textarea select button canvas audio video datalist".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
-ATTRIBUTE = re.compile(r"""([\w:-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-#: Names of parts that are not the article, as words of class, id, role and aria-label values.
+#: A quote opens a value only after an equals sign; elsewhere it is part of a name.
+_ATTRIBUTE = r"""[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+|="""
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:{_ATTRIBUTE})*+)>|<[!?][^>]*>", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
+#: Names of parts that are not the article, of the article, and words beside them that say nothing.
 OTHER_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs byline captcha comment comments cookie cookies consent contentinfo copyright disclaimer disqus dialog dropdown footer form gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notification alert outbrain pager paging pagination paywall popup print privacy promo promotion recommended recommendations related replies reply respond search share sharing side sidebar signup skip social sponsor sponsored subscribe subscription taboola tags toc toolbar topbar widget widgets".split()
 )
 MAIN_PARTS = frozenset("article articlebody body content entry hentry main post story text".split())
-AWAY, IN_MAIN = -8.0, 2.0
-#: Open elements that closeness looks at; what lies further out weighs next to nothing.
-NEAR = 24
+PLAIN_PARTS = frozenset("a above area articles aside bar below block bottom box buttons button col column container end first global group holder icons in inner item items js last layer layout left link links list module more of on outer overlay page panel posts primary region right row secondary section site slot stories sub the to top unit view wrap wrapper zone".split())
+
+#: Log-odds of parts: an element or a name that is no main text, one with an unknown word beside it, the main part.
+AWAY, PERHAPS_AWAY, IN_MAIN = -6.0, -2.0, 3.0
+FEATURES = ("one", "words", "linked share", "ends a sentence", "paragraph or heading", "copyright mark", "list item or cell")
+TEXT_PRIOR = (-0.6, 1.6, -4.0, 0.6, 0.5, -2.5, -0.3)
+PRIOR_BLOCKS, PRIOR_SHARE, FIT_STEPS = 20.0, 0.1, 6
+#: Words from which a block is long.
+LONG = 40
+MARK = re.compile(r"©|\(c\) (?:19|20)\d\d|all rights reserved", re.I)
+ENDS = re.compile(r"[.!?:;…»\"”)]$")
 
 
 @dataclass
 class Block:
     text: str
-    path: list[int]  # ids of the innermost open block-level elements
+    features: tuple[float, ...]
+    parts: float  # log-odds of the parts it is in, without forms
+    forms: tuple[int, ...]  # ids of the open forms
+    main: bool
+    parent: int  # id of the block-level element around its own
     depth: int
-    score: float
+    shared: int  # block-level elements that are open in this block and in the one before
+    score: float = 0.0
 
 
-def names_in(attrs: str) -> tuple[set[str], bool]:
-    """Lower-case words of the naming attributes, and whether the element is hidden."""
-    words: set[str] = set()
+def names_in(attrs: str) -> tuple[list[set[str]], bool]:
+    """Lower-case words of each name of the naming attributes, and whether the element is hidden."""
+    names: list[set[str]] = []
     hidden = False
     for name, value in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), entities.unescape(value.strip("\"'"))
         if name in ("class", "id", "role", "aria-label", "itemprop"):
             for one in value.split():  # has-sidebar says what an element holds, not what it is
                 if not re.match(r"(?:has|with|no|without)[-_]", one):
-                    words |= set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower()))
+                    names.append(set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower())) - {""})
         hidden |= name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) is not None)
-    return words, hidden
-
-
-def place_score(tag: str, attrs: str, inside_main: bool) -> float:
-    """What an open element says of the blocks in it."""
-    if tag in ("nav", "footer", "aside", "form", "dialog", "menu", "fieldset", "search"):
-        return AWAY
-    words, hidden = names_in(attrs) if attrs.strip() else (set(), False)
-    other = words & OTHER_PARTS
-    if inside_main or words & MAIN_PARTS:  # an article's own heading
-        other -= {"header", "masthead"}
-    if hidden or (tag not in ("html", "body", "h1", "h2", "h3", "article", "main") and other):
-        return AWAY
-    if tag == "header":
-        return 0.0 if inside_main else AWAY
-    if tag in ("article", "main") or (tag in ("div", "section", "td") and words & MAIN_PARTS):
-        return IN_MAIN
-    return 0.0
-
-
-def text_score(text: str, linked: int, tag: str, main: bool) -> float:
-    """What the block's own text says: prose is long and has sentences, menus are links."""
+    return names, hidden
+
+
+def part_score(tag: str, attrs: str, inside_main: bool) -> tuple[float, bool]:
+    """What an open element says of the blocks in it, and whether it is the main part."""
+    if tag in ("nav", "footer", "aside", "dialog", "menu", "search"):
+        return AWAY, False
+    names, hidden = names_in(attrs) if attrs.strip() else ([], False)
+    if hidden:
+        return AWAY, False
+    main = tag in ("article", "main") or (tag in ("div", "section", "td") and any(words & MAIN_PARTS for words in names))
+    if tag not in ("html", "body", "h1", "h2", "h3", "article", "main"):
+        worst = 0.0
+        for words in names:
+            other = words & OTHER_PARTS
+            if inside_main or words & MAIN_PARTS:  # an article's own heading
+                other -= {"header", "masthead"}
+            if other:
+                worst = min(worst, AWAY if words <= OTHER_PARTS | MAIN_PARTS | PLAIN_PARTS else PERHAPS_AWAY)
+        if worst < 0:
+            return worst, False
+    if tag == "header" and not inside_main:
+        return AWAY, False
+    return (IN_MAIN if main and not inside_main else 0.0), main
+
+
+def features_of(text: str, linked: int, tag: str) -> tuple[float, ...]:
     n = len(text.split())
-    share = min(1.0, linked / max(1, len(text)))
-    score = min(n, 40) / 20 - 0.6 - 3 * share
-    score += 0.5 * bool(re.search(r"[.!?:;…»\"”)]$", text)) + 0.3 * (tag in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre"))
-    if main:
-        return score + IN_MAIN
-    return score - 2.0 * bool(re.search(r"©|\(c\) (?:19|20)\d\d|all rights reserved", text[:200], re.I))
+    return (1.0, min(n, LONG) / 20, min(1.0, linked / max(1, len(text))), float(bool(ENDS.search(text))), float(tag in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre")), min(1.0, 20 / n) * bool(MARK.search(text)), float(tag in ("li", "td", "th", "dd", "dt", "option")))
 
 
 def blocks_of(page: str) -> list[Block]:
+    """The blocks of a page, without scores."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, id, inside another part, inside the main part
-    boxes: list[int] = []  # ids of the block-level ones
+    stack: list[tuple[str, float, bool, tuple[int, ...]]] = []  # tag, log-odds of the parts, in the main part, forms
+    boxes: list[tuple[int, str]] = []  # the block-level ones
     opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, at, serial, unseen = 0, 0, 0, 0
-    links = 0
+    linked, at, serial, unseen, links, low = 0, 0, 0, 0, 0, 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, low
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            _, _, away, main = stack[-1] if stack else ("", 0, False, False)
-            tag = next((s[0] for s in reversed(stack[-NEAR:]) if s[0] in BLOCK), "")
-            score = AWAY if away else text_score(text, linked, tag, main)
-            out.append(Block(text, boxes[-NEAR:], len(boxes), score))
+            _, said, main, forms = stack[-1] if stack else ("", 0.0, False, ())
+            tag = boxes[-1][1] if boxes else ""
+            out.append(Block(text, features_of(text, linked, tag), said, forms, main, boxes[-2][0] if len(boxes) > 1 else 0, len(boxes), min(low, len(boxes))))
+            low = len(boxes)
         linked = 0
 
     def pop_to(depth: int) -> None:
-        nonlocal unseen, links
+        nonlocal unseen, links, low
         if any(s[0] in BLOCK for s in stack[depth:]):
             flush()
         for s in stack[depth:]:
@@ -126,6 +155,7 @@ def blocks_of(page: str) -> list[Block]:
                 boxes.pop()
             unseen -= s[0] in UNSEEN
             links -= s[0] == "a"
+        low = min(low, len(boxes))
         del stack[depth:]
 
     def add(raw: str) -> None:
@@ -168,13 +198,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag == "body":  # whatever the head left open
             pop_to(next((k for k, s in enumerate(stack) if s[0] != "html"), len(stack)))
-        _, _, away, inside = stack[-1] if stack else ("", 0, False, False)
-        place = place_score(tag, m[3], inside)
+        _, said, inside, forms = stack[-1] if stack else ("", 0.0, False, ())
+        score, main = part_score(tag, m[3], inside)
         serial += 1
-        stack.append((tag, serial, away or place == AWAY, inside or place == IN_MAIN))
+        stack.append((tag, said + score, inside or main, (*forms, serial) if tag in ("form", "fieldset") else forms))
         opened[tag] += 1
         if tag in BLOCK:
-            boxes.append(serial)
+            boxes.append((serial, tag))
         unseen += tag in UNSEEN
         links += tag == "a"
         if tag in RAW:
@@ -183,6 +213,13 @@ def blocks_of(page: str) -> list[Block]:
             at = end.end() if end else len(page)
     pop_to(0)
     flush()
+    held: Counter[int] = Counter()
+    for b in out:
+        for f in b.forms:
+            held[f] += len(b.text)
+    whole = sum(len(b.text) for b in out)
+    for b in out:
+        b.parts += AWAY * any(2 * held[f] <= whole for f in b.forms)
     return out
 
 
@@ -191,14 +228,10 @@ def ties(blocks: list[Block], strength: float) -> Iterator[tuple[int, int, float
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            a = blocks[i - 1]
-            shared = set(a.path) & set(b.path)
-            common = max((a.depth - len(a.path) + a.path.index(x) + 1 for x in shared), default=0)
-            yield i - 1, i, strength * 2.0 ** (1 - min(64, a.depth + b.depth - 2 * common))
-        parent = b.path[-2] if len(b.path) > 1 else 0
-        if (j := last.get(parent)) is not None and j < i - 1:
+            yield i - 1, i, strength * 2.0 ** (1 - min(64, blocks[i - 1].depth + b.depth - 2 * b.shared))
+        if (j := last.get(b.parent)) is not None and j < i - 1:
             yield j, i, strength / 2
-        last[parent] = i
+        last[b.parent] = i
 
 
 def min_cut(capacity: list[float], edges: Iterator[tuple[int, int, float]]) -> list[bool]:
@@ -261,20 +294,75 @@ def min_cut(capacity: list[float], edges: Iterator[tuple[int, int, float]]) -> l
                 break
 
 
-def main_text(page: str | None, strength: float = 0.6) -> str:
+def labelled(page: str | None, weights: tuple[float, ...] = TEXT_PRIOR, strength: float = 0.6) -> tuple[list[Block], list[bool]]:
+    """The blocks of a page with their log-odds, and whether the cut leaves them on the content side."""
     blocks = blocks_of(page or "")
-    kept = min_cut([b.score for b in blocks], ties(blocks, strength))
+    for b in blocks:
+        b.score = b.parts + sum(w * x for w, x in zip(weights, b.features, strict=True))
+    return blocks, min_cut([b.score for b in blocks], ties(blocks, strength))
+
+
+def main_text(page: str | None, weights: tuple[float, ...] = TEXT_PRIOR, strength: float = 0.6) -> str:
+    blocks, kept = labelled(page, weights, strength)
     return "\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
 
 
-def extract_batches(batches: Iterator[pa.RecordBatch], strength: float) -> Iterator[pa.RecordBatch]:
+def weak_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and weak label of the blocks whose part of the page says what they are."""
+    for batch in batches:
+        rows, labels = [], []
+        for v in batch.column(0):
+            for b in blocks_of(v.as_py() or ""):
+                if b.parts >= IN_MAIN or b.parts <= AWAY:
+                    rows.append(b.features)
+                    labels.append(float(b.parts > 0))
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.float64())], ["x", "y"])
+
+
+def newton_batches(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sums of the gradient and of the curvature of the log-likelihood, one number a row."""
+    k = len(weights)
+    sums = np.zeros(k + k * k)
+    for batch in batches:
+        x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+        y = batch.column(1).to_numpy(zero_copy_only=False)
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        sums[:k] += x.T @ (y - p)
+        sums[k:] += ((x * (p * (1 - p))[:, None]).T @ x).ravel()
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums, pa.float64())], ["i", "v"])
+
+
+def fit(pages: DataFrame, fit_pages: int = 5000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> tuple[float, ...]:
+    """Weights of the text features, fitted on the weak labels of about fit_pages pages."""
+    ship(pages.sparkSession)
+    n = max(1, pages.count())
+    drawn = F.pmod(F.xxhash64(pages[id_col], pages[url_col]), F.lit(1 << 30)) < int((1 << 30) * min(1.0, fit_pages / n))
+    sample = cut(pages.filter(drawn).select(pages[html_col].alias("html")).mapInArrow(weak_batches, "x array<double>, y double"), "weak-labels")
+    prior = np.array(TEXT_PRIOR)
+    weights, k = prior.copy(), len(prior)
+    precision = max(PRIOR_BLOCKS, PRIOR_SHARE * sample.count()) / 4
+    for _ in range(FIT_STEPS):
+        now = weights.copy()
+        sums = np.zeros(k + k * k)
+        for r in sample.mapInArrow(lambda b, w=now: newton_batches(b, w), "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # k + k * k numbers
+            sums[r.i] = r.v
+        gradient = sums[:k] - precision * (weights - prior)
+        weights = weights + np.linalg.solve(sums[k:].reshape(k, k) + precision * np.eye(k), gradient)
+        if np.abs(weights - now).max() < 1e-4:
+            break
+    drop_table(pages.sparkSession, sample)
+    return tuple(weights.round(4).tolist())
+
+
+def extract_batches(batches: Iterator[pa.RecordBatch], weights: tuple[float, ...], strength: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(v.as_py(), strength) for v in batch.column(2)]
+        texts = [main_text(v.as_py(), weights, strength) for v in batch.column(2)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def extract(pages: DataFrame, strength: float = 0.6, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, the main text of each whole page, and its code points."""
+def extract(pages: DataFrame, strength: float = 0.6, fit_pages: int = 5000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """page_id, url, the main text of each whole page, and its code points. fit_pages 0: the prior's weights."""
     ship(pages.sparkSession)
+    weights = fit(pages, fit_pages, id_col, url_col, html_col) if fit_pages else TEXT_PRIOR
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
-    return rows.mapInArrow(lambda b: extract_batches(b, strength), "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(lambda b: extract_batches(b, weights, strength), "page_id long, url string, text string, n_chars long")

@@ -3,7 +3,7 @@
 import random
 from itertools import product
 
-from millrace.llm.html_extract import extract, main_text, min_cut
+from millrace.llm.html_extract import TEXT_PRIOR, extract, fit, labelled, main_text, min_cut, ties
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
 <header><h1>Site name</h1></header><nav><ul><li><a href=/>Home</a><li><a href=/b>Blog</a></ul></nav>
@@ -33,6 +33,54 @@ def test_names_of_parts():
     assert main_text(page) == "Title here\nSome words of the story, with an end."
 
 
+def test_markup_that_misleads():
+    assert main_text('<p title="5" screen">Hello to all of you, this is a text.</p>') == "Hello to all of you, this is a text."
+    assert main_text('<body><form action=/x><input type=hidden><div><h1>A title here</h1><p>The whole page is in a form, as some servers do it.</p></div></form></body>') == "A title here\nThe whole page is in a form, as some servers do it."
+    assert main_text("<article><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is known to all of us by now.</p></article>") == "The sum a+b is known to all of us by now."
+    work = "<article><p>This is what the article is about, in a few words.</p><section id='related-work'><p>Others did this before us, and they did it in a better way.</p></section></article>"
+    assert main_text(work).count("\n") == 1
+    assert main_text("<article><p>" + "<b>" * 60 + "Words deep inside of inline elements, but a paragraph.</p></article>") == "Words deep inside of inline elements, but a paragraph."
+    assert main_text("<div id='acme-sidebar'><p>A story of something else, told beside the page.</p></div><article><p>The story itself, told at the right place.</p></article>") == "The story itself, told at the right place."
+
+
+def test_the_cut_decides_where_texts_say_little():
+    prose = "<p>A paragraph of the story with quite a few words in it, so that it is long enough to be sure of, and then some more of them.</p>"
+    page = f"<body><div>{prose}{prose}<div>Stop</div>{prose}{prose}</div><ul><li><a href=/>Home page</a><li>Shop<li><a href=/b>All about us</a></ul></body>"
+    blocks, kept = labelled(page)
+    alone = [b.score > 0 for b in blocks]
+    assert alone == [True, True, False, True, True, False, False, False]
+    stronger = labelled(page, strength=1.2)[1]
+    assert [b.text for b, k in zip(blocks, stronger, strict=True) if k][2] == "Stop" and stronger.count(True) == 5 and kept[5:] == [False] * 3
+
+
+def test_whole_pages_equal_brute_force():
+    r = random.Random(6)
+    bits = ["<p>Some words of a story, told in a sentence.</p>", "<li><a href=/>Home</a>", "<div>Stop</div>", "<nav>Menu", "</nav>", "<article>", "</article>", "<div>", "</div>", "<h2>Title</h2>", "<p>Ok", "<footer>&copy; 2020 x</footer>", "<td>cell", "<form>", "</form>"]
+    flipped = 0
+    for _ in range(150):
+        page = "".join(r.choice(bits) for _ in range(r.randint(1, 12)))
+        strength = r.choice([0.6, 2.0])
+        blocks, kept = labelled(page, TEXT_PRIOR, strength)
+        edges = list(ties(blocks, strength))
+
+        def cost(x, blocks=blocks, edges=edges):
+            return sum(abs(b.score) for b, k in zip(blocks, x, strict=True) if (b.score > 0) != k) + sum(w for a, b, w in edges if x[a] != x[b])
+
+        assert abs(cost(kept) - min(cost(x) for x in product([False, True], repeat=len(blocks)))) < 1e-6
+        assert main_text(page, TEXT_PRIOR, strength) == "\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
+        flipped += sum((b.score > 0) != k for b, k in zip(blocks, kept, strict=True))
+    assert flipped > 10
+
+
+def test_fitted_weights(spark):
+    rows = [(i, f"u{i}", f"<nav><a>Home {i}</a> <a>Go</a></nav><article><p>{'word ' * (i % 30 + 3)}end.</p></article><footer>&copy; {i} someone</footer>") for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    w = fit(df)
+    assert w != TEXT_PRIOR and w[2] < 0 < w[1] and fit(df.repartition(5)) == w
+    assert fit(df.limit(0)) == TEXT_PRIOR and fit(df.select("page_id", "url").selectExpr("*", "'<p>plain</p>' AS html")) == TEXT_PRIOR
+    assert all(r.text.endswith("end.") and "\n" not in r.text for r in extract(df).collect())
+
+
 def test_cut_is_minimal():
     r = random.Random(4)
     for _ in range(60):
