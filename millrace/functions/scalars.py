@@ -42,10 +42,10 @@ DATE_FORMATS = [(r"^\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"), (r"^\d{1,2}/\d{1,2}/\d{
 def parse_date(text: Column, as_of: Column) -> Column:
     """A date in one of several formats, or relative to as_of; as_of where nothing fits; null for blank text.
 
-    `today` and `yesterday` come first, then days, weeks and months ago; a missing number is one.
-    Months keep to the end of the month.
+    A leading `Posted:` is left out. `today` and `yesterday` come first, then days, weeks and months ago; a
+    missing number is one. Months keep to the end of the month.
     """
-    t = F.trim(text)
+    t = F.trim(F.regexp_replace(text, r"(?i)^\s*posted\s*:", ""))
     exact = [F.to_date(F.try_to_timestamp(F.regexp_substr(t, F.lit(p)), F.lit(f))) for p, f in DATE_FORMATS]
     low = F.lower(t)
     n = F.coalesce(F.regexp_substr(low, F.lit(r"\d+")).cast("int"), F.lit(1))
@@ -94,6 +94,25 @@ def query_params(url: Column) -> Column:
     return F.when(F.length(query) > 0, F.str_to_map(query, F.lit("&"), F.lit("=")))
 
 
+def listing_filters(url: Column) -> Column:
+    """struct(q, facets, states) of a listing URL: the search text, the ids of each `facet_` parameter, and states."""
+    params = F.coalesce(query_params(url), F.create_map().cast("map<string,string>"))
+    plain = F.map_from_entries(F.transform(F.map_entries(params), lambda e: F.struct(e["key"].alias("key"), F.url_decode(F.replace(F.coalesce(e["value"], F.lit("")), F.lit("+"), F.lit("%20"))).alias("value"))))
+    facets = F.transform_keys(F.map_filter(plain, lambda k, _: k.startswith("facet_")), lambda k, _: F.substring(k, 7, 1000))
+    return F.struct(F.coalesce(plain["q"], F.lit("")).alias("q"), F.transform_values(facets, lambda _, v: F.split(v, ",")).alias("facets"), F.coalesce(F.split(plain["states"], ","), F.array().cast("array<string>")).alias("states"))
+
+
+def dayforce_namespace(url: Column) -> Column:
+    """Lower-case client of a job-board URL: the second path part, or the first where there is no second."""
+    second, first = r"dayforcehcm\.com/[^/]+/([^/]+)/", r"dayforcehcm\.com/([^/]+)/"
+    return F.lower(F.coalesce(group_or_null(url, second), group_or_null(url, first)))
+
+
+def api_base_of(url: Column) -> Column:
+    """Base of a careers host's listing service."""
+    return F.concat(base_of(url), F.lit("/hcmRestApi/resources/latest"))
+
+
 def absolutize(href: Column, base: Column) -> Column:
     """An absolute link as it is; a relative one below the base."""
     path = F.when(href.startswith("/"), href).otherwise(F.concat(F.lit("/"), href))
@@ -126,6 +145,33 @@ def salary(text: Column) -> Column:
     return F.coalesce(*[F.regexp_substr(text, F.lit(p)) for p in SALARY], usd)
 
 
+#: Pay texts of the platforms that name a minimum and a maximum.
+AMOUNT = r"\$([0-9,]+(?:\.\d{2})?)"
+MIN_MAX = rf"(?i)(?:pay range|salary range)[^\n]*?MIN\s*{AMOUNT}(?:[^\n]*?MAX\s*{AMOUNT})?"
+USD_RANGE = rf"(?i)pay\s+range[^\n]*?USD\s+{AMOUNT}\s*[-–]\s*USD\s+{AMOUNT}"
+HOURLY = rf"(?i)(?:pay range|salary range)[^\n]*?{AMOUNT}\s*hourly?\s*[-–]\s*{AMOUNT}\s*hourly?"
+LABELLED = r"\$[0-9,]+(?:\.[0-9]{2})?\s*[-–]\s*\$[0-9,]+(?:\.[0-9]{2})?"
+
+
+def _range(text: Column, pattern: str, after: str = "") -> Column:
+    low, high = F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2)
+    both = F.concat(F.lit("$"), low, F.lit("-$"), high, F.lit(after))
+    return F.when(text.rlike(pattern), F.when(F.length(high) > 0, both).otherwise(F.concat(F.lit("$"), low, F.lit("+"))))
+
+
+def icims_pay(least: Column, most: Column, html: Column) -> Column:
+    """Pay of the target tags if both hold an amount, else of the description: MIN and MAX, USD range, hourly."""
+    low, high = F.regexp_substr(least, F.lit(r"\$[0-9,]+")), F.regexp_substr(most, F.lit(r"\$[0-9,]+"))
+    text = strip_tags(F.coalesce(html, F.lit("")))
+    return F.coalesce(F.concat(low, F.lit("-"), high), _range(text, MIN_MAX), _range(text, USD_RANGE), _range(text, HOURLY, "/hr"))
+
+
+def labelled_pay(labels: Column, label: str, otherwise: Column) -> Column:
+    """The range in the first of the texts that holds the label, whether it has one or not; without such a text, in otherwise."""
+    first = F.get(F.filter(labels, lambda x: F.contains(F.lower(x), F.lit(label.lower()))), 0)
+    return F.when(first.isNotNull(), F.regexp_substr(first, F.lit(r"\$[0-9,]+-\$[0-9,]+"))).otherwise(F.regexp_substr(otherwise, F.lit(r"\$[0-9,]+-\$[0-9,]+")))
+
+
 def keyword_flag(text: Column, pattern: str, negative: str) -> Column:
     """Yes, No or null: No wins, and blank text gives null."""
     return F.when(F.length(text) > 0, F.when(text.rlike(negative), "No").when(text.rlike(pattern), "Yes"))

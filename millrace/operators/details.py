@@ -52,7 +52,7 @@ EDUCATION = {
 BOTH = r"(?i)required.*education|degree\s+type|education.*degree"
 YEARS = r"(?i)\byears?\b.*\b(?:experience|professional)\b|\bexperience\b.*\byears?\b|\bminimum\b.*\byears?\b"
 POLICIES = {"dayforce": Policy(least=1, bullets_first=False), "boeing": Policy(least=1, bullets_first=False, stop=r"^[A-Z][\w ]{2,40}:\s*$"), "talentbrew": Policy(least=3), "workday": Policy(least=3, last=True), "icims": Policy(least=3, drop=r"(?i)^apply now|^#LI-"), "oracle": Policy(least=3), "successfactors": Policy(least=4)}
-PAY = [r"\$[0-9,]+(?:\.[0-9]{2})?\s*(?:[-–]|to|and)\s*\$[0-9,]+(?:\.[0-9]{2})?", r"\$[0-9,]+(?:\.[0-9]{2})?\+"]
+PAY = [r"\$[0-9,]+(?:\.[0-9]{2})?\s*(?:[-–]|to|and)\s*\$?[0-9,]+(?:\.[0-9]{2})?", r"\$[0-9,]+(?:\.[0-9]{2})?\+"]
 BOILERPLATE = [("all", r"(?is)equal opportunity employer.*\Z"), ("first", r"(?is)about us\b.{0,2000}?(?=about the job|responsibilities)"), ("first", r"(?is)\bclick here to apply.*\Z"), ("all", r"#LI-\w+")]
 FIELDS = ["job_responsibilities", "min_education", "min_experience", "preferred_qualifications", "salary_range", "error"]
 RECORD = T.StructType([T.StructField(f, T.StringType()) for f in FIELDS])
@@ -114,6 +114,12 @@ def detail_record(platform: pd.Series, html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=FIELDS)
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("bullet", T.BooleanType()), T.StructField("heading", T.BooleanType())])))
+def line_records(html: pd.Series) -> pd.Series:
+    """A page as lines that know whether they are list items or headings: one parse for all fields."""
+    return html.map(lambda h: [{"text": x.text, "bullet": x.bullet, "heading": x.heading} for x in render(h)])
+
+
 @F.pandas_udf(LINKS)
 def link_list(html: pd.Series) -> pd.Series:
     return html.map(lambda h: [{"href": a, "title": t} for a, t in links(h, "href")])

@@ -6,55 +6,92 @@ for locations; details of all platforms are read in one pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import parse_date, sanitize
-from millrace.operators.details import detail_record
-from millrace.operators.store import first_by, upsert
+from millrace.operators.cascades import icims_details, workday_details
+from millrace.operators.details import detail_record, line_records
+from millrace.operators.store import evolve, least_by, upsert
 
 #: How each platform tells a place in the United States, and whether no place passes.
 STATES = "Alabama|Alaska|Arizona|Arkansas|California|Colorado|Connecticut|Delaware|Florida|Georgia|Hawaii|Idaho|Illinois|Indiana|Iowa|Kansas|Kentucky|Louisiana|Maine|Maryland|Massachusetts|Michigan|Minnesota|Mississippi|Missouri|Montana|Nebraska|Nevada|New Hampshire|New Jersey|New Mexico|New York|North Carolina|North Dakota|Ohio|Oklahoma|Oregon|Pennsylvania|Rhode Island|South Carolina|South Dakota|Tennessee|Texas|Utah|Vermont|Virginia|Washington|West Virginia|Wisconsin|Wyoming"
 CODES = "AL|AK|AZ|AR|CA|CO|CT|DE|FL|GA|HI|ID|IL|IN|IA|KS|KY|LA|ME|MD|MA|MI|MN|MS|MO|MT|NE|NV|NH|NJ|NM|NY|NC|ND|OH|OK|OR|PA|RI|SC|SD|TN|TX|UT|VT|VA|WA|WV|WI|WY"
+PATH_PLACE = rf"/job/[^/]*-(?:{CODES}|DC)(?:/|---|$|-[^A-Z]|-[A-Z][a-z])"
 PLACE_RULES = {
     "boeing": (STATES, False),
     "talentbrew": (rf",\s*(?:{STATES})\b|United States", True),
-    "successfactors": (rf"\b(?:{CODES})\b", True),
-    "workday": (rf",\s*(?:{CODES})\b|US-(?:{CODES})|United States", True),
     "icims": (r"(?i)United States", False),
 }
+#: The one company of its platform whose listing holds places abroad.
+CODED_COMPANY = "TSMC"
+
 
+def in_country(platform: Column, location: Column, company: Column, path: Column, filters: Column | None = None) -> Column:
+    """Whether a posting is one in the United States by its platform's own rule.
 
-def in_country(platform: Column, location: Column) -> Column:
-    """Platforms without a rule keep all rows: their listings are filtered where they are read."""
+    filters is listing_filters() of the careers URL (with country_facet added where the listing told one).
+    For workday a short search text is a state, named states are looked for, and only where there is no
+    facet, state or search the path or the end of the location has to name a state. Platforms without a
+    rule keep all rows: their listings are filtered where they are read.
+    """
     out = F.lit(True)
     for name, (pattern, keep_null) in PLACE_RULES.items():
         out = F.when(platform == name, F.coalesce(location.rlike(pattern), F.lit(keep_null))).otherwise(out)
-    return out
+    coded = F.coalesce(location.rlike(rf"\b(?:{CODES})\b|United States"), F.lit(True))
+    out = F.when((platform == "successfactors") & (company == CODED_COMPANY), coded).otherwise(out)
+    by_path = location.isNull() | location.rlike(rf",\s*(?:{CODES}|DC)\s*$") | F.coalesce(path.rlike(PATH_PLACE), F.lit(False))
+    if filters is None:
+        return F.when(platform == "workday", by_path).otherwise(out)
+    state = F.when(filters["q"].rlike("^[A-Z]{2,3}$"), F.coalesce(F.contains(location, F.concat(F.lit("US-"), filters["q"])), F.lit(True))).otherwise(True)
+    low = F.lower(location)
+    named = F.when(F.size(filters["states"]) > 0, location.isNull() | F.exists(filters["states"], lambda s: F.contains(low, F.lower(s)))).otherwise(True)
+    free = (F.length(filters["q"]) == 0) & (F.size(filters["states"]) == 0) & ~F.coalesce(filters["country_facet"], F.lit(False))
+    return F.when(platform == "workday", state & named & (~free | by_path)).otherwise(out)
 
 
 OVERWRITE = ["job_title", "location", "posting_date"]
-KEEP = ["job_responsibilities", "min_education", "min_experience", "preferred_qualifications", "salary_range"]
+DETAILS = ["job_responsibilities", "min_education", "min_experience", "preferred_qualifications", "salary_range", "essential_skills"]
+#: What a payload itself may carry besides.
+CARRIED = ["job_identification", "job_category", "degree_level", "ecl_gtc_required"]
+KEEP = [*DETAILS, *CARRIED]
 
 
 def postings(payloads: DataFrame) -> DataFrame:
-    """One row for each listed posting, in listing order `ord` of its URL."""
-    rows = payloads.filter(in_country(F.col("platform"), F.col("location")))
+    """One row for each listed posting, in listing order `ord` of its URL.
+
+    Two platforms have cascades of their own, which read the lines of one parse; the others share a record of
+    fixed sections. Pay is that of the record on every platform. Fields that a payload lacks are null.
+    """
+    rows = evolve(payloads, dict.fromkeys(CARRIED, "string"))
+    rows = rows.filter(in_country(F.col("platform"), F.col("location"), F.col("company_name"), F.col("url")))
     rows = rows.withColumn("r", detail_record("platform", "body"))
-    return rows.select("company_name", F.col("url").alias("job_url"), "ord", F.col("title").alias("job_title"), "location", parse_date(F.col("posted"), F.col("as_of")).alias("posting_date"), *[f"r.{c}" for c in KEEP])
+    common = ["company_name", F.col("url").alias("job_url"), "ord", F.col("title").alias("job_title"), "location", parse_date(F.col("posted"), F.col("as_of")).alias("posting_date"), *CARRIED]
+    none = F.lit(None).cast("string")
+    parts = [rows.filter(~F.col("platform").isin("workday", "icims") | F.col("platform").isNull()).select(*common, *[F.col(f"r.{c}") for c in DETAILS[:-1]], none.alias("essential_skills"))]
+    for platform, cascade in (("workday", workday_details), ("icims", icims_details)):
+        own = rows.filter(F.col("platform") == platform).select(*common, "r.salary_range", line_records("body").alias("lines"))
+        parts.append(cascade(own).drop("lines"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def ingest(store: DataFrame, payloads: DataFrame) -> DataFrame:
-    """The store after one batch of payloads; text is sanitised, and a URL keeps its first company."""
+    """The store after one batch of payloads; text is sanitised, and a URL keeps its first company. Columns that the
+    store lacks are added."""
     new = postings(payloads)
     batch = new.withColumns({c: sanitize(F.col(c)) for c in ["job_title", "location", *KEEP]})
-    owner = first_by(new.select("job_url", "ord", F.col("company_name").alias("new_company")), ["job_url"], F.col("ord")).drop("ord")
-    out = upsert(store, batch, "job_url", "ord", OVERWRITE, KEEP, {"company_name": F.lit(None).cast("string")})
+    owner = least_by(new.select("job_url", "ord", F.col("company_name").alias("new_company")), ["job_url"], [F.col("ord")]).drop("ord")
+    out = upsert(evolve(store, dict.fromkeys(KEEP, "string")), batch, "job_url", "ord", OVERWRITE, KEEP, {"company_name": F.lit(None).cast("string")})
     return out.join(owner, "job_url", "left").withColumn("company_name", F.coalesce("company_name", "new_company")).drop("new_company")
 
 
 def latest_exports(rows: DataFrame) -> DataFrame:
-    """Rows of each company's latest export day; the alias of a company counts as the company."""
+    """Rows of each company's latest file; the alias of a company counts as the company, and of two files of a
+    day the one whose path comes first. rows: slug, day, path."""
     slug = F.when(F.col("slug") == "nxp_semiconductors", "nxp").otherwise(F.col("slug"))
     named = rows.withColumn("slug", slug)
-    return named.withColumn("latest", F.max("day").over(Window.partitionBy("slug"))).filter("day = latest").drop("latest")
+    files = named.groupBy("slug").agg(F.max("day").alias("last_day")).join(named.select("slug", "day", "path").distinct(), "slug").filter("day = last_day")
+    last = files.groupBy("slug").agg(F.min("path").alias("of_path")).select(F.col("slug").alias("of_slug"), "of_path")
+    return named.join(last, (F.col("slug") == F.col("of_slug")) & (F.col("path") == F.col("of_path"))).drop("of_slug", "of_path")

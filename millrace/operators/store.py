@@ -44,6 +44,24 @@ def insert_absent(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return rows.join(target.select(key).distinct(), key, "left_anti")
 
 
+def add_companies(target: DataFrame, rows: DataFrame, key: str, id_col: str) -> DataFrame:
+    """The target with the rows whose key it lacks, numbered on from its greatest id in the order of their keys.
+
+    Of rows with the same key one is added, the least. New companies are few, so they are numbered in one task.
+    """
+    others = [c for c in rows.columns if c != key]
+    new = insert_absent(target, rows, key).groupBy(key).agg(F.min(F.struct(*others)).alias("least") if others else F.count("*"))
+    last = F.coalesce(F.lit(target.agg(F.max(id_col)).first()[0]).cast("long"), F.lit(0).cast("long"))
+    numbered = new.select(key, *[F.col("least")[c].alias(c) for c in others], (last + F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key))).cast(target.schema[id_col].dataType).alias(id_col))
+    return target.unionByName(numbered, allowMissingColumns=True)
+
+
+def start_run(runs: DataFrame, companies: DataFrame, name: str, run_id: int, started: str) -> DataFrame:
+    """The runs with a running one of a company, looked up by its name; an unknown company adds none."""
+    new = companies.filter(F.col("company_name") == name).limit(1).select(F.lit(run_id).cast(runs.schema["run_id"].dataType).alias("run_id"), "company_id", F.lit(started).cast("timestamp").alias("started_at"), F.lit("running").alias("status"))
+    return runs.unionByName(new, allowMissingColumns=True)
+
+
 def evolve(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add the columns that are missing, as nulls of their type."""
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
@@ -54,8 +72,21 @@ def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("first_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("first_rank = 1").drop("first_rank")
 
 
-def finish_run(runs: DataFrame, run_id: int, found: int, new: int, updated: int, status: str = "completed", error: str | None = None) -> DataFrame:
-    """Close a running run; one that has failed stays failed and keeps its error."""
+def least_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key, all orders ascending with nulls first. Rows are combined before the shuffle, so a
+    hot key sends one row for each task."""
+    rest = [c for c in df.columns if c not in keys]
+    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[o.alias(f"o{k}") for k, o in enumerate(order)]))
+    return df.groupBy(*keys).agg(best.alias("best")).select(*keys, *[F.col("best")[c].alias(c) for c in rest]).select(*df.columns)
+
+
+def finish_run(runs: DataFrame, run_id: int, found: int, new: int, updated: int, status: str = "completed", error: str | None = None, completed: str | None = None) -> DataFrame:
+    """Close a running run; one that has failed stays failed and keeps its error. completed: the time, for the duration."""
     open_run = (F.col("run_id") == run_id) & (F.col("status") == "running")
     values = {"jobs_found": F.lit(found), "jobs_new": F.lit(new), "jobs_updated": F.lit(updated), "status": F.lit(status), "error_message": F.lit(error).cast("string")}
+    if completed:
+        end = F.lit(completed).cast("timestamp")
+        seconds = (F.unix_micros(end) - F.unix_micros("started_at")).cast("double") / 1_000_000
+        runs = evolve(runs, {"completed_at": "timestamp", "duration_seconds": "double"})
+        values |= {"completed_at": end, "duration_seconds": seconds}
     return runs.withColumns({c: F.when(open_run, v).otherwise(F.col(c)) for c, v in values.items()})

@@ -22,6 +22,16 @@ def with_snake_case(df: DataFrame) -> DataFrame:
     return df.toDF(*map(snake_case, df.columns))
 
 
+def select_rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of `names` under their new names; all others go, so a scan doesn't read them."""
+    return df.select(*[F.col(old).alias(new) for old, new in names.items()])
+
+
+def cast_if_present(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Casts for those of the columns that there are."""
+    return df.withColumns({c: F.col(c).cast(t) for c, t in kinds.items() if c in df.columns})
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Union by column name; absent columns are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -56,6 +66,11 @@ def dashboard_filter(df: DataFrame, sector: str = "All", category: str = "All",
     return df
 
 
+def in_years(day: str, low: int, high: int) -> Column:
+    """Days of the years low to high, as bounds on the column itself, so that a scan can skip the rest."""
+    return (F.col(day) >= F.make_date(F.lit(low), F.lit(1), F.lit(1))) & (F.col(day) < F.make_date(F.lit(high + 1), F.lit(1), F.lit(1)))
+
+
 def total(column: Column) -> Column:
     """An exact sum that is 0 where all values are null."""
     return F.coalesce(F.sum(column.cast("decimal(18,2)")), F.lit(0)).cast("double")

@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import standardize_code
-from millrace.operators.supply import dashboard_filter, distinct_with_null, enrich, fill_rates, only_codes, total, trend, union_by_name, with_snake_case
+from millrace.operators.supply import dashboard_filter, distinct_with_null, enrich, fill_rates, in_years, only_codes, total, trend, union_by_name, with_snake_case
 from millrace.registry import query, table
 
 
-def _enrollment(spark: SparkSession, d: str) -> DataFrame:
+def _enrollment(spark: SparkSession, d: str, years: tuple[int, int] | None = None) -> DataFrame:
     nation = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("sector"))
     people = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "sector")
-    return table(spark, d, "orders").join(people, F.col("o_custkey") == F.col("c_custkey")).select(F.year("o_orderdate").alias("year"), "sector", F.col("o_orderpriority").alias("category"), F.col("o_totalprice").alias("count"))
+    orders = table(spark, d, "orders")
+    if years:
+        orders = orders.filter(in_years("o_orderdate", *years))
+    return orders.join(people, F.col("o_custkey") == F.col("c_custkey")).select(F.year("o_orderdate").alias("year"), "sector", F.col("o_orderpriority").alias("category"), F.col("o_totalprice").alias("count"))
 
 
 @query("""
@@ -32,7 +35,7 @@ def pipeline_rate(spark: SparkSession, d: str) -> DataFrame:
 
     def yearly(df: DataFrame, day: str, amount: str, name: str) -> DataFrame:
         year = F.year(day)
-        return trend(df.filter(year.between(1992, 1998)).select(year.alias("academic_year"), amount), ["academic_year"], amount, name)
+        return trend(df.filter(in_years(day, 1992, 1998)).select(year.alias("academic_year"), amount), ["academic_year"], amount, name)
 
     e = yearly(table(spark, d, "orders"), "o_orderdate", "o_totalprice", "enrolled")
     c = yearly(table(spark, d, "lineitem").filter("l_returnflag = 'R'"), "l_shipdate", "l_extendedprice", "completed")
@@ -43,7 +46,7 @@ def pipeline_rate(spark: SparkSession, d: str) -> DataFrame:
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE year(o_orderdate) BETWEEN 1993 AND 1997 GROUP BY 1, 2""")
 def enrollment_trend(spark: SparkSession, d: str) -> DataFrame:
-    return trend(dashboard_filter(_enrollment(spark, d), low=1993, high=1997), ["year", "sector"], "count", "total")
+    return trend(dashboard_filter(_enrollment(spark, d, (1993, 1997)), low=1993, high=1997), ["year", "sector"], "count", "total")
 
 
 @query("""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, r_name AS sector, CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS total
@@ -51,7 +54,7 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
 WHERE l_returnflag = 'R' AND year(l_shipdate) BETWEEN 1993 AND 1997 GROUP BY 1, 2""")
 def completions_trend(spark: SparkSession, d: str) -> DataFrame:
     places = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", F.col("r_name").alias("sector"))
-    rows = table(spark, d, "lineitem").filter("l_returnflag = 'R'").join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(F.year("l_shipdate").alias("year"), "sector", "l_extendedprice")
+    rows = table(spark, d, "lineitem").filter((F.col("l_returnflag") == "R") & in_years("l_shipdate", 1993, 1997)).join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(F.year("l_shipdate").alias("year"), "sector", "l_extendedprice")
     return trend(dashboard_filter(rows, low=1993, high=1997), ["year", "sector"], "l_extendedprice", "total")
 
 
@@ -60,7 +63,8 @@ JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 WHERE r_name = 'ASIA' AND o_orderpriority = '1-URGENT' AND year(o_orderdate) BETWEEN 1994 AND 1996""")
 def dash_filter(spark: SparkSession, d: str) -> DataFrame:
     nation = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = table(spark, d, "orders").filter(in_years("o_orderdate", 1994, 1996))
+    rows = orders.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("price"), F.col("r_name").alias("sector"), F.col("o_orderpriority").alias("category"))
     return dashboard_filter(rows, "ASIA", "1-URGENT", 1994, 1996).select("o_orderkey", "year", "price")
 

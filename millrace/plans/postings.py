@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import slug
-from millrace.operators.store import evolve, finish_run, first_by, fold_batch, insert_absent, upsert, upsert_counts
+from millrace.operators.store import evolve, finish_run, first_by, fold_batch, insert_absent, least_by, upsert, upsert_counts
 from millrace.registry import query, table
+from millrace.sources.captured import EXPORT
 
 
 @query("SELECT o_orderkey, c_name, o_orderstatus, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -71,12 +72,13 @@ def set_except(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1")
 def latest_per_key(spark: SparkSession, d: str) -> DataFrame:
-    return first_by(table(spark, d, "orders"), ["o_custkey"], F.desc("o_orderdate"), F.col("o_orderkey")).select("o_custkey", "o_orderkey", "o_totalprice")
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    return least_by(rows, ["o_custkey"], [-F.unix_micros(F.col("o_orderdate").cast("timestamp")), F.col("o_orderkey")]).drop("o_orderdate")
 
 
 @query("SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) = 1")
 def first_per_key(spark: SparkSession, d: str) -> DataFrame:
-    return first_by(table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber"), ["l_partkey"], F.col("l_orderkey"), F.col("l_linenumber"))
+    return least_by(table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber"), ["l_partkey"], [F.col("l_orderkey"), F.col("l_linenumber")])
 
 
 _BATCH_SQL = "batch AS (SELECT user_id AS k, event_id AS ord, CASE WHEN event_id % 3 <> 0 THEN event_type END AS category, CASE WHEN event_id % 4 <> 0 THEN value END AS salary FROM events), target AS (SELECT c_custkey AS k, c_mktsegment AS category, c_acctbal AS salary, CAST(c_nationkey AS INTEGER) AS company FROM customer WHERE c_custkey % 2 = 0)"
@@ -133,14 +135,14 @@ def run_completion(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH f AS (SELECT s_suppkey, 'jobs_' || lower(replace(s_name, '#', '_')) || '_' || CAST(20260000 + s_suppkey % 300 AS VARCHAR) || CASE WHEN s_suppkey % 4 = 0 THEN '_v2' ELSE '' END || '.csv' AS file FROM supplier),
-p AS (SELECT *, regexp_extract(file, '^jobs_(.+)_([0-9]{8})(?:_[^.]*)?\\.csv$', 1) AS slug, regexp_extract(file, '^jobs_(.+)_([0-9]{8})(?:_[^.]*)?\\.csv$', 2) AS day FROM f)
-SELECT substr(slug, 1, 15) AS slug, file, day FROM p WHERE file NOT LIKE 'jobs\\_all\\_companies\\_%' ESCAPE '\\' QUALIFY row_number() OVER (PARTITION BY substr(slug, 1, 15) ORDER BY day DESC, file) = 1""".replace("\\\\", "\\"))
+p AS (SELECT *, regexp_extract(file, '^jobs_(.+)_([0-9]{8})[^.]*\\.csv$', 1) AS slug, regexp_extract(file, '^jobs_(.+)_([0-9]{8})[^.]*\\.csv$', 2) AS day FROM f)
+SELECT slug, file, day FROM p WHERE file NOT LIKE 'jobs\\_all\\_companies\\_%' ESCAPE '\\' QUALIFY row_number() OVER (PARTITION BY slug ORDER BY day DESC, file) = 1""".replace("\\\\", "\\"))
 def file_catalog(spark: SparkSession, d: str) -> DataFrame:
     """The latest export of each company, from file names."""
     s = table(spark, d, "supplier")
     file = F.concat(F.lit("jobs_"), F.lower(F.replace("s_name", F.lit("#"), F.lit("_"))), F.lit("_"), (F.col("s_suppkey") % 300 + 20260000).cast("string"), F.when(F.col("s_suppkey") % 4 == 0, "_v2").otherwise(""), F.lit(".csv"))
-    pattern = r"^jobs_(.+)_([0-9]{8})(?:_[^.]*)?\.csv$"
-    rows = s.select(file.alias("file")).filter(~F.col("file").startswith("jobs_all_companies_")).select(F.substring(F.regexp_extract("file", pattern, 1), 1, 15).alias("slug"), "file", F.regexp_extract("file", pattern, 2).alias("day"))
+    pattern = EXPORT
+    rows = s.select(file.alias("file")).filter(~F.col("file").startswith("jobs_all_companies_")).select(F.regexp_extract("file", pattern, 1).alias("slug"), "file", F.regexp_extract("file", pattern, 2).alias("day"))
     return first_by(rows, ["slug"], F.desc("day"), F.col("file"))
 
 
@@ -153,11 +155,11 @@ def export_frame(spark: SparkSession, d: str) -> DataFrame:
     return n.select(F.concat(F.lit("jobs_"), slug(F.col("c_name")), F.lit("_19980701.csv")).alias("file"), "n_rows", "closed")
 
 
-@query("""WITH ids AS (SELECT DISTINCT o_orderkey AS id FROM orders WHERE o_orderkey % 97 < 60), g AS (SELECT id, id - lag(id) OVER (ORDER BY id) AS gap FROM ids),
+@query("""WITH ids AS (SELECT DISTINCT o_orderkey AS id FROM orders), g AS (SELECT id, id - lag(id) OVER (ORDER BY id) AS gap FROM ids),
 s AS (SELECT min(id) AS stop FROM g WHERE gap > 30) SELECT id FROM g, s WHERE stop IS NULL OR id < stop""")
 def id_probe_gap_stop(spark: SparkSession, d: str) -> DataFrame:
     """Ids up to the first gap of 30 misses. Gaps are found inside ranges of ids and between their ends."""
-    ids = table(spark, d, "orders").filter("o_orderkey % 97 < 60").select(F.col("o_orderkey").alias("id")).distinct().withColumn("range", F.expr("id div 100000"))
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("id")).distinct().withColumn("range", F.expr("id div 100000"))
     inside = ids.withColumn("gap", F.col("id") - F.lag("id").over(Window.partitionBy("range").orderBy("id")))
     ends = ids.groupBy("range").agg(F.min("id").alias("id"), F.max("id").alias("last"))
     between = ends.select("id", (F.col("id") - F.lag("last").over(Window.orderBy("range"))).alias("gap"))
@@ -177,8 +179,10 @@ def page_cap(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 80).alias("page_no")).filter("page_no <= 50")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem WHERE l_linenumber = 1")
+@query("SELECT o_orderkey, o_orderstatus AS title, o_orderpriority AS duties, o_totalprice AS pay FROM orders")
 def zip_join(spark: SparkSession, d: str) -> DataFrame:
-    """Listing and details side by side by their key."""
-    one = table(spark, d, "lineitem").filter("l_linenumber = 1")
-    return one.select("l_orderkey", "l_linenumber", F.struct("l_quantity", "l_extendedprice").alias("detail")).select("l_orderkey", "l_linenumber", "detail.*")
+    """Two frames side by side, listing and details, by the key that gives the place of their rows."""
+    rows = table(spark, d, "orders")
+    listing = rows.select("o_orderkey", F.col("o_orderstatus").alias("title"))
+    details = rows.select("o_orderkey", F.col("o_orderpriority").alias("duties"), F.col("o_totalprice").alias("pay"))
+    return listing.join(details, "o_orderkey")

@@ -2,31 +2,75 @@
 
 from __future__ import annotations
 
+import csv
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from millrace.functions.scalars import group_or_null
 from millrace.operators.details import repaired
 
 NULLS = {"nullValue": "NA"}
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def csv_records(text: pd.Series) -> pd.Series:
+    """Records of a CSV text: lines, and lines that an open quote joins."""
+
+    def split(t: str) -> list[str]:
+        out: list[str] = []
+        rest: list[str] = []
+        for line in t.replace("\r\n", "\n").split("\n"):
+            rest.append(line)
+            if sum(x.count('"') for x in rest) % 2 == 0:
+                out.append("\n".join(rest))
+                rest = []
+        return out + (["\n".join(rest)] if rest else [])
+
+    return text.map(lambda t: [] if t is None else split(t))
+
+
 def read_titled_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Exports with a title line, a header and a comma at each line's end; bad bytes are repaired.
+    """Exports with a title line, a header and a comma at each record's end; bad bytes are repaired.
 
-    Files are small web exports, so each is one row until its lines are split.
+    Files are small web exports, so each is one row until its records are split. The column that the last
+    comma makes has no name and no values and isn't read.
     """
     files = spark.read.format("binaryFile").load(path)
-    lines = F.slice(F.split(repaired(F.col("content")), "\r?\n"), 3, 1 << 30)
-    rows = files.select(F.explode(lines).alias("line")).filter(F.length(F.trim("line")) > 0)
-    return rows.select(F.from_csv(F.regexp_replace("line", ",$", ""), F.lit(schema), {"nullValue": ""}).alias("r")).select("r.*")
+    records = F.slice(csv_records(repaired(F.col("content"))), 3, 1 << 30)
+    rows = files.select(F.explode(records).alias("line")).filter(F.length(F.trim("line")) > 0)
+    return rows.select(F.from_csv(F.regexp_replace("line", ",$", ""), F.lit(schema), {"nullValue": "", "escape": '"'}).alias("r")).select("r.*")
+
+
+EXPORT = r"^jobs_(.+)_([0-9]{8})[^.]*\.csv$"
+
+
+def read_by_name(spark: SparkSession, folder: str, schema: str, pattern: str = "*.csv") -> DataFrame:
+    """CSV files with headers of their own: columns by name, missing ones null, further ones left out; and path.
+
+    Files are read together if their headers are the same, so there are as many reads as kinds of headers.
+    """
+    path = F.col("_metadata.file_path")
+    first = spark.read.option("pathGlobFilter", pattern).text(folder).select(path.alias("path"), "value", F.monotonically_increasing_id().alias("n"), F.col("_metadata.file_block_start").alias("at"))
+    headers = first.filter("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header")).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()  # a row for each kind of header
+    wanted = StructType.fromDDL(schema)
+    kinds = {f.name: f.dataType for f in wanted}
+    out = spark.createDataFrame([], wanted).withColumn("path", F.lit(None).cast("string"))
+    for h in headers:
+        names = next(csv.reader([h.header.lstrip("\ufeff")]))
+        own = StructType([StructField(n, kinds.get(n, StringType())) for n in names])
+        rows = spark.read.schema(own).options(header=True, multiLine=True, **NULLS).csv(sorted(h.paths)).withColumn("path", path)
+        out = out.unionByName(rows.select(*[n for n in names if n in kinds], "path"), allowMissingColumns=True)
+    return out
 
 
 def read_exports(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """jobs_{slug}_{yyyymmdd}.csv files with slug and day; the combined export is left out."""
-    rows = spark.read.schema(schema).options(header=True, **NULLS, pathGlobFilter="jobs_*.csv").csv(folder)
-    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    pattern = r"^jobs_(.+)_([0-9]{8})(?:_[^.]*)?\.csv$"
-    rows = rows.select("*", F.regexp_extract(name, pattern, 1).alias("slug"), F.regexp_extract(name, pattern, 2).alias("day"))
+    """jobs_{slug}_{yyyymmdd}*.csv files with slug, day and path; the combined export is left out."""
+    rows = read_by_name(spark, folder, schema, "jobs_*.csv")
+    name = F.element_at(F.split("path", "/"), -1)
+    rows = rows.withColumns({"slug": F.regexp_extract(name, EXPORT, 1), "day": F.regexp_extract(name, EXPORT, 2)})
     return rows.filter((F.col("day") != "") & (F.col("slug") != "all_companies"))
 
 
@@ -48,3 +92,46 @@ def embedded_json(html: Column, script_id: str) -> Column:
 def sitemap_urls(xml: Column, pattern: str) -> Column:
     """Locations of a sitemap that match."""
     return F.filter(F.xpath(xml, F.lit("//loc/text()")), lambda u: u.rlike(pattern))
+
+
+def write_company_exports(df: DataFrame, folder: str, day: str, slug: Column) -> None:
+    """A file jobs_{slug}_{day}-*.csv below a folder of each company; a company without rows has none."""
+    rows = df.withColumn("export", F.concat(F.lit("jobs_"), slug, F.lit(f"_{day}.csv")))
+    rows.repartition("export").write.mode("append").partitionBy("export").options(header=True, **NULLS).csv(folder)
+
+
+def read_company_exports(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """What write_company_exports wrote, with slug, day and path (the export's folder)."""
+    own = StructType([*StructType.fromDDL(schema), StructField("export", StringType())])
+    rows = spark.read.schema(own).options(header=True, **NULLS).csv(folder)
+    rows = rows.withColumns({"slug": F.regexp_extract("export", EXPORT, 1), "day": F.regexp_extract("export", EXPORT, 2)})
+    return rows.filter((F.col("day") != "") & (F.col("slug") != "all_companies")).withColumnRenamed("export", "path")
+
+
+def script_json(html: Column, name: str) -> Column:
+    """The object that a page's script assigns to a name: up to the `};` before the script's end, else up to the
+    first one before a new statement; null without it."""
+    start = rf"(?s){name}\s*=\s*(\{{.*?\}});\s*"
+    return F.coalesce(group_or_null(html, start + r"</script>"), group_or_null(html, start + r"(?:\n|var |window\.|$)"))
+
+
+def oracle_listing(body: Column) -> Column:
+    """Items of a listing with a place in the United States: id, title, location, posted and total.
+
+    The first such place is the label: city and state, or whichever of them there is, or the country.
+    """
+    kind = "struct<items:array<struct<TotalJobsCount:bigint,requisitionList:array<struct<Id:string,Title:string,PostedDate:string,workLocation:array<struct<Country:string,TownOrCity:string,Region2:string>>>>>>>"
+    page = F.get(F.from_json(body, F.lit(kind))["items"], 0)
+
+    def one(x: Column) -> Column:
+        place = F.get(F.filter(x["workLocation"], lambda w: w["Country"] == "US"), 0)
+        parts = F.filter(F.array(place["TownOrCity"], place["Region2"]), lambda p: F.length(p) > 0)
+        label = F.when(place.isNotNull(), F.when(F.size(parts) > 0, F.array_join(parts, ", ")).otherwise("United States"))
+        return F.struct(x["Id"].alias("id"), x["Title"].alias("title"), label.alias("location"), x["PostedDate"].alias("posted"), page["TotalJobsCount"].alias("total"))
+
+    return F.filter(F.transform(page["requisitionList"], one), lambda x: x["location"].isNotNull() & x["title"].isNotNull())
+
+
+def results_html(body: Column) -> Column:
+    """The HTML fragment of a listing that comes as JSON."""
+    return F.get_json_object(body, "$.results")

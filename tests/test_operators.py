@@ -22,7 +22,7 @@ def test_codes(spark, text, code):
     assert one(spark, S.standardize_code, text) == code
 
 
-@pytest.mark.parametrize(("text", "day"), [("2026-02-03", "2026-02-03"), ("2/3/2026", "2026-02-03"), ("13/02/2026", "2026-02-13"), ("February 3, 2026", "2026-02-03"), ("Feb 3, 2026", "2026-02-03"), ("2026-02-03T10:00:00", "2026-02-03"), ("Posted Today", "2026-03-31"), ("Posted Yesterday", "2026-03-30"), ("Posted 30+ Days Ago", "2026-03-01"), ("2 weeks ago", "2026-03-17"), ("a month ago", "2026-02-28"), ("soon", "2026-03-31"), ("", None), (None, None)])
+@pytest.mark.parametrize(("text", "day"), [("2026-02-03", "2026-02-03"), ("2/3/2026", "2026-02-03"), ("13/02/2026", "2026-02-13"), ("February 3, 2026", "2026-02-03"), ("Feb 3, 2026", "2026-02-03"), ("2026-02-03T10:00:00", "2026-02-03"), ("Posted Today", "2026-03-31"), ("Posted: 01/02/2026", "2026-01-02"), ("Posted Yesterday", "2026-03-30"), ("Posted 30+ Days Ago", "2026-03-01"), ("2 weeks ago", "2026-03-17"), ("a month ago", "2026-02-28"), ("soon", "2026-03-31"), ("", None), (None, None)])
 def test_dates(spark, text, day):
     got = one(spark, lambda x: S.parse_date(x, F.lit("2026-03-31").cast("date")), text)
     assert (got and str(got)) == day
@@ -71,6 +71,15 @@ def test_upsert_equals_row_by_row(spark):
     assert tuple(store.upsert_counts(t, b.limit(0), "k").first()) == (0, 0)
 
 
+def test_least_by_and_new_companies(spark):
+    df = spark.createDataFrame([("a", 2, None), ("a", None, "x"), ("b", 1, "y"), ("b", 1, "w"), (None, 3, "z")], "k string, o int, v string")
+    assert sorted(map(str, map(tuple, store.least_by(df, ["k"], [F.col("o"), F.col("v")]).collect()))) == sorted(map(str, [("a", None, "x"), ("b", 1, "w"), (None, 3, "z")]))
+    known = spark.createDataFrame([("b", 7, "u")], "k string, id int, url string")
+    new = spark.createDataFrame([("c", "2"), ("a", "1"), ("c", "1"), ("b", "other")], "k string, url string")
+    assert sorted(map(tuple, store.add_companies(known, new, "k", "id").collect())) == [("a", 8, "1"), ("b", 7, "u"), ("c", 9, "1")]
+    assert sorted(map(tuple, store.add_companies(known.limit(0), new, "k", "id").collect())) == [("a", 1, "1"), ("b", 2, "other"), ("c", 3, "1")]
+
+
 def test_failed_run_stays_failed(spark):
     runs = spark.createDataFrame([(1, "running", None, 0, 0, 0), (2, "running", None, 0, 0, 0)], "run_id int, status string, error_message string, jobs_found int, jobs_new int, jobs_updated int")
     out = store.finish_run(store.finish_run(runs, 1, 0, 0, 0, "failed", "boom"), 1, 0, 0, 0)
@@ -79,14 +88,16 @@ def test_failed_run_stays_failed(spark):
 
 def test_titled_csv_and_exports(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.csv").write_bytes(b"Title line,\nDimYear,InstList,Count,\n2019,\"Sample, College\",4,\n2020,St. P\x92s \xe2\x86\x92,,\n")
+    (tmp_path / "in" / "a.csv").write_bytes(b"Title line,\nDimYear,InstList,Count,\n2019,\"Sample, College\",4,\n2020,St. P\x92s \xe2\x86\x92,,\r\n2021,\"Two\nlines of \"\"it\"\"\",5,\n")
     rows = captured.read_titled_csv(spark, str(tmp_path / "in"), "DimYear int, InstList string, Count int").orderBy("DimYear").collect()
-    assert [tuple(r) for r in rows] == [(2019, "Sample, College", 4), (2020, "St. P’s →", None)]
+    assert [tuple(r) for r in rows] == [(2019, "Sample, College", 4), (2020, "St. P’s →", None), (2021, 'Two\nlines of "it"', 5)]
     (tmp_path / "out").mkdir()
-    for name in ("jobs_nxp_20260101.csv", "jobs_nxp_20260301.csv", "jobs_all_companies_20260301.csv", "jobs_allegro_20260101_v2.csv"):
+    for name in ("jobs_nxp_20260101.csv", "jobs_nxp_20260301.csv", "jobs_all_companies_20260301.csv", "jobs_allegro_20260101v2.csv"):
         (tmp_path / "out" / name).write_text("job_title,job_identification\nA,NA\n")
+    (tmp_path / "out" / "jobs_amd_20260101.csv").write_text("extra,job_identification,job_title\n1,7,\"B\nb\"\n")
     got = captured.read_exports(spark, str(tmp_path / "out"), "job_title string, job_identification string")
-    assert sorted((r.slug, r.day, r.job_identification) for r in got.collect()) == [("allegro", "20260101", None), ("nxp", "20260101", None), ("nxp", "20260301", None)]
+    assert sorted((r.slug, r.day, r.job_identification) for r in got.collect()) == [("allegro", "20260101", None), ("amd", "20260101", "7"), ("nxp", "20260101", None), ("nxp", "20260301", None)]
+    assert {r.slug: r.job_title for r in got.collect()} == {"allegro": "A", "nxp": "A", "amd": "B\nb"}
     captured.write_export(got, str(tmp_path / "w"))
     assert "NA" in "".join(p.read_text() for p in (tmp_path / "w").glob("part-*"))
 
@@ -106,6 +117,7 @@ def test_line_classes_differ_by_platform():
     assert D.split_required("dayforce", ["Knows tools", "Education: BS in EE"]) == (["BS in EE"], ["Knows tools"])
     assert D.split_required("boeing", ["mastering tools", "BSEE or so"]) == (["BSEE or so"], ["mastering tools"])
     assert D.split_required("oracle", ["a", "b"]) == (["a", "b"], [])
+    assert D.detail("successfactors", "Pay $50,000 - 70,000 a year")[4] == "$50,000 - 70,000"
     assert D.detail("successfactors", "<b>Qualifications</b><ul><li>Bachelor degree - OR - five years</ul>")[1:3] == ("Bachelor degree", "five years")
 
 
@@ -128,5 +140,5 @@ def test_ingest(spark):
     assert (got["u1"].company_name, got["u1"].job_title, got["u1"].job_responsibilities, got["u1"].salary_range, str(got["u1"].posting_date)) == ("A", "T3", "Build things", "$10 - $20", "2026-01-05")
     again = {r.job_url: r for r in ingest(ingest(empty, pay), pay.filter("url = 'u3'").withColumn("company_name", F.lit("Z"))).collect()}
     assert again["u3"].company_name == "B" and set(again) == set(got)
-    days = spark.createDataFrame([("nxp", "20260101"), ("nxp_semiconductors", "20260301"), ("x", "20250101")], "slug string, day string")
-    assert sorted(map(tuple, latest_exports(days).collect())) == [("nxp", "20260301"), ("x", "20250101")]
+    days = spark.createDataFrame([("nxp", "20260101", "a"), ("nxp_semiconductors", "20260301", "c"), ("nxp", "20260301", "b"), ("nxp", "20260301", "b"), ("x", "20250101", "d")], "slug string, day string, path string")
+    assert sorted(map(tuple, latest_exports(days).collect())) == [("nxp", "20260301", "b"), ("nxp", "20260301", "b"), ("x", "20250101", "d")]
