@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
-Texts become templates of two kinds. In both, numbers and units after numbers are typed placeholders, and
-case, punctuation and the kind of white space go. In the second, capitalised words are placeholders too,
+Texts become templates of two kinds. In both, case, ASCII punctuation and the kind of white space go, and
+numbers and units after numbers are typed placeholders. In the second, capitalised words are placeholders too,
 wherever they stand. So a question asked with other numbers or names still matches, and so does one whose
 case or line breaks are changed (names that differ are found only if they keep their capitals). Windows
 of `size` template tokens are hashed and joined with those of the benchmark. A window that is less than
@@ -35,51 +35,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, let
+from millrace.llm.common import cut
 
 SPACES = "\t\n\x0b\x0c\r"
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~€£"
 NUMBER, UNIT, NAME = "‹n›", "‹u›", "‹c›"
-NUMBERS = r"(?<!\S)[$€£+-]?\d[\d.,:/]*%?(?!\S)|(?<!\S)[$€£+-]?\d[\d.,:/]*(?=[.,;:!?)]+(?!\S))"
-UNITS = NUMBER + r" (?:mm|cm|m|km|g|kg|mg|t|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|lbs?|pounds?|oz|dollars?|euros?|cents?|percent|degrees?|watts?|kw|kwh|volts?|meters?|metres?|grams?|litres?|liters?)(?![\p{L}\p{N}])"
-NAMES = r"(?<![\p{L}\p{N}‹])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+NUMBERS, NAMES = r"^[0-9]+$", r"^\p{Lu}\p{Ll}+$"
+UNITS = "mm cm m km g kg mg t ml l s min h hour hours minute minutes second seconds day days week weeks month months year years mile miles foot feet ft inch inches lb lbs pound pounds oz dollar dollars euro euros cent cents percent degree degrees watt watts kw kwh volt volts meter meters metre metres gram grams liter liters litre litres".split()
 SALTS = 32
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words without ASCII punctuation."""
-    plain = F.translate(F.lower(text), SPACES + PUNCTUATION, " " * len(SPACES))
+    """Words without ASCII punctuation, in their own case."""
+    plain = F.translate(text, SPACES + PUNCTUATION, " " * len(SPACES))
     return F.array_remove(F.split(plain, " "), "")
 
 
-def spaced(text: Column) -> Column:
-    """The text with one space for each stretch of white space."""
-    flat = F.translate(text, SPACES, " " * len(SPACES))
-    return F.when(F.contains(flat, F.lit("  ")), F.regexp_replace(flat, " +", " ")).otherwise(flat)
+def _plain(word: Column, before: Column) -> Column:
+    """The word in lower case, or the placeholder of a number or of a unit after one."""
+    low = F.lower(word)
+    return F.when(word.rlike(NUMBERS), NUMBER).when(F.coalesce(before.rlike(NUMBERS), F.lit(False)) & low.isin(UNITS), UNIT).otherwise(low)
 
 
-def template(text: Column) -> Column:
-    """A spaced text with placeholders for numbers and units; each stands for one word, so positions stay."""
-    numbered = F.regexp_replace(text, NUMBERS, NUMBER)
-    return F.when(text.rlike(r"\d"), F.regexp_replace(numbered, "(?i)" + UNITS, f"{NUMBER} {UNIT}")).otherwise(text)
+def plain_template(words: Column) -> Column:
+    """Words with placeholders for numbers and units."""
+    return F.transform(words, lambda w, i: _plain(w, F.get(words, i - 1)))
 
 
-def named(text: Column) -> Column:
+def name_template(words: Column, plain: Column) -> Column:
     """The same with placeholders for capitalised words."""
-    return F.regexp_replace(text, NAMES, NAME)
+    return F.zip_with(words, plain, lambda w, p: F.when(w.rlike(NAMES) & (p != UNIT), NAME).otherwise(p))
 
 
-def windows(words: Column, size: Column | int) -> Column:
-    """at and hash of each window of `size` words; none where there are fewer."""
+def window_hashes(ids: Column, size: Column | int) -> Column:
+    """The hash of each window of `size` token hashes, in order; none where there are fewer."""
     length = F.lit(size) if isinstance(size, int) else size
-    ids = F.transform(words, lambda w: F.xxhash64(w))
-    return let(ids, lambda w: F.transform(F.when(F.size(w) >= length, F.sequence(F.lit(1), F.size(w) - length + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.struct((i - 1).alias("at"), F.xxhash64(F.slice(w, i, length), length).alias("h"))))
+    return F.transform(F.when(F.size(ids) >= length, F.sequence(F.lit(1), F.size(ids) - length + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(F.slice(ids, i, length)))
+
+
+def with_ids(df: DataFrame, views: set[str], text_col: str = "text") -> DataFrame:
+    """df with the token hashes of its text in the views raw, plain and names.
+
+    Hashes of template tokens are taken from the words at once; a text without digits has no numbers to look for.
+    """
+    out = df.withColumn("words", tokens(F.col(text_col)))
+    some = F.transform("words", lambda w, i: F.xxhash64(_plain(w, F.get("words", i - 1))))
+    none = F.transform("words", lambda w: F.xxhash64(F.lower(w)))
+    out = out.withColumn("plain", F.when(F.col(text_col).rlike("[0-9]"), some).otherwise(none))
+    if "names" in views:
+        name, unit = F.xxhash64(F.lit(NAME)), F.xxhash64(F.lit(UNIT))
+        out = out.withColumn("names", F.zip_with("words", "plain", lambda w, h: F.when(w.rlike(NAMES) & (h != unit), name).otherwise(h)))
+    if "raw" in views:
+        out = out.withColumn("raw", none)
+    return out.drop("words")
 
 
 def with_templates(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with the tokens of its text (raw) and of its two templates (plain, names); all three line up."""
-    out = df.withColumn("spaced", spaced(F.col(text_col))).withColumn("numbered", template(F.col("spaced")))
-    return out.select(*df.columns, tokens(F.col("spaced")).alias("raw"), tokens(F.col("numbered")).alias("plain"), tokens(named(F.col("numbered"))).alias("names"))
+    """df with the tokens of its text (raw, in lower case) and of its two templates (plain, names); all line up."""
+    out = df.withColumn("words", tokens(F.col(text_col)))
+    out = out.withColumn("plain", plain_template(F.col("words")))
+    return out.select(*df.columns, F.transform("words", lambda w: F.lower(w)).alias("raw"), "plain", name_template(F.col("words"), F.col("plain")).alias("names"))
 
 
 def text_key(text: Column) -> Column:
@@ -95,12 +110,13 @@ def item_windows(items: DataFrame, size: int, item_col: str, text_col: str) -> D
     def literal(words: Column, at: Column) -> Column:
         return 2 * F.size(F.filter(F.slice(words, at + 1, length), lambda w: ~F.startswith(w, F.lit("‹")))) >= length
 
-    each = F.arrays_zip(windows(F.col("raw"), length).alias("r"), windows(F.col("plain"), length).alias("p"), windows(F.col("names"), length).alias("q"))
-    rows = rows.select("item_id", text_key(F.col("text")).alias("it"), "length", (F.size("raw") - length + 1).alias("n"), "plain", "names", F.explode(each).alias("w"))
-    at, h = F.col("w.r.at"), F.col("w.r.h")
-    plain = F.struct(F.when(literal(F.col("plain"), at), "plain").otherwise("raw").alias("view"), F.when(literal(F.col("plain"), at), F.col("w.p.h")).otherwise(h).alias("h"))
-    other = F.when((F.col("w.q.h") != F.col("w.p.h")) & literal(F.col("names"), at), F.struct(F.lit("names").alias("view"), F.col("w.q.h").alias("h")))
-    return rows.select("item_id", "it", "length", "n", at.alias("at"), F.explode(F.array_compact(F.array(plain, other))).alias("v")).select("item_id", "it", "length", "n", "v.view", "at", "v.h")
+    r, p, q = (F.transform(v, lambda w: F.xxhash64(w)) for v in ("raw", "plain", "names"))
+    rows = rows.withColumns({"r": window_hashes(r, length), "p": window_hashes(p, length), "q": window_hashes(q, length)})
+    rows = rows.select("item_id", text_key(F.col("text")).alias("it"), "length", (F.size("raw") - length + 1).alias("n"), "plain", "names", F.posexplode(F.arrays_zip("r", "p", "q")).alias("at", "w"))
+    at = F.col("at")
+    plain = F.struct(F.when(literal(F.col("plain"), at), "plain").otherwise("raw").alias("view"), F.when(literal(F.col("plain"), at), F.col("w.p")).otherwise(F.col("w.r")).alias("h"))
+    other = F.when((F.col("w.q") != F.col("w.p")) & literal(F.col("names"), at), F.struct(F.lit("names").alias("view"), F.col("w.q").alias("h")))
+    return rows.select("item_id", "it", "length", "n", "at", F.explode(F.array_compact(F.array(plain, other))).alias("v")).select("item_id", "it", "length", "n", "v.view", "at", "v.h")
 
 
 def _leaking_texts(docs: DataFrame, items: DataFrame, size: int, min_windows: int, broadcast_windows: int, text_col: str, item_col: str) -> DataFrame:
@@ -114,7 +130,7 @@ def _leaking_texts(docs: DataFrame, items: DataFrame, size: int, min_windows: in
 
     rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text")).select(text_key(F.col("text")).alias("t"), "text")
     views = sorted({(r.view, r.length) for r in kinds}) or [("plain", size)]
-    spots = with_templates(rows).select("t", F.explode(F.concat(*[windows(F.col(v), k) for v, k in views])).alias("d")).select("t", F.col("d.at").alias("pos"), F.col("d.h").alias("dh"))
+    spots = with_ids(rows, {v for v, _ in views}).select("t", F.explode(F.array(*[window_hashes(F.col(v), k) for v, k in views])).alias("d")).select("t", F.posexplode("d").alias("pos", "dh"))
     found = spots.join(F.broadcast(bench) if small else bench, F.col("dh") == F.col("h"))
     hits = cut(found.select("t", "item_id", "it", "length", "n", "at", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "window-hits")
     alignment = ["t", "item_id", "it", "shift"]

@@ -7,7 +7,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from millrace.llm.decontaminate import NAME, NAMES, NUMBER, NUMBERS, PUNCTUATION, UNIT, UNITS, clean, leaks, named, spaced, template, tokens
+from millrace.llm.decontaminate import NAME, NAMES, NUMBER, NUMBERS, PUNCTUATION, UNIT, UNITS, clean, leaks, with_ids, with_templates
 
 ITEM = "A farmer sells 12 apples for $3.50 and then buys 7 km of rope from old Peter, how many apples and how much rope are left after Peter returns 7 km of it?"
 SAME = "A farmer sells 40 apples for $9.25 and then buys 8 km of rope from old Maria, how many apples and how much rope are left after Maria returns 8 km of it?"
@@ -21,11 +21,10 @@ NOISE = " ".join(f"filler{i}" for i in range(300))
 
 
 def slow_tokens(text):
-    text = " ".join(x for x in regex.sub(r"[\t\n\x0b\x0c\r ]+", " ", text or "").split(" ") if x)
-    plain = regex.sub(NUMBERS, NUMBER, text)
-    plain = regex.sub("(?i)" + UNITS, f"{NUMBER} {UNIT}", plain) if regex.search(r"\d", text) else text
-    drop = str.maketrans("", "", PUNCTUATION)
-    return [[x for x in t.lower().translate(drop).split(" ") if x] for t in (text, plain, regex.sub(NAMES, NAME, plain))]
+    words = [x for x in regex.sub(r"[\t\n\x0b\x0c\r]", " ", text or "").translate(str.maketrans("", "", PUNCTUATION)).split(" ") if x]
+    number = [bool(regex.search(NUMBERS, w)) for w in words]
+    plain = [NUMBER if n else UNIT if i and number[i - 1] and w.lower() in UNITS else w.lower() for i, (w, n) in enumerate(zip(words, number, strict=True))]
+    return [[w.lower() for w in words], plain, [NAME if regex.search(NAMES, w) and p != UNIT else p for w, p in zip(words, plain, strict=True)]]
 
 
 def slow_leaks(text, item, size=8, need=6):
@@ -72,10 +71,13 @@ def frame(spark, rows):
 
 
 def test_templates_keep_positions(spark):
-    df = spark.createDataFrame([("We paid 1,200.50 dollars to Anna, 5 KM\noff. Then 3.5, and $7!",), ("No digits",), ("",), ("9",)], "t string")
-    for r in df.select(F.col("t"), tokens(F.col("t")).alias("a"), tokens(named(template(spaced(F.col("t"))))).alias("b")).collect():
-        assert len(r.a) == len(r.b) and (r.a, r.b) == tuple(slow_tokens(r.t)[::2])
-    assert df.select(tokens(named(template(spaced(F.col("t"))))).alias("b")).first().b == "‹c› paid ‹n› ‹u› to ‹c› ‹n› ‹u› off ‹c› ‹n› and ‹n›".split()
+    df = spark.createDataFrame([("We paid 1,200.50 dollars to Anna, 5 KM\noff. Then 3.5, and $7!",), ("No digits",), ("",), ("9",), ("\x85 ÉTÉ Été 5 Km",)], "t string")
+    for r in with_templates(df, "t").collect():
+        assert [r.raw, r.plain, r.names] == slow_tokens(r.t)
+    assert with_templates(df, "t").first().names == "‹c› paid ‹n› ‹u› to ‹c› ‹n› ‹u› off ‹c› ‹n› and ‹n›".split()
+    ids = with_ids(with_templates(df.withColumnRenamed("t", "text")).withColumnsRenamed({"raw": "r", "plain": "p", "names": "q"}), {"raw", "names"})
+    same = [F.transform(w, lambda x: F.xxhash64(x)) == F.col(i) for w, i in zip("rpq", ("raw", "plain", "names"), strict=True)]
+    assert ids.filter(same[0] & same[1] & same[2]).count() == df.count()
 
 
 ROWS = [
