@@ -6,7 +6,8 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,20 +40,42 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables that cut() has made, for each open temporary().
+_open: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete what cut() makes inside at the end. Results have to be written inside, since they may read it."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: a lineage cut that survives lost executors."""
+    """Write df to the shared folder and read it back: a lineage cut that survives lost executors.
+
+    The files stay until the folder is cleared, or until the temporary() around the call ends.
+    """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_table(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files behind a table made by cut() that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete(spark, folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

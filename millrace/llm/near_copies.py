@@ -168,14 +168,10 @@ def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, b
 
 def clusters(nodes: DataFrame, block: int) -> DataFrame:
     """key and node of the clusters in the buckets of all fingerprints. nodes: node, prints."""
-    spark = nodes.sparkSession
-    out = spark.createDataFrame([], "key long, node long")
-    for k in range(WORDS):
-        rows = buckets(nodes.select("node", F.col("prints")[k].alias("fp")), DISTANCE, block)
-        if rows is None:
-            break
-        out = out.union(cut(rows.mapInArrow(cluster_batches, "key long, node long").distinct(), "clusters"))
-    return out.distinct()
+    rows = buckets(nodes.select("node", F.col("prints").alias("fps")), DISTANCE, block, WORDS)
+    if rows is None:
+        return nodes.sparkSession.createDataFrame([], "key long, node long")
+    return rows.mapInArrow(cluster_batches, "key long, node long").distinct()
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:

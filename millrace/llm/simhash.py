@@ -250,23 +250,26 @@ def link_batches(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(a[differ], pa.int64()), pa.array(b[differ], pa.int64())], ["a", "b"])
 
 
-def _probes(part: int, group: list[int], t: int) -> Column:
-    """The node's keys in a partition, and whether it probes them (as well as being indexed by them)."""
-    key = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in group))))
+def _entries(part: int, fp: Column, group: list[int], t: int) -> Column:
+    """The keys in a partition up to ceil(t / 2) flips away from a fingerprint's own."""
+    key = fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in group))))
     masks = F.array(F.lit(0).cast("long"), *[F.lit(m).cast("long") for m in flips(group, (t + 1) // 2)])
-    return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(m).alias("key"), (F.bit_count(m) <= t // 2).alias("own")))
+    return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(m).alias("key"), fp.alias("fp")))
 
 
-def buckets(nodes: DataFrame, distance: int, block: int, broadcast_keys: int = 10_000) -> DataFrame | None:
+def buckets(nodes: DataFrame, distance: int, block: int, words: int = 1, broadcast_keys: int = 10_000) -> DataFrame | None:
     """part, key, pair, fp and node, sorted within partitions so that each bucket is a run of rows.
 
-    nodes: fp, node. None if there are fewer than two nodes.
+    nodes: node and fp, or `fps`, an array of `words` independent fingerprints that are all searched with the
+    partitions of the first (they are alike in distribution). None if there are fewer than two nodes.
     """
     n = nodes.count()
     if n < 2:
         return None
-    entries = [_probes(i, group, t) for i, (group, t) in enumerate(plan_partitions(nodes, n, distance))]
-    rows = nodes.select("fp", "node", F.explode(F.concat(*entries)).alias("x")).select("fp", "node", "x.*")
+    fps = [F.col("fps")[k] for k in range(words)] if words > 1 else [F.col("fp")]
+    plan = plan_partitions(nodes.select(fps[0].alias("fp")), n, distance)
+    entries = [_entries(k * len(plan) + i, fp, group, t) for k, fp in enumerate(fps) for i, (group, t) in enumerate(plan)]
+    rows = nodes.select("node", F.explode(F.concat(*entries)).alias("x")).select("node", "x.*")
     hot = cut(rows.groupBy("part", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select(F.col("part").alias("hot_part"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / block).alias("blocks")), "hot-buckets")
     n_hot = hot.count()
     rows = rows.withColumn("pair", F.lit(0).cast("long"))
