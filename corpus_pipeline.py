@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.bpe_automaton import bpe_round_trip
-from millrace.llm.common import new_path, table
+from millrace.llm.common import delete, new_path, table, temporary
 from millrace.llm.decontaminate import clean
 from millrace.llm.near_copies import one_of_each
 from millrace.llm.quality import passing
@@ -49,10 +49,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to documents, each written and read again. What a stage makes on the way goes when it is
+    written, and its input (a stage's output, not documents) with it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
