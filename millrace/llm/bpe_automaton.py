@@ -9,7 +9,8 @@ prefix of a word has exactly one path, and one state: the target of the last lab
 A word is read byte by byte. At each byte the labels that end there are looked up (a goto table over all
 labels gives the longest, and each label names the next shorter one), and the one whose arc leaves the
 state of the place where it begins is the transition into this place. No place is entered twice and
-nothing is taken back; the labels of the last place's path are the encoding.
+nothing is taken back; the labels of the last place's path are the encoding. All tables are arrays, and the
+new words of many texts take their steps together (`encode_words`); `encode_word` takes those of one word.
 
 A clone differs from its original in one arc, so states are kept as differences: `lost[a, b]` is the
 merge at which the target of `a` lost `b`, `born[t]` the merge that made `t`, and the target of `t`
@@ -28,7 +29,9 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -38,9 +41,12 @@ from millrace.llm.common import ship
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
 BLANK = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
-#: Bytes of distinct segments and of their codes that a worker remembers at a time; a memory bound without
+#: Bytes of distinct segments and of their ids that a worker remembers at a time; a memory bound without
 #: effect on results.
 REMEMBERED = 64_000_000
+#: Characters of text whose segments are encoded together, bytes of the longest words that step together, and
+#: arcs that are held as a table at a time.
+_STEP, TOGETHER, MOST_ARCS = 1 << 20, 64, 2_000_000
 _NEVER = 1 << 30
 _loaded: dict[str, "Automaton"] = {}
 
@@ -78,8 +84,7 @@ class Automaton:
         self.specials = re.compile(f"({special})") if special else None
         self.segments = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         self.words = regex.compile(WORDS).findall
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.known_words: dict[str, list[int]] = {}
+        self.known: dict[str, list[int]] = {}
         self.known_bytes = 0
 
     def gadget(self, rank: int, a: int, b: int, ab: int) -> None:
@@ -149,6 +154,17 @@ class Automaton:
                 else:
                     shorter[ends[node]] = below
         self.goto, self.fall, self.ends, self.size, self.shorter = goto, fall, ends, size, shorter
+        keys = np.array(sorted(goto))
+        self.goto_keys, self.goto_to = keys, np.array([goto[k] for k in keys.tolist()])
+        self.fall_table, self.ends_table = np.array(fall), np.array(ends)
+        most = max(size) + 1
+        self.size_table, self.shorter_table = np.zeros(most, np.int64), np.full(most, -1)
+        self.size_table[list(size)] = list(size.values())
+        self.shorter_table[list(shorter)] = list(shorter.values())
+        most = max(self.labels) + 1
+        self.decimals, self.label_list = list(map(str, range(most))), [self.labels.get(t, b"") for t in range(most)]
+        self.numbers = np.array([*range(most), None], object)  # each number once in memory; -1 is none
+        self.arc_keys, self.arc_there = np.array([-1]), np.array([False])
 
     def encode_word(self, word: bytes) -> list[int]:
         """The labels of the one path that reads the word."""
@@ -178,6 +194,87 @@ class Automaton:
         out.reverse()
         return out
 
+    def arc(self, keys: np.ndarray) -> np.ndarray:
+        """Whether there is an arc, for (state << 20 | label) keys; arcs that are new are read off the differences once."""
+        if len(self.arc_keys) > MOST_ARCS:
+            self.arc_keys, self.arc_there = self.arc_keys[:1], self.arc_there[:1]
+        at = np.minimum(np.searchsorted(self.arc_keys, keys), len(self.arc_keys) - 1)
+        new = self.arc_keys[at] != keys
+        if new.any():
+            more = np.sort(keys[new])
+            more = more[np.append(True, more[1:] != more[:-1])]
+            there = np.array([self.follows(k >> 20, _NEVER, k & 0xFFFFF, _NEVER) for k in more.tolist()])
+            place = np.searchsorted(self.arc_keys, more)
+            self.arc_keys, self.arc_there = np.insert(self.arc_keys, place, more), np.insert(self.arc_there, place, there)
+            at = np.searchsorted(self.arc_keys, keys)
+        return self.arc_there[at]
+
+    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+        """The encoding of each word, all of them one byte further at a time."""
+        out: list[list[int]] = [[t] if (t := self.ids.get(w)) is not None else [] for w in words]
+        todo = [k for k, w in enumerate(words) if w and not out[k] and len(w) <= TOGETHER]
+        for k in (k for k, w in enumerate(words) if len(w) > TOGETHER and not out[k]):
+            out[k] = self.encode_word(words[k])
+        todo.sort(key=lambda k: -len(words[k]))
+        if not todo:
+            return out
+        sizes = np.array([len(words[k]) for k in todo])
+        starts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(words[k] for k in todo), np.uint8).astype(np.int64)
+        n, longest = len(todo), int(sizes[0])
+        path = np.zeros((longest + 1, n), np.int64)
+        node = np.zeros(n, np.int64)
+        for pos in range(1, longest + 1):
+            m = int(np.searchsorted(-sizes, -pos, side="right"))  # words that are this long
+            node, byte = node[:m], data[starts[:m] + pos - 1]
+            open_ = np.arange(m)
+            to = np.zeros(m, np.int64)
+            while len(open_):
+                key = node[open_] << 8 | byte[open_]
+                at = np.minimum(np.searchsorted(self.goto_keys, key), len(self.goto_keys) - 1)
+                hit = self.goto_keys[at] == key
+                to[open_[hit]] = self.goto_to[at[hit]]
+                open_ = open_[~hit]
+                node[open_] = self.fall_table[node[open_]]
+            node = to
+            t = self.ends_table[node]
+            open_ = np.arange(m)
+            while len(open_):
+                label = t[open_]
+                begin = pos - self.size_table[label]
+                there = begin == 0
+                inner = np.flatnonzero(~there)
+                there[inner] = self.arc(path[begin[inner], open_[inner]] << 20 | label[inner])
+                open_ = open_[~there]
+                t[open_] = self.shorter_table[t[open_]]
+            path[pos, :m] = t
+        place, live = sizes.copy(), np.arange(n)
+        found: list[np.ndarray] = []
+        while len(live):  # labels from the last to the first
+            row = np.full(n, -1)
+            row[live] = path[place[live], live]
+            found.append(row)
+            place[live] -= self.size_table[row[live]]
+            live = live[place[live] > 0]
+        for k, row in zip(todo, self.numbers[np.array(found)[::-1].T].tolist(), strict=True):
+            out[k] = row if row[0] is not None else [t for t in row if t is not None]
+        return out
+
+    def learn(self, segments: set[str]) -> None:
+        """The ids of segments that aren't known; forgets all of them first if they take too much room."""
+        if self.known_bytes > REMEMBERED:
+            self.known.clear()
+            self.known_bytes = 0
+        known, get = self.known, self.known.get
+        new = [s for s in segments if get(s) is None]
+        whole = [s for s in new if s.isalpha() or s[1:].isalpha() and s[0] == " " or not s.strip(BLANK)]
+        split = {s: self.words(s) for s in set(new).difference(whole)}
+        words = list({w for ws in split.values() for w in ws}.union(whole))
+        ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        known.update({s: ids[s] for s in whole})
+        known.update({s: [t for w in ws for t in ids[w]] for s, ws in split.items()})
+        self.known_bytes += sum(150 + 2 * len(s) + 8 * len(known[s]) for s in new)
+
     def parts(self, text: str) -> Iterator[tuple[str, bool]]:
         """(piece, whether it is a special string) in order."""
         if self.specials is None or not any(s in text for s in self.special):
@@ -190,12 +287,7 @@ class Automaton:
     def encode_segment(self, segment: str) -> list[int]:
         if segment.lstrip(" ").isalpha() or not segment.strip(BLANK):
             return self.encode_word(segment.encode())
-        return [t for w in self.words(segment) for t in (self.known_words.get(w) or self.learn_word(w))]
-
-    def learn_word(self, word: str) -> list[int]:
-        self.known_words[word] = ids = self.encode_word(word.encode())
-        self.known_bytes += 200 + len(word) + 8 * len(ids)
-        return ids
+        return [t for w in self.words(segment) for t in self.encode_word(w.encode())]
 
     def encode(self, text: str) -> list[int]:
         return [t for piece, special in self.parts(text) for t in ([self.special[piece]] if special else [t for s in self.segments(piece) for t in self.encode_segment(s)])]
@@ -203,56 +295,49 @@ class Automaton:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
-    def both(self, text: str) -> tuple[bytes, bytes]:
-        """The ids in decimal, joined by commas, and the bytes of their arc labels."""
-        codes, labels = [], []
-        known = self.known
-        for piece, special in self.parts(text):
-            if special:
-                codes.append(str(self.special[piece]).encode())
-                labels.append(piece.encode())
-                continue
-            for segments in self.runs(piece):
-                for s in set(segments).difference(known):
-                    if self.known_bytes > REMEMBERED:
-                        known.clear()
-                        self.known_words.clear()
-                        self.known_bytes = 0
-                    known[s] = made = self.coded(s)
-                    self.known_bytes += 200 + len(s) + len(made[0]) + len(made[1])
-                try:
-                    found = list(map(known.__getitem__, segments))
-                except KeyError:  # forgotten meanwhile
-                    found = [known.get(s) or self.coded(s) for s in segments]
-                a, b = zip(*found, strict=True)
-                codes += a
-                labels += b
-        return b",".join(codes), b"".join(labels)
-
-    def coded(self, segment: str) -> tuple[bytes, bytes]:
-        ids = self.encode_segment(segment)
-        return ",".join(map(str, ids)).encode(), b"".join(map(self.labels.__getitem__, ids))
-
-    def runs(self, piece: str) -> Iterator[list[str]]:
-        """The segments of a piece, a bounded number at a time."""
-        segments = self.segments(piece)
-        for i in range(0, len(segments), 1 << 16):
-            yield segments[i : i + (1 << 16)]
+    def pieces(self, text: str) -> list[tuple[list[str], bool]]:
+        """(segments, whether they are a special string) of the parts of a text."""
+        return [([piece] if special else self.segments(piece), special) for piece, special in self.parts(text)]
+
+    def both(self, texts: list[str]) -> Iterator[tuple[int, bytes, bytes]]:
+        """Of each text the number of ids, the ids in decimal, joined by commas, and the bytes of their arc labels."""
+        every = [self.pieces(t) for t in texts]
+        self.learn({s for parts in every for segments, special in parts if not special for s in segments})
+        known, decimal, label = self.known.__getitem__, self.decimals.__getitem__, self.label_list.__getitem__
+        for parts in every:
+            ids: list[int] = []
+            for segments, special in parts:
+                ids += [self.special[segments[0]]] if special else chain.from_iterable(map(known, segments))
+            yield len(ids), ",".join(map(decimal, ids)).encode(), b"".join(map(label, ids))
 
 
 def automaton(path: str) -> Automaton:
     return _loaded.get(path) or _loaded.setdefault(path, Automaton(path))
 
 
+def _slices(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts in runs of about _STEP characters."""
+    run: list[str] = []
+    room = _STEP
+    for v in texts:
+        run.append(v.as_py() or "")
+        room -= len(run[-1])
+        if room <= 0:
+            yield run
+            run, room = [], _STEP
+    if run:
+        yield run
+
+
 def digest_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     machine = automaton(path)
     for batch in batches:
         counts, ids, texts = [], [], []
-        for value in batch.column(1):
-            codes, decoded = machine.both(value.as_py() or "")
-            counts.append(codes.count(b",") + 1 if codes else 0)
-            ids.append(hashlib.sha256(codes).hexdigest())
-            texts.append(hashlib.sha256(decoded.decode("utf-8", "replace").encode()).hexdigest())
+        for run in _slices(batch.column(1)):
+            for n, codes, decoded in machine.both(run):
+                counts.append(n)
+                ids.append(hashlib.sha256(codes).hexdigest())
+                texts.append(hashlib.sha256(decoded.decode("utf-8", "replace").encode()).hexdigest())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm.bpe_automaton import Automaton, bpe_decode, bpe_encode, bpe_round_trip
+from millrace.llm.bpe_automaton import automaton, Automaton, bpe_decode, bpe_encode, bpe_round_trip
 from millrace.llm.quality import host_verdicts, judged, passing
 from millrace.llm.sharding import shard
 from millrace.llm.token_counts import Encoder, encode_long, token_counts
@@ -196,3 +196,16 @@ def test_host_verdicts_reach_only_failing_documents(spark):
     assert {r.doc_id for r in passing(df, broadcast_hosts=0).collect()} == kept
     one = spark.createDataFrame([("h", False, True)], "host string, base_failed boolean, soft_failed boolean")
     assert host_verdicts(one).collect()[0].shrunk_rate == pytest.approx(1.0)
+
+
+def test_words_together_equal_words_alone():
+    machine = automaton(BYTE)
+    r = random.Random(4)
+    words = [bytes(r.choice(b"abcdefgh ing the\xc3\xa9\x00\xff") for _ in range(r.randint(1, 200))) for _ in range(400)] + [b"the", b" the", b"x" * 64, b"x" * 65, b""]
+    library = Tokenizer.from_file(BYTE)
+    got = machine.encode_words(words)
+    assert got == [machine.encode_word(w) for w in words]
+    texts_ = [" ".join(r.choice(["unbelievable", "été", "don't", "12,5", "　", "x\n\n y"]) for _ in range(50)) for _ in range(20)]
+    for t, (n, codes, decoded) in zip(texts_, machine.both(texts_), strict=True):
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert (n, codes, decoded.decode()) == (len(ids), ",".join(map(str, ids)).encode(), t)
