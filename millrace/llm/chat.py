@@ -11,9 +11,10 @@ text can open or close a turn, and removing them again is exact. loss_spans are
 assistant texts (code points, end exclusive) in the formatted conversation.
 
 Edge cases: null text and null role are empty; a message whose parent is not there is a root; messages
-on a cycle reach no root and are left out; equal scores are ranked by id; repeated ids within a tree
-must be resolved before (from_turns numbers rows itself, so repeated turns stay); an empty table gives
-an empty table. One conversation is one value and so has to fit a task.
+on a cycle reach no root and are left out; equal scores are ranked by id; of rows with the same id in a
+tree the least by parent, role and text stands for them (from_turns numbers rows itself, so repeated
+turns stay); very long texts are kept whole; an empty table gives an empty table. One conversation is one
+value and so has to fit a task.
 """
 
 from __future__ import annotations
@@ -79,8 +80,12 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     return paths
 
 
-def formatted(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """tree, leaf, rank, conversation and loss_spans of each chosen path."""
+def formatted(messages: DataFrame, branches: int = 1, unique: bool = False) -> DataFrame:
+    """tree, leaf, rank, conversation and loss_spans of each chosen path. unique: no id is there twice in a tree."""
+    rest = [c for c in messages.columns if c not in ("tree", "node")]
+    order = [c for c in ("parent", "role", "text", "score") if c in rest]
+    if not unique and not messages.groupBy("tree", "node").count().filter("count > 1").isEmpty():
+        messages = messages.groupBy("tree", "node").agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("m")).select("tree", "node", "m.*")
     paths = chosen_paths(messages, branches)
     said = messages.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), "role", escape(F.col("text")).alias("safe"))
     turns = paths.join(said, _same_tree("tree", "t2") & (F.col("node") == F.col("n2")))

@@ -58,7 +58,7 @@ def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -7, whose two texts are made of control strings."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    return digests(formatted(from_turns(rows.union(planted))))
+    return digests(formatted(from_turns(rows.union(planted)), unique=True))
 
 
 def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

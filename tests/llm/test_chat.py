@@ -63,3 +63,9 @@ def test_best_branches_of_trees(spark):
         want |= {(tree, leaf, k + 1, n, d) for k, leaf in enumerate(leaves[:2]) for d, n in enumerate(path(leaf))}
     want.add((51, 5, 1, 5, 0))
     assert {tuple(x) for x in chosen_paths(df, 2).collect()} == want
+
+
+def test_repeated_ids_are_one_message(spark):
+    rows = [(1, 1, None, "user", "b", 0.0), (1, 1, None, "user", "a", 0.0), (1, 2, 1, "assistant", "z", 1.0), (1, 2, 1, "assistant", "z", 1.0)]
+    df = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    assert [x.conversation for x in formatted(df).collect()] == ["[INST]user\na[/INST]<s>z</s>"]
