@@ -175,3 +175,34 @@ def labelled_pay(labels: Column, label: str, otherwise: Column) -> Column:
 def keyword_flag(text: Column, pattern: str, negative: str) -> Column:
     """Yes, No or null: No wins, and blank text gives null."""
     return F.when(F.length(text) > 0, F.when(text.rlike(negative), "No").when(text.rlike(pattern), "Yes"))
+
+
+#: Terms of the trade; any of them makes a posting one of it.
+KEYWORDS = "semiconductor|wafer|fab|lithography|etching|deposition|CMP|metrology|yield|process engineer|device|IC|chip|ASIC|analog|digital|mixed-signal|CMOS|BiCMOS|memory|logic|power semiconductor"
+
+
+def has_keyword(text: Column) -> Column:
+    """Whether a term of the trade stands in the text as words of its own, whatever its case."""
+    return text.rlike(rf"(?i)\b(?:{KEYWORDS})\b")
+
+
+#: Labels of a plain text's fields, each with where it ends; the first that fits wins.
+LABELS = {
+    "job_responsibilities": [r"Responsibilities:?(.+?)(?=Qualifications|Requirements|Education|Experience|$)", r"Job Description:?(.+?)(?=Qualifications|Requirements|Education|$)", r"What You'll Do:?(.+?)(?=What You'll Need|Qualifications|$)"],
+    "min_education": [r"Education:?(.+?)(?=Experience|Qualifications|Skills|$)", r"(Bachelor's|Master's|PhD|Associate's).{0,100}(?:degree|required)", r"()(?:BS|MS|PhD).{0,50}in.{0,50}(?:Engineering|Science|Computer)"],
+    "min_experience": [r"Experience:?(.+?)(?=Education|Skills|Qualifications|$)", r"(\d+\+?\s*years?).{0,100}(?:experience|of experience)"],
+    "preferred_qualifications": [r"Preferred Qualifications:?(.+?)(?=Salary|Benefits|Equal|$)", r"Nice to Have:?(.+?)(?=Salary|Benefits|$)", r"Preferred:?(.+?)(?=Salary|Benefits|Equal|$)"],
+    "salary_range": [r"Salary Range:?(.+?)(?=Benefits|Equal|$)", r"Compensation:?(.+?)(?=Benefits|Equal|$)", r"()\$[0-9,.]+K?\s*-\s*\$[0-9,.]+K?"],
+}
+
+
+def labelled_fields(text: Column) -> Column:
+    """struct of the five fields of a plain text: what follows a label, or the match of a pattern without one. Texts
+    under three characters are null."""
+    flat = squish(text)
+
+    def field(patterns: list[str]) -> Column:
+        found = [F.when(flat.rlike(f"(?i){p}"), F.regexp_substr(flat, F.lit(f"(?i){p}")) if p.startswith("()") else F.regexp_extract(flat, f"(?i){p}", 1)) for p in patterns]
+        return clean_text(F.coalesce(*found))
+
+    return F.struct(*[field(ps).alias(name) for name, ps in LABELS.items()])

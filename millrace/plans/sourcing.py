@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalars as S
 from millrace.operators import store, supply
-from millrace.operators.ingest import in_country, latest_exports
+from millrace.operators.ingest import in_country, ingest, latest_exports
 from millrace.registry import query, table
 from millrace.sources import captured, listings
 from millrace.sources.workspace import workspace
@@ -207,3 +207,75 @@ def run_start(spark: SparkSession, d: str) -> DataFrame:
 def company_by_name(spark: SparkSession, d: str) -> DataFrame:
     """The first company of a name."""
     return table(spark, d, "customer").filter(F.col("c_name") == "Customer#000000007").select("c_custkey", "c_name", "c_acctbal").limit(1)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0")
+def company_config(spark: SparkSession, d: str) -> DataFrame:
+    """A configuration file with a flag, read again for the active ones."""
+    path = workspace(spark, "companies")
+    table(spark, d, "customer").select("c_custkey", "c_name", (F.col("c_custkey") % 3 != 0).alias("active")).write.option("header", True).csv(path)
+    return captured.read_companies(spark, path, "c_custkey bigint, c_name string, active boolean").drop("active")
+
+
+@query("SELECT n_regionkey, CAST(n_nationkey AS VARCHAR) AS value, n_name AS text FROM nation WHERE n_nationkey % 4 <> 0")
+def option_leaves(spark: SparkSession, d: str) -> DataFrame:
+    """Options of a page's list; groups of institutions are left out."""
+    one = F.struct(F.col("n_nationkey").cast("string").alias("Value"), F.col("n_name").alias("Text"), (F.col("n_nationkey") % 4 == 0).alias("IsGroup"))
+    lists = table(spark, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.collect_list(one)).alias("body"))
+    return lists.select("n_regionkey", F.explode(captured.leaf_options(F.col("body"))).alias("o")).select("n_regionkey", "o.*")
+
+
+@query("SELECT 'https://x.example/jobs/' || p_partkey AS job_url FROM part WHERE p_partkey % 3 <> 0")
+def sitemap_index(spark: SparkSession, d: str) -> DataFrame:
+    """An index of sitemaps, of which one isn't listed."""
+    part = F.pmod(F.col("p_partkey"), F.lit(3))
+    loc = _text("<url><loc>https://x.example/jobs/", F.col("p_partkey"), "</loc></url><url><loc>https://x.example/about/", F.col("p_partkey"), "</loc></url>")
+    maps = table(spark, d, "part").groupBy(part.alias("k"), F.expr("p_partkey div 500").alias("n")).agg(F.array_join(F.collect_list(loc), "").alias("urls"))
+    maps = maps.select("k", _text("https://x.example/map-", F.col("k"), "-", F.col("n"), ".xml").alias("url"), _text("<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>", F.col("urls"), "</urlset>").alias("xml"))
+    index = maps.filter("k <> 0").agg(F.array_join(F.collect_list(_text("<sitemap><loc>", F.col("url"), "</loc></sitemap>")), "").alias("all"))
+    index = index.select(F.lit("https://x.example/sitemap.xml").alias("url"), _text("<sitemapindex>", F.col("all"), "</sitemapindex>").alias("xml"))
+    return captured.crawl_sitemaps(maps.select("url", "xml").unionByName(index), "https://x.example/sitemap.xml", r"/jobs/\d+")
+
+
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS category FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) BETWEEN 1994 AND 1996")
+def dashboard_download(spark: SparkSession, d: str) -> DataFrame:
+    """The filtered frame as a CSV download, read again."""
+    rows = table(spark, d, "orders").filter(supply.in_years("o_orderdate", 1994, 1996)).select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("category"))
+    path = workspace(spark, "download")
+    captured.write_export(supply.dashboard_filter(rows, category="1-URGENT"), path)
+    return spark.read.schema("o_orderkey bigint, year int, category string").option("header", True).csv(path)
+
+
+@query("SELECT p_partkey, p_partkey % 4 IN (0, 1) AS hit FROM part")
+def trade_keywords(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 4
+    text = F.when(k == 0, "a Mixed-Signal design").when(k == 1, "works on cmos.").when(k == 2, "fabric and chips").otherwise("icing, yielding")
+    return table(spark, d, "part").select("p_partkey", S.has_keyword(text).alias("hit"))
+
+
+@query("""SELECT p_partkey, 'build ' || p_brand AS job_responsibilities, CASE WHEN p_partkey % 2 = 0 THEN 'degree in ' || p_type END AS min_education, CASE WHEN p_partkey % 3 <> 0 THEN p_size || ' years' END AS min_experience,
+CASE WHEN p_partkey % 2 = 1 THEN 'likes ' || p_type END AS preferred_qualifications, '$' || p_size || ' - $' || (p_size + 1) AS salary_range FROM part""")
+def text_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of plain texts by their labels, in any order and case."""
+    k = F.col("p_partkey")
+    text = _text("RESPONSIBILITIES: build ", F.col("p_brand"), " Requirements:", F.when(k % 2 == 0, _text(" Education: degree in ", F.col("p_type"))).otherwise(""), F.when(k % 3 != 0, _text(" Experience: ", F.col("p_size"), " years")).otherwise(""), " Skills none", F.when(k % 2 == 1, _text(" Nice to have: likes ", F.col("p_type"))).otherwise(""), " Salary range: $", F.col("p_size"), " - $", F.col("p_size") + 1, "  Benefits: all")
+    return table(spark, d, "part").select("p_partkey", S.labelled_fields(text).alias("f")).select("p_partkey", "f.*")
+
+
+@query("""SELECT 'u' || p_partkey AS job_url, 'C' || p_partkey % 5 AS company_name, p_name AS job_title, 'Austin, Texas' AS location, '2026-01-02' AS posting_date, 'Build ' || p_brand AS job_responsibilities,
+CASE WHEN p_partkey % 2 = 0 THEN 'Bachelor of ' || p_type END AS min_education, CASE WHEN p_partkey % 2 = 1 THEN 'Knows ' || p_type END AS min_experience, 'R-' || p_partkey AS job_identification FROM part WHERE p_partkey % 7 <> 0""")
+def ingest_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads of several platforms into an empty store; a listing that comes twice is one posting."""
+    k = F.col("p_partkey")
+    platform = F.when(k % 3 == 0, "boeing").when(k % 3 == 1, "talentbrew").otherwise("dayforce")
+    head = F.when(k % 3 == 0, "Position Responsibilities").when(k % 3 == 1, "What You'll Be Doing").otherwise("Responsibilities")
+    need = F.when(k % 3 == 0, "Basic Qualifications").when(k % 3 == 1, "What You'll Need").otherwise("Required Qualifications")
+    line = F.when(k % 2 == 0, _text("Bachelor of ", F.col("p_type"))).otherwise(_text("Knows ", F.col("p_type")))
+    body = _text("<h3>", head, "</h3><ul><li>Build ", F.col("p_brand"), "</ul><h3>", need, "</h3><ul><li>", line, "</ul>")
+    place = F.when((k % 7 == 0) & (k % 3 < 2), "Paris, France").otherwise("Austin, Texas")
+    rows = table(spark, d, "part").filter((k % 7 != 0) | (k % 3 < 2))
+    rows = rows.select(platform.alias("platform"), _text("C", k % 5).alias("company_name"), _text("u", k).alias("url"), F.col("p_name").alias("title"), place.alias("location"), body.alias("body"), F.lit("Posted: 01/02/2026").alias("posted"), k.alias("ord"), _text("R-", k).alias("job_identification"), F.lit("2026-03-31").cast("date").alias("as_of"))
+    empty = spark.createDataFrame([], "job_url string, company_name string, job_title string, location string, posting_date date")
+    again = rows.withColumns({"ord": F.col("ord") - 1_000_000_000, "title": F.lit("older"), "company_name": F.col("company_name")})
+    out = ingest(empty, rows.unionByName(again))
+    return out.select("job_url", "company_name", "job_title", "location", F.col("posting_date").cast("string").alias("posting_date"), "job_responsibilities", "min_education", "min_experience", "job_identification")

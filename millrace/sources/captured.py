@@ -135,3 +135,27 @@ def oracle_listing(body: Column) -> Column:
 def results_html(body: Column) -> Column:
     """The HTML fragment of a listing that comes as JSON."""
     return F.get_json_object(body, "$.results")
+
+
+def read_companies(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The active companies of a configuration file with a header."""
+    return spark.read.schema(schema).options(header=True, **NULLS).csv(path).filter("active")
+
+
+def leaf_options(body: Column) -> Column:
+    """value and text of the options that are no groups, from a JSON list."""
+    options = F.from_json(body, F.lit("array<struct<Value:string,Text:string,IsGroup:boolean>>"))
+    return F.transform(F.filter(options, lambda o: ~o["IsGroup"]), lambda o: F.struct(o["Value"].alias("value"), o["Text"].alias("text")))
+
+
+def sitemaps_of(xml: Column) -> Column:
+    """Locations of the sitemaps that an index lists; none where the file is no index."""
+    return F.xpath(xml, F.lit("//sitemap/loc/text()"))
+
+
+def crawl_sitemaps(files: DataFrame, start: str, pattern: str) -> DataFrame:
+    """Matching locations of a sitemap and of those that it lists as an index. files: url, xml, as captured."""
+    first = files.filter(F.col("url") == start)
+    listed = first.select(F.explode(sitemaps_of(F.col("xml"))).alias("of")).distinct()
+    rows = first.select("xml").unionByName(files.join(listed, F.col("url") == F.col("of")).select("xml"))
+    return rows.select(F.explode(sitemap_urls(F.col("xml"), pattern)).alias("job_url")).distinct()
