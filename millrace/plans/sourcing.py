@@ -218,7 +218,7 @@ def company_config(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("SELECT n_regionkey, CAST(n_nationkey AS VARCHAR) AS value, n_name AS text FROM nation WHERE n_nationkey % 4 <> 0")
-def option_leaves(spark: SparkSession, d: str) -> DataFrame:
+def leaf_option_list(spark: SparkSession, d: str) -> DataFrame:
     """Options of a page's list; groups of institutions are left out."""
     one = F.struct(F.col("n_nationkey").cast("string").alias("Value"), F.col("n_name").alias("Text"), (F.col("n_nationkey") % 4 == 0).alias("IsGroup"))
     lists = table(spark, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.collect_list(one)).alias("body"))
