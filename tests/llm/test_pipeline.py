@@ -19,13 +19,13 @@ def words(n, seed):
 def test_stages_on_planted_rows(spark, tmp_path):
     item = "what is the distance that a train covers in one hour when it goes as fast as the other one"
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    rows = [(1, words(50, 1)), (2, words(50, 1)), (3, words(800, 3)), (4, words(400, 3) + "\n" + words(800, 3)[-2800:]), (5, "too short"), (6, None), (7, words(60, 7) + " " + item), (8, words(90, 8)), (8, words(90, 8)), (None, words(70, 9)), (None, words(70, 9)), (10, "same line here again ok now\n" * 9), (11, words(30, 11))]
+    rows = [(1, words(50, 1)), (2, words(50, 1)), (3, words(800, 3)), (4, words(400, 3) + "\n" + words(800, 3)[-2800:]), (5, "too short"), (6, None), (7, words(60, 7) + " " + item), (8, words(90, 8)), (8, words(90, 8)), (None, words(70, 9)), (None, words(70, 9)), (10, "same line here again ok now\n" * 9), (11, words(30, 11)), (12, words(9000, 12))]
     df = spark.createDataFrame([(i, t, "en", f"s{k % 3}", 0) for k, (i, t) in enumerate(rows)], SCHEMA)
     df.write.parquet(str(tmp_path / "documents.parquet"))
     got = cp.run(spark, str(tmp_path)).collect()
     kept = [r.doc_id for r in got]
     # 4 is nearly all of 3, put together from two parts
-    assert sorted(x for x in kept if x is not None) == [1, 3, 8, 11] and kept.count(None) == 1
+    assert sorted(x for x in kept if x is not None) == [1, 3, 8, 11, 12] and kept.count(None) == 1
     clash = df.selectExpr("*", *[f"{k} AS {c}" for k, c in enumerate("other row own leaking t host settled carry w h of other_id component_id".split())])
     for name, stage in cp.STAGES[:-1]:
         out = stage(spark, clash, str(tmp_path))
