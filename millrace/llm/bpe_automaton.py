@@ -46,7 +46,7 @@ BLANK = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 REMEMBERED = 64_000_000
 #: Characters of text whose segments are encoded together, bytes of the longest words that step together, and
 #: arcs that are held as a table at a time.
-_STEP, TOGETHER, MOST_ARCS = 1 << 20, 64, 2_000_000
+_STEP, TOGETHER, MOST_ARCS = 1 << 19, 64, 2_000_000
 _NEVER = 1 << 30
 _loaded: dict[str, "Automaton"] = {}
 
@@ -222,7 +222,7 @@ class Automaton:
         starts = np.cumsum(sizes) - sizes
         data = np.frombuffer(b"".join(words[k] for k in todo), np.uint8).astype(np.int64)
         n, longest = len(todo), int(sizes[0])
-        path = np.zeros((longest + 1, n), np.int64)
+        path = np.zeros((longest + 1, n), np.int32)
         node = np.zeros(n, np.int64)
         for pos in range(1, longest + 1):
             m = int(np.searchsorted(-sizes, -pos, side="right"))  # words that are this long
@@ -244,14 +244,14 @@ class Automaton:
                 begin = pos - self.size_table[label]
                 there = begin == 0
                 inner = np.flatnonzero(~there)
-                there[inner] = self.arc(path[begin[inner], open_[inner]] << 20 | label[inner])
+                there[inner] = self.arc(path[begin[inner], open_[inner]].astype(np.int64) << 20 | label[inner])
                 open_ = open_[~there]
                 t[open_] = self.shorter_table[t[open_]]
             path[pos, :m] = t
         place, live = sizes.copy(), np.arange(n)
         found: list[np.ndarray] = []
         while len(live):  # labels from the last to the first
-            row = np.full(n, -1)
+            row = np.full(n, -1, np.int32)
             row[live] = path[place[live], live]
             found.append(row)
             place[live] -= self.size_table[row[live]]
