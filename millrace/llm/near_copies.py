@@ -9,10 +9,12 @@ under REACH bits with 0.98, so all WORDS miss it with a chance of 0.005, and one
 Every candidate is verified on the sets themselves before it is linked.
 
 1. texts with equal sets are one node, named by a hash of the set, so exact copies cost no pairs;
-2. nodes that meet in a bucket within REACH bits are clusters. In each cluster one node is compared with
-   all others, twice with another node in turn; a cluster whose nodes are all in one class is done, so
-   a cluster of k near copies costs about k comparisons and not k * k;
-3. in the clusters left, all pairs between different classes are compared.
+2. nodes that meet in a bucket within REACH bits are linked, and components of such links are clusters, so
+   a pair is in one cluster however often it meets. In each cluster a few nodes are compared with all
+   others, in the next turn more of them with those of other classes; a cluster whose nodes are all in
+   one class is done, so a cluster of k near copies costs a multiple of k comparisons and not k * k;
+3. in the clusters left, all pairs between different classes are compared: mostly one large class and the
+   few nodes that no turn has reached.
 
 Pairs are compared on all fingerprints first (FARTHEST bits), so sets meet only where they are close.
 Sets are rebuilt only for documents with a candidate. A node with more than `block` pairs meets them
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import cut, ship
 from millrace.llm.components import components
-from millrace.llm.simhash import SEED, buckets, majority, shingle_hashes, stream_links
+from millrace.llm.simhash import SEED, buckets, link_batches, majority, shingle_hashes
 
 #: Fingerprints of a text, the bits that each is searched for, and the most bits between candidates in one and in all.
 WORDS, DISTANCE, REACH, FARTHEST = 4, 8, 13, 64
@@ -80,23 +82,6 @@ def signature_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], ["row", "node", "prints"])
 
 
-def cluster_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) of each class of a bucket; the key is a hash of its nodes, so it is the same wherever they meet."""
-    for a, b, of in stream_links(batches, REACH):
-        nodes, of = np.concatenate([a, b]), np.concatenate([of, of])
-        order = np.lexsort((nodes, of))
-        nodes, of = nodes[order], of[order]
-        first = np.append(True, of[1:] != of[:-1])
-        own = first | np.append(True, nodes[1:] != nodes[:-1])
-        nodes, first = nodes[own], first[own]
-        starts = np.flatnonzero(first)
-        mixed = remixed(nodes.view(np.uint64), 0)
-        sums = np.add.reduceat(mixed, starts) + np.bitwise_xor.reduceat(remixed(mixed, 1), starts)
-        sizes = np.diff(np.append(starts, len(nodes)))
-        more = np.repeat(sizes > 1, sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(sums, sizes).view(np.int64)[more], pa.int64()), pa.array(nodes[more], pa.int64())], ["key", "node"])
-
-
 def set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
@@ -137,41 +122,42 @@ def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.filter(apart <= FARTHEST).select("a", "b")
 
 
-def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 2048, broadcast_keys: int = 10_000, turns: int = 2) -> DataFrame:
+def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 2048, broadcast_keys: int = 10_000, turns: tuple[int, ...] = (8, 32)) -> DataFrame:
     """Verified pairs (a, b) that connect all similar nodes of a cluster.
 
-    members: key, node; nodes: node, prints; sets: node, found.
+    members: key, node; nodes: node, prints; sets: node, found. turns: about how many nodes of a cluster meet all
+    others in each turn; they are drawn by a hash.
     """
     spark = members.sparkSession
     tried = found = spark.createDataFrame([], "a long, b long")
     labelled = members.withColumn("root", F.col("node"))
-    for turn in range(turns + 1):
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("pivot")
-        live = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), pivot).filter("low <> high")
-        live = cut(live.select(F.col("key").alias("of"), F.col("pivot.node").alias("a"), F.col("pivot.root").alias("a_root")), "clusters")
+    for turn, most in enumerate([*turns, None]):
+        live = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter("low <> high")
+        live = cut(live.select(F.col("key").alias("of"), "size"), "clusters")
         if live.isEmpty():
             break
-        if turn < turns:
-            pairs = labelled.join(live, F.col("key") == F.col("of")).filter("root <> a_root").select("a", F.col("node").alias("b"))
-        else:
-            rest = cut(labelled.join(live.select("of"), F.col("key") == F.col("of"), "left_semi"), "open-clusters")
-            other = rest.select(F.col("key").alias("of"), F.col("node").alias("a"), F.col("root").alias("a_root"))
-            pairs = rest.join(other, (F.col("key") == F.col("of")) & (F.col("root") != F.col("a_root")) & (F.col("a") < F.col("node"))).select("a", F.col("node").alias("b"))
-        pairs = cut(close(pairs.distinct().join(tried, ["a", "b"], "left_anti"), nodes), "candidates")
+        rest = cut(labelled.join(live, F.col("key") == F.col("of")).select("key", "node", "root", "size"), "open-clusters")
+        some = rest if most is None else rest.filter(F.expr(f"pmod(xxhash64(node, {turn}), greatest(1, size div {most})) = 0"))
+        some = some.select(F.col("key").alias("of"), F.col("node").alias("a"), F.col("root").alias("a_root"))
+        pairs = rest.join(some, (F.col("key") == F.col("of")) & (F.col("root") != F.col("a_root"))).select("a", F.col("node").alias("b"))
+        if most is None:
+            pairs = pairs.filter("a < b")
+        pairs = cut(close(pairs.join(tried, ["a", "b"], "left_anti"), nodes), "candidates")
         tried = tried.union(pairs).union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         found = found.union(cut(verified(pairs, sets, percent, block, broadcast_keys), "verified"))
-        if turn < turns:
+        if most is not None:
             of = components(found, "a", "b").select(F.col("node").alias("linked"), F.col("root").alias("to"))
             labelled = cut(members.join(of, F.col("node") == F.col("linked"), "left").select("key", "node", F.coalesce("to", "node").alias("root")), "labelled")
     return found
 
 
 def clusters(nodes: DataFrame, block: int) -> DataFrame:
-    """key and node of the clusters in the buckets of all fingerprints. nodes: node, prints."""
+    """key and node of the clusters: what the buckets of all fingerprints link. nodes: node, prints."""
     rows = buckets(nodes.select("node", F.col("prints").alias("fps")), DISTANCE, block, WORDS)
     if rows is None:
         return nodes.sparkSession.createDataFrame([], "key long, node long")
-    return rows.mapInArrow(cluster_batches, "key long, node long").distinct()
+    met = rows.mapInArrow(lambda b: link_batches(b, REACH), "a long, b long").distinct()
+    return components(met, "a", "b").select(F.col("root").alias("key"), "node")
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
