@@ -11,7 +11,7 @@ Every candidate is verified on the sets themselves before it is linked.
 1. texts with equal sets are one node, named by a hash of the set, so exact copies cost no pairs;
 2. nodes that meet in a bucket within REACH bits are linked, and components of such links are clusters, so
    a pair is in one cluster however often it meets. In each cluster a few nodes are compared with all
-   others, in the next turn more of them with those of other classes; a cluster whose nodes are all in
+   others, in the next turn more of them and the one that lies closest to the first with other classes; a cluster whose nodes are all in
    one class is done, so a cluster of k near copies costs a multiple of k comparisons and not k * k;
 3. in the clusters left, all pairs between different classes are compared: mostly one large class and the
    few nodes that no turn has reached.
@@ -113,13 +113,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int, broadc
     return met.filter(both * 100 >= percent * (F.size("a_set") + F.size("b_set") - both)).select("a", "b")
 
 
-def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that differ in at most FARTHEST bits of all their fingerprints."""
+def distances(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) and in how many bits of all their fingerprints they differ (apart)."""
     left = nodes.select(F.col("node").alias("a_node"), F.col("prints").alias("a_prints"))
     right = nodes.select(F.col("node").alias("b_node"), F.col("prints").alias("b_prints"))
     met = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node"))
     apart = sum((F.bit_count(F.col("a_prints")[k].bitwiseXOR(F.col("b_prints")[k])) for k in range(WORDS)), F.lit(0))
-    return met.filter(apart <= FARTHEST).select("a", "b")
+    return met.select("a", "b", apart.alias("apart"))
 
 
 def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 2048, broadcast_keys: int = 10_000, turns: tuple[int, ...] = (8, 32)) -> DataFrame:
@@ -130,7 +130,7 @@ def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, b
     """
     spark = members.sparkSession
     tried = found = spark.createDataFrame([], "a long, b long")
-    labelled = members.withColumn("root", F.col("node"))
+    labelled, centre = members.withColumn("root", F.col("node")), None
     for turn, most in enumerate([*turns, None]):
         live = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter("low <> high")
         live = cut(live.select(F.col("key").alias("of"), "size"), "clusters")
@@ -142,7 +142,13 @@ def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, b
         pairs = rest.join(some, (F.col("key") == F.col("of")) & (F.col("root") != F.col("a_root"))).select("a", F.col("node").alias("b"))
         if most is None:
             pairs = pairs.filter("a < b")
-        pairs = cut(close(pairs.join(tried, ["a", "b"], "left_anti"), nodes), "candidates")
+        if centre is not None and most is not None:  # what is close to the nodes of the turn before is close to most
+            hub = rest.join(centre, "node", "left_semi").select(F.col("key").alias("of"), F.col("node").alias("a"), F.col("root").alias("a_root"))
+            pairs = pairs.union(rest.join(hub, (F.col("key") == F.col("of")) & (F.col("root") != F.col("a_root"))).select("a", F.col("node").alias("b"))).distinct()
+        apart = cut(distances(pairs.join(tried, ["a", "b"], "left_anti"), nodes), "distances")
+        mean = apart.groupBy(F.col("b").alias("node")).agg(F.avg("apart").alias("m"))
+        centre = mean.join(rest.select("node", "key"), "node").groupBy("key").agg(F.min_by("node", F.struct("m", "node")).alias("node")).select("node")
+        pairs = apart.filter(F.col("apart") <= FARTHEST).select("a", "b")
         tried = tried.union(pairs).union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         found = found.union(cut(verified(pairs, sets, percent, block, broadcast_keys), "verified"))
         if most is not None:
