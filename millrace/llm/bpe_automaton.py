@@ -43,7 +43,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}
 BLANK = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 #: Bytes of distinct segments and of their ids that a worker remembers at a time; a memory bound without
 #: effect on results.
-REMEMBERED = 64_000_000
+REMEMBERED = 128_000_000
 #: Characters of text whose segments are encoded together, bytes of the longest words that step together, and
 #: arcs that are held as a table at a time.
 _STEP, TOGETHER, MOST_ARCS = 1 << 19, 64, 2_000_000
