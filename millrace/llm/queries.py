@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.alignment import aligned
 from millrace.llm.bpe_automaton import bpe_round_trip
 from millrace.llm.chat import digests, formatted, from_turns
 from millrace.llm.common import table
 from millrace.llm.decontaminate import leaks
 from millrace.llm.html_extract import extract
+from millrace.llm.pieces import piece_round_trip
 from millrace.llm.ppm import lm_scores
 from millrace.llm.quality import judged
 from millrace.llm.sharding import shard
 from millrace.llm.simhash import near_duplicates
+from millrace.llm.spelling import spelling_variants
 from millrace.llm.token_counts import token_counts
 from millrace.llm.warc import archived
 
@@ -69,7 +72,19 @@ def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op8_reply_trees, op9_ppm_scores, op10_template_leaks)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), least=6, least_n=5, ratio=5, one_in=199)
+
+
+def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+OPS = (op1_simhash_near_dedup, op2_token_counts, op3_shards, op4_bpe_round_trip, op5_min_cut_text, op6_warc_round_trip, op7_host_rules, op8_reply_trees, op9_ppm_scores, op10_template_leaks, op11_spelling_variants, op12_piece_round_trip, op13_token_alignment)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPS}
 ORACLE_SQL: dict[str, str] = {}
 
