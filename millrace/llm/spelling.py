@@ -10,9 +10,10 @@ frequent near word if that is `ratio` times as frequent or more, and its root is
    asked in the groups of length l, and asked in those of length l - 1 (the length limit).
 3. In a group every word asks an index of (2-gram, place) -> words. The postings of its grams, at the same
    place for equal lengths and there or one before for a word with one letter more (the position limit),
-   are sorted lists that a heap merges; a word that comes up max(lengths) - 3 times or more shares as many
-   grams as one edit leaves. The two grams of the anchor are common to the whole group, so they are taken
-   off the bound instead of being merged. What is left is verified letter by letter.
+   are sorted lists; a word that is in max(lengths) - 3 or more of them shares as many grams as one edit
+   leaves. The two grams of the anchor are common to the whole group, so they are taken off the bound. A heap
+   merges the shortest lists, of which no word can miss all and keep the bound, the longer ones are searched
+   for what comes out, and what keeps the bound is verified letter by letter.
 4. A group of more than `block` words is dealt into blocks, and each pair of blocks is a group of its own.
 5. Counts and best near words are partial aggregates by word; roots come from doubling the chains of forms.
 
@@ -25,6 +26,7 @@ their names.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, groupby, repeat
@@ -106,16 +108,24 @@ class Index:
             self.postings.setdefault((word[p : p + GRAM], p), []).append(number)
 
     def share(self, word: str, places: range, shift: int, bound: int) -> Iterator[int]:
-        """Numbers that stand in `bound` or more of the postings of the word's grams, each found at its place or
-        up to `shift` before."""
+        """Numbers that share the grams of `bound` or more of the places, each found there or up to `shift` before.
+
+        Such a number is in the postings of at least one of any len(places) - bound + 1 places. So only those with
+        the fewest postings are merged, and the others are searched for what comes out.
+        """
         find = self.postings.get
-        lists = [x for p in places for s in range(shift + 1) if (x := find((word[p : p + GRAM], p - s)))]
-        if bound == 1 and len(lists) == 1:
-            yield from lists[0]
-        elif len(lists) >= bound:
-            for number, times in groupby(heapq.merge(*lists)):
-                if bound == 1 or sum(1 for _ in times) >= bound:
-                    yield number
+        every = [[x for s in range(shift + 1) if (x := find((word[p : p + GRAM], p - s)))] for p in places]
+        every.sort(key=lambda lists: sum(map(len, lists)))
+        merged, others = every[: len(every) - bound + 1], every[len(every) - bound + 1 :]
+        for number, times in groupby(heapq.merge(*chain.from_iterable(merged))):
+            count, left = sum(1 for _ in times), len(others)
+            for lists in others:
+                if count >= bound or count + left < bound:
+                    break
+                left -= 1
+                count += any(x[at] == number for x in lists if (at := bisect_left(x, number)) < len(x))
+            if count >= bound:
+                yield number
 
 
 def group_pairs(side: int, size: int, crossed: bool, words: list[str], blocks: list[int]) -> Iterator[tuple[int, int]]:
@@ -156,7 +166,7 @@ def near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield handed()
 
 
-def near_words(words: DataFrame, block: int = 20_000, broadcast_keys: int = 10_000) -> DataFrame:
+def near_words(words: DataFrame, block: int = 4_000, broadcast_keys: int = 10_000) -> DataFrame:
     """word, n, near and near_n of all pairs of near words, both ways. words: word and n, each word once."""
     size = F.char_length("word")
     ends = F.array(F.struct(F.lit(0).alias("side"), F.left("word", F.lit(ANCHOR)).alias("anchor")), F.struct(F.lit(1).alias("side"), F.right("word", F.lit(ANCHOR)).alias("anchor")))
@@ -192,7 +202,7 @@ def roots(forms: DataFrame, broadcast_bytes: int = 1 << 25) -> DataFrame:
             return moving.select("word", "root")
 
 
-def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, least_n: int = 5, ratio: int = 5, one_in: int | None = None, block: int = 20_000) -> DataFrame:
+def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, least_n: int = 5, ratio: int = 5, one_in: int | None = None, block: int = 4_000) -> DataFrame:
     """word, n, n_near, form, form_n and root of each word. With one_in, that share of the words first loses a
     letter, picked by checksums, so that there are known misspellings to find."""
     if least < LEAST:
