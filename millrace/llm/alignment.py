@@ -25,9 +25,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,45 +40,52 @@ from millrace.llm.pieces import Model, model, runs
 #: Pairs with over 1 of so many incidences are broadcast.
 SHARE = 2_000_000
 #: Chunks that a worker remembers and the bytes they may have; pairs that a task counts before it hands them on.
-REMEMBERED, REMEMBERED_BYTES, _COUNTED = 300_000, 1 << 26, 2_000_000
+REMEMBERED, REMEMBERED_BYTES, _COUNTED = 500_000, 1 << 27, 2_000_000
 #: A space, and all up to the next space that follows a character that isn't white space.
 _CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
-_loaded: dict[tuple[str, str], "Aligner"] = {}
+_SPACES = re.compile(r"\s ")
+_loaded: dict[tuple[str, str, bool], "Aligner"] = {}
 
 
-def stab(a_ends: list[int], b_ends: list[int]) -> Iterator[tuple[int, int, bool]]:
+def stab(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each A token the first and last B token that it overlaps, and whether a B token ends with it."""
-    start = 0
-    for end in a_ends:
-        last = bisect_left(b_ends, end)
-        yield bisect_right(b_ends, start), last, b_ends[last] == end
-        start = end
+    last = np.searchsorted(b_ends, a_ends)
+    first = np.searchsorted(b_ends, np.concatenate(([0], a_ends[:-1])), "right")
+    return first, last, b_ends[last] == a_ends
+
+
+class Grown:
+    """An array to which rows are added at the end."""
+
+    def __init__(self, *width: int) -> None:
+        self.data, self.n = np.zeros((1024, *width), np.int64), 0
+
+    def add(self, rows: np.ndarray) -> None:
+        if self.n + len(rows) > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros((self.n + 2 * len(rows), *self.data.shape[1:]), np.int64)])
+        self.data[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)
 
 
 class Chunks:
-    """Figures of the chunks met so far, by number: sizes in columns, id pairs as a list of runs."""
+    """What is known of the chunks met so far, by number: figures (n_a, n_b, n_groups, n_links, whether its bytes don't
+    come back, and the place behind its last pair), groups as text, and the codes of all linked pairs in a row."""
 
     def __init__(self) -> None:
         self.numbers: dict[str, int] = {}
         self.groups: list[bytes] = []
-        self.rows: list[tuple[int, int, int, int, int]] = []
-        self.pairs: list[np.ndarray] = []
+        self.figures, self.pairs = Grown(6), Grown()
         self.bytes = 0
-        self.settle()
-
-    def settle(self) -> None:
-        """Bring the columns up to date."""
-        self.figures = np.array(self.rows, np.int64).reshape(-1, 5)
-        self.ends = np.concatenate(([0], np.cumsum([len(p) for p in self.pairs]))).astype(np.int64)
-        self.codes = np.concatenate(self.pairs) if self.pairs else np.zeros(0, np.int64)
 
 
 class Aligner:
-    """Two vocabulary files: A for the tokenizers library (byte level), B for sentencepiece."""
+    """Two vocabulary files: A for the tokenizers library (byte level), B for sentencepiece. With `written`,
+    groups are also kept as text."""
 
-    def __init__(self, a_path: str, b_path: str) -> None:
+    def __init__(self, a_path: str, b_path: str, written: bool) -> None:
         from tokenizers import Tokenizer
 
+        self.written = written
         self.a = Tokenizer.from_file(a_path)
         self.a.no_truncation()
         self.a.no_padding()
@@ -92,66 +98,91 @@ class Aligner:
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(c): c for c in own} | {chr(256 + k): c for k, c in enumerate(c for c in range(256) if c not in own)}
         self.label = {i: bytes(map(byte.__getitem__, t)) if set(t) <= byte.keys() else t.encode() for t, i in self.a.get_vocab().items()}
+        self.a_sizes = np.array([len(self.label.get(i, b"")) for i in range(max(self.label) + 1)])
+        self.b_sizes = np.array([*map(len, self.b.labels)])
+        # ids of A as words with a comma or a bar behind them, and of B with a comma or a semicolon
+        self.b_from = 3 * len(self.a_sizes)
+        self.words = [f"{i}{sign}" for i in range(max(len(self.a_sizes), len(self.b_sizes))) for sign in ",|;"]
+        self.words = self.words[: self.b_from] + self.words[: 3 * len(self.b_sizes)]
         self.chunks = Chunks()
 
     def cut(self, text: str) -> list[str]:
-        """The chunks of a space and the text; none of an empty text."""
+        """The chunks of a space and the text, each without its first space; none of an empty text."""
         if not text:
             return []
-        return _CHUNK.findall(" " + text) if self.splits else [" " + text]
-
-    def align(self, chunk: str, a: list[int], b: list[int]) -> None:
-        """Enter a chunk: tokens, groups and links, whether its bytes come back, and the codes of its linked ids."""
-        whole, known = chunk.encode(), self.chunks
-        a_bytes, b_bytes = [self.label[i] for i in a], [self.b.labels[i] for i in b]
-        known.numbers[chunk] = len(known.rows)
-        known.bytes += 2 * len(chunk)
-        if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
-            known.rows.append((0, 0, 0, 0, 1))
-            known.groups.append(b"")
-            known.pairs.append(np.zeros(0, np.int64))
-            return
-        codes: list[int] = []
-        groups, a_from, b_from = [], 0, 0
-        for k, (first, last, ends) in enumerate(stab([*accumulate(map(len, a_bytes))], [*accumulate(map(len, b_bytes))])):
-            codes += [a[k] << 32 | i for i in b[first : last + 1]]
-            if ends:
-                groups.append(f"{','.join(map(str, a[a_from : k + 1]))}|{','.join(map(str, b[b_from : last + 1]))}")
-                a_from, b_from = k + 1, last + 1
-        known.rows.append((len(a), len(b), len(groups), len(codes), 0))
-        known.groups.append(";".join(groups).encode())
-        known.pairs.append(np.array(codes, np.int64))
-        known.bytes += 8 * len(codes) + len(known.groups[-1])
+        if not self.splits:
+            return [text]
+        return [c[1:] for c in _CHUNK.findall(" " + text)] if text[0] == " " or _SPACES.search(text) else text.split(" ")
+
+    def same(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Of which chunks both tokenizers give back the bytes."""
+        label, piece = self.label.__getitem__, self.b.labels.__getitem__
+        whole = "".join(f" {c}" for c in chunks).encode()
+        if b"".join(map(label, chain.from_iterable(a))) == whole == b"".join(map(piece, chain.from_iterable(b))):
+            return np.ones(len(chunks), bool)
+        return np.array([b"".join(map(label, x)) == f" {c}".encode() == b"".join(map(piece, y)) for c, x, y in zip(chunks, a, b, strict=True)], bool)
+
+    def learn(self, new: list[str]) -> None:
+        """Align chunks and enter them. All are laid end to end, so one index answers for all of them."""
+        a = [e.ids for e in self.a.encode_batch_fast([f" {c}" for c in new], add_special_tokens=False)]
+        b = self.b.segment(new)
+        known, good = self.chunks, self.same(new, a, b)
+        a, b = ([x if g else [] for x, g in zip(side, good.tolist(), strict=True)] for side in (a, b))
+        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(new)) for side in (a, b))
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
+        first, last, ends = stab(np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids]))
+        width = last - first + 1
+        of_a = np.repeat(np.arange(len(a_ids)), width)
+        codes = a_ids[of_a] << 32 | b_ids[np.repeat(first - np.cumsum(width) + width, width) + np.arange(len(of_a))]
+        chunk = np.repeat(np.arange(len(new)), n_a)
+        links = np.bincount(chunk, width, len(new)).astype(np.int64)
+        groups = np.bincount(chunk, ends, len(new)).astype(np.int64)
+        known.numbers.update(zip(new, range(known.figures.n, known.figures.n + len(new)), strict=True))
+        known.bytes += sum(map(len, new)) + 8 * len(codes)
+        if self.written:
+            found = self.group_texts(a_ids, b_ids, ends, last[ends], n_a + n_b)
+            known.groups += found
+            known.bytes += sum(map(len, found))
+        known.figures.add(np.stack([n_a, n_b, groups, links, ~good, known.pairs.n + np.cumsum(links)], 1))
+        known.pairs.add(codes)
+
+    def group_texts(self, a_ids: np.ndarray, b_ids: np.ndarray, a_ends: np.ndarray, b_last: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """The groups of each chunk as text: tokens by group, those of A first, each with the sign behind it."""
+        b_ends = np.zeros(len(b_ids), bool)
+        b_ends[b_last] = True
+        place = np.concatenate([2 * (np.cumsum(a_ends) - a_ends), 2 * (np.cumsum(b_ends) - b_ends) + 1])
+        signed = np.concatenate([a_ids * 3 + a_ends, self.b_from + b_ids * 3 + 2 * b_ends])[np.argsort(place, kind="stable")]
+        words, upto = [*map(self.words.__getitem__, signed.tolist())], np.cumsum(sizes).tolist()
+        return ["".join(words[i:j])[:-1].encode() for i, j in zip([0, *upto], upto, strict=False)]
 
     def numbered(self, texts: list[str]) -> list[np.ndarray]:
         """The numbers of each text's chunks in order; an empty array for a text without tokens."""
-        if len(self.chunks.rows) > REMEMBERED or self.chunks.bytes > REMEMBERED_BYTES:
+        if self.chunks.figures.n > REMEMBERED or self.chunks.bytes > REMEMBERED_BYTES:
             self.chunks = Chunks()
         known, every = self.chunks, [self.cut(t) for t in texts]
         new = [c for c in set().union(*every) if c not in known.numbers]
         if new:
-            a = self.a.encode_batch_fast(new, add_special_tokens=False)
-            for c, x, y in zip(new, a, self.b.segment([c[1:] for c in new]), strict=True):
-                self.align(c, x.ids, y)
-            known.settle()
-        out = [np.fromiter(map(known.numbers.__getitem__, chunks), np.int64, len(chunks)) for chunks in every]
-        return [n[:0] if len(n) and known.figures[n, 4].any() else n for n in out]
+            self.learn(new)
+        numbers, bad = known.numbers.__getitem__, known.figures.data[:, 4]
+        out = [np.fromiter(map(numbers, chunks), np.int64, len(chunks)) for chunks in every]
+        return [n[:0] if bad[n].any() else n for n in out]
 
     def linked(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The codes of the id pairs linked in some chunks, in order of the chunks, and the chunk of each."""
-        known = self.chunks
-        sizes = known.ends[numbers + 1] - known.ends[numbers]
-        at = np.repeat(known.ends[numbers] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum()) if len(numbers) else np.zeros(0, np.int64)
-        return known.codes[at], np.repeat(np.arange(len(numbers)), sizes)
+        sizes = self.chunks.figures.data[numbers, 3]
+        first = self.chunks.figures.data[numbers, 5] - sizes
+        of = np.repeat(np.arange(len(numbers)), sizes)
+        return self.chunks.pairs.data[(first - np.cumsum(sizes) + sizes)[of] + np.arange(len(of))], of
 
 
-def aligner(a_path: str, b_path: str) -> Aligner:
-    return _loaded.get((a_path, b_path)) or _loaded.setdefault((a_path, b_path), Aligner(a_path, b_path))
+def aligner(a_path: str, b_path: str, written: bool) -> Aligner:
+    key = (a_path, b_path, written)
+    return _loaded.get(key) or _loaded.setdefault(key, Aligner(*key))
 
 
 def pair_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     """pair and the number of texts that hold it linked, in sums over many texts."""
-    both, held, counts = aligner(a_path, b_path), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    both, held, counts = aligner(a_path, b_path, False), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
     def merged() -> None:
         pairs, at = np.unique(np.concatenate(held), return_inverse=True)
@@ -178,7 +209,7 @@ def pair_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) ->
 
 def figure_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, sent: Broadcast) -> Iterator[pa.RecordBatch]:
     """The figures of each text; count_sum and n_best of the pairs that are broadcast, and the other pairs."""
-    both = aligner(a_path, b_path)
+    both = aligner(a_path, b_path, True)
     pairs, counts, best = sent.value
     for batch in batches:
         columns: list[list] = [[] for _ in range(9)]
@@ -196,7 +227,7 @@ def figure_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str,
             groups = both.chunks.groups
             for n in numbers:
                 place = np.searchsorted(used, n)
-                for column, value in zip(columns, both.chunks.figures[n, :4].sum(0).tolist(), strict=False):
+                for column, value in zip(columns, both.chunks.figures.data[n, :4].sum(0).tolist(), strict=False):
                     column.append(value)
                 columns[4].append(int(bests[place].sum()))
                 columns[5].append(int(sums[place].sum()))
@@ -245,7 +276,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(a_path, b_path)
+        both = aligner(a_path, b_path, True)
         for batch in found:
             texts = [b";".join([both.chunks.groups[k] for k in n.tolist()]).decode() for run in runs(batch.column(1)) for n in both.numbered(run)]
             groups = [[dict(zip("ab", ([int(i) for i in side.split(",")] for side in g.split("|")), strict=True)) for g in t.split(";")] if t else [] for t in texts]
