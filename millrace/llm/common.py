@@ -82,6 +82,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A key with over 1 of so many rows is frequent; so fewer than this are.
+OFTEN = 200_000
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, n: int) -> DataFrame:
+    """rows joined to a table that has one row for each of their keys and `count`, its number of rows among all n.
+
+    Frequent keys are broadcast, so that none of them fills a task. Both sides are read twice, so they should be
+    written tables. The table's other columns must not be among those of rows.
+    """
+    often = F.col("count") * OFTEN > n
+    side = table.withColumnRenamed(key, "__key")
+    met = rows.join(F.broadcast(side.filter(often)), F.col(key) == F.col("__key"), "left")
+    rest = met.filter("__key is null").select(*rows.columns).join(side.filter(~often), F.col(key) == F.col("__key"))
+    return met.filter("__key is not null").union(rest).drop("__key", "count")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value worked out once, also where body uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]

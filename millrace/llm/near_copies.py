@@ -9,12 +9,14 @@ under REACH bits with 0.98, so all WORDS miss it with a chance of 0.005, and one
 Every candidate is verified on the sets themselves before it is linked.
 
 1. texts with equal sets are one node, named by a hash of the set, so exact copies cost no pairs;
-2. nodes that meet in a bucket within REACH bits are clusters. In each cluster one node is compared with
-   all others, twice with another node in turn; a cluster whose nodes are all in one class is done, so
-   a cluster of k near copies costs about k comparisons and not k * k;
-3. in the clusters left, all pairs between different classes are compared.
+2. nodes that meet in a bucket within REACH bits are clusters. A cluster's nodes are compared on all their
+   fingerprints together (FARTHEST bits, which no chance pair comes near), block by block inside tasks that
+   keep a spanning forest, and the components of these links are the candidates: each node is in one;
+3. in each component one node is verified with all others, twice with another node in turn; a component
+   whose nodes are all in one class is done, so k near copies cost about k comparisons and not k * k;
+4. in the components left, the sets of each pair of blocks meet in a task, which counts the shingles common to
+   all its pairs at once (a matrix product) and keeps a spanning forest of the links. No pairs are written.
 
-Pairs are compared on all fingerprints first (FARTHEST bits), so sets meet only where they are close.
 Sets are rebuilt only for documents with a candidate. A node with more than `block` pairs meets them
 in several parts.
 
@@ -27,6 +29,7 @@ gives an empty table; other columns of the input are ignored, whatever their nam
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +37,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, ship
+from millrace.llm.common import cut, look_up, ship
 from millrace.llm.components import components
-from millrace.llm.simhash import SEED, buckets, majority, shingle_hashes, stream_links
+from millrace.llm.simhash import SEED, buckets, dealt, link_batches, majority, shingle_hashes, stream_links
 
 #: Fingerprints of a text, the bits that each is searched for, and the most bits between candidates in one and in all.
 WORDS, DISTANCE, REACH, FARTHEST = 4, 8, 13, 64
+#: Sets of a block that are compared in a task.
+BLOCK = 512
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -104,6 +109,73 @@ def set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array(map(_name, sets), pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "found"])
 
 
+#: Shingle hashes of a block of sets, and columns of the matrix of which two blocks are multiplied at a time.
+_HASHES, _COLUMNS = 1 << 20, 1 << 12
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each pair of sets has in common."""
+    owner = np.repeat(np.arange(len(sets)), [*map(len, sets)])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.cumsum(times > 1) - 1
+    shared = times[column] > 1
+    owner, column = owner[shared], rank[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    found = np.zeros((len(sets), len(sets)), np.float32)
+    for k in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        i, j = np.searchsorted(column, [k, k + _COLUMNS])
+        part = np.zeros((len(sets), _COLUMNS), np.float32)
+        part[owner[i:j], column[i:j] - k] = 1
+        found += part @ part.T
+    return found
+
+
+def set_links(sets: list[np.ndarray], roots: list[int], percent: int) -> list[tuple[int, int]]:
+    """Pairs of positions that join the classes `roots` of sets by the links between them."""
+    class_of = {r: r for r in roots}
+
+    def find(r: int) -> int:
+        while class_of[r] != r:
+            class_of[r] = r = class_of[class_of[r]]
+        return r
+
+    both, sizes, out = common_counts(sets), np.array([*map(len, sets)]), []
+    names = np.unique(roots, return_inverse=True)[1]
+    for i in range(len(sets) - 1):
+        near = 100 * both[i, i + 1 :] >= percent * (sizes[i] + sizes[i + 1 :] - both[i, i + 1 :])
+        for j in (np.flatnonzero(near & (names[i + 1 :] != names[i])) + i + 1).tolist():
+            x, y = find(roots[i]), find(roots[j])
+            if x != y:
+                class_of[y] = x
+                out.append((i, j))
+    return out
+
+
+def verify_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) between the classes of each run of rows (key, pair, node, root, found)."""
+    rows = ((k, p, n, r, s) for b in batches for k, p, n, r, s in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4), strict=True))
+    for _, run in groupby(rows, key=lambda r: r[:2]):
+        _, _, nodes, roots, found = map(list, zip(*run, strict=True))
+        if len(set(roots)) > 1:
+            pairs = set_links([s.values.to_numpy() for s in found], roots, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[k] for k in side], pa.int64()) for side in (zip(*pairs, strict=True) if pairs else ((), ()))], ["a", "b"])
+
+
+def verified_inside(rows: DataFrame, sets: DataFrame, percent: int, block: int, hashes: int = _HASHES) -> DataFrame:
+    """Links (a, b) that join the classes of each component. rows: key, node and root of its nodes.
+
+    A component is dealt into blocks of about `block` sets and `hashes` hashes, and each pair of blocks is a task's run.
+    """
+    sized = cut(rows.join(sets.select(F.col("node").alias("of_node"), F.col("found")), F.col("node") == F.col("of_node")).select("key", "node", "root", "found"), "open-sets")
+    blocks = sized.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.size("found")).alias("hashes")).select(F.col("key").alias("of"), F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("hashes") / hashes), F.lit(1)).cast("long").alias("blocks"))
+    met = sized.join(blocks, F.col("key") == F.col("of"))
+    met = met.select("key", "node", "root", "found", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"), "blocks")
+    pair = F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")
+    runs = met.select("key", pair.alias("pair"), "node", "root", "found").repartition("key", "pair").sortWithinPartitions("key", "pair")
+    return runs.mapInArrow(lambda b: verify_batches(b, percent), "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int, broadcast_keys: int, broadcast_ids: int = 1_000_000) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are at least `percent` similar."""
     # a hub stands at a; each of its parts meets a copy of its set
@@ -137,41 +209,42 @@ def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.filter(apart <= FARTHEST).select("a", "b")
 
 
-def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 2048, broadcast_keys: int = 10_000, turns: int = 2) -> DataFrame:
-    """Verified pairs (a, b) that connect all similar nodes of a cluster.
+def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK, broadcast_keys: int = 10_000, turns: int = 2) -> DataFrame:
+    """Verified pairs (a, b) that connect all similar nodes of a component of candidates.
 
     members: key, node; nodes: node, prints; sets: node, found.
     """
     spark = members.sparkSession
-    tried = found = spark.createDataFrame([], "a long, b long")
+    found = spark.createDataFrame([], "a long, b long")
     labelled = members.withColumn("root", F.col("node"))
     for turn in range(turns + 1):
         pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("pivot")
-        live = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), pivot).filter("low <> high")
-        live = cut(live.select(F.col("key").alias("of"), F.col("pivot.node").alias("a"), F.col("pivot.root").alias("a_root")), "clusters")
+        live = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("count"), pivot)
+        live = cut(live.filter("low <> high").select("key", F.col("pivot.node").alias("a"), F.col("pivot.root").alias("a_root"), "count"), "clusters")
         if live.isEmpty():
             break
-        if turn < turns:
-            pairs = labelled.join(live, F.col("key") == F.col("of")).filter("root <> a_root").select("a", F.col("node").alias("b"))
-        else:
-            rest = cut(labelled.join(live.select("of"), F.col("key") == F.col("of"), "left_semi"), "open-clusters")
-            other = rest.select(F.col("key").alias("of"), F.col("node").alias("a"), F.col("root").alias("a_root"))
-            pairs = rest.join(other, (F.col("key") == F.col("of")) & (F.col("root") != F.col("a_root")) & (F.col("a") < F.col("node"))).select("a", F.col("node").alias("b"))
-        pairs = cut(close(pairs.distinct().join(tried, ["a", "b"], "left_anti"), nodes), "candidates")
-        tried = tried.union(pairs).union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # clusters that are done have no row in live
+        rest = cut(labelled.join(F.broadcast(live.select(F.col("key").alias("of"))) if live.count() <= broadcast_keys else live.select(F.col("key").alias("of")), F.col("key") == F.col("of"), "left_semi"), "open")
+        if turn == turns:
+            return found.union(cut(verified_inside(rest, sets, percent, block), "verified"))
+        pairs = look_up(rest, live, "key", rest.count()).filter("root <> a_root").select("a", F.col("node").alias("b"))
+        pairs = cut(close(pairs.distinct(), nodes), "candidates")
         found = found.union(cut(verified(pairs, sets, percent, block, broadcast_keys), "verified"))
-        if turn < turns:
-            of = components(found, "a", "b").select(F.col("node").alias("linked"), F.col("root").alias("to"))
-            labelled = cut(members.join(of, F.col("node") == F.col("linked"), "left").select("key", "node", F.coalesce("to", "node").alias("root")), "labelled")
+        of = components(found, "a", "b").select(F.col("node").alias("linked"), F.col("root").alias("to"))
+        labelled = cut(members.join(of, F.col("node") == F.col("linked"), "left").select("key", "node", F.coalesce("to", "node").alias("root")), "labelled")
     return found
 
 
 def clusters(nodes: DataFrame, block: int) -> DataFrame:
-    """key and node of the clusters in the buckets of all fingerprints. nodes: node, prints."""
+    """key and node of the components of candidates. nodes: node, prints."""
     rows = buckets(nodes.select("node", F.col("prints").alias("fps")), DISTANCE, block, WORDS)
     if rows is None:
         return nodes.sparkSession.createDataFrame([], "key long, node long")
-    return rows.mapInArrow(cluster_batches, "key long, node long").distinct()
+    met = cut(rows.mapInArrow(cluster_batches, "key long, node long").distinct(), "buckets")
+    prints = nodes.select(F.col("node").alias("of"), F.col("prints").alias("fp"))
+    members = cut(met.join(prints, F.col("node") == F.col("of")).select(F.lit(0).alias("part"), "key", "fp", "node"), "members")
+    linked = dealt(members, block).mapInArrow(lambda b: link_batches(b, FARTHEST), "a long, b long").distinct()
+    return components(linked, "a", "b").select(F.col("root").alias("key"), "node")
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
@@ -186,7 +259,7 @@ def classes(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str =
     rows = docs.select(_key(docs, id_col, text_col), docs[text_col].alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     signed = cut(rows.mapInArrow(lambda b: signature_batches(b, shingle), f"row {kind}, node long, prints array<long>"), "signatures")
-    nodes = cut(signed.groupBy("node").agg(F.min("row").alias("least"), F.first("prints").alias("prints")), "nodes")
+    nodes = cut(signed.groupBy("node").agg(F.min("row").alias("least"), F.first("prints").alias("prints"), F.count("*").alias("count")), "nodes")
     members = cut(clusters(nodes.select("node", "prints"), block), "members")
     wanted = cut(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("least").alias("wanted"), "prints"), "wanted")
     side = wanted.select("wanted")
@@ -194,11 +267,11 @@ def classes(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str =
     sets = cut(rows.join(side, F.col("row") == F.col("wanted"), "left_semi").select("text").mapInArrow(lambda b: set_batches(b, shingle), "node long, found array<long>"), "sets")
     if not sets.groupBy("node").count().filter("count > 1").isEmpty():  # equal rows
         sets = cut(sets.dropDuplicates(["node"]), "sets")
-    roots = components(links(members, wanted.select("node", "prints"), sets, percent, block), "a", "b").withColumnRenamed("node", "linked")
-    named = cut(nodes.join(roots, F.col("node") == F.col("linked"), "left").select(F.col("node").alias("of"), F.coalesce("root", "node").alias("root"), "least"), "named")
-    least = named.groupBy("root").agg(F.min("least").alias("first")).withColumnRenamed("root", "of_root")
-    named = named.join(least, F.col("root") == F.col("of_root")).select("of", "first")
-    return signed.join(named, F.col("node") == F.col("of")).select("row", "first")
+    roots = components(links(members, wanted.select("node", "prints"), sets, percent, min(block, BLOCK)), "a", "b").withColumnRenamed("node", "linked")
+    named = cut(nodes.join(roots, F.col("node") == F.col("linked"), "left").select(F.col("node").alias("of"), F.coalesce("root", "node").alias("root"), "least", F.col("count").alias("rows")), "named")
+    least = cut(named.groupBy("root").agg(F.min("least").alias("first"), F.count("*").alias("count")), "least")
+    named = cut(look_up(named, least, "root", nodes.count()).select(F.col("of").alias("node"), "first", F.col("rows").alias("count")), "firsts")
+    return look_up(signed.select("row", "node"), named, "node", signed.count()).select("row", "first")
 
 
 def near_copies(docs: DataFrame, **options) -> DataFrame:

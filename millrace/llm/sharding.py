@@ -1,7 +1,8 @@
 """Proportional stratified interleaving into shards, with DataFrame functions only.
 
 Rows are shuffled within each source by a seeded hash and ranked; row r of a source with n rows gets
-the fractional rank (r + 1/2) / n. Sorted by fractional rank, every stretch of rows holds the sources
+the fractional rank (r + u) / n, where u is a seeded number of the source in [0, 1): without it the single
+rows of all small sources would have one rank and stand together. Sorted by fractional rank, every stretch of rows holds the sources
 in the proportions of the whole, so the order is cut into shards whose counts differ by one at most
 (law `rows`).
 
@@ -64,8 +65,9 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 20, id_col: str = "doc_
     n = rows.count()
     buckets = n // rows_per_bucket + 1
     order = ["mixed", "doc_id", "size", "text_crc32"]
+    offset = F.crc32(F.encode(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit(""))), "utf-8")) / F.lit(1 << 32)
     ranked = with_rank(rows, ["source"], F.shiftright(F.col("mixed") * buckets, 32), order, "r", "of_source")
-    ranked = cut(ranked.withColumn("fraction", (F.col("r") + F.lit(0.5)) / F.col("of_source")).drop("r", "of_source"), "shard-ranked")
+    ranked = cut(ranked.withColumn("fraction", (F.col("r") + offset) / F.col("of_source")).drop("r", "of_source"), "shard-ranked")
     placed = with_rank(ranked, [], F.floor(F.col("fraction") * buckets), ["fraction", "source", *order], "position", "of_all")
     number = F.expr(f"position * {shards} div {max(n, 1)}")
     first = F.expr(f"(shard * {n} + {shards - 1}) div {shards}")

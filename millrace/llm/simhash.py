@@ -1,7 +1,6 @@
 """SimHash near-dedup with a generalised pigeonhole over correlated bits.
 
-Fingerprints are taken per document in one narrow pass. Equal fingerprints become one node, named by
-its smallest doc_id. To link nodes at `distance` or fewer differing bits:
+Fingerprints are taken per document in one narrow pass. Equal fingerprints are one node. To link nodes at `distance` or fewer differing bits:
 
 1. counts of bits and bit pairs over all nodes give the correlations; correlated bits are put into
    the same of m partitions, m being the cheapest by the estimated candidates;
@@ -16,11 +15,11 @@ its smallest doc_id. To link nodes at `distance` or fewer differing bits:
    bucket of more than `block` rows is dealt into blocks, and every pair of blocks is compared in its
    own group, so no task holds a whole hot bucket.
 
-Components of the links give the classes.
+Components of the links give the classes; a class is named by the smallest id of its rows.
 
-Edge cases: null or blank text has fingerprint 0 and is linked like any other; a null id keeps its
-row, and its class is named by the smallest known id (null if there is none); repeated rows and ids
-stay; ties of ids or fingerprints are one node; very long texts are hashed 65,536 shingles at a time;
+Edge cases: null or blank text has fingerprint 0 and is linked like any other; so is a row without an id, and
+a class is null only if no row of it has an id; repeated rows and ids stay, and an id with several texts has a
+row, and perhaps a class, for each (an id by itself links nothing); ties of fingerprints are one node; very long texts are hashed 65,536 shingles at a time;
 an empty table gives an empty table; other columns of the input are ignored, whatever their names.
 """
 
@@ -36,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, ship
+from millrace.llm.common import cut, look_up, ship
 from millrace.llm.components import components
 
 BITS = 64
@@ -185,6 +184,12 @@ def plan_partitions(nodes: DataFrame, n: int, distance: int) -> list[tuple[list[
     return [(g, t) for g, t in zip(groups, thresholds, strict=True) if t >= 0]
 
 
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, or of rows of fingerprints."""
+    bits = np.bitwise_count(x ^ y)
+    return bits.sum(-1, dtype=np.int64) if bits.ndim > 1 else bits
+
+
 def bucket_links(fp: np.ndarray, distance: int) -> list[tuple[int, int, int]]:
     """Pairs of positions that span the links among the fingerprints of a bucket, each with the first
     position of its class."""
@@ -195,7 +200,7 @@ def bucket_links(fp: np.ndarray, distance: int) -> list[tuple[int, int, int]]:
         todo, left = [first], left[1:]
         while todo and len(left):
             x = todo.pop()
-            near = np.bitwise_count(fp[left] ^ fp[x]) <= distance
+            near = apart(fp[left], fp[x]) <= distance
             if near.any():
                 hits = left[near].tolist()
                 left = left[~near]
@@ -209,11 +214,17 @@ _SMALL = 8
 
 
 def stream_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, class) of spanning links, from rows (part, key, pair, fp, node) in bucket order."""
+    """(a, b, class) of spanning links, from rows (part, key, pair, fp, node) in bucket order.
+
+    fp is a fingerprint or an array of them, whose bits count together."""
+
+    def column(c: pa.Array) -> np.ndarray:
+        return c.flatten().to_numpy().reshape(len(c), -1) if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False)
+
     rest: list[np.ndarray] | None = None
     for batch in chain(batches, [None]):
         if batch is not None:
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            now = [column(c) for c in batch.columns]
             now = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
         elif rest is None:
             return
@@ -233,7 +244,7 @@ def stream_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[t
         a, b, of = [], [], []
         for d in range(1, min(_SMALL, int(sizes.max()))):
             at = np.flatnonzero((bucket[d:] == bucket[:-d]) & small[d:])
-            at = at[np.bitwise_count(bits[at] ^ bits[at + d]) <= distance]
+            at = at[apart(bits[at], bits[at + d]) <= distance]
             a.append(node[at]), b.append(node[at + d]), of.append(bucket[at] * last + at)
         for k in np.flatnonzero(sizes > _SMALL).tolist():
             s = int(starts[k])
@@ -270,6 +281,12 @@ def buckets(nodes: DataFrame, distance: int, block: int, words: int = 1, broadca
     plan = plan_partitions(nodes.select(fps[0].alias("fp")), n, distance)
     entries = [_entries(k * len(plan) + i, fp, group, t) for k, fp in enumerate(fps) for i, (group, t) in enumerate(plan)]
     rows = nodes.select("node", F.explode(F.concat(*entries)).alias("x")).select("node", "x.*")
+    return dealt(rows, block, broadcast_keys)
+
+
+def dealt(rows: DataFrame, block: int, broadcast_keys: int = 10_000) -> DataFrame:
+    """Rows of part, key, fp and node with `pair`, in bucket order; a bucket of over `block` rows is dealt into
+    blocks, and each pair of blocks is a bucket of its own."""
     hot = cut(rows.groupBy("part", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select(F.col("part").alias("hot_part"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / block).alias("blocks")), "hot-buckets")
     n_hot = hot.count()
     rows = rows.withColumn("pair", F.lit(0).cast("long"))
@@ -296,8 +313,10 @@ def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, id_col
     ship(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     prints = cut(rows.mapInArrow(lambda b: fingerprint_batches(b, shingle), "doc_id long, fp long"), "fingerprints")
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    found = components(links(nodes.filter("node is not null"), distance, block), "a", "b")
-    named = nodes.join(found.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(F.col("fp").alias("of_fp"), F.coalesce("root", "node").alias("component_id"))
-    out = prints.join(named, F.col("fp") == F.col("of_fp"))
+    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("count")), "nodes")
+    found = cut(components(links(nodes.select("fp", F.col("fp").alias("node")), distance, block), "a", "b"), "roots")
+    rooted = cut(nodes.join(found, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("of_fp"), F.coalesce("root", "fp").alias("root"), "least", F.col("count").alias("rows")), "rooted")
+    classes = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("count")), "classes")
+    named = cut(look_up(rooted, classes, "root", nodes.count()).select("of_fp", "component_id", F.col("rows").alias("count")), "named")
+    out = look_up(prints, named.withColumnRenamed("of_fp", "fp"), "fp", prints.count())
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -29,8 +29,9 @@ from millrace.llm.common import ship
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
-#: Distinct pieces that a worker remembers at a time; a memory bound without effect on results.
-REMEMBERED = 600_000
+#: Bytes of distinct pieces that a worker remembers at a time, and what one costs besides its own bytes; a memory
+#: bound without effect on results.
+REMEMBERED, _EACH = 1 << 27, 160
 _SPACE = " \t\n\x0b\x0c\r"
 _START = re.compile(r"(?<=[ \t-\r])[^ \t-\r]")
 _loaded: dict[str, "Encoder"] = {}
@@ -72,6 +73,7 @@ class Encoder:
         self.library.no_padding()
         self.splits = drops_space(json.loads(self.library.to_str()))
         self.known: dict[bytes, int] = {}
+        self.room = REMEMBERED
 
     def spans(self, text: str, at: int = 0) -> list[tuple[int, int, int]]:
         """(start, end, id) of each token, in characters of the whole document."""
@@ -80,9 +82,11 @@ class Encoder:
 
     def learn(self, pieces: set[bytes]) -> None:
         """Count the tokens of pieces without white space that are not known yet."""
-        if len(self.known) > REMEMBERED:
+        if self.room < 0:
             self.known.clear()
+            self.room = REMEMBERED
         new = [p for p in pieces if p not in self.known]
+        self.room -= sum(map(len, new)) + _EACH * len(new)
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             found = self.library.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)

@@ -76,3 +76,27 @@ def test_stage_drops_what_is_eight_tenths_similar(spark, sf):
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = [x.doc_id for x in cp.near_dedup(spark, df, sf).collect()]
     assert kept == [1, 3] or kept == [3, 1]
+
+
+def test_links_of_sets_join_classes():
+    """Blocks of sets against a plain comparison, with classes known before and several columns of the matrix."""
+    import numpy as np
+
+    import millrace.llm.near_copies as nc
+
+    r = random.Random(1)
+    base = [r.sample(range(20_000), 300) for _ in range(4)]
+    sets = [np.unique(np.array([*b[: r.randrange(200, 300)], *r.sample(range(20_000, 30_000), r.randrange(20))])) for b in base for _ in range(25)] + [np.zeros(0, np.int64)]
+    counts = nc.common_counts(sets)
+    assert all(counts[i, j] == len(np.intersect1d(sets[i], sets[j])) for i, j in combinations(range(len(sets)), 2))
+    roots = [r.randrange(60) for _ in sets]
+    for percent in (60, 80, 95):
+        of = {c: c for c in roots}
+        for i, j in nc.set_links(sets, roots, percent):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            assert 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both) and of[roots[i]] != of[roots[j]]
+            old, new = of[roots[j]], of[roots[i]]
+            of = {c: new if d == old else d for c, d in of.items()}
+        for i, j in combinations(range(len(sets)), 2):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            assert of[roots[i]] == of[roots[j]] or 100 * both < percent * (len(sets[i]) + len(sets[j]) - both)

@@ -102,6 +102,41 @@ def test_near_duplicates_of_documents(spark):
     assert [x.component_id for x in near_duplicates(df.filter("doc_id is null")).collect()] == [None]
 
 
+def test_rows_without_id_and_repeated_ids(spark):
+    """Rows are what is linked: those without an id bridge others, and an id by itself links nothing."""
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    texts = [[r.choice(words) for _ in range(400)] for _ in range(12)]
+    rows = []
+    for i, t in enumerate(texts):
+        for k in range(8):  # a chain, of which some rows have no id
+            rows.append((None if (i + k) % 3 == 0 else r.randrange(60), " ".join(t)))
+            for _ in range(2):
+                t[r.randrange(len(t))] = r.choice(words)
+    fps = [fingerprint(t) for _, t in rows]
+    root = slow_classes(dict(enumerate(fps)))
+    root = {i: next(root[j] for j in range(len(fps)) if fps[j] == fps[i]) for i in root}
+    least = {c: min((d for i, (d, _) in enumerate(rows) if root[i] == c and d is not None), default=None) for c in set(root.values())}
+    want = sorted((str(d), f"{fps[i]:016x}", str(least[root[i]])) for i, (d, _) in enumerate(rows))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((str(x.doc_id), x.fingerprint, str(x.component_id)) for x in got) == want
+    a, b, c = (" ".join(t) for t in texts[:3])
+    got = near_duplicates(spark.createDataFrame([(3, a), (7, a), (7, b), (9, b), (None, c)], "doc_id long, text string")).collect()
+    assert sorted((str(x.doc_id), str(x.component_id)) for x in got) == [("3", "3"), ("7", "3"), ("7", "7"), ("9", "7"), ("None", "None")]
+
+
+def test_frequent_fingerprints_meet_rare_ones(spark, monkeypatch):
+    """With and without broadcast the classes are the same."""
+    import millrace.llm.common as c
+
+    rows = [(i, "the same text of some words") for i in range(40)] + [(100 + i, f"word{i} " * 9) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, near_duplicates(df).collect()))
+    for often in (10, 0):
+        monkeypatch.setattr(c, "OFTEN", often)
+        assert sorted(map(tuple, near_duplicates(df).collect())) == want
+
+
 def test_hubs_are_kept_out_of_the_join(spark, monkeypatch):
     import millrace.llm.components as c
 

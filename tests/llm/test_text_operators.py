@@ -121,7 +121,8 @@ def test_shards_equal_a_plain_sort(spark, docs, monkeypatch):
         by = {}
         for i in sorted(range(len(keyed)), key=order.__getitem__):
             by.setdefault(keyed[i].source, []).append(i)
-        ranked = sorted(((k + 0.5) / len(v), name(s), order[i], i) for s, v in by.items() for k, i in enumerate(v))
+        u = lambda s: zlib.crc32(f"20:{s or ''}".encode()) / 2**32
+        ranked = sorted(((k + u(s)) / len(v), name(s), order[i], i) for s, v in by.items() for k, i in enumerate(v))
         n = len(ranked)
         want, used = Counter(), Counter()
         for pos, (_, _, o, i) in enumerate(ranked):
@@ -131,6 +132,13 @@ def test_shards_equal_a_plain_sort(spark, docs, monkeypatch):
         assert Counter(map(tuple, shard(table, shards=24, rows_per_bucket=per).collect())) == want
 
 
+def test_a_long_tail_of_sources_reaches_every_shard(spark):
+    """2,400 sources of one row beside one of 2,400."""
+    df = spark.createDataFrame([(i, "t", "hot" if i % 2 else f"s{i}") for i in range(4800)], "doc_id long, text string, source string")
+    got = Counter((r["shard"], r.doc_id % 2) for r in shard(df).collect())
+    assert all(70 <= got[s, tail] <= 130 for s in range(24) for tail in (0, 1)), got
+
+
 def test_shards_of_odd_tables(docs):
     assert shard(docs.limit(0)).count() == 0
     got = shard(docs).collect()
