@@ -52,21 +52,27 @@ def in_country(platform: Column, location: Column, company: Column, path: Column
     return F.when(platform == "workday", state & named & (~free | by_path)).otherwise(out)
 
 
-OVERWRITE = ["job_title", "location", "posting_date"]
 DETAILS = ["job_responsibilities", "min_education", "min_experience", "preferred_qualifications", "salary_range", "essential_skills"]
 #: What a payload itself may carry besides.
 CARRIED = ["job_identification", "job_category", "degree_level", "ecl_gtc_required"]
-KEEP = [*DETAILS, *CARRIED]
+#: What a posting that comes again sets, null or not; details that it lacks stay.
+OVERWRITE = ["job_title", "location", "posting_date", *CARRIED]
+KEEP = DETAILS
+#: What the listing of a payload looked for: listing_filters() of its URL, and whether it had a country facet.
+FILTERS = "struct<q:string,states:array<string>,country_facet:boolean>"
 
 
 def postings(payloads: DataFrame) -> DataFrame:
     """One row for each listed posting, in listing order `ord` of its URL.
 
     Two platforms have cascades of their own, which read the lines of one parse; the others share a record of
-    fixed sections. Pay is that of the record on every platform. Fields that a payload lacks are null.
+    fixed sections. Pay is that of the record on every platform. Fields that a payload lacks are null; `filters`
+    (FILTERS) says what its listing looked for, and one without it looked for nothing.
     """
-    rows = evolve(payloads, dict.fromkeys(CARRIED, "string"))
-    rows = rows.filter(in_country(F.col("platform"), F.col("location"), F.col("company_name"), F.col("url")))
+    rows = evolve(payloads, dict.fromkeys(CARRIED, "string") | {"filters": FILTERS})
+    nothing = F.struct(F.lit("").alias("q"), F.array().cast("array<string>").alias("states"), F.lit(False).alias("country_facet"))
+    rows = rows.withColumn("filters", F.struct(*[F.coalesce(F.col("filters")[c], nothing[c]).alias(c) for c in ("q", "states", "country_facet")]))
+    rows = rows.filter(in_country(F.col("platform"), F.col("location"), F.col("company_name"), F.col("url"), F.col("filters")))
     rows = rows.withColumn("r", detail_record("platform", "body"))
     common = ["company_name", F.col("url").alias("job_url"), "ord", F.col("title").alias("job_title"), "location", parse_date(F.col("posted"), F.col("as_of")).alias("posting_date"), *CARRIED]
     none = F.lit(None).cast("string")
@@ -81,9 +87,9 @@ def ingest(store: DataFrame, payloads: DataFrame) -> DataFrame:
     """The store after one batch of payloads; text is sanitised, and a URL keeps its first company. Columns that the
     store lacks are added."""
     new = postings(payloads)
-    batch = new.withColumns({c: sanitize(F.col(c)) for c in ["job_title", "location", *KEEP]})
+    batch = new.withColumns({c: sanitize(F.col(c)) for c in ["job_title", "location", *CARRIED, *KEEP]})
     owner = least_by(new.select("job_url", "ord", F.col("company_name").alias("new_company")), ["job_url"], [F.col("ord")]).drop("ord")
-    out = upsert(evolve(store, dict.fromkeys(KEEP, "string")), batch, "job_url", "ord", OVERWRITE, KEEP, {"company_name": F.lit(None).cast("string")})
+    out = upsert(evolve(store, dict.fromkeys([*CARRIED, *KEEP], "string")), batch, "job_url", "ord", OVERWRITE, KEEP, {"company_name": F.lit(None).cast("string")})
     return out.join(owner, "job_url", "left").withColumn("company_name", F.coalesce("company_name", "new_company")).drop("new_company")
 
 

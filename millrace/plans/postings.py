@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import slug
+from millrace.operators.kept import Store
+from millrace.operators.sequences import probed, side_by_side, with_ordinal
 from millrace.operators.store import evolve, finish_run, first_by, fold_batch, insert_absent, least_by, upsert, upsert_counts
 from millrace.registry import query, table
 from millrace.sources.captured import EXPORT
+from millrace.sources.workspace import workspace
 
 
 @query("SELECT o_orderkey, c_name, o_orderstatus, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -155,16 +158,25 @@ def export_frame(spark: SparkSession, d: str) -> DataFrame:
     return n.select(F.concat(F.lit("jobs_"), slug(F.col("c_name")), F.lit("_19980701.csv")).alias("file"), "n_rows", "closed")
 
 
-@query("""WITH ids AS (SELECT DISTINCT o_orderkey AS id FROM orders), g AS (SELECT id, id - lag(id) OVER (ORDER BY id) AS gap FROM ids),
-s AS (SELECT min(id) AS stop FROM g WHERE gap > 30) SELECT id FROM g, s WHERE stop IS NULL OR id < stop""")
+_PROBE = """WITH h AS (SELECT DISTINCT CAST(({id} - ({first})) / {step} AS BIGINT) AS slot FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' AND {id} BETWEEN {first} AND {last} AND ({id} - ({first})) % {step} = 0),
+g AS (SELECT slot, slot - coalesce(lag(slot) OVER (ORDER BY slot), {before}) AS gap FROM h), s AS (SELECT min(slot) AS stop FROM g WHERE gap > {misses})
+SELECT slot * {step} + ({first}) AS id FROM g, s WHERE stop IS NULL OR slot < stop"""
+
+
+def _open_ids(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))
+
+
+@query(_PROBE.format(id="o_orderkey", first=-5000, last=1 << 40, step=1, misses=60, before="NULL"))
 def id_probe_gap_stop(spark: SparkSession, d: str) -> DataFrame:
-    """Ids up to the first gap of 30 misses. Gaps are found inside ranges of ids and between their ends."""
-    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("id")).distinct().withColumn("range", F.expr("id div 100000"))
-    inside = ids.withColumn("gap", F.col("id") - F.lag("id").over(Window.partitionBy("range").orderBy("id")))
-    ends = ids.groupBy("range").agg(F.min("id").alias("id"), F.max("id").alias("last"))
-    between = ends.select("id", (F.col("id") - F.lag("last").over(Window.orderBy("range"))).alias("gap"))
-    stop = inside.select("id", "gap").union(between).filter("gap > 30").agg(F.min("id").alias("stop"))
-    return ids.join(F.broadcast(stop), F.col("stop").isNull() | (F.col("id") < F.col("stop"))).select("id")
+    """A probe that starts far below the first hit, which doesn't count, and stops at the first 60 misses after it."""
+    return probed(_open_ids(spark, d), "id", -5000, 1 << 40, 1, misses=60)
+
+
+@query(_PROBE.format(id="o_orderkey", first=3, last=1 << 40, step=4, misses=25, before="-1"))
+def id_probe_by_step(spark: SparkSession, d: str) -> DataFrame:
+    """Every fourth id from 3 on, where misses count from the start."""
+    return probed(_open_ids(spark, d), "id", 3, 1 << 40, 4, misses=25, after_first_hit=False)
 
 
 @query("SELECT n_nationkey, CAST(ceil(row_number() OVER (ORDER BY n_nationkey) / 5.0) AS BIGINT) AS batch FROM nation")
@@ -179,10 +191,37 @@ def page_cap(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 80).alias("page_no")).filter("page_no <= 50")
 
 
-@query("SELECT o_orderkey, o_orderstatus AS title, o_orderpriority AS duties, o_totalprice AS pay FROM orders")
+@query("""WITH l AS (SELECT s_name AS title, row_number() OVER (ORDER BY s_suppkey) AS k FROM supplier), n AS (SELECT count(*) AS n FROM supplier),
+d AS (SELECT p_name AS duties, p_retailprice AS pay, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS k FROM part)
+SELECT CAST(l.k - 1 AS BIGINT) AS ordinal, title, duties, pay FROM l JOIN d ON l.k = d.k""")
 def zip_join(spark: SparkSession, d: str) -> DataFrame:
-    """Two frames side by side, listing and details, by the key that gives the place of their rows."""
-    rows = table(spark, d, "orders")
-    listing = rows.select("o_orderkey", F.col("o_orderstatus").alias("title"))
-    details = rows.select("o_orderkey", F.col("o_orderpriority").alias("duties"), F.col("o_totalprice").alias("pay"))
-    return listing.join(details, "o_orderkey")
+    """A listing beside its details, which share no column: suppliers in order of their numbers, and as many of the
+    dearest parts (the length of the listing is what was asked for)."""
+    listing = table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("title"))
+    parts = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("duties"), F.col("p_retailprice").alias("pay"), (-F.col("p_retailprice")).alias("minus"))
+    n = min(listing.count(), parts.count())
+    dearest = with_ordinal(parts, ["minus", "p_partkey"], "rank").filter(F.col("rank") < n)
+    listed = with_ordinal(listing, ["s_suppkey"], "listed").filter(F.col("listed") < n)
+    return side_by_side(listed, dearest, ["s_suppkey"], ["rank"]).select("ordinal", "title", "duties", "pay")
+
+
+_BATCHES = """WITH a AS (SELECT 'https://x.example/' || c_custkey AS job_url, c_mktsegment AS job_title, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS duties, 'n' || c_nationkey AS company_name FROM customer),
+b AS (SELECT 'https://x.example/' || (user_id + CASE WHEN event_type = 'view' THEN 100000000 ELSE 0 END) AS job_url, event_id AS ord, CASE WHEN event_id % 3 <> 0 THEN event_type END AS job_title, CASE WHEN event_id % 5 = 0 THEN 'duty ' || event_id END AS duties, 'e' || (event_id % 7) AS company_name FROM events WHERE event_type <> 'click'),
+f AS (SELECT job_url, arg_max_null(job_title, ord) AS job_title, max_by(duties, ord) FILTER (duties IS NOT NULL) AS duties, min_by(company_name, ord) AS company_name FROM b GROUP BY 1)
+SELECT coalesce(a.job_url, f.job_url) AS job_url, CASE WHEN f.job_url IS NULL THEN a.job_title ELSE f.job_title END AS job_title, coalesce(f.duties, a.duties) AS duties, coalesce(a.company_name, f.company_name) AS company_name,
+CAST(CASE WHEN f.job_url IS NULL THEN 1 ELSE 2 END AS BIGINT) AS run_id, CASE WHEN a.job_url IS NULL THEN '2026-01-02' ELSE '2026-01-01' END AS created_on, CASE WHEN f.job_url IS NULL THEN '2026-01-01' ELSE '2026-01-02' END AS updated_on FROM a FULL JOIN f ON a.job_url = f.job_url"""
+
+
+@query(_BATCHES)
+def store_on_disk(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches into a store on disk: postings (customers) that come again in events, several times in a batch, with
+    and without values, postings that don't, and new ones (those that were viewed)."""
+    store = Store(spark, workspace(spark, "store"), "job_url string, job_title string, duties string, company_name string", "job_url", ["job_title"], ["duties"], buckets=16)
+    c, e = table(spark, d, "customer"), table(spark, d, "events").filter("event_type <> 'click'")
+    named = lambda text, k: F.concat(F.lit(text), k.cast("string"))
+    url, k = "https://x.example/", F.col("event_id")
+    store.apply(c.select(named(url, F.col("c_custkey")).alias("job_url"), F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("job_title"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("duties"), named("n", F.col("c_nationkey")).alias("company_name")), "ord", 1, "2026-01-01 00:00:00")
+    key = F.col("user_id") + F.when(F.col("event_type") == "view", 100_000_000).otherwise(0)
+    store.apply(e.select(named(url, key).alias("job_url"), k.alias("ord"), F.when(k % 3 != 0, F.col("event_type")).alias("job_title"), F.when(k % 5 == 0, named("duty ", k)).alias("duties"), named("e", k % 7).alias("company_name")), "ord", 2, "2026-01-02 00:00:00")
+    day = lambda x: F.col(x).cast("date").cast("string")
+    return store.read().select("job_url", "job_title", "duties", "company_name", "run_id", day("created_at").alias("created_on"), day("updated_at").alias("updated_on"))

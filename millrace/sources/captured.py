@@ -94,10 +94,14 @@ def sitemap_urls(xml: Column, pattern: str) -> Column:
     return F.filter(F.xpath(xml, F.lit("//loc/text()")), lambda u: u.rlike(pattern))
 
 
-def write_company_exports(df: DataFrame, folder: str, day: str, slug: Column) -> None:
-    """A file jobs_{slug}_{day}-*.csv below a folder of each company; a company without rows has none."""
+def write_company_exports(df: DataFrame, folder: str, day: str, slug: Column, rows_per_file: int = 1_000_000) -> None:
+    """Files below a folder jobs_{slug}_{day}.csv for each company; a company without rows has none.
+
+    Rows are dealt by company, but a company too large for one task is dealt over several by their sizes, and has
+    several files, none of over rows_per_file rows.
+    """
     rows = df.withColumn("export", F.concat(F.lit("jobs_"), slug, F.lit(f"_{day}.csv")))
-    rows.repartition("export").write.mode("append").partitionBy("export").options(header=True, **NULLS).csv(folder)
+    rows.hint("rebalance", "export").write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("export").options(header=True, **NULLS).csv(folder)
 
 
 def read_company_exports(spark: SparkSession, folder: str, schema: str) -> DataFrame:

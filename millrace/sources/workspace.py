@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,10 @@ def workspace(spark: SparkSession, name: str) -> str:
         shared = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR"))
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to a new path there and read again: a lineage cut that survives lost executors."""
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
