@@ -43,8 +43,8 @@ from millrace.llm.simhash import SEED, buckets, dealt, link_batches, majority, s
 
 #: Fingerprints of a text, the bits that each is searched for, and the most bits between candidates in one and in all.
 WORDS, DISTANCE, REACH, FARTHEST = 4, 8, 13, 64
-#: Sets of a block that are compared in a task.
-BLOCK = 512
+#: Sets of a block that are compared in a task; texts that the partitions are planned for at least.
+BLOCK, PLANNED = 512, 10_000_000
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -237,7 +237,7 @@ def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, b
 
 def clusters(nodes: DataFrame, block: int) -> DataFrame:
     """key and node of the components of candidates. nodes: node, prints."""
-    rows = buckets(nodes.select("node", F.col("prints").alias("fps")), DISTANCE, block, WORDS)
+    rows = buckets(nodes.select("node", F.col("prints").alias("fps")), DISTANCE, block, WORDS, planned=PLANNED)
     if rows is None:
         return nodes.sparkSession.createDataFrame([], "key long, node long")
     met = cut(rows.mapInArrow(cluster_batches, "key long, node long").distinct(), "buckets")

@@ -154,7 +154,7 @@ def flips(group: list[int], t: int) -> list[int]:
 _PAIR_COST, _MOST = 0.05, 4
 
 
-def _costs(n: int, groups: list[list[int]], p: np.ndarray, pairs: list[float] | None, distance: int) -> list[list[float]]:
+def _costs(n: float, groups: list[list[int]], p: np.ndarray, pairs: list[float] | None, distance: int) -> list[list[float]]:
     out = []
     for i, g in enumerate(groups):
         chance = difference_chances(p, g, distance)
@@ -167,20 +167,22 @@ def _costs(n: int, groups: list[list[int]], p: np.ndarray, pairs: list[float] |
     return out
 
 
-def plan_partitions(nodes: DataFrame, n: int, distance: int) -> list[tuple[list[int], int]]:
-    """The groups of bits with their thresholds; unused ones are left out."""
+def plan_partitions(nodes: DataFrame, n: int, distance: int, planned: int = 0) -> list[tuple[list[int], int]]:
+    """The groups of bits with their thresholds; unused ones are left out. With `planned`, those that are the best for
+    at least so many nodes, so that smaller tables are searched alike."""
+    more = max(n, planned) / n
     p, corr = bit_statistics(nodes, n)
     ways = {}
     for m in range(2, distance + 2):
         if distance - m + 1 <= _MOST * m:
             groups = group_bits(corr, m)
-            ways[allocate(_costs(n, groups, p, None, distance), distance - m + 1)[0]] = groups
+            ways[allocate(_costs(n * more, groups, p, None, distance), distance - m + 1)[0]] = groups
     groups = ways[min(ways)]
     keys = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in g)))).alias("key")) for i, g in enumerate(groups)])
     sizes = nodes.select(F.explode(keys).alias("x")).groupBy("x.part", "x.key").count().filter("count > 1")
     counted = dict(sizes.groupBy("part").agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).collect())
-    pairs = [float(counted.get(i, 0)) for i in range(len(groups))]
-    _, thresholds = allocate(_costs(n, groups, p, pairs, distance), distance - len(groups) + 1)
+    pairs = [float(counted.get(i, 0)) * more**2 for i in range(len(groups))]
+    _, thresholds = allocate(_costs(n * more, groups, p, pairs, distance), distance - len(groups) + 1)
     return [(g, t) for g, t in zip(groups, thresholds, strict=True) if t >= 0]
 
 
@@ -268,7 +270,7 @@ def _entries(part: int, fp: Column, group: list[int], t: int) -> Column:
     return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(m).alias("key"), fp.alias("fp")))
 
 
-def buckets(nodes: DataFrame, distance: int, block: int, words: int = 1, broadcast_keys: int = 10_000) -> DataFrame | None:
+def buckets(nodes: DataFrame, distance: int, block: int, words: int = 1, broadcast_keys: int = 10_000, planned: int = 0) -> DataFrame | None:
     """part, key, pair, fp and node, sorted within partitions so that each bucket is a run of rows.
 
     nodes: node and fp, or `fps`, an array of `words` independent fingerprints that are all searched with the
@@ -278,7 +280,7 @@ def buckets(nodes: DataFrame, distance: int, block: int, words: int = 1, broadca
     if n < 2:
         return None
     fps = [F.col("fps")[k] for k in range(words)] if words > 1 else [F.col("fp")]
-    plan = plan_partitions(nodes.select(fps[0].alias("fp")), n, distance)
+    plan = plan_partitions(nodes.select(fps[0].alias("fp")), n, distance, planned)
     entries = [_entries(k * len(plan) + i, fp, group, t) for k, fp in enumerate(fps) for i, (group, t) in enumerate(plan)]
     rows = nodes.select("node", F.explode(F.concat(*entries)).alias("x")).select("node", "x.*")
     return dealt(rows, block, broadcast_keys)
