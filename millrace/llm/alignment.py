@@ -35,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import cut, ship
-from millrace.llm.pieces import Model, model, runs
+from millrace.llm.pieces import MARK, Model, model, runs
 
 #: Pairs with over 1 of so many incidences are broadcast.
 SHARE = 2_000_000
 #: Chunks that a worker remembers and the bytes they may have; pairs that a task counts before it hands them on.
 REMEMBERED, REMEMBERED_BYTES, _COUNTED = 500_000, 1 << 27, 2_000_000
+#: Chunks that are encoded as one text.
+_TOGETHER = 50
 #: A space, and all up to the next space that follows a character that isn't white space.
 _CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
 _SPACES = re.compile(r"\s ")
@@ -117,19 +119,38 @@ class Aligner:
     def same(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
         """Of which chunks both tokenizers give back the bytes."""
         label, piece = self.label.__getitem__, self.b.labels.__getitem__
-        whole = "".join(f" {c}" for c in chunks).encode()
-        if b"".join(map(label, chain.from_iterable(a))) == whole == b"".join(map(piece, chain.from_iterable(b))):
-            return np.ones(len(chunks), bool)
         return np.array([b"".join(map(label, x)) == f" {c}".encode() == b"".join(map(piece, y)) for c, x, y in zip(chunks, a, b, strict=True)], bool)
 
     def learn(self, new: list[str]) -> None:
-        """Align chunks and enter them. All are laid end to end, so one index answers for all of them."""
-        a = [e.ids for e in self.a.encode_batch_fast([f" {c}" for c in new], add_special_tokens=False)]
-        b = self.b.segment(new)
-        known, good = self.chunks, self.same(new, a, b)
-        a, b = ([x if g else [] for x, g in zip(side, good.tolist(), strict=True)] for side in (a, b))
-        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(new)) for side in (a, b))
-        a_ids, b_ids = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
+        """Align chunks and enter them. Chunks are encoded many in a text, since texts are cut where both tokenizers end
+        a token; those that such a cut can't follow (white space at the end) or that hold a mark are encoded one by one."""
+        odd = [c for c in new if not self.splits or not c or c[-1].isspace() or MARK in c]
+        alone = set(odd)
+        plain = [c for c in new if c not in alone] if odd else new
+        if plain:
+            texts = [" ".join(plain[i : i + _TOGETHER]) for i in range(0, len(plain), _TOGETHER)]
+            a = [*chain.from_iterable(e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False))]
+            b = [*chain.from_iterable(self.b.library.encode(texts, num_threads=1))]
+            whole = "".join([f" {t}" for t in texts]).encode()
+            if b"".join(map(self.label.__getitem__, a)) == whole == b"".join(map(self.b.labels.__getitem__, b)):
+                ends = np.cumsum(np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in plain), np.int64, len(plain)) + 1)
+                a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
+                n_a, n_b = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, "right"), prepend=0) for size, ids in ((self.a_sizes, a_ids), (self.b_sizes, b_ids)))
+                self.enter(plain, a_ids, b_ids, n_a, n_b, np.ones(len(plain), bool))
+            else:
+                odd = new
+        if odd:
+            a = [e.ids for e in self.a.encode_batch_fast([f" {c}" for c in odd], add_special_tokens=False)]
+            b = self.b.segment(odd)
+            good = self.same(odd, a, b)
+            a, b = ([x if g else [] for x, g in zip(side, good.tolist(), strict=True)] for side in (a, b))
+            n_a, n_b = (np.fromiter(map(len, side), np.int64, len(odd)) for side in (a, b))
+            a_ids, b_ids = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
+            self.enter(odd, a_ids, b_ids, n_a, n_b, good)
+
+    def enter(self, new: list[str], a_ids: np.ndarray, b_ids: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, good: np.ndarray) -> None:
+        """Align chunks that lie end to end, so that one index answers for all of them."""
+        known = self.chunks
         first, last, ends = stab(np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids]))
         width = last - first + 1
         of_a = np.repeat(np.arange(len(a_ids)), width)
