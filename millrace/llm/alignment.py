@@ -133,7 +133,7 @@ class Aligner:
             b = [*chain.from_iterable(self.b.library.encode(texts, num_threads=1))]
             whole = "".join([f" {t}" for t in texts]).encode()
             if b"".join(map(self.label.__getitem__, a)) == whole == b"".join(map(self.b.labels.__getitem__, b)):
-                ends = np.cumsum(np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in plain), np.int64, len(plain)) + 1)
+                ends = np.cumsum(np.fromiter(map(len, map(str.encode, plain)), np.int64, len(plain)) + 1)
                 a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
                 n_a, n_b = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, "right"), prepend=0) for size, ids in ((self.a_sizes, a_ids), (self.b_sizes, b_ids)))
                 self.enter(plain, a_ids, b_ids, n_a, n_b, np.ones(len(plain), bool))
@@ -245,10 +245,12 @@ def figure_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str,
             bests = np.bincount(of[known], best[at[known]], len(used)).astype(np.int64)
             rare, rare_of = codes[~known], of[~known]
             rare_from, rare_to = np.searchsorted(rare_of, np.arange(len(used))), np.searchsorted(rare_of, np.arange(len(used)), "right")
-            groups = both.chunks.groups
+            groups, place_of = both.chunks.groups, np.zeros(both.chunks.figures.n, np.int64)
+            place_of[used] = np.arange(len(used))
+            figures = np.ascontiguousarray(both.chunks.figures.data[used, :4])
             for n in numbers:
-                place = np.searchsorted(used, n)
-                for column, value in zip(columns, both.chunks.figures.data[n, :4].sum(0).tolist(), strict=False):
+                place = place_of[n]
+                for column, value in zip(columns, figures[place].sum(0).tolist(), strict=False):
                     column.append(value)
                 columns[4].append(int(bests[place].sum()))
                 columns[5].append(int(sums[place].sum()))
