@@ -8,18 +8,19 @@ of least total cost: blocks on the content side are the main text.
 
 The log-odds are those of the block's own text and of the parts of the page it stands in:
 
-- text: a logistic regression on FEATURES. No page is labelled, so its weights are fitted on weak labels,
+- text: a logistic regression on FEATURES, which look at the block and at its siblings. No page is labelled, so its weights are fitted on weak labels,
   the blocks inside `article` or `main` against those inside navigation, footers, asides and the like, by
   Newton steps whose sums Spark takes over a sample of about `fit_pages` pages (a parameter; pages are drawn
   by a hash of id and url). TEXT_PRIOR is the weights' prior and stands where a table has no such parts. It
   weighs as much as PRIOR_SHARE of the blocks, since weak labels know their own kind of page only;
 - parts: priors for elements and for names in class, id, role, aria-label and itemprop. They add up, so a
   block can be kept against one of them. A name with a word that says nothing (`related-work`) counts less.
-  A form that holds more than half of a page's text is the page and not a part of it.
+  A form that holds more than half of a page's text is the page and not a part of it, and so is an element
+  whose name is about the main part and another one (`content-sidebar-wrap`).
 
 Pages are independent, so after the fit one narrow pass does it; a worker holds one page's blocks at a time.
 
-Edge cases: null or empty html gives an empty text; a page without tags is one block and is kept;
+Edge cases: null or empty html gives an empty text; a page without any element is one block and is kept;
 unclosed tags end where HTML ends them, and a stray quote belongs to its tag; very long and very deep
 pages are taken whole; repeated rows and ties are extracted one by one; an empty table gives an empty table;
 other columns of the input are ignored, whatever their names.
@@ -42,9 +43,9 @@ from millrace.llm.common import cut, drop_table, ship
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
+BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}}
-SCOPE = frozenset("article aside body div dl footer form header main nav ol section table td th ul li blockquote".split())
+SCOPE = frozenset("article aside body datalist div dl footer form header main nav ol optgroup section select table td th ul li blockquote".split())
 UNSEEN = frozenset("script style noscript template svg iframe object head title textarea select button canvas audio video datalist".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 
@@ -54,19 +55,22 @@ TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:{_ATTRIBUTE}
 ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
 #: Names of parts that are not the article, of the article, and words beside them that say nothing.
 OTHER_PARTS = frozenset(
-    "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs byline captcha comment comments cookie cookies consent contentinfo copyright disclaimer disqus dialog dropdown footer form gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notification alert outbrain pager paging pagination paywall popup print privacy promo promotion recommended recommendations related replies reply respond search share sharing side sidebar signup skip social sponsor sponsored subscribe subscription taboola tags toc toolbar topbar widget widgets".split()
+    "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs byline captcha comment commentlist comments cookie cookies consent contentinfo copyright disclaimer disqus dialog dropdown footer form gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notification alert outbrain pager paging pagination paywall popup print privacy promo promotion recommended recommendations related replies reply respond responses search share sharing side sidebar signup skip social sponsor sponsored subscribe subscription taboola tags toc toolbar topbar widget widgets".split()
 )
 MAIN_PARTS = frozenset("article articlebody body content entry hentry main post story text".split())
 PLAIN_PARTS = frozenset("a above area articles aside bar below block bottom box buttons button col column container end first global group holder icons in inner item items js last layer layout left link links list module more of on outer overlay page panel posts primary region right row secondary section site slot stories sub the to top unit view wrap wrapper zone".split())
 
+#: Words of a name that tell what an element holds: content-sidebar-wrap is around both.
+AROUND = frozenset("container holder inner layout outer wrap wrapper".split())
+
 #: Log-odds of parts: an element or a name that is no main text, one with an unknown word beside it, the main part.
 AWAY, PERHAPS_AWAY, IN_MAIN = -6.0, -2.0, 3.0
-FEATURES = ("one", "words", "linked share", "ends a sentence", "paragraph or heading", "copyright mark", "list item or cell")
-TEXT_PRIOR = (-0.6, 1.6, -4.0, 0.6, 0.5, -2.5, -0.3)
+FEATURES = ("one", "words", "linked share", "ends a sentence", "paragraph or heading", "copyright or cookie mark", "list item or cell", "linked share of the siblings")
+TEXT_PRIOR = (-0.6, 1.6, -4.0, 0.6, 0.5, -2.5, -0.3, -1.5)
 PRIOR_BLOCKS, PRIOR_SHARE, FIT_STEPS = 20.0, 0.1, 6
 #: Words from which a block is long.
 LONG = 40
-MARK = re.compile(r"©|\(c\) (?:19|20)\d\d|all rights reserved", re.I)
+MARK = re.compile(r"©|\(c\) (?:19|20)\d\d|all rights reserved|\b(?:we|site|website|page) uses? cookies\b|\baccept (?:all )?cookies\b|\bcookie (?:policy|settings|preferences)\b", re.I)
 ENDS = re.compile(r"[.!?:;…»\"”)]$")
 
 
@@ -75,11 +79,12 @@ class Block:
     text: str
     features: tuple[float, ...]
     parts: float  # log-odds of the parts it is in, without forms
-    forms: tuple[int, ...]  # ids of the open forms
+    forms: tuple[int, ...]  # ids of the open forms and of what is around the main part by its name
     main: bool
     parent: int  # id of the block-level element around its own
     depth: int
     shared: int  # block-level elements that are open in this block and in the one before
+    linked: int  # characters inside of links
     score: float = 0.0
 
 
@@ -97,32 +102,40 @@ def names_in(attrs: str) -> tuple[list[set[str]], bool]:
     return names, hidden
 
 
-def part_score(tag: str, attrs: str, inside_main: bool) -> tuple[float, bool]:
-    """What an open element says of the blocks in it, and whether it is the main part."""
+def part_score(tag: str, attrs: str, inside_main: bool) -> tuple[float, bool, bool]:
+    """What an open element says of the blocks in it, whether it is the main part, and whether its name says that
+    it may be around the main part (then how much it holds decides)."""
     if tag in ("nav", "footer", "aside", "dialog", "menu", "search"):
-        return AWAY, False
+        return AWAY, False, False
     names, hidden = names_in(attrs) if attrs.strip() else ([], False)
     if hidden:
-        return AWAY, False
-    main = tag in ("article", "main") or (tag in ("div", "section", "td") and any(words & MAIN_PARTS for words in names))
+        return AWAY, False, False
+    # main-header is the header of a site, entry-header that of an article
+    own = any("header" in words and words & MAIN_PARTS - {"main"} for words in names) or tag == "header" and any(words & MAIN_PARTS - {"main"} for words in names)
+    main = tag in ("article", "main") or (tag in ("div", "section", "td") and any(words & MAIN_PARTS for words in names)) or (tag == "header" and own)
+    around = False
     if tag not in ("html", "body", "h1", "h2", "h3", "article", "main"):
         worst = 0.0
         for words in names:
             other = words & OTHER_PARTS
-            if inside_main or words & MAIN_PARTS:  # an article's own heading
+            if inside_main or words & MAIN_PARTS - {"main"}:  # an article's own heading
                 other -= {"header", "masthead"}
-            if other:
+            if other and not inside_main and words & MAIN_PARTS and words & AROUND:
+                around = True
+            elif other:
                 worst = min(worst, AWAY if words <= OTHER_PARTS | MAIN_PARTS | PLAIN_PARTS else PERHAPS_AWAY)
         if worst < 0:
-            return worst, False
-    if tag == "header" and not inside_main:
-        return AWAY, False
-    return (IN_MAIN if main and not inside_main else 0.0), main
+            return worst, False, False
+    if tag == "header" and not inside_main and not own:
+        return AWAY, False, False
+    if around:
+        return 0.0, False, True
+    return (IN_MAIN if main and not inside_main else 0.0), main, False
 
 
 def features_of(text: str, linked: int, tag: str) -> tuple[float, ...]:
     n = len(text.split())
-    return (1.0, min(n, LONG) / 20, min(1.0, linked / max(1, len(text))), float(bool(ENDS.search(text))), float(tag in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre")), min(1.0, 20 / n) * bool(MARK.search(text)), float(tag in ("li", "td", "th", "dd", "dt", "option")))
+    return (1.0, min(n, LONG) / 20, min(1.0, linked / max(1, len(text))), float(bool(ENDS.search(text))), float(tag in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre")), min(1.0, 20 / n) * bool(MARK.search(text)), float(tag in ("li", "td", "th", "dd", "dt")), 0.0)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -141,7 +154,7 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             _, said, main, forms = stack[-1] if stack else ("", 0.0, False, ())
             tag = boxes[-1][1] if boxes else ""
-            out.append(Block(text, features_of(text, linked, tag), said, forms, main, boxes[-2][0] if len(boxes) > 1 else 0, len(boxes), min(low, len(boxes))))
+            out.append(Block(text, features_of(text, linked, tag), said, forms, main, boxes[-2][0] if len(boxes) > 1 else 0, len(boxes), min(low, len(boxes)), min(linked, len(text))))
             low = len(boxes)
         linked = 0
 
@@ -185,23 +198,24 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in BLOCK:
-            closing = CLOSES.get(tag, set()) | {"p"}
+        if tag in BLOCK or tag in CLOSES:
+            closing = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCK else set())
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in closing:
                     pop_to(k)
                     break
                 if stack[k][0] in SCOPE and stack[k][0] not in closing:
                     break
-            flush()
+            if tag in BLOCK:
+                flush()
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
         if tag == "body":  # whatever the head left open
             pop_to(next((k for k, s in enumerate(stack) if s[0] != "html"), len(stack)))
         _, said, inside, forms = stack[-1] if stack else ("", 0.0, False, ())
-        score, main = part_score(tag, m[3], inside)
+        score, main, around = part_score(tag, m[3], inside)
         serial += 1
-        stack.append((tag, said + score, inside or main, (*forms, serial) if tag in ("form", "fieldset") else forms))
+        stack.append((tag, said + score, inside or main, (*forms, serial) if around or tag in ("form", "fieldset") else forms))
         opened[tag] += 1
         if tag in BLOCK:
             boxes.append((serial, tag))
@@ -220,9 +234,24 @@ def blocks_of(page: str) -> list[Block]:
     whole = sum(len(b.text) for b in out)
     for b in out:
         b.parts += AWAY * any(2 * held[f] <= whole for f in b.forms)
+    if not serial:  # no element at all: the page is its text
+        for b in out:
+            b.parts -= AWAY
+    with_siblings(out)
     return out
 
 
+def with_siblings(blocks: list[Block]) -> None:
+    """Set the last feature: how much of the text of the other blocks below the same element is linked."""
+    links, chars = Counter[int](), Counter[int]()
+    for b in blocks:
+        links[b.parent] += b.linked
+        chars[b.parent] += len(b.text)
+    for b in blocks:
+        others = chars[b.parent] - len(b.text)
+        b.features = (*b.features[:-1], (links[b.parent] - b.linked) / others if others else 0.0)
+
+
 def ties(blocks: list[Block], strength: float) -> Iterator[tuple[int, int, float]]:
     """Smoothness edges: neighbours in the page, and next children of the same parent."""
     last: dict[int, int] = {}

@@ -43,6 +43,36 @@ def test_markup_that_misleads():
     assert main_text("<div id='acme-sidebar'><p>A story of something else, told beside the page.</p></div><article><p>The story itself, told at the right place.</p></article>") == "The story itself, told at the right place."
 
 
+def test_parts_around_the_article():
+    story = "<p>The story itself, told at the right place and at some length.</p><p>It goes on with a second paragraph, as stories do.</p>"
+    side = "<div class=sidebar><p>Something else.</p></div>"
+    told = "The story itself, told at the right place and at some length.\nIt goes on with a second paragraph, as stories do."
+    assert main_text(f'<div class="content-sidebar-wrap"><main>{story}</main>{side}</div>') == told
+    assert main_text(f'<article>{story}</article><div class="content-sidebar-wrapper"><p>A story of something else, told beside the page.</p></div>') == told
+    for comments in ('<section class="responses"><p>I think that this is a very good story, really.</p></section>', '<ol class="commentlist"><li>I think that this is a very good story, really.</li></ol>'):
+        assert main_text(f"<article>{story}</article>{comments}") == main_text(f"<article>{story}{comments}</article>") == told
+    assert main_text(f'<header class="main-header"><p>The site of all stories.</p></header><header class="entry-header"><h1>Its title</h1></header><article>{story}</article>') == "Its title\n" + told
+    assert main_text(f'<div class="main-header"><p>The site of all stories.</p></div><article>{story}</article>') == told
+    assert main_text(f"<div><p>We use cookies to make this page better for you.</p></div><article>{story}</article>") == told
+    assert main_text("<article><p>Long ago a page used cookies. We use cookies to bake a house.</p></article>") == "Long ago a page used cookies. We use cookies to bake a house."
+
+
+def test_forms_inside_text():
+    assert main_text("<article><p>Choose <select><option>a<option selected>b</select> end</p></article>") == "Choose end"
+    assert main_text("<article><p>Choose <select><optgroup label=x><option>a</option></optgroup></select> end</p></article>") == "Choose end"
+    assert main_text("<article><p>Choose <input list=l><datalist id=l><option>a</datalist> end</p></article>") == "Choose end"
+
+
+def test_pages_without_elements():
+    assert main_text("just text") == "just text" and main_text("  a\n b <!-- c --> ") == "a b" and main_text("&copy; 2020") == "© 2020"
+
+
+def test_linked_siblings_say_something():
+    line = "<li>Read all about it here, at last, in full</li>"
+    assert main_text(f"<ul><li><a href=/>Home page of all</a>{line}<li><a href=/b>All about us and more</a></ul>") == ""
+    assert main_text(f"<ul>{line}{line}{line}</ul>".replace("here", "here, and then in very many more words that are written there, so that it is a long one")) != ""
+
+
 def test_the_cut_decides_where_texts_say_little():
     prose = "<p>A paragraph of the story with quite a few words in it, so that it is long enough to be sure of, and then some more of them.</p>"
     page = f"<body><div>{prose}{prose}<div>Stop</div>{prose}{prose}</div><ul><li><a href=/>Home page</a><li>Shop<li><a href=/b>All about us</a></ul></body>"
