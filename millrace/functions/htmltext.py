@@ -19,6 +19,9 @@ class Line:
     text: str
     bullet: bool  # it stands in a list item
     heading: bool  # it is a heading tag or wholly bold
+    form: str = "text"  # h1 to h6, bold, li, p or text
+    lead: str = ""  # the bold text it opens with, if more follows
+    block: int = 0  # lines of one paragraph, which breaks part, share it
 
 
 class _Renderer(HTMLParser):
@@ -26,15 +29,21 @@ class _Renderer(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.bold_chars = self.chars = 0
-        self.depth = {"li": 0, "bold": 0, "head": 0, "skip": 0}
+        self.lead: list[str] = []
+        self.bold_chars = self.chars = self.block = 0
+        self.head = ""
+        self.depth = {"li": 0, "bold": 0, "head": 0, "skip": 0, "p": 0}
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
+        lead = " ".join("".join(self.lead).split())
         self.parts.clear()
+        self.lead.clear()
         if text:
-            heading = self.depth["head"] > 0 or (self.chars > 0 and self.bold_chars == self.chars)
-            self.lines.append(Line(text, self.depth["li"] > 0, heading and self.depth["li"] == 0))
+            bold = self.chars > 0 and self.bold_chars == self.chars
+            bullet = self.depth["li"] > 0
+            form = "li" if bullet else self.head if self.depth["head"] else "bold" if bold else "p" if self.depth["p"] else "text"
+            self.lines.append(Line(text, bullet, (self.depth["head"] > 0 or bold) and not bullet, form, "" if bold else lead, self.block))
         self.bold_chars = self.chars = 0
 
     def move(self, tag: str, by: int) -> None:
@@ -49,12 +58,19 @@ class _Renderer(HTMLParser):
             self.depth["li"] = 0  # an item that was left open
         if tag in _BREAK and tag != "li":
             self.depth["bold"] = 0
+        if tag in _BREAK:  # a paragraph that was left open
+            self.depth["p"] = int(tag == "p")
+        self.block += tag == "p"
+        self.head = tag if tag in _HEADING else self.head
         self.move(tag, 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _BREAK:
             self.flush()
         self.move(tag, -1)
+        if tag == "p":
+            self.depth["p"] = 0
+            self.block += 1
         if tag in ("ul", "ol"):
             self.depth["li"] = 0
 
@@ -62,6 +78,8 @@ class _Renderer(HTMLParser):
         if self.depth["skip"]:
             return
         self.parts.append(data)
+        if self.chars == self.bold_chars and (self.depth["bold"] or not data.strip()):
+            self.lead.append(data)
         n = len(data.strip())
         self.chars += n
         self.bold_chars += n if self.depth["bold"] else 0

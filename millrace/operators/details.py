@@ -13,7 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.htmltext import Policy, links, prose, render, repair_bytes, section, strip_boilerplate
+from millrace.functions.forms import ANY, HEADS, Rules, intro_of, section_of
+from millrace.functions.htmltext import Line, Policy, links, prose, render, repair_bytes, section, strip_boilerplate
 
 #: Headings of each platform, in the order in which they are tried.
 RESPONSIBILITIES = {
@@ -54,8 +55,13 @@ YEARS = r"(?i)\byears?\b.*\b(?:experience|professional)\b|\bexperience\b.*\byear
 POLICIES = {"dayforce": Policy(least=1, bullets_first=False), "boeing": Policy(least=1, bullets_first=False, stop=r"^[A-Z][\w ]{2,40}:\s*$"), "talentbrew": Policy(least=3), "workday": Policy(least=3, last=True), "icims": Policy(least=3, drop=r"(?i)^apply now|^#LI-"), "oracle": Policy(least=3), "successfactors": Policy(least=4)}
 PAY = [r"\$[0-9,]+(?:\.[0-9]{2})?\s*(?:[-–]|to|and)\s*\$?[0-9,]+(?:\.[0-9]{2})?", r"\$[0-9,]+(?:\.[0-9]{2})?\+"]
 BOILERPLATE = [("all", r"(?is)equal opportunity employer.*\Z"), ("first", r"(?is)about us\b.{0,2000}?(?=about the job|responsibilities)"), ("first", r"(?is)\bclick here to apply.*\Z"), ("all", r"#LI-\w+")]
+#: Headings of this platform are read by their form; a short paragraph above a list is one too.
+SF_RULES = Rules(forms=(HEADS, ("bold", "lead"), ANY), otherwise=("heading", "bold", "titled list"), bullets=True, least=4)
+#: The section that one platform names its pay in.
+PAY_SECTION = {"boeing": [r"Summary\s+Pay\s+Range"]}
 FIELDS = ["job_responsibilities", "min_education", "min_experience", "preferred_qualifications", "salary_range", "error"]
 RECORD = T.StructType([T.StructField(f, T.StringType()) for f in FIELDS])
+LINE = T.StructType([T.StructField("text", T.StringType()), T.StructField("bullet", T.BooleanType()), T.StructField("heading", T.BooleanType()), T.StructField("form", T.StringType()), T.StructField("lead", T.StringType()), T.StructField("block", T.IntegerType())])
 LINES = T.ArrayType(T.StringType())
 LINKS = T.ArrayType(T.StructType([T.StructField("href", T.StringType()), T.StructField("title", T.StringType())]))
 
@@ -88,18 +94,23 @@ def or_split(lines: list[str]) -> tuple[str, str] | None:
 def detail(platform: str, html: str | None) -> tuple:
     lines = render(strip_boilerplate(html or "", BOILERPLATE))
     policy = POLICIES.get(platform, Policy())
-    duties = section(lines, RESPONSIBILITIES.get(platform, RESPONSIBILITIES["workday"]), policy)
+
+    def find(patterns: list[str]) -> list[str] | None:
+        return section_of(lines, patterns, SF_RULES) if platform == "successfactors" else section(lines, patterns, policy)
+
+    duties = find(RESPONSIBILITIES.get(platform, RESPONSIBILITIES["workday"]))
     if platform == "talentbrew":  # both sections count
-        duties = [x for p in RESPONSIBILITIES[platform] for x in section(lines, [p], policy) or []]
+        duties = [x for p in RESPONSIBILITIES[platform] for x in find([p]) or []]
     elif platform == "boeing":
-        duties = [x for p in reversed(RESPONSIBILITIES[platform]) for x in section(lines, [p], policy) or []]
+        duties = [x for p in reversed(RESPONSIBILITIES[platform]) for x in find([p]) or []]
     duty_text = "\n".join(duties) if duties else prose(lines, r"(?i)^(?:job description|overview)\s*:?", r"(?i)cookie|copyright|all rights reserved") if platform in ("oracle", "successfactors") else None
-    required = section(lines, REQUIRED.get(platform, REQUIRED["workday"]), policy) or []
+    required = find(REQUIRED.get(platform, REQUIRED["workday"])) or []
     pair = or_split(required) if platform == "successfactors" else None
     education, experience = ([pair[0]], [pair[1], *required[1:]]) if pair else split_required(platform, required)
-    preferred = section(lines, PREFERRED.get(platform, []), policy)
-    text = "\n".join(x.text for x in lines)
-    pay = next((m[0] for p in PAY if (m := re.search(p, text))), None)
+    preferred = find(PREFERRED.get(platform, []))
+    named = "\n".join(find(PAY_SECTION.get(platform, [])) or [])
+    texts = (named, "\n".join(x.text for x in lines))  # the section on pay goes before the rest of the page
+    pay = next((m[0] for t in texts for p in PAY if (m := re.search(p, t))), None)
     return duty_text, "\n".join(education) or None, "\n".join(experience) or None, "\n".join(preferred) if preferred else None, pay, None
 
 
@@ -114,10 +125,26 @@ def detail_record(platform: pd.Series, html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=FIELDS)
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("bullet", T.BooleanType()), T.StructField("heading", T.BooleanType())])))
+@F.pandas_udf(T.ArrayType(LINE))
 def line_records(html: pd.Series) -> pd.Series:
-    """A page as lines that know whether they are list items or headings: one parse for all fields."""
-    return html.map(lambda h: [{"text": x.text, "bullet": x.bullet, "heading": x.heading} for x in render(h)])
+    """A page as lines that know their form: one parse for all fields."""
+    return html.map(lambda h: [vars(x) for x in render(h)])
+
+
+def located_sections(lines: Column, groups: dict[str, tuple[list[str], Rules]], intro: tuple[list[str], str] | None = None) -> Column:
+    """struct of the groups' sections, each an array of lines or null, and `intro`: all of a page's sections in one
+    pass over its lines. groups: headings and rules by name; intro: first lines of a summary, and what ends it."""
+    kind = T.StructType([*[T.StructField(name, LINES) for name in groups], T.StructField("intro", T.StringType())])
+
+    @F.pandas_udf(kind)
+    def find(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            own = [] if page is None else [Line(*[x[c] for c in LINE.names]) for x in page]
+            rows.append([*[section_of(own, patterns, rules) for patterns, rules in groups.values()], intro_of(own, *intro) if intro else None])
+        return pd.DataFrame(rows, columns=[*groups, "intro"], dtype=object)
+
+    return find(lines)
 
 
 @F.pandas_udf(LINKS)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions import lines as L
 from millrace.operators import cascades as C
 from millrace.operators import details as D
+from millrace.operators import pulls
+from millrace.operators.dayforce import dayforce_details
 from millrace.plans.sourcing import _text
 from millrace.registry import query, table
 
@@ -88,3 +90,71 @@ def role_intro(spark: SparkSession, d: str) -> DataFrame:
     html = _shapes(F.col("p_partkey"), [_text("<p>As a rule.</p><p>As a maker of ", F.col("p_type"), " you build things.</p>"), _text("<p>Hello</p><div>We are looking for people who know ", F.col("p_brand"), "</div>"), _text("<p>The ", F.col("p_brand"), " team is one of the best there are.</p>"), F.lit("<p>Come to us, it is very nice here.</p>")])
     rows = table(spark, d, "part").select("p_partkey", D.line_records(html).alias("lines"))
     return rows.select("p_partkey", C.role_summary(F.col("lines")).alias("summary"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'Build ' || p_brand WHEN 1 THEN 'Knows ' || p_type || '|Tools:|Likes ' || p_brand WHEN 2 THEN 'Designs ' || p_brand || '|Really|Runs ' || p_type WHEN 3 THEN 'Last of ' || p_brand WHEN 4 THEN 'Loose ' || p_type WHEN 5 THEN 'all of ' || p_brand END AS lines FROM part""")
+def form_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Sections whose headings and stops have several forms: a titled list, bold labels, bold inside of a heading's
+    section, a heading that comes twice, one of another form, one that a line opens with, and none."""
+    k, brand, kind = F.col("p_partkey") % 7, F.col("p_brand"), F.col("p_type")
+    html = _shapes(F.col("p_partkey"), [
+        _text("<p><span>Key Responsibilities</span></p><ul><li>Build ", brand, "</ul><p>Other Things</p><ul><li>no</ul>"),
+        _text("<b>Minimum Qualifications</b><ul><li>Knows ", kind, "</ul><b>Tools:</b><ul><li>Likes ", brand, "</ul><b>Total Rewards</b><p>much of it</p>"),
+        _text("<h2>The Role</h2><p>Designs ", brand, "</p><b>Really</b><p>Runs ", kind, "</p><h2>The Person</h2><p>no</p>"),
+        _text("<p>Minimum Qualifications: they are needed.</p><b>Minimum Qualifications</b><ul><li>Last of ", brand, "</ul>"),
+        _text("<h4>The Role</h4><p>Loose ", kind, "</p><p>AMD is committed to it</p><p>no</p>"),
+        _text("<p><b>Key Responsibilities:</b> all of ", brand, "</p><p><b>Pay:</b> much</p>"),
+        _text("<p>The role has key responsibilities for ", brand, "</p>"),
+    ])
+    groups = {"sf": (D.RESPONSIBILITIES["successfactors"], D.SF_RULES), "workday": (C.NEEDED, C.WORKDAY_LABELLED), "icims": ([r"The\s+Role"], C.ICIMS_RULES)}
+    found = table(spark, d, "part").select("p_partkey", k.alias("k"), D.located_sections(D.line_records(html), groups).alias("f"))
+    one = F.when(F.col("k").isin(1, 3), F.col("f.workday")).when(F.col("k").isin(2, 4), F.col("f.icims")).otherwise(F.col("f.sf"))
+    return found.select("p_partkey", L.joined(one, "|").alias("lines"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 4 THEN NULL ELSE 'Build ' || p_brand || chr(10) || 'Run it' END AS job_responsibilities,
+CASE p_partkey % 5 WHEN 0 THEN 'Diploma of ' || p_type WHEN 1 THEN 'BS in ' || p_brand WHEN 2 THEN 'Degree of ' || p_brand END AS min_education,
+CASE p_partkey % 5 WHEN 0 THEN 'Knows ' || p_brand || chr(10) || 'BS in ' || p_brand WHEN 1 THEN 'Knows ' || p_type WHEN 2 THEN p_size || ' years' WHEN 3 THEN 'Knows ' || p_brand END AS min_experience,
+CASE p_partkey % 5 WHEN 2 THEN 'Likes ' || p_type END AS preferred_qualifications FROM part""")
+def dayforce_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Postings whose headings are plain lines: a label before a degree, a degree, sections of their own, no degree,
+    and no heading; of a section that comes twice the last counts."""
+    brand, kind = F.col("p_brand"), F.col("p_type")
+    duties = _text("<p>About us</p><div>Responsibilities:</div><ul><li>Build ", brand, "<li>Run it</ul>")
+    html = _shapes(F.col("p_partkey"), [
+        F.concat(duties, _text("<p>Required Qualifications</p><p>&bull; Knows ", brand, "</p><p>&bull; BS in ", brand, "</p><p>- Education:  Diploma of ", kind, "</p>")),
+        F.concat(duties, _text("<p>REQUIRED QUALIFICATION</p><ul><li>Knows ", kind, "<li>BS in ", brand, "</ul><p>US Citizenship Required</p>")),
+        F.concat(duties, _text("<p>Education</p><p>none</p><p>Experience and Skills:</p><p>", F.col("p_size"), " years</p><p>Education</p><p>Degree of ", brand, "</p><p>Required Qualifications</p><p>BS, no</p><p>Preferred Qualifications</p><p>Likes ", kind, "</p>")),
+        F.concat(duties, _text("<p>Required Qualifications:</p><p>Knows ", brand, "</p>")),
+        _text("<p>Education is what ", brand, " needs</p>"),
+    ])
+    rows = table(spark, d, "part").select("p_partkey", D.rendered_lines(html).alias("lines"))
+    return dayforce_details(rows).drop("lines")
+
+
+def _replayed(members: list[dict], attempt: int) -> list[tuple]:
+    """The captured answer to one try: a batch whose answer is an error page has failed."""
+    if any(m["fails"] >= attempt for m in members):
+        raise ValueError(f"error page for {members[0]['n_nationkey']}")
+    return [(m["s_suppkey"], m["n_name"]) for m in members]
+
+
+@query("""WITH m AS (SELECT s_suppkey, n_nationkey, n_name, CASE WHEN s_suppkey % 31 = 0 THEN 9 WHEN s_suppkey % 7 = 0 THEN 2 ELSE 0 END AS fails, (row_number() OVER (ORDER BY n_nationkey, s_suppkey) - 1) // 5 + 1 AS batch FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+b AS (SELECT batch, max(fails) AS f, count(*) AS n, first(n_nationkey ORDER BY n_nationkey, s_suppkey) AS k FROM m GROUP BY 1)
+SELECT batch, CAST(CASE WHEN f >= 3 THEN 3 ELSE f + 1 END AS INTEGER) AS attempts, CASE WHEN f >= 3 THEN 'ValueError: error page for ' || k END AS error, CAST(CASE WHEN f >= 3 THEN 0 ELSE n END AS INTEGER) AS n_rows FROM b""")
+def pull_report(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of five members, tried up to three times: how often, and which never came."""
+    return pulls.report(_pulled(spark, d))
+
+
+@query("""WITH m AS (SELECT s_suppkey, n_nationkey, n_name, CASE WHEN s_suppkey % 31 = 0 THEN 9 WHEN s_suppkey % 7 = 0 THEN 2 ELSE 0 END AS fails, (row_number() OVER (ORDER BY n_nationkey, s_suppkey) - 1) // 5 + 1 AS batch FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT batch, CAST(s_suppkey AS BIGINT) AS member, n_name AS answer FROM m WHERE batch NOT IN (SELECT batch FROM m WHERE fails >= 3)""")
+def pull_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of all batches that came; those that failed for good take no other with them."""
+    return pulls.pulled_rows(_pulled(spark, d))
+
+
+def _pulled(spark: SparkSession, d: str) -> DataFrame:
+    fails = F.when(F.col("s_suppkey") % 31 == 0, 9).when(F.col("s_suppkey") % 7 == 0, 2).otherwise(0)
+    members = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_nationkey", "n_name", fails.alias("fails"))
+    return pulls.pull(pulls.in_batches(members, ["n_nationkey", "s_suppkey"], 5), _replayed, "member bigint, answer string")
