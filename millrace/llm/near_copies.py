@@ -243,7 +243,7 @@ def clusters(nodes: DataFrame, block: int) -> DataFrame:
     met = cut(rows.mapInArrow(cluster_batches, "key long, node long").distinct(), "buckets")
     prints = nodes.select(F.col("node").alias("of"), F.col("prints").alias("fp"))
     members = cut(met.join(prints, F.col("node") == F.col("of")).select(F.lit(0).alias("part"), "key", "fp", "node"), "members")
-    linked = dealt(members, block).mapInArrow(lambda b: link_batches(b, FARTHEST), "a long, b long").distinct()
+    linked = dealt(members, block, members.count()).mapInArrow(lambda b: link_batches(b, FARTHEST), "a long, b long").distinct()
     return components(linked, "a", "b").select(F.col("root").alias("key"), "node")
 
 

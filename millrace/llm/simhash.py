@@ -283,23 +283,52 @@ def buckets(nodes: DataFrame, distance: int, block: int, words: int = 1, broadca
     plan = plan_partitions(nodes.select(fps[0].alias("fp")), n, distance, planned)
     entries = [_entries(k * len(plan) + i, fp, group, t) for k, fp in enumerate(fps) for i, (group, t) in enumerate(plan)]
     rows = nodes.select("node", F.explode(F.concat(*entries)).alias("x")).select("node", "x.*")
-    return dealt(rows, block, broadcast_keys)
+    return dealt(rows, block, n * sum(1 + len(flips(group, (t + 1) // 2)) for group, t in plan) * words, broadcast_keys)
 
 
-def dealt(rows: DataFrame, block: int, broadcast_keys: int = 10_000) -> DataFrame:
+#: Cells of a first count that are broadcast; the mean load of a cell is a block over LOAD.
+CELLS, LOAD = 1_000_000, 4
+
+
+def hot_buckets(rows: DataFrame, block: int, n: int) -> DataFrame:
+    """hot_part, hot_key and n of the buckets with more than `block` rows. n: number of rows.
+
+    Most buckets hold a row or two, so counting each would shuffle as many rows as there are. So cells of many buckets
+    are counted first, which tasks sum before the shuffle; only the buckets of a cell that is over the block are counted.
+    """
+    cell = F.pmod(F.xxhash64("part", "key"), F.lit(LOAD * n // block + 1))
+    full = cut(rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).filter(F.col("n") > block).select("cell"), "full-cells")
+    n_full = full.count()
+    inside = rows if n_full > CELLS else rows.join(F.broadcast(full), cell == F.col("cell"), "left_semi")
+    counted = inside.groupBy(F.col("part").alias("hot_part"), F.col("key").alias("hot_key")).agg(F.count("*").alias("n")).filter(F.col("n") > block)
+    return cut(counted if n_full else counted.limit(0), "hot-buckets")
+
+
+def dealt(rows: DataFrame, block: int, n: int, broadcast_keys: int = 10_000) -> DataFrame:
     """Rows of part, key, fp and node with `pair`, in bucket order; a bucket of over `block` rows is dealt into
-    blocks, and each pair of blocks is a bucket of its own."""
-    hot = cut(rows.groupBy("part", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select(F.col("part").alias("hot_part"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / block).alias("blocks")), "hot-buckets")
+    blocks, and each pair of blocks is a bucket of its own. n: number of rows.
+
+    Of more than broadcast_keys hot buckets those with over 1 in broadcast_keys rows are broadcast, the others joined.
+    """
+    hot = hot_buckets(rows, block, n)
     n_hot = hot.count()
     rows = rows.withColumn("pair", F.lit(0).cast("long"))
     if n_hot:
-        side = F.broadcast(hot) if n_hot <= broadcast_keys else hot
+        same = (F.col("part") == F.col("hot_part")) & (F.col("key") == F.col("hot_key"))
+        often = F.lit(True) if n_hot <= broadcast_keys else F.col("n") * broadcast_keys > n
+        first, others = (hot.filter(x).select("hot_part", "hot_key", F.ceil(F.col("n") / block).alias("blocks")) for x in (often, ~often))
+        met = rows.join(F.broadcast(first), same, "left")
+        if n_hot > broadcast_keys:
+            rest = met.filter("blocks is null").select(*rows.columns).join(others, same, "left")
+            met = met.filter("blocks is not null").select(*rows.columns, "blocks").unionByName(rest.select(*rows.columns, "blocks"))
+        rows = met
         own = F.pmod(F.xxhash64("fp", "node"), F.col("blocks"))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-        rows = rows.join(side, (F.col("part") == F.col("hot_part")) & (F.col("key") == F.col("hot_key")), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+        rows = rows.withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
         rows = rows.select("part", "key", "fp", "node", "blocks", own.alias("mine"), other.alias("other"))
         rows = rows.withColumn("pair", F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other"))
-    return rows.select("part", "key", "pair", "fp", "node").repartition("part", "key", "pair").sortWithinPartitions("part", "key", "pair")
+    # the key comes first in the order, since it tells most rows apart
+    return rows.select("part", "key", "pair", "fp", "node").repartition("part", "key", "pair").sortWithinPartitions("key", "part", "pair")
 
 
 def links(nodes: DataFrame, distance: int, block: int = 2048) -> DataFrame:

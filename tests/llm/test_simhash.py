@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from millrace.llm import simhash
 from millrace.llm.components import components
 from millrace.llm.simhash import allocate, bucket_links, fingerprint, links, near_duplicates
 
@@ -144,3 +145,20 @@ def test_hubs_are_kept_out_of_the_join(spark, monkeypatch):
     edges = [(1, k) for k in range(2, 40)] + [(100, k) for k in range(39, 60)] + [(200, 201), (201, 202), (7, 7), (None, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {k: 1 for k in [*range(1, 60), 100]} | {200: 200, 201: 200, 202: 200}
+
+
+@pytest.mark.parametrize(("keys", "cells"), [(10_000, 1_000_000), (1, 1_000_000), (1, 0)])
+def test_hot_buckets_are_dealt_whole(spark, keys, cells, monkeypatch):
+    """Every pair of a bucket meets in some run, no run holds a whole hot bucket, and cold ones stay as they are."""
+    monkeypatch.setattr(simhash, "CELLS", cells)
+    sizes = {(0, 5): 90, (1, 5): 40, (0, 6): 17, (0, 7): 16, (3, -1): 1}
+    rows = [(p, k, i, 100 * i + p) for (p, k), n in sizes.items() for i in range(n)]
+    got = simhash.dealt(spark.createDataFrame(rows, "part int, key long, fp long, node long"), 16, len(rows), keys).collect()
+    runs = {}
+    for r in got:
+        runs.setdefault((r.part, r.key, r.pair), set()).add(r.node)
+    for (p, k), n in sizes.items():
+        own = [v for (a, b, _), v in runs.items() if (a, b) == (p, k)]
+        assert set.union(*own) == {100 * i + p for i in range(n)}
+        assert all(any({100 * i + p, 100 * j + p} <= v for v in own) for i in range(n) for j in range(i))
+        assert (len(own) == 1) == (n <= 16) and (n < 40 or max(map(len, own)) < n)
