@@ -21,7 +21,7 @@ RESPONSIBILITIES = {
     "successfactors": [r"Responsibilities\s+may\s+include", r"Key\s+Roles?\s+and\s+Responsibilities", r"Key\s+Responsibilities", r"Role\s+Responsibilities", r"Primary\s+Responsibilities", r"Typical\s+duties\s+include[^:]*", r"Responsibilities", r"What\s+You.ll\s+Do", r"The\s+Impact\s+You.ll\s+Make", r"Position\s+Description", r"Job\s+Description"],
     "oracle": [r"Responsibilities\s+include", r"Specific\s+responsibilities\s+(?:could|may|will)\s+include", r"Key\s+Responsibilities", r"responsibilities\s+of\s+a\s+[^:]+\s+in\s+this\s+role\s+include", r"you\s+will\s+be\s+responsible\s+for", r"About\s+the\s+job"],
     "talentbrew": [r"What\s+You.ll\s+Be\s+Doing", r"The\s+Impact\s+You\s+Will\s+Have"],
-    "boeing": [r"Position\s+Responsibilities", r"Summary"],
+    "boeing": [r"Position\s+Responsibilities", r"Summary(?!\s+Pay)"],
     "dayforce": [r"Responsibilities"],
     "icims": [r"The\s+Role", r"Key\s+Responsibilities", r"Responsibilities"],
     "workday": [r"What\s+You.ll\s+Do", r"Key\s+Responsibilities", r"Responsibilities", r"Job\s+Responsibilities"],
@@ -57,8 +57,12 @@ PAY = [r"\$[0-9,]+(?:\.[0-9]{2})?\s*(?:[-–]|to|and)\s*\$?[0-9,]+(?:\.[0-9]{2})
 BOILERPLATE = [("all", r"(?is)equal opportunity employer.*\Z"), ("first", r"(?is)about us\b.{0,2000}?(?=about the job|responsibilities)"), ("first", r"(?is)\bclick here to apply.*\Z"), ("all", r"#LI-\w+")]
 #: Headings of this platform are read by their form; a short paragraph above a list is one too.
 SF_RULES = Rules(forms=(HEADS, ("bold", "lead"), ANY), otherwise=("heading", "bold", "titled list"), bullets=True, least=4)
-#: The section that one platform names its pay in.
-PAY_SECTION = {"boeing": [r"Summary\s+Pay\s+Range"]}
+#: The section that a platform names its pay in.
+PAY_SECTION = {"boeing": [r"Summary\s+Pay\s+Range"], "talentbrew": [r"Rewards\s+and\s+Benefits"]}
+#: Where the store takes pay from nowhere else.
+PAY_ONLY_THERE = {"talentbrew"}
+#: Platforms whose fields are read from the lines of a page, by a cascade or a sectioner of their own.
+BY_LINES = {"workday", "icims", "dayforce"}
 FIELDS = ["job_responsibilities", "min_education", "min_experience", "preferred_qualifications", "salary_range", "error"]
 RECORD = T.StructType([T.StructField(f, T.StringType()) for f in FIELDS])
 LINE = T.StructType([T.StructField("text", T.StringType()), T.StructField("bullet", T.BooleanType()), T.StructField("heading", T.BooleanType()), T.StructField("form", T.StringType()), T.StructField("lead", T.StringType()), T.StructField("block", T.IntegerType())])
@@ -91,7 +95,7 @@ def or_split(lines: list[str]) -> tuple[str, str] | None:
     return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
-def detail(platform: str, html: str | None) -> tuple:
+def detail(platform: str, html: str | None, pay_anywhere: bool = True) -> tuple:
     lines = render(strip_boilerplate(html or "", BOILERPLATE))
     policy = POLICIES.get(platform, Policy())
 
@@ -109,7 +113,8 @@ def detail(platform: str, html: str | None) -> tuple:
     education, experience = ([pair[0]], [pair[1], *required[1:]]) if pair else split_required(platform, required)
     preferred = find(PREFERRED.get(platform, []))
     named = "\n".join(find(PAY_SECTION.get(platform, [])) or [])
-    texts = (named, "\n".join(x.text for x in lines))  # the section on pay goes before the rest of the page
+    # the section on pay goes before the rest of the page
+    texts = (named, "\n".join(x.text for x in lines) if pay_anywhere else "")
     pay = next((m[0] for t in texts for p in PAY if (m := re.search(p, t))), None)
     return duty_text, "\n".join(education) or None, "\n".join(experience) or None, "\n".join(preferred) if preferred else None, pay, None
 
@@ -125,6 +130,18 @@ def detail_record(platform: pd.Series, html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=FIELDS)
 
 
+@F.pandas_udf(T.StructType([T.StructField("r", RECORD), T.StructField("lines", T.ArrayType(LINE))]))
+def page_record(platform: pd.Series, html: pd.Series) -> pd.DataFrame:
+    """One parse of a page: `lines` where the platform's fields are read from them, else the record `r`."""
+    rows = []
+    for p, h in zip(platform, html, strict=True):
+        try:
+            rows.append((None, [vars(x) for x in render(h)]) if p in BY_LINES else (dict(zip(FIELDS, detail(p, h, p not in PAY_ONLY_THERE), strict=True)), None))
+        except Exception as e:  # noqa: BLE001  one bad page is a row with an error
+            rows.append((dict.fromkeys(FIELDS[:-1]) | {"error": f"{type(e).__name__}: {e}"}, None))
+    return pd.DataFrame(rows, columns=["r", "lines"], dtype=object)
+
+
 @F.pandas_udf(T.ArrayType(LINE))
 def line_records(html: pd.Series) -> pd.Series:
     """A page as lines that know their form: one parse for all fields."""

@@ -11,10 +11,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import parse_date, sanitize
+from millrace.functions.scalars import icims_pay, labelled_pay, parse_date, salary, sanitize, strip_tags
 from millrace.operators.cascades import icims_details, workday_details
-from millrace.operators.details import detail_record, line_records
+from millrace.operators.dayforce import dayforce_details
+from millrace.operators.details import BY_LINES, page_record
 from millrace.operators.store import evolve, least_by, upsert
+from millrace.sources.captured import script_json
+from millrace.sources.workspace import written
 
 #: How each platform tells a place in the United States, and whether no place passes.
 STATES = "Alabama|Alaska|Arizona|Arkansas|California|Colorado|Connecticut|Delaware|Florida|Georgia|Hawaii|Idaho|Illinois|Indiana|Iowa|Kansas|Kentucky|Louisiana|Maine|Maryland|Massachusetts|Michigan|Minnesota|Mississippi|Missouri|Montana|Nebraska|Nevada|New Hampshire|New Jersey|New Mexico|New York|North Carolina|North Dakota|Ohio|Oklahoma|Oregon|Pennsylvania|Rhode Island|South Carolina|South Dakota|Tennessee|Texas|Utah|Vermont|Virginia|Washington|West Virginia|Wisconsin|Wyoming"
@@ -62,24 +65,48 @@ KEEP = DETAILS
 FILTERS = "struct<q:string,states:array<string>,country_facet:boolean>"
 
 
+#: The configuration that pages of one platform carry, and how deep its fields lie in it.
+CONFIG, JOB = r"window\.jobDescriptionConfig", "$.job."
+#: The label of one platform's pay, in a heading or a span.
+PAY_LABEL, PAY_NODES = "Base Salary Range", r"(?is)<(h3|span)\b[^>]*>(.*?)</\1>"
+
+
+def _pay(platform: Column, text: Column, body: Column, least: Column, most: Column, record: Column) -> Column:
+    """Pay by the platform's own rule. text: the page's lines; least, most: target tags; record: what its section gave."""
+    labels = F.transform(F.regexp_extract_all(body, F.lit(PAY_NODES), F.lit(2)), strip_tags)
+    return F.when(platform.isin("workday", "dayforce"), salary(text)).when(platform == "icims", icims_pay(least, most, body)).when(platform == "talentbrew", labelled_pay(labels, PAY_LABEL, record)).otherwise(record)
+
+
 def postings(payloads: DataFrame) -> DataFrame:
     """One row for each listed posting, in listing order `ord` of its URL.
 
-    Two platforms have cascades of their own, which read the lines of one parse; the others share a record of
-    fixed sections. Pay is that of the record on every platform. Fields that a payload lacks are null; `filters`
-    (FILTERS) says what its listing looked for, and one without it looked for nothing.
+    Payloads are read and their pages parsed once, and what that gives is written, so that the platforms whose fields
+    come from lines (two cascades and the sectioner of plain headings) read only their own columns of it. Pay follows
+    each platform's own rule. Where a page carries a configuration, its description is the body, and it gives the
+    category that the payload lacks. Fields that a payload lacks are null; `filters` (FILTERS) says what its listing
+    looked for, and one without it looked for nothing. A null body, or one that cannot be read, gives null fields.
     """
     rows = evolve(payloads, dict.fromkeys(CARRIED, "string") | {"filters": FILTERS})
     nothing = F.struct(F.lit("").alias("q"), F.array().cast("array<string>").alias("states"), F.lit(False).alias("country_facet"))
     rows = rows.withColumn("filters", F.struct(*[F.coalesce(F.col("filters")[c], nothing[c]).alias(c) for c in ("q", "states", "country_facet")]))
     rows = rows.filter(in_country(F.col("platform"), F.col("location"), F.col("company_name"), F.col("url"), F.col("filters")))
-    rows = rows.withColumn("r", detail_record("platform", "body"))
-    common = ["company_name", F.col("url").alias("job_url"), "ord", F.col("title").alias("job_title"), "location", parse_date(F.col("posted"), F.col("as_of")).alias("posting_date"), *CARRIED]
-    none = F.lit(None).cast("string")
-    parts = [rows.filter(~F.col("platform").isin("workday", "icims") | F.col("platform").isNull()).select(*common, *[F.col(f"r.{c}") for c in DETAILS[:-1]], none.alias("essential_skills"))]
-    for platform, cascade in (("workday", workday_details), ("icims", icims_details)):
-        own = rows.filter(F.col("platform") == platform).select(*common, "r.salary_range", line_records("body").alias("lines"))
-        parts.append(cascade(own).drop("lines"))
+    config = F.when(F.col("platform") == "icims", script_json(F.col("body"), CONFIG))
+    value = lambda name: F.get_json_object("config", JOB + name)
+    rows = rows.withColumn("config", config).withColumn("body", F.coalesce(value("description"), "body"))
+    category = F.array_join(F.transform(F.from_json(value("category"), F.lit("array<string>")), F.trim), ", ")
+    rows = rows.withColumn("job_category", F.coalesce("job_category", category)).withColumn("page", page_record("platform", "body"))
+    common = ["platform", "company_name", F.col("url").alias("job_url"), "ord", F.col("title").alias("job_title"), "location", parse_date(F.col("posted"), F.col("as_of")).alias("posting_date"), *CARRIED]
+    text = F.array_join(F.transform("page.lines", lambda x: x["text"]), "\n")
+    pay = _pay(F.col("platform"), text, F.col("body"), value("tags5[0]"), value("tags6[0]"), F.col("page.r.salary_range"))
+    # the order of its rows by platform lets a branch pass over the row groups of others
+    parsed = written(rows.select(*common, F.col("page.r").alias("r"), pay.alias("salary_range"), F.col("page.lines").alias("lines")).sortWithinPartitions("platform"), "parsed")
+    kept = [c for c in parsed.columns if c not in ("platform", "r", "lines")]
+    none = F.lit(None).cast("string").alias("essential_skills")
+    by_record = [c for c in DETAILS if c not in ("salary_range", "essential_skills")]
+    parts = [parsed.filter(F.coalesce(~F.col("platform").isin(*BY_LINES), F.lit(True))).select(*kept, *[F.col(f"r.{c}") for c in by_record], none)]
+    plain = lambda df: dayforce_details(df.withColumn("lines", F.transform("lines", lambda x: x["text"]))).withColumn("essential_skills", F.lit(None).cast("string"))
+    for platform, read in (("workday", workday_details), ("icims", icims_details), ("dayforce", plain)):
+        parts.append(read(parsed.filter(F.col("platform") == platform).select(*kept, "lines")).drop("lines"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

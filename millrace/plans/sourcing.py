@@ -279,3 +279,47 @@ def ingest_batch(spark: SparkSession, d: str) -> DataFrame:
     again = rows.withColumns({"ord": F.col("ord") - 1_000_000_000, "title": F.lit("older"), "company_name": F.col("company_name")})
     out = ingest(empty, rows.unionByName(again))
     return out.select("job_url", "company_name", "job_title", "location", F.col("posting_date").cast("string").alias("posting_date"), "job_responsibilities", "min_education", "min_experience", "job_identification")
+
+
+_KEPT_SQL = "(p_partkey % 11 <> 0 OR p_partkey % 7 IN (2, 5, 6))"
+_PAID_SQL = "'$' || p_size || ',000-$' || (p_size + 9) || ',000'"
+
+
+@query(f"""WITH came AS (SELECT *, p_partkey AS k, p_partkey % 13 <> 0 AS whole FROM part WHERE {_KEPT_SQL}),
+stored AS (SELECT p_partkey AS k FROM part WHERE p_partkey % 2 = 0)
+SELECT 'u' || coalesce(c.k, s.k) AS job_url, CASE WHEN s.k IS NOT NULL THEN 'Old' ELSE 'C' || c.k % 5 END AS company_name, CASE WHEN c.k IS NULL THEN 'old title' ELSE p_name END AS job_title,
+CASE WHEN c.k IS NULL OR c.k % 3 = 1 THEN CASE WHEN c.k IS NULL THEN 'R-old' END ELSE 'R-' || c.k END AS job_identification,
+CASE WHEN c.k % 7 = 4 AND whole THEN 'Chips, Tools' END AS job_category,
+CASE WHEN whole THEN 'Build ' || p_brand || ' parts' WHEN s.k IS NOT NULL THEN 'old duty' END AS job_responsibilities,
+CASE WHEN whole AND (c.k % 7 = 5 OR c.k % 2 = 0) THEN CASE WHEN c.k % 2 = 0 THEN 'Bachelor of ' ELSE 'Knows ' END || p_type WHEN s.k IS NOT NULL THEN 'old education' END AS min_education,
+CASE WHEN whole AND c.k % 7 <> 5 AND c.k % 2 = 1 THEN 'Knows ' || p_type END AS min_experience,
+CASE WHEN whole THEN {_PAID_SQL} WHEN s.k IS NOT NULL THEN '$1-$2' END AS salary_range
+FROM came c FULL JOIN stored s ON c.k = s.k""")
+def ingest_platforms(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads of all seven platforms into a filled store. Places abroad go where the platform has a rule, pay is in
+    each platform's own place, and a page that is missing keeps the details that the store has."""
+    k = F.col("p_partkey")
+    low, high = _text("$", F.col("p_size"), ",000"), _text("$", F.col("p_size") + 9, ",000")
+    #: platform, heading of the duties, of the requirements, and pay before and after them
+    kinds = [
+        ("boeing", "Position Responsibilities", "Basic Qualifications", F.lit("<p>Bonus $1-$2</p>"), _text("<h3>Summary Pay Range</h3><p>", low, "-", high, "</p>")),
+        ("talentbrew", "What You'll Be Doing", "What You'll Need", F.lit("<p>Bonus $1-$2</p>"), _text("<h3>Base Salary Range: ", low, "-", high, "</h3>")),
+        ("dayforce", "Responsibilities", "Required Qualifications", _text("<p>Pay ", low, "-", high, "</p>"), F.lit("")),
+        ("workday", "Key Responsibilities", "Minimum Qualifications", _text("<p>Pay ", low, "-", high, "</p>"), F.lit("")),
+        ("icims", "KEY RESPONSIBILITIES", "MINIMUM QUALIFICATIONS", _text("<p>Pay Range: MIN ", low, " MAX ", high, "</p>"), F.lit("")),
+        ("oracle", "Key Responsibilities", "Minimum requirements", _text("<p>Pay ", low, "-", high, "</p>"), F.lit("")),
+        ("successfactors", "Key Responsibilities", "Required Qualifications", _text("<p>Pay ", low, "-", high, "</p>"), F.lit("")),
+    ]
+    by_kind = lambda values: F.get(F.array(*values), (k % 7).cast("int"))
+    line = F.when(k % 2 == 0, _text("Bachelor of ", F.col("p_type"))).otherwise(_text("Knows ", F.col("p_type")))
+    body = by_kind([_text(before, f"<h2>{duties}</h2><ul><li>Build ", F.col("p_brand"), f" parts</ul><h2>{need}</h2><ul><li>", line, "</ul>", after) for _, duties, need, before, after in kinds])
+    job = F.to_json(F.struct(F.struct(body.alias("description"), F.array(F.lit(" Chips"), F.lit("Tools ")).alias("category")).alias("job")))
+    body = F.when(k % 7 == 4, _text("<script>window.jobDescriptionConfig = ", job, "; </script>")).otherwise(body)
+    nothing = F.struct(F.lit("").alias("q"), F.array().cast("array<string>").alias("states"), (k % 11 != 0).alias("country_facet"))
+    rows = table(spark, d, "part").select(
+        by_kind([F.lit(x[0]) for x in kinds]).alias("platform"), _text("C", k % 5).alias("company_name"), _text("u", k).alias("url"), F.col("p_name").alias("title"), F.when(k % 11 == 0, "Paris, France").otherwise("Austin, Texas, United States").alias("location"),
+        F.when(k % 13 != 0, body).alias("body"), F.lit("Posted: 01/02/2026").alias("posted"), k.cast("long").alias("ord"), F.when(k % 3 != 1, _text("R-", k)).alias("job_identification"), nothing.alias("filters"), F.lit("2026-03-31").cast("date").alias("as_of"),
+    )
+    stored = table(spark, d, "part").filter(k % 2 == 0).select(_text("u", k).alias("job_url"), F.lit("Old").alias("company_name"), F.lit("old title").alias("job_title"), F.lit("Old town").alias("location"), F.lit("2025-01-01").cast("date").alias("posting_date"), F.lit("R-old").alias("job_identification"), F.lit("old duty").alias("job_responsibilities"), F.lit("old education").alias("min_education"), F.lit("$1-$2").alias("salary_range"))
+    out = ingest(stored, rows)
+    return out.select("job_url", "company_name", "job_title", "job_identification", "job_category", "job_responsibilities", "min_education", "min_experience", "salary_range")
