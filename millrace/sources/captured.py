@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from millrace.functions.scalars import group_or_null
 from millrace.operators.details import repaired
+from millrace.sources.workspace import written
 
 NULLS = {"nullValue": "NA"}
 
@@ -47,23 +48,45 @@ def read_titled_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 EXPORT = r"^jobs_(.+)_([0-9]{8})[^.]*\.csv$"
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def header_names(line: pd.Series) -> pd.Series:
+    """Names of a CSV header."""
+    return line.map(lambda t: next(csv.reader([t.lstrip("\ufeff")]), []))
+
+
+#: Files whose headers are broadcast.
+HEADERS = 20_000
+
+
+def header_registry(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """(file, names): the header of each file that has one, as a written table. A header is one line."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return written(first.select("file", header_names("header").alias("names")), "headers")
+
+
 def read_by_name(spark: SparkSession, folder: str, schema: str, pattern: str = "*.csv") -> DataFrame:
     """CSV files with headers of their own: columns by name, missing ones null, further ones left out; and path.
 
-    Files are read together if their headers are the same, so there are as many reads as kinds of headers.
+    All files are one read, by position, whatever their headers; each row takes its values by the names of its file.
+    Headers stay in a table, so neither they nor the paths pass the driver. Of two columns of a name the first counts;
+    a value that is none of its type is null; rows beyond the header's columns lose what has no name; no files, or
+    only empty ones, give no rows.
     """
-    path = F.col("_metadata.file_path")
-    first = spark.read.option("pathGlobFilter", pattern).text(folder).select(path.alias("path"), "value", F.monotonically_increasing_id().alias("n"), F.col("_metadata.file_block_start").alias("at"))
-    headers = first.filter("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header")).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()  # a row for each kind of header
     wanted = StructType.fromDDL(schema)
-    kinds = {f.name: f.dataType for f in wanted}
-    out = spark.createDataFrame([], wanted).withColumn("path", F.lit(None).cast("string"))
-    for h in headers:
-        names = next(csv.reader([h.header.lstrip("\ufeff")]))
-        own = StructType([StructField(n, kinds.get(n, StringType())) for n in names])
-        rows = spark.read.schema(own).options(header=True, multiLine=True, **NULLS).csv(sorted(h.paths)).withColumn("path", path)
-        out = out.unionByName(rows.select(*[n for n in names if n in kinds], "path"), allowMissingColumns=True)
-    return out
+    headers = header_registry(spark, folder, pattern)
+    size = headers.agg(F.count("*").alias("files"), F.max(F.size("names")).alias("width")).first()
+    if not size.files:
+        return spark.createDataFrame([], wanted).withColumn("path", F.lit(None).cast("string"))
+    cells = [f"c{i}" for i in range(size.width)]
+    rows = spark.read.schema(StructType([StructField(c, StringType()) for c in cells])).options(header=True, enforceSchema=True, multiLine=True, pathGlobFilter=pattern, **NULLS).csv(folder)
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.array(*cells).alias("cells"))
+    met = rows.join(F.broadcast(headers) if size.files <= HEADERS else headers, F.col("path") == F.col("file"))
+
+    def named(f: StructField) -> Column:
+        return F.get("cells", (F.array_position("names", f.name) - 1).cast("int")).try_cast(f.dataType).alias(f.name)
+
+    return met.select(*[named(f) for f in wanted], "path")
 
 
 def read_exports(spark: SparkSession, folder: str, schema: str) -> DataFrame:
