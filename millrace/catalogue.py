@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from millrace.plans import dashboards, fields, payloads, postings, sourcing, text  # noqa: F401  they register their queries
+from millrace.plans import boilerplate, dashboards, fields, payloads, postings, sourcing, text  # noqa: F401  they register their queries
 from millrace.registry import ORACLE_SQL, QUERIES  # noqa: F401
