@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import details as D
+from millrace.operators.spread import spread
 from millrace.registry import query, table
 from millrace.sources.captured import embedded_json as embedded
 from millrace.sources.captured import listing, sitemap_urls
@@ -77,7 +78,7 @@ def sitemap_xpath(spark: SparkSession, d: str) -> DataFrame:
 def jsonld_first(spark: SparkSession, d: str) -> DataFrame:
     post = F.to_json(F.struct(F.when(F.col("p_partkey") % 2 == 0, "JobPosting").otherwise("Person").alias("@type"), F.col("p_brand").alias("title")))
     html = F.concat(F.lit('<script type="application/ld+json">{"@type":"Organization"}</script><script type="application/ld+json">'), post, F.lit("</script>"))
-    return table(spark, d, "part").select("p_partkey", F.get_json_object(D.first_jsonld(html), "$.title").alias("title")).filter("title is not null")
+    return spread(table(spark, d, "part")).select("p_partkey", F.get_json_object(D.first_jsonld(html), "$.title").alias("title")).filter("title is not null")
 
 
 @query("SELECT page_id, CAST(len(string_split(html, '<li>')) - 1 AS INTEGER) AS items FROM pages")
@@ -123,7 +124,7 @@ FROM (SELECT *, (['workday', 'oracle', 'successfactors', 'talentbrew', 'icims',
 def detail_record(spark: SparkSession, d: str) -> DataFrame:
     """Fields of postings of all platforms in one pass."""
     platform = F.get(F.array(*map(F.lit, PLATFORMS)), (F.col("p_partkey") % 7).cast("int"))
-    rows = table(spark, d, "part").select("p_partkey", platform.alias("platform"), _posting(F.col("p_partkey"), F.col("p_brand"), F.col("p_name")).alias("html"))
+    rows = spread(table(spark, d, "part")).select("p_partkey", platform.alias("platform"), _posting(F.col("p_partkey"), F.col("p_brand"), F.col("p_name")).alias("html"))
     return rows.select("p_partkey", "platform", D.detail_record("platform", "html").alias("r")).select("p_partkey", "platform", "r.job_responsibilities", "r.min_education", "r.min_experience", "r.preferred_qualifications", "r.salary_range")
 
 
@@ -142,7 +143,7 @@ def prose_fallback(spark: SparkSession, d: str) -> DataFrame:
 def byte_repair(spark: SparkSession, d: str) -> DataFrame:
     """A byte that is no UTF-8 becomes its cp1252 character; valid ones that contain it stay."""
     raw = F.concat(F.encode(F.concat(F.lit("St. "), "p_brand"), "utf-8"), F.unhex(F.lit("92")), F.encode(F.lit("s → x"), "utf-8"))
-    return table(spark, d, "part").select("p_partkey", D.repaired(raw).alias("name"))
+    return spread(table(spark, d, "part")).select("p_partkey", D.repaired(raw).alias("name"))
 
 
 @query("SELECT p_partkey, 'Duties of ' || p_brand AS duties, CAST(p_size AS VARCHAR) || ' years' AS experience FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'Duties of ' || p_brand, NULL FROM part WHERE p_partkey % 2 = 1")
@@ -165,7 +166,7 @@ def credential_split(spark: SparkSession, d: str) -> DataFrame:
 def boilerplate_strip(spark: SparkSession, d: str) -> DataFrame:
     text = F.concat(F.lit("About us we are many. About the job"), F.lit(""), F.lit(" #LI-AB1"), F.lit("\nWork on "), F.trim("p_name"), F.lit("\nWe are an Equal Opportunity Employer and so on."))
     lines = F.filter(F.transform(F.split(D.stripped(text), "\n"), lambda x: F.trim(x)), lambda x: x.startswith("Work"))
-    return table(spark, d, "part").select("p_partkey", F.get(lines, 0).alias("body"))
+    return spread(table(spark, d, "part")).select("p_partkey", F.get(lines, 0).alias("body"))
 
 
 @query("SELECT p_partkey, 'As a ' || p_brand || ' engineer you will build ' || trim(p_name) || '.' AS summary FROM part WHERE p_partkey % 3 <> 0 UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 3 = 0")
@@ -173,7 +174,7 @@ def role_summary(spark: SparkSession, d: str) -> DataFrame:
     """The first paragraph that introduces the role, over 30 characters."""
     intro = F.when(F.col("p_partkey") % 3 == 0, "<p>Hello.</p>").otherwise(F.concat(F.lit("<p>Short one</p><p>As a "), "p_brand", F.lit(" engineer you will build "), F.trim("p_name"), F.lit(".</p>")))
     first = F.get(F.filter(D.rendered_lines(intro), lambda x: (F.length(x) > 30) & x.rlike(r"(?i)^(?:as an? |in this role|the role|you will|this position)")), 0)
-    return table(spark, d, "part").select("p_partkey", first.alias("summary"))
+    return spread(table(spark, d, "part")).select("p_partkey", first.alias("summary"))
 
 
 @query("SELECT p_partkey, 'Build ' || trim(p_name) || '|Run ' || p_brand AS duties FROM part")
