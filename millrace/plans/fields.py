@@ -10,6 +10,7 @@ from millrace.operators import cascades as C
 from millrace.operators import details as D
 from millrace.operators import pulls
 from millrace.operators.dayforce import dayforce_details
+from millrace.operators.spread import spread
 from millrace.plans.sourcing import _text
 from millrace.registry import query, table
 
@@ -34,7 +35,7 @@ def workday_fields(spark: SparkSession, d: str) -> DataFrame:
         _text("<b>Preferred Skills</b><ul><li>Degree in ", brand, "<li>Humour</ul>"),
         _text("<b>Your Background</b><ul><li>Knows ", kind, "<li>#LI-AB</ul>"),
     ])
-    rows = table(spark, d, "part").select("p_partkey", D.line_records(html).alias("lines"))
+    rows = spread(table(spark, d, "part")).select("p_partkey", D.line_records(html).alias("lines"))
     return C.workday_details(rows).select("p_partkey", "min_education", "min_experience", "preferred_qualifications", "job_responsibilities", "essential_skills")
 
 
@@ -88,7 +89,7 @@ def credential_parts(spark: SparkSession, d: str) -> DataFrame:
 def role_intro(spark: SparkSession, d: str) -> DataFrame:
     """The first line that introduces the role; shorter ones and other lines aren't it."""
     html = _shapes(F.col("p_partkey"), [_text("<p>As a rule.</p><p>As a maker of ", F.col("p_type"), " you build things.</p>"), _text("<p>Hello</p><div>We are looking for people who know ", F.col("p_brand"), "</div>"), _text("<p>The ", F.col("p_brand"), " team is one of the best there are.</p>"), F.lit("<p>Come to us, it is very nice here.</p>")])
-    rows = table(spark, d, "part").select("p_partkey", D.line_records(html).alias("lines"))
+    rows = spread(table(spark, d, "part")).select("p_partkey", D.line_records(html).alias("lines"))
     return rows.select("p_partkey", C.role_summary(F.col("lines")).alias("summary"))
 
 
@@ -107,7 +108,7 @@ def form_sections(spark: SparkSession, d: str) -> DataFrame:
         _text("<p>The role has key responsibilities for ", brand, "</p>"),
     ])
     groups = {"sf": (D.RESPONSIBILITIES["successfactors"], D.SF_RULES), "workday": (C.NEEDED, C.WORKDAY_LABELLED), "icims": ([r"The\s+Role"], C.ICIMS_RULES)}
-    found = table(spark, d, "part").select("p_partkey", k.alias("k"), D.located_sections(D.line_records(html), groups).alias("f"))
+    found = spread(table(spark, d, "part")).select("p_partkey", k.alias("k"), D.located_sections(D.line_records(html), groups).alias("f"))
     one = F.when(F.col("k").isin(1, 3), F.col("f.workday")).when(F.col("k").isin(2, 4), F.col("f.icims")).otherwise(F.col("f.sf"))
     return found.select("p_partkey", L.joined(one, "|").alias("lines"))
 
@@ -128,7 +129,7 @@ def dayforce_fields(spark: SparkSession, d: str) -> DataFrame:
         F.concat(duties, _text("<p>Required Qualifications:</p><p>Knows ", brand, "</p>")),
         _text("<p>Education is what ", brand, " needs</p>"),
     ])
-    rows = table(spark, d, "part").select("p_partkey", D.rendered_lines(html).alias("lines"))
+    rows = spread(table(spark, d, "part")).select("p_partkey", D.rendered_lines(html).alias("lines"))
     return dayforce_details(rows).drop("lines")
 
 
