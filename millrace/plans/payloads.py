@@ -180,4 +180,4 @@ def role_summary(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT p_partkey, 'Build ' || trim(p_name) || '|Run ' || p_brand AS duties FROM part")
 def html_sections(spark: SparkSession, d: str) -> DataFrame:
     html = F.concat(F.lit("<p>Intro</p><h2>Duties</h2><p>lead</p><ul><li>Build "), "p_name", F.lit("</li><li>Run "), "p_brand", F.lit("</li></ul><h2>Other</h2><ul><li>no</li></ul>"))
-    return table(spark, d, "part").select("p_partkey", F.array_join(D.section_lines(html), "|").alias("duties"))
+    return spread(table(spark, d, "part")).select("p_partkey", F.array_join(D.section_lines(html), "|").alias("duties"))
