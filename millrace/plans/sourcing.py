@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import scalars as S
 from millrace.operators import store, supply
 from millrace.operators.ingest import in_country, ingest, latest_exports
+from millrace.operators.spread import spread
 from millrace.registry import query, table
 from millrace.sources import captured, listings
 from millrace.sources.workspace import workspace
@@ -273,7 +274,7 @@ def ingest_batch(spark: SparkSession, d: str) -> DataFrame:
     line = F.when(k % 2 == 0, _text("Bachelor of ", F.col("p_type"))).otherwise(_text("Knows ", F.col("p_type")))
     body = _text("<h3>", head, "</h3><ul><li>Build ", F.col("p_brand"), "</ul><h3>", need, "</h3><ul><li>", line, "</ul>")
     place = F.when((k % 7 == 0) & (k % 3 < 2), "Paris, France").otherwise("Austin, Texas")
-    rows = table(spark, d, "part").filter((k % 7 != 0) | (k % 3 < 2))
+    rows = spread(table(spark, d, "part").filter((k % 7 != 0) | (k % 3 < 2)))
     rows = rows.select(platform.alias("platform"), _text("C", k % 5).alias("company_name"), _text("u", k).alias("url"), F.col("p_name").alias("title"), place.alias("location"), body.alias("body"), F.lit("Posted: 01/02/2026").alias("posted"), k.alias("ord"), _text("R-", k).alias("job_identification"), F.lit("2026-03-31").cast("date").alias("as_of"))
     empty = spark.createDataFrame([], "job_url string, company_name string, job_title string, location string, posting_date date")
     again = rows.withColumns({"ord": F.col("ord") - 1_000_000_000, "title": F.lit("older"), "company_name": F.col("company_name")})

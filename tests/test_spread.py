@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.catalogue import QUERIES
+from millrace.operators import ingest
 from millrace.operators.spread import WAVES, spread
 
 
@@ -20,6 +21,14 @@ def test_rows_are_dealt_over_the_cores(spark, sf, name):
     assert n >= cores and most * cores <= df.count() + cores * WAVES * cores
 
 
+@pytest.mark.parametrize("name", ["ingest_batch"])
+def test_pages_are_parsed_in_many_tasks(spark, sf, name, monkeypatch):
+    seen, written = [], ingest.written
+    monkeypatch.setattr(ingest, "written", lambda df, to: seen.append(tasks(df)) or written(df, to))
+    QUERIES[name](spark, sf)
+    assert [n >= spark.sparkContext.defaultParallelism for n, _ in seen] == [True]
+
+
 def test_spread_keeps_all_rows(spark):
     df = spark.range(1000, numPartitions=1).withColumn("v", F.when(F.col("id") % 2 == 0, "x"))
     assert sorted(map(tuple, spread(df.union(df)).collect())) == sorted(map(tuple, df.union(df).collect()))
