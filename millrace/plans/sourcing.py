@@ -317,7 +317,7 @@ def ingest_platforms(spark: SparkSession, d: str) -> DataFrame:
     job = F.to_json(F.struct(F.struct(body.alias("description"), F.array(F.lit(" Chips"), F.lit("Tools ")).alias("category")).alias("job")))
     body = F.when(k % 7 == 4, _text("<script>window.jobDescriptionConfig = ", job, "; </script>")).otherwise(body)
     nothing = F.struct(F.lit("").alias("q"), F.array().cast("array<string>").alias("states"), (k % 11 != 0).alias("country_facet"))
-    rows = table(spark, d, "part").select(
+    rows = spread(table(spark, d, "part")).select(
         by_kind([F.lit(x[0]) for x in kinds]).alias("platform"), _text("C", k % 5).alias("company_name"), _text("u", k).alias("url"), F.col("p_name").alias("title"), F.when(k % 11 == 0, "Paris, France").otherwise("Austin, Texas, United States").alias("location"),
         F.when(k % 13 != 0, body).alias("body"), F.lit("Posted: 01/02/2026").alias("posted"), k.cast("long").alias("ord"), F.when(k % 3 != 1, _text("R-", k)).alias("job_identification"), nothing.alias("filters"), F.lit("2026-03-31").cast("date").alias("as_of"),
     )

@@ -21,7 +21,7 @@ def test_rows_are_dealt_over_the_cores(spark, sf, name):
     assert n >= cores and most * cores <= df.count() + cores * WAVES * cores
 
 
-@pytest.mark.parametrize("name", ["ingest_batch"])
+@pytest.mark.parametrize("name", ["ingest_batch", "ingest_platforms"])
 def test_pages_are_parsed_in_many_tasks(spark, sf, name, monkeypatch):
     seen, written = [], ingest.written
     monkeypatch.setattr(ingest, "written", lambda df, to: seen.append(tasks(df)) or written(df, to))
