@@ -14,7 +14,7 @@ def tasks(df):
     return len(sizes), max(sizes)
 
 
-@pytest.mark.parametrize("name", ["detail_record", "workday_fields", "role_intro", "form_sections", "dayforce_fields", "icims_fields", "html_sections"])
+@pytest.mark.parametrize("name", ["detail_record", "workday_fields", "role_intro", "form_sections", "dayforce_fields", "icims_fields", "html_sections", "paragraph_section"])
 def test_rows_are_dealt_over_the_cores(spark, sf, name):
     cores, df = spark.sparkContext.defaultParallelism, QUERIES[name](spark, sf)
     n, most = tasks(df)
