@@ -128,7 +128,7 @@ def talentbrew_listing(spark: SparkSession, d: str) -> DataFrame:
     html = _text("<ul><li><a href='/save'>Save</a></li>\n<li class='x'><a class='sr-job-link' href='/job/", F.col("o_orderkey"), "'><h2> ", F.col("o_orderstatus"), "\n &amp; co</h2><span>", F.col("o_orderpriority"), "</span><span>Cat</span>", posted, "</a></li><li><a class='sr-job-link' href='/job/0'><h2> </h2></a></li></ul>")
     body = F.to_json(F.struct(F.lit(True).alias("hasJobs"), html.alias("results")))
     items = listings.result_items(captured.results_html(body), F.lit("https://t.example"))
-    rows = table(spark, d, "orders").select("o_orderkey", F.explode(items).alias("j")).select("o_orderkey", "j.*")
+    rows = spread(table(spark, d, "orders")).select("o_orderkey", F.explode(items).alias("j")).select("o_orderkey", "j.*")
     return rows.withColumn("posting_date", F.col("posting_date").cast("string"))
 
 
@@ -137,7 +137,7 @@ def boeing_listing(spark: SparkSession, d: str) -> DataFrame:
     """Links with their own titles; links that aren't postings stand between them."""
     second = F.when(F.col("o_orderkey") % 2 == 0, _text("<a href='/job/s", F.col("o_orderkey"), "'><span>Second</span></a>")).otherwise("")
     html = _text("<a href='/save'><span>Save</span><span>it</span></a><a href='/job/", F.col("o_orderkey"), "'><span>", F.col("o_orderstatus"), "</span></a> <span class='location'>", F.col("o_orderpriority"), "</span><span class='date'>", F.date_format("o_orderdate", "MM/dd/yyyy"), "</span>", second)
-    rows = table(spark, d, "orders").select("o_orderkey", F.explode(listings.job_links(html, F.lit("https://b.example"))).alias("j")).select("o_orderkey", "j.*")
+    rows = spread(table(spark, d, "orders")).select("o_orderkey", F.explode(listings.job_links(html, F.lit("https://b.example"))).alias("j")).select("o_orderkey", "j.*")
     return rows.withColumn("posting_date", F.col("posting_date").cast("string"))
 
 
@@ -148,7 +148,7 @@ def successfactors_listing(spark: SparkSession, d: str) -> DataFrame:
     marked = _text("<table><tr><th>Title</th></tr><tr class='data-row'><td><a class='jobTitle-link' href='https://s.example/job/", k, "'>", F.col("o_orderstatus"), "</a></td><td><span class='jobLocation'> ", F.col("o_orderpriority"), "</span></td></tr></table>")
     plain = _text("<table class='jobs'><tr><td>Title</td></tr><tr><td><a href='/about'>x</a><a href='/job/", k, "'>", F.col("o_orderstatus"), "</a></td><td>", F.col("o_orderpriority"), "</td></tr></table>")
     rows = listings.table_rows(F.when(k % 2 == 0, marked).otherwise(plain), F.lit("https://s.example"))
-    return table(spark, d, "orders").select("o_orderkey", F.explode(rows).alias("j")).select("o_orderkey", "j.job_title", "j.location", "j.job_url")
+    return spread(table(spark, d, "orders")).select("o_orderkey", F.explode(rows).alias("j")).select("o_orderkey", "j.job_title", "j.location", "j.job_url")
 
 
 @query("SELECT p_partkey, p_brand AS title, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '$' || p_size || ',000-$' || (p_size + 9) || ',000' END AS pay FROM part WHERE p_partkey % 4 <> 3")

@@ -1,7 +1,8 @@
 """Listing pages of HTML as rows, with regular expressions on the columns: no parse of the whole page is needed.
 
 Each function takes a page and gives an array of structs, one for each posting, in page order. A posting without
-a link or a title isn't one. Dates are those of the page; links are made absolute by the caller's base.
+a link or a title isn't one. A value that is used more than once is bound by once(), since Spark would work it out
+again at each use inside a lambda. Dates are those of the page; links are made absolute by the caller's base.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.lines import once
 from millrace.functions.scalars import absolutize, decode_entities, group_or_null, squish, strip_tags
 
 
@@ -24,6 +26,11 @@ def _us_date(text: Column) -> Column:
     return F.to_date(F.try_to_timestamp(F.regexp_substr(text, F.lit(r"\d{1,2}/\d{1,2}/\d{4}")), F.lit("M/d/yyyy")))
 
 
+def _href(link: Column, base: Column) -> Column:
+    """A link's absolute target, which is looked for once."""
+    return once(group_or_null(link, r"href=[\"']([^\"']*)[\"']"), lambda href: absolutize(href, base))
+
+
 def _kept(items: Column) -> Column:
     return F.filter(items, lambda x: x["job_url"].isNotNull() & (F.length(x["job_title"]) > 0))
 
@@ -31,12 +38,13 @@ def _kept(items: Column) -> Column:
 def result_items(html: Column, base: Column) -> Column:
     """`li` items whose link of class sr-job-link holds an h2 and spans: the first is the place, `Posted:` the date."""
 
+    def read(link: Column, spans: Column) -> Column:
+        posted = F.get(F.filter(spans, lambda s: F.contains(s, F.lit("Posted"))), 0)
+        return F.struct(_text(group_or_null(link, r"(?s)<h2[^>]*>(.*?)</h2>")).alias("job_title"), F.get(spans, 0).alias("location"), _href(link, base).alias("job_url"), _us_date(posted).alias("posting_date"))
+
     def one(item: Column) -> Column:
         link = F.regexp_substr(item, F.lit(r"(?s)<a\b[^>]*class=[\"'][^\"']*sr-job-link.*?</a>"))
-        spans = F.transform(_all(link, r"(?s)<span\b[^>]*>.*?</span>"), _text)
-        posted = F.get(F.filter(spans, lambda s: F.contains(s, F.lit("Posted"))), 0)
-        href = group_or_null(link, r"href=[\"']([^\"']*)[\"']")
-        return F.struct(_text(group_or_null(link, r"(?s)<h2[^>]*>(.*?)</h2>")).alias("job_title"), F.get(spans, 0).alias("location"), absolutize(href, base).alias("job_url"), _us_date(posted).alias("posting_date"))
+        return once(link, lambda x: once(F.transform(_all(x, r"(?s)<span\b[^>]*>.*?</span>"), _text), lambda spans: read(x, spans)))
 
     return _kept(F.transform(_all(html, r"(?s)<li\b.*?</li>"), one))
 
@@ -56,14 +64,15 @@ def job_links(html: Column, base: Column) -> Column:
 def table_rows(html: Column, base: Column) -> Column:
     """Rows of class data-row, or all table rows where there are none: the title link (by class, else the first one
     to /job/), and the place from its span or else from the second cell."""
-    marked = _all(html, r"(?s)<tr\b[^>]*class=[\"'][^\"']*data-row.*?</tr>")
-    rows = F.when(F.size(marked) > 0, marked).otherwise(_all(html, r"(?s)<tr\b.*?</tr>"))
+    def rows(page: Column) -> Column:
+        marked = _all(page, r"(?s)<tr\b[^>]*class=[\"'][^\"']*data-row.*?</tr>")
+        return once(marked, lambda m: F.when(F.size(m) > 0, m).otherwise(_all(page, r"(?s)<tr\b.*?</tr>")))
 
     def one(row: Column) -> Column:
         named = F.regexp_substr(row, F.lit(r"(?s)<a\b[^>]*jobTitle-link.*?</a>"))
         link = F.coalesce(named, F.regexp_substr(row, F.lit(r"(?s)<a\b[^>]*href=[\"'][^\"']*/job/.*?</a>")))
         cells = _all(row, r"(?s)<td\b.*?</td>")
         place = F.coalesce(group_or_null(row, r"(?s)<span[^>]*jobLocation[^>]*>(.*?)</span>"), F.get(cells, 1))
-        return F.struct(_text(link).alias("job_title"), _text(place).alias("location"), absolutize(group_or_null(link, r"href=[\"']([^\"']*)[\"']"), base).alias("job_url"), F.lit(None).cast("date").alias("posting_date"))
+        return once(link, lambda x: F.struct(_text(x).alias("job_title"), _text(place).alias("location"), _href(x, base).alias("job_url"), F.lit(None).cast("date").alias("posting_date")))
 
-    return _kept(F.transform(rows, one))
+    return _kept(F.transform(once(html, rows), one))
