@@ -33,6 +33,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -51,6 +52,16 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
+def kinds_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order and the place of each value among them, as np.unique gives them. Only the distinct
+    values are sorted; all of them are hashed, which costs less where most come again, as grams do."""
+    at, kinds = pd.factorize(values)
+    order = np.argsort(kinds)
+    rank = np.empty(len(kinds), np.int64)
+    rank[order] = np.arange(len(kinds))
+    return kinds[order], rank[at]
+
+
 def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """Runs of about _STEP bytes."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
@@ -80,11 +91,11 @@ def grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, order + 1):
         code <<= 8
         code |= x[k : k + m]
-    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) + order
-    owner = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
-    place = np.arange(m) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    keep = place <= np.repeat(lengths, lengths) - order  # the text and one end, not the edges after it
-    return code[keep], owner[keep]
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    keep, ends = np.ones(m, bool), np.cumsum(lengths + order)
+    for k in range(1, order):
+        keep[ends - k] = False  # the text and one end stay, not the edges after it
+    return code[keep], np.repeat(np.arange(len(pieces), dtype=np.int32), lengths + 1)
 
 
 COUNTS = "word string, code long, n long, m long"
@@ -111,10 +122,10 @@ def count_batches(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.
             words, c = pa.concat_arrays([counts.field("values"), pa.array([END], pa.string())]), np.append(counts.field("counts").to_numpy(), len(learned))
             yield _counts(words, held[:0], c, c)
             code, owner = grams(texts, order)
-            new, at = np.unique(code, return_inverse=True)
+            new, at = kinds_of(code)
             new_m = np.bincount(at, minlength=len(new))
             new_n = new_m - np.bincount(at[out[owner]], minlength=len(new))
-            held, at = np.unique(np.concatenate([held, new]), return_inverse=True)
+            held, at = kinds_of(np.concatenate([held, new]))
             n = np.bincount(at, weights=np.concatenate([n, new_n]), minlength=len(held)).astype(np.int64)
             m = np.bincount(at, weights=np.concatenate([m, new_m]), minlength=len(held)).astype(np.int64)
             if len(held) > _HELD:
@@ -205,7 +216,7 @@ def document_batches(batches: Iterator[pa.RecordBatch], shared, order: int) -> I
             m = len(texts)
             n = np.bincount(owner, minlength=m) + 1
             code, of = grams(texts, order)
-            kinds, back = np.unique(code, return_inverse=True)
+            kinds, back = kinds_of(code)
             place, found = _spread(kinds, codes)
             cost = np.where(found, code_costs[place], 0.0) if len(codes) else np.zeros(len(kinds))
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +242,7 @@ def rare_batches(batches: Iterator[pa.RecordBatch], shared, order: int) -> Itera
             coded = flat.dictionary_encode()
             at, kind, times = _per_text(owner, coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary))
             code, of = grams(texts, order)
-            kinds, back = np.unique(code, return_inverse=True)
+            kinds, back = kinds_of(code)
             new = np.flatnonzero(~_spread(kinds, codes)[1])
             number = np.full(len(kinds), -1)
             number[new] = np.arange(len(new))

@@ -5,9 +5,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from millrace.llm.ppm import lm_scores
+from millrace.llm.ppm import kinds_of, lm_scores
 
 
 def is_held_out(i):
@@ -83,3 +84,11 @@ def test_held_out_documents_are_predicted(spark, sf):
     assert rows and bits < 3.2  # uniform bytes: 8
     shallow = lm_scores(df, order=2).filter("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.score for r in shallow)
+
+
+def test_kinds_are_those_of_unique():
+    rng = np.random.default_rng(3)
+    for values in (rng.integers(0, 40, 1000) << 30, np.zeros(0, np.int64), np.array([7, -1, 7, 1 << 39], np.int64)):
+        kinds, at = kinds_of(values)
+        want, places = np.unique(values, return_inverse=True)
+        assert kinds.tolist() == want.tolist() and at.tolist() == places.tolist() and kinds.dtype == values.dtype
