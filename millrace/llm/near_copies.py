@@ -4,14 +4,16 @@ Two texts are linked if the Jaccard similarity of their sets of 5-word shingles
 classes are the components of the links. One 64-bit fingerprint can't reach so far: at similarity 0.8
 two fingerprints differ in 15 % of their bits, 10 of 64 with a spread of 3. So WORDS independent ones
 are taken, each searched by the generalised pigeonhole of `simhash` for DISTANCE bits. With three
-partitions of 21 bits at threshold 2 a pair at 0.8 meets in one word with a chance of 0.74 and stays
-under REACH bits with 0.98, so all WORDS miss it with a chance of 0.005, and one above 0.8 with less.
-Every candidate is verified on the sets themselves before it is linked.
+partitions of 21 bits at threshold 2 a pair at 0.8 meets in one word with a chance of 0.74, so all WORDS
+miss it with a chance of 0.005, and one above 0.8 with less. Every candidate is verified on the sets
+themselves before it is linked.
 
 1. texts with equal sets are one node, named by a hash of the set, so exact copies cost no pairs;
-2. nodes that meet in a bucket within REACH bits are clusters. A cluster's nodes are compared on all their
-   fingerprints together (FARTHEST bits, which no chance pair comes near), block by block inside tasks that
-   keep a spanning forest, and the components of these links are the candidates: each node is in one;
+2. two nodes with at most t differing bits in a partition agree in one of its t + 1 stretches. So a node is dealt
+   out once for each stretch, 36 times, and not once for each flipped key, 264 times; a task holds the bucket of a
+   stretch (1 in 128 nodes) and flips the other bits in memory. Nodes that meet are compared on all their fingerprints together
+   (FARTHEST bits, which no chance pair comes near), a bucket keeps a spanning forest, and the components of
+   these links are the candidates: each node is in one;
 3. in each component one node is verified with all others, twice with another node in turn; a component
    whose nodes are all in one class is done, so k near copies cost about k comparisons and not k * k;
 4. in the components left, the sets of each pair of blocks meet in a task, which counts the shingles common to
@@ -39,12 +41,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import cut, look_up, ship
 from millrace.llm.components import components
-from millrace.llm.simhash import SEED, buckets, dealt, link_batches, majority, shingle_hashes, stream_links
+from millrace.llm.simhash import SEED, apart, bucket_links, dealt, flips, majority, plan_partitions, shingle_hashes
 
-#: Fingerprints of a text, the bits that each is searched for, and the most bits between candidates in one and in all.
-WORDS, DISTANCE, REACH, FARTHEST = 4, 8, 13, 64
-#: Sets of a block that are compared in a task; texts that the partitions are planned for at least.
-BLOCK, PLANNED = 512, 10_000_000
+#: Fingerprints of a text, the bits that each is searched for, and the most bits between candidates in all of them.
+WORDS, DISTANCE, FARTHEST = 4, 8, 64
+#: Sets of a block that are compared in a task; texts that the partitions are planned for at least; rows of a bucket that a task holds.
+BLOCK, PLANNED, BUCKET = 512, 10_000_000, 1 << 18
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -85,21 +87,110 @@ def signature_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], ["row", "node", "prints"])
 
 
-def cluster_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) of each class of a bucket; the key is a hash of its nodes, so it is the same wherever they meet."""
-    for a, b, of in stream_links(batches, REACH):
-        nodes, of = np.concatenate([a, b]), np.concatenate([of, of])
-        order = np.lexsort((nodes, of))
-        nodes, of = nodes[order], of[order]
-        first = np.append(True, of[1:] != of[:-1])
-        own = first | np.append(True, nodes[1:] != nodes[:-1])
-        nodes, first = nodes[own], first[own]
-        starts = np.flatnonzero(first)
-        mixed = remixed(nodes.view(np.uint64), 0)
-        sums = np.add.reduceat(mixed, starts) + np.bitwise_xor.reduceat(remixed(mixed, 1), starts)
-        sizes = np.diff(np.append(starts, len(nodes)))
-        more = np.repeat(sizes > 1, sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(sums, sizes).view(np.int64)[more], pa.int64()), pa.array(nodes[more], pa.int64())], ["key", "node"])
+def stretches(group: list[int], n: int) -> list[list[int]]:
+    """n stretches of near-equal width that the bits of a group are cut into."""
+    return [x.tolist() for x in np.array_split(np.array(group), n)]
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least position that each of n positions reaches over the pairs."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        differ = x != y
+        if not differ.any():
+            return root
+        a, b = a[differ], b[differ]
+        np.minimum.at(root, np.maximum(x, y)[differ], np.minimum(x, y)[differ])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+#: Keys of a task that are sorted at a time; runs of equal keys up to this long are compared many at a time; pairs kept before a forest is made of them.
+_SORTED, _LONG, _PAIRS = 1 << 20, 64, 1 << 20
+
+
+def near_pairs(keys: np.ndarray, fp: np.ndarray, masks: np.ndarray, distance: int) -> np.ndarray:
+    """The least position that each row reaches over pairs of at most `distance` bits. Compared are the rows that share one of
+    their keys, which are `keys` with the bits of one mask flipped. fp: rows of fingerprints."""
+    root = np.arange(len(keys))
+    turns = len(keys) * len(masks) // _SORTED + 1
+    for turn in range(turns):
+        parts = []
+        for m in masks:
+            mixed = remixed(keys ^ m, 0)
+            at = np.flatnonzero(mixed % np.uint64(turns) == np.uint64(turn)) if turns > 1 else np.arange(len(keys))
+            parts.append((mixed[at], at))
+        mixed, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(mixed)
+        mixed, at = mixed[order], at[order]
+        starts = np.flatnonzero(np.append(True, mixed[1:] != mixed[:-1]))
+        sizes = np.diff(np.append(starts, len(mixed)))
+        for k in np.flatnonzero(sizes > _LONG).tolist():
+            run = at[starts[k] : starts[k] + sizes[k]]
+            if (root[run] != root[run[0]]).any() and (pairs := bucket_links(fp[run], distance)):
+                x, y, _ = np.array(pairs).T
+                root = forest(len(root), np.concatenate([root, run[x]]), np.concatenate([np.arange(len(root)), run[y]]))
+        left = np.repeat(np.where(sizes > _LONG, 0, sizes - 1), sizes) - (np.arange(len(at)) - np.repeat(starts, sizes))
+        here, a, b, n = np.flatnonzero(left > 0), [], [], 0
+        for d in range(1, _LONG):
+            if not len(here):
+                break
+            x, y = at[here], at[here + d]
+            differ = root[x] != root[y]
+            x, y = x[differ], y[differ]
+            close = apart(fp[x], fp[y]) <= distance
+            a.append(x[close]), b.append(y[close])
+            n += len(a[-1])
+            here = here[left[here] > d]
+            if n > _PAIRS or not len(here):
+                root = forest(len(root), np.concatenate([root, *a]), np.concatenate([np.arange(len(root)), *b]))
+                a, b, n = [], [], 0
+    return root
+
+
+def near_batches(batches: Iterator[pa.RecordBatch], searched: list[tuple[int, int, int]], distance: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join the near nodes of each bucket, from rows (part, key, pair, fp, node) in bucket order.
+
+    searched: of each part the word, the bits that are free in its buckets, and how many of them may be flipped."""
+
+    def linked(columns: list[np.ndarray]) -> pa.RecordBatch:
+        part, key, pair, fp, node = columns
+        fp, found = fp.view(np.uint64), []
+        # nodes of two buckets that meet by chance do no harm, since all bits are compared
+        bucket = remixed(remixed(key.view(np.uint64), 1) + pair.view(np.uint64), 2)
+        for i in np.unique(part).tolist():
+            own = np.flatnonzero(part == i)
+            word, free, most = searched[i]
+            bits = [k for k in range(64) if free >> k & 1]
+            masks = np.array([0, *flips(bits, most)], np.int64).view(np.uint64)
+            keys = (fp[own, word] & np.uint64(free)) ^ (bucket[own] & ~np.uint64(free))
+            root = near_pairs(keys, fp[own], masks, distance)
+            more = np.flatnonzero(root != np.arange(len(root)))
+            found.append((node[own[more]], node[own[root[more]]]))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        differ = a != b
+        return pa.RecordBatch.from_arrays([pa.array(a[differ], pa.int64()), pa.array(b[differ], pa.int64())], ["a", "b"])
+
+    def column(c: pa.Array) -> np.ndarray:
+        return c.flatten().to_numpy().reshape(len(c), -1) if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False)
+
+    def joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+    rest: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [column(c) for c in batch.columns]
+        before = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]) | (now[2] != now[2][-1]))
+        last = int(before[-1]) + 1 if len(before) else 0  # where the batch's last bucket begins
+        if last or rest and any(x[-1] != y[0] for x, y in zip(rest[-1][:3], now[:3], strict=True)):
+            yield linked(joined([*rest, [x[:last] for x in now]]))
+            rest = []
+        rest.append([x[last:] for x in now])
+    if rest:
+        yield linked(joined(rest))
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -235,15 +326,23 @@ def links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, b
     return found
 
 
-def clusters(nodes: DataFrame, block: int) -> DataFrame:
+def clusters(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """key and node of the components of candidates. nodes: node, prints."""
-    rows = buckets(nodes.select("node", F.col("prints").alias("fps")), DISTANCE, block, WORDS, planned=PLANNED)
-    if rows is None:
+    n = nodes.count()
+    if n < 2:
         return nodes.sparkSession.createDataFrame([], "key long, node long")
-    met = cut(rows.mapInArrow(cluster_batches, "key long, node long").distinct(), "buckets")
-    prints = nodes.select(F.col("node").alias("of"), F.col("prints").alias("fp"))
-    members = cut(met.join(prints, F.col("node") == F.col("of")).select(F.lit(0).alias("part"), "key", "fp", "node"), "members")
-    linked = dealt(members, block, members.count()).mapInArrow(lambda b: link_batches(b, FARTHEST), "a long, b long").distinct()
+    plan = plan_partitions(nodes.select(F.col("prints")[0].alias("fp")), n, DISTANCE, PLANNED)
+    # two nodes with at most t differing bits in a group agree in one of its t + 1 stretches
+    searched, entries = [], []
+    for word in range(WORDS):
+        for group, t in plan:
+            for stretch in stretches(group, t + 1):
+                free = sum(1 << b for b in set(group) - set(stretch))
+                key = F.col("prints")[word].bitwiseAND(F.lit(_signed(sum(1 << b for b in stretch))))
+                entries.append(F.struct(F.lit(len(searched)).alias("part"), key.alias("key")))
+                searched.append((word, free, (t + 1) // 2))
+    rows = nodes.select("node", F.col("prints").alias("fp"), F.explode(F.array(*entries)).alias("x")).select("node", "fp", "x.*")
+    linked = dealt(rows, bucket, n * len(entries)).mapInArrow(lambda b: near_batches(b, searched, FARTHEST), "a long, b long").distinct()
     return components(linked, "a", "b").select(F.col("root").alias("key"), "node")
 
 
@@ -253,14 +352,14 @@ def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.struct(key.isNull().alias("nameless"), key.alias("id"), F.xxhash64(text, F.octet_length(text)).alias("t")).alias("row")
 
 
-def classes(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 2048, broadcast_ids: int = 1_000_000) -> DataFrame:
+def classes(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 2048, bucket: int = BUCKET, broadcast_ids: int = 1_000_000) -> DataFrame:
     """row and the least row of its class, for each row of docs."""
     ship(docs.sparkSession)
     rows = docs.select(_key(docs, id_col, text_col), docs[text_col].alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     signed = cut(rows.mapInArrow(lambda b: signature_batches(b, shingle), f"row {kind}, node long, prints array<long>"), "signatures")
     nodes = cut(signed.groupBy("node").agg(F.min("row").alias("least"), F.first("prints").alias("prints"), F.count("*").alias("count")), "nodes")
-    members = cut(clusters(nodes.select("node", "prints"), block), "members")
+    members = cut(clusters(nodes.select("node", "prints"), bucket), "members")
     wanted = cut(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("least").alias("wanted"), "prints"), "wanted")
     side = wanted.select("wanted")
     side = F.broadcast(side) if wanted.count() <= broadcast_ids else side

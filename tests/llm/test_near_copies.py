@@ -100,3 +100,41 @@ def test_links_of_sets_join_classes():
         for i, j in combinations(range(len(sets)), 2):
             both = len(np.intersect1d(sets[i], sets[j]))
             assert of[roots[i]] == of[roots[j]] or 100 * both < percent * (len(sets[i]) + len(sets[j]) - both)
+
+
+@pytest.mark.parametrize("bucket", [5, 1 << 18])
+def test_a_text_is_dealt_out_once_for_each_stretch(spark, monkeypatch, bucket):
+    """All pairs of prints that meet are found, also with buckets dealt into blocks, from few rows for each text."""
+    import numpy as np
+
+    import millrace.llm.near_copies as nc
+    from millrace.llm.simhash import plan_partitions
+
+    r, rows = random.Random(8), []
+    for _ in range(150):
+        base = [r.getrandbits(64) for _ in range(4)]
+        rows.append(base)
+        for _ in range(r.choice([0, 0, 1, 12])):
+            base = r.choice([base, rows[-1]])
+            rows.append([x ^ sum(1 << k for k in {r.randrange(64) for _ in range(r.choice([1, 6, 12]))}) for x in base])
+    bits = np.array(rows, np.uint64)
+    df = spark.createDataFrame([(k, [nc._signed(x) for x in row]) for k, row in enumerate(rows)], "node long, prints array<long>").repartition(3)
+    sent, dealt = [], nc.dealt
+    monkeypatch.setattr(nc, "dealt", lambda df, *x: sent.append(df.count()) or dealt(df, *x))
+    monkeypatch.setattr(nc, "_LONG", 4)
+    monkeypatch.setattr(nc, "_SORTED", 500)
+    found = {x.node: x.key for x in nc.clusters(df, bucket).collect()}
+    plan = plan_partitions(df.selectExpr("prints[0] AS fp"), len(rows), nc.DISTANCE, nc.PLANNED)
+    assert sent == [len(rows) * nc.WORDS * sum(t + 1 for _, t in plan)]
+    masks = [(np.uint64(sum(1 << b for b in g)), t) for g, t in plan]
+    root = list(range(len(rows)))
+    for i, j in combinations(range(len(rows)), 2):
+        x = bits[i] ^ bits[j]
+        if np.bitwise_count(x).sum() <= nc.FARTHEST and any((np.bitwise_count(x & m) <= t).any() for m, t in masks):
+            low, high = sorted((root[i], root[j]))
+            root = [low if k == high else k for k in root]
+    # flips of both sides may meet a bit further
+    together = [k for k in range(len(rows)) if root.count(root[k]) > 1]
+    assert set(together) <= found.keys() and all(found[k] == found[root[k]] for k in together)
+    far = {(i, j) for i, j in combinations(found, 2) if found[i] == found[j] and root[i] != root[j]}
+    assert all(np.bitwise_count(bits[[k for k in found if found[k] == found[i] and k != i]] ^ bits[i]).sum(1).min() <= nc.FARTHEST for i, _ in far)
