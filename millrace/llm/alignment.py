@@ -9,10 +9,11 @@ Both tokenizers end a token before a space that follows a character that isn't w
 words takes a space only first, B's marks stand only first in a piece). So a text is cut there, each
 distinct chunk is aligned once by a worker, and a text's groups and links are those of its chunks in order.
 
-How many documents hold an id pair linked is counted over all documents: tasks count the distinct pairs
-of each text and hand on sums. A second narrow pass looks the counts up. Pairs in more than 1 of SHARE of
-all (document, pair) incidences are broadcast, fewer than SHARE by arithmetic; the rare ones of a
-document meet their counts in a shuffle, where no pair is frequent.
+Texts are encoded in one narrow pass, which writes the figures and the distinct linked pairs of each. How many
+documents hold an id pair linked is counted from these pairs: tasks count many texts and hand on sums. A narrow
+pass over the pairs looks the counts up, without the tokenizers. Pairs in more than 1 of SHARE of all
+(document, pair) incidences are broadcast, fewer than SHARE by arithmetic; the rare ones of a document
+meet their counts in a shuffle, where no pair is frequent.
 
 Edge cases: null and empty texts, and texts whose bytes the tokens of A or B don't give back (such as those with
 U+2581), have no tokens and count for no pair; special strings inside texts are plain text; repeated rows
@@ -46,7 +47,7 @@ _TOGETHER = 50
 #: A space, and all up to the next space that follows a character that isn't white space.
 _CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
 _SPACES = re.compile(r"\s ")
-_loaded: dict[tuple[str, str, bool], "Aligner"] = {}
+_loaded: dict[tuple[str, str], "Aligner"] = {}
 
 
 def stab(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,13 +82,11 @@ class Chunks:
 
 
 class Aligner:
-    """Two vocabulary files: A for the tokenizers library (byte level), B for sentencepiece. With `written`,
-    groups are also kept as text."""
+    """Two vocabulary files: A for the tokenizers library (byte level), B for sentencepiece."""
 
-    def __init__(self, a_path: str, b_path: str, written: bool) -> None:
+    def __init__(self, a_path: str, b_path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.written = written
         self.a = Tokenizer.from_file(a_path)
         self.a.no_truncation()
         self.a.no_padding()
@@ -160,10 +159,9 @@ class Aligner:
         groups = np.bincount(chunk, ends, len(new)).astype(np.int64)
         known.numbers.update(zip(new, range(known.figures.n, known.figures.n + len(new)), strict=True))
         known.bytes += sum(map(len, new)) + 8 * len(codes)
-        if self.written:
-            found = self.group_texts(a_ids, b_ids, ends, last[ends], n_a + n_b)
-            known.groups += found
-            known.bytes += sum(map(len, found))
+        found = self.group_texts(a_ids, b_ids, ends, last[ends], n_a + n_b)
+        known.groups += found
+        known.bytes += sum(map(len, found))
         known.figures.add(np.stack([n_a, n_b, groups, links, ~good, known.pairs.n + np.cumsum(links)], 1))
         known.pairs.add(codes)
 
@@ -196,14 +194,41 @@ class Aligner:
         return self.chunks.pairs.data[(first - np.cumsum(sizes) + sizes)[of] + np.arange(len(of))], of
 
 
-def aligner(a_path: str, b_path: str, written: bool) -> Aligner:
-    key = (a_path, b_path, written)
+def aligner(a_path: str, b_path: str) -> Aligner:
+    key = (a_path, b_path)
     return _loaded.get(key) or _loaded.setdefault(key, Aligner(*key))
 
 
-def pair_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Values as arrays of the given sizes."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int64()))
+
+
+def link_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
+    """The figures of each text, its distinct linked pairs and how often it has each."""
+    both = aligner(a_path, b_path)
+    for batch in batches:
+        done = 0
+        for run in runs(batch.column(1)):
+            numbers = both.numbered(run)
+            sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
+            every = np.concatenate(numbers)
+            upto = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(both.chunks.figures.data[every, :4], 0)])
+            ends = np.cumsum(sizes)
+            figures = upto[ends] - upto[ends - sizes]
+            codes, places = both.linked(every)[0], np.cumsum(figures[:, 3])
+            found = [np.unique(codes[j - n : j], return_counts=True) for n, j in zip(figures[:, 3].tolist(), places.tolist(), strict=True)]
+            distinct = np.fromiter((len(p) for p, _ in found), np.int64, len(found))
+            groups = both.chunks.groups
+            digests = [hashlib.sha256(b";".join([groups[k] for k in n.tolist()])).hexdigest() if len(n) else "" for n in numbers]
+            pairs, times = (lists(np.concatenate(side), distinct) for side in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(run)), *(pa.array(c, pa.int64()) for c in figures.T), pa.array(digests, pa.string()), pairs, times], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+            done += len(run)
+
+
+def pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """pair and the number of texts that hold it linked, in sums over many texts."""
-    both, held, counts = aligner(a_path, b_path, False), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    held, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
     def merged() -> None:
         pairs, at = np.unique(np.concatenate(held), return_inverse=True)
@@ -215,75 +240,65 @@ def pair_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) ->
         return pa.RecordBatch.from_arrays([pa.array(held[0], pa.int64()), pa.array(counts[0], pa.int64())], ["pair", "n"])
 
     for batch in batches:
-        for run in runs(batch.column(0)):
-            distinct = [np.unique(both.linked(np.unique(n))[0]) for n in both.numbered(run)]
-            pairs, n = np.unique(np.concatenate(distinct), return_counts=True)
-            held.append(pairs), counts.append(n)
-            if sum(map(len, held)) > 2 * _COUNTED:
-                merged()
-                if len(held[0]) > _COUNTED:
-                    yield handed()
-                    held[:], counts[:] = [held[0][:0]], [counts[0][:0]]
+        pairs, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+        held.append(pairs), counts.append(n)
+        if sum(map(len, held)) > 2 * _COUNTED:
+            merged()
+            if len(held[0]) > _COUNTED:
+                yield handed()
+                held[:], counts[:] = [held[0][:0]], [counts[0][:0]]
     merged()
     yield handed()
 
 
-def figure_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, sent: Broadcast) -> Iterator[pa.RecordBatch]:
-    """The figures of each text; count_sum and n_best of the pairs that are broadcast, and the other pairs."""
-    both = aligner(a_path, b_path, True)
+def sum_batches(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
+    """n_best and count_sum of the pairs that are broadcast, and the other pairs."""
     pairs, counts, best = sent.value
     for batch in batches:
-        columns: list[list] = [[] for _ in range(9)]
-        for run in runs(batch.column(1)):
-            numbers = both.numbered(run)
-            # each chunk of the run once: its sums, and its pairs that aren't broadcast
-            used = np.unique(np.concatenate(numbers)) if numbers else np.zeros(0, np.int64)
-            codes, of = both.linked(used)
-            at = np.minimum(np.searchsorted(pairs, codes), max(len(pairs) - 1, 0))
-            known = pairs[at] == codes if len(pairs) else np.zeros(len(codes), bool)
-            sums = np.bincount(of[known], counts[at[known]], len(used)).astype(np.int64)
-            bests = np.bincount(of[known], best[at[known]], len(used)).astype(np.int64)
-            rare, rare_of = codes[~known], of[~known]
-            rare_from, rare_to = np.searchsorted(rare_of, np.arange(len(used))), np.searchsorted(rare_of, np.arange(len(used)), "right")
-            groups, place_of = both.chunks.groups, np.zeros(both.chunks.figures.n, np.int64)
-            place_of[used] = np.arange(len(used))
-            figures = np.ascontiguousarray(both.chunks.figures.data[used, :4])
-            for n in numbers:
-                place = place_of[n]
-                for column, value in zip(columns, figures[place].sum(0).tolist(), strict=False):
-                    column.append(value)
-                columns[4].append(int(bests[place].sum()))
-                columns[5].append(int(sums[place].sum()))
-                columns[6].append(hashlib.sha256(b";".join([groups[k] for k in n.tolist()])).hexdigest() if len(n) else "")
-                some = place[rare_to[place] > rare_from[place]]
-                found, times = np.unique(np.concatenate([rare[rare_from[k] : rare_to[k]] for k in some.tolist()]), return_counts=True) if len(some) else (rare[:0], rare[:0])
-                columns[7].append(found)
-                columns[8].append(times.astype(np.int64))
-        kinds = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare", "times"])
+        *columns, held, times = batch.columns
+        codes, often = held.flatten().to_numpy(), times.flatten().to_numpy()
+        of = np.repeat(np.arange(len(held)), held.value_lengths().to_numpy())
+        at = np.minimum(np.searchsorted(pairs, codes), max(len(pairs) - 1, 0))
+        known = pairs[at] == codes if len(pairs) else np.zeros(len(codes), bool)
+        sums, bests = (np.bincount(of[known], value[at[known]] * often[known], len(held)).astype(np.int64) for value in (counts, best))
+        rare = np.bincount(of[~known], minlength=len(held))
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(bests, pa.int64()), pa.array(sums, pa.int64()), lists(codes[~known], rare), lists(often[~known], rare)], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum", "rare", "times"])
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
-    """a, b, n (documents that hold the ids linked) and best: whether no other B id of this A id has more."""
+_FIGURES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+
+
+def linked(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, groups_sha256, and the distinct linked pairs (a << 32 | b) with their times, of each row."""
     ship(docs.sparkSession)
-    found = docs.select(docs[text_col].alias("text")).mapInArrow(lambda b: pair_batches(b, a_path, b_path), "pair long, n long")
-    counted = cut(found.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return rows.mapInArrow(lambda b: link_batches(b, a_path, b_path), f"{_FIGURES}, pairs array<long>, times array<long>")
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """pair, a, b, n (documents that hold the ids linked) and best: whether no other B id of this A id has more. rows: pairs."""
+    found = rows.select("pairs").mapInArrow(pair_batches, "pair long, n long")
+    sums = cut(found.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
     # one row an A id, so the size of A's vocabulary at most
-    most = counted.groupBy(F.shiftright("pair", 32).alias("of")).agg(F.max("n").alias("most"))
+    most = sums.groupBy(F.shiftright("pair", 32).alias("of")).agg(F.max("n").alias("most"))
     a = F.shiftright("pair", 32)
-    return counted.join(F.broadcast(most), a == F.col("of")).select("pair", a.cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("b"), "n", (F.col("n") == F.col("most")).alias("best"))
+    return sums.join(F.broadcast(most), a == F.col("of")).select("pair", a.cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("b"), "n", (F.col("n") == F.col("most")).alias("best"))
+
+
+def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
+    """pair, a, b, n and best of `counted`, from texts."""
+    return counted(linked(docs, a_path, b_path, text_col, text_col))
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of each row."""
     spark = docs.sparkSession
-    counts = cut(pair_counts(docs, a_path, b_path, text_col), "pairs")
+    rows = cut(linked(docs, a_path, b_path, id_col, text_col), "linked")
+    counts = cut(counted(rows), "pairs")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     often = counts.filter(F.col("n") * share > total).select("pair", "n", "best").toPandas().sort_values("pair")  # fewer than share rows
     sent = spark.sparkContext.broadcast((often.pair.to_numpy(np.int64), often.n.to_numpy(np.int64), often.best.to_numpy(np.int64)))
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    kind = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, rare array<long>, times array<long>"
-    found = cut(rows.mapInArrow(lambda b: figure_batches(b, a_path, b_path, sent), kind).withColumn("row", F.monotonically_increasing_id()), "aligned")
+    found = cut(rows.mapInArrow(lambda b: sum_batches(b, sent), f"{_FIGURES}, n_best long, count_sum long, rare array<long>, times array<long>").withColumn("row", F.monotonically_increasing_id()), "aligned")
     met = found.filter(F.size("rare") > 0)
     asked = met.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("code"), "x.times")
     answers = asked.join(counts.filter(F.col("n") * share <= total), F.col("code") == F.col("pair"))
@@ -299,7 +314,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(a_path, b_path, True)
+        both = aligner(a_path, b_path)
         for batch in found:
             texts = [b";".join([both.chunks.groups[k] for k in n.tolist()]).decode() for run in runs(batch.column(1)) for n in both.numbered(run)]
             groups = [[dict(zip("ab", ([int(i) for i in side.split(",")] for side in g.split("|")), strict=True)) for g in t.split(";")] if t else [] for t in texts]

@@ -136,3 +136,17 @@ def test_groups_of_a_text(spark):
     a, sp = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
     assert [i for g in found[1] for i in g.a] == a.encode(" tokenization of é", add_special_tokens=False).ids
     assert [i for g in found[1] for i in g.b] == sp.encode("tokenization of é")
+
+
+def test_texts_are_encoded_once(spark, monkeypatch):
+    """The passes over the linked pairs don't see the texts."""
+    seen, ran = spark.sparkContext.accumulator(0), alignment.link_batches
+
+    def counting(batches, a_path, b_path):
+        for batch in ran(batches, a_path, b_path):
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(alignment, "link_batches", counting)
+    df = spark.createDataFrame([(k, f"token number {k} of é") for k in range(20)], "doc_id long, text string")
+    assert alignment.aligned(df, A, B, share=5).count() == 20 and seen.value == 20
